@@ -1,0 +1,70 @@
+"""Ghost split: edge rows, accounting property and test-table counts."""
+
+from conftest import SF0001, SF001
+from helpers import trips_df
+
+from tripaudit.operators import derive_metrics, ghost_vendors, row_accounting, split_ghosts
+from tripaudit.sources.tables import events_trips
+
+D = "2025-01-01 "
+# id, pickup, dropoff, distance, fare, expected output
+EDGE = [
+    (1, "00:00:00", "00:10:00", None, 10.0, "undetermined"),
+    (2, "00:00:00", "00:10:00", 2.0, None, "clean"),
+    (3, None, "00:10:00", 2.0, 30.0, "undetermined"),
+    (4, "00:10:00", "00:00:00", 2.0, 30.0, "audit"),      # rule B, negative duration
+    (5, "00:00:00", "00:00:03", 2.0, 10.0, "clean"),      # <= 3.6 s: speed 0
+    (6, "00:00:00", "00:10:00", 0.0, 10.0, "audit"),      # rule C
+    (7, "00:00:00", "00:10:00", 2.0, 10.0, "clean"),
+    (8, "00:00:00", "00:01:00", 1.5, 10.0, "audit"),      # rule A: 90 mph
+    (9, None, "00:10:00", 2.0, 10.0, "clean"),
+    (10, "00:00:00", "01:00:00", 65.0, 10.0, "clean"),    # strict >
+]
+
+
+def _edge(spark):
+    rows = [dict(vendor_id=i, pickup_time=(D + p) if p else None, dropoff_time=D + d,
+                 trip_distance=dist, fare=fare, taxi_type="yellow")
+            for i, p, d, dist, fare, _ in EDGE]
+    return trips_df(spark, rows)
+
+
+def test_edge_rows_split(spark):
+    s = split_ghosts(_edge(spark))
+    got = {}
+    for name, df in zip(("clean", "audit", "undetermined"), s):
+        for r in df.select("vendor_id").collect():
+            got[r.vendor_id] = name
+    assert got == {i: out for i, *_, out in EDGE}
+
+
+def test_edge_metrics(spark):
+    m = {r.vendor_id: r for r in derive_metrics(_edge(spark)).collect()}
+    assert m[4].duration_seconds == -600 and m[4].speed_mph == 0
+    assert m[5].duration_seconds == 3 and m[5].speed_mph == 0
+    assert m[8].speed_mph == 90.0
+    assert m[1].speed_mph is None
+    assert m[3].duration_seconds is None and m[3].speed_mph == 0
+
+
+def test_accounting_adds_up(spark):
+    r = row_accounting(_edge(spark)).first()
+    assert r.total == r.clean + r.audit + r.undetermined == 10
+    assert (r.clean, r.audit, r.undetermined) == (5, 3, 2)
+
+
+def test_sf0001_counts(spark):
+    r = row_accounting(events_trips(spark, SF0001)).first()
+    assert (r.total, r.clean, r.audit, r.undetermined) == (1000, 756, 168, 76)
+    assert (r.rule_a, r.rule_b, r.rule_c) == (151, 15, 10)
+
+
+def test_sf001_counts(spark):
+    s = split_ghosts(events_trips(spark, SF001))
+    assert (s.clean.count(), s.audit.count(), s.undetermined.count()) == (7386, 1839, 775)
+
+
+def test_ghost_vendors_tie_break(spark):
+    rows = [dict(vendor_id=v, taxi_type="yellow") for v in (3, 3, 1, 1, 2, 2, 5, 4, None, None)]
+    got = [tuple(r) for r in ghost_vendors(trips_df(spark, rows), 3).collect()]
+    assert got == [(None, 2), (1, 2), (2, 2)]

@@ -70,12 +70,12 @@ ORDERS_CFG = AuditConfig(impute_year=2001, impute_month=12)
 
 # Link-filter parameters for the crawl (test hrefs are "/word" paths).
 LINK_SUFFIX = "."
-LINK_YEARS = ("th", "an")
-LINK_FLEETS = ("e", "o")
+LINK_YEARS = ("th", "an", "er")
+LINK_FLEETS = ("e", "o", "a")
 OVERLAY_YEARS = ("ou", "ei")
-OVERLAY_FLEETS = ("a", "i")
+OVERLAY_FLEETS = ("u", "e")
 OVERLAY_TOKEN = "ou"
-EXISTING_SECTION = "/en/"
+EXISTING_SECTION = "/fr/"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
