@@ -15,8 +15,8 @@ large, becomes one row; map-side combine does the work).  A group spanning
 positions [S, E) receives ``floor(E t/n) - floor(S t/n)`` copies, which is
 the sum of the per-row formula.  S and E come from per-minute offsets (a
 month has at most 44,640 minutes, so that table is calendar-bounded and
-broadcast) plus a running sum inside each minute.  Large copy counts are
-cut into chunks spread over tasks before expansion.
+broadcast) plus a running sum inside each minute.  Copy counts are cut
+into bounded chunks that are hash-spread over tasks before expansion.
 """
 
 from __future__ import annotations
@@ -109,6 +109,15 @@ def _floor_scaled(pos: str, target: int, n: int) -> F.Column:
     return F.expr(f"(CAST({pos} AS DECIMAL(38,0)) * {int(target)}) div {int(n)}")
 
 
+def minute_index(col: str) -> F.Column:
+    """Minutes since 1970-01-01 of a wall-clock timestamp, from its date,
+    hour and minute: monotone in the timestamp and independent of the
+    session time zone (``date_trunc`` would go through it)."""
+    c = F.col(col)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 1440 + F.hour(c) * 60 + F.minute(c)
+
+
 def exact_sample(base: DataFrame, target: int, n: int,
                  time_col: str = "pickup_time", chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Exactly ``target`` rows drawn with replacement from ``base`` (n rows)
@@ -119,7 +128,7 @@ def exact_sample(base: DataFrame, target: int, n: int,
         return base.limit(0)
     cols = base.columns
     groups = (base.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-              .withColumn("_b", F.date_trunc("minute", F.col(time_col))))
+              .withColumn("_b", minute_index(time_col)))
     per_minute = groups.groupBy("_b").agg(F.sum("_m").alias("_c"))
     # Calendar-bounded (<= 44,640 rows per month): one small sorted window.
     running = Window.orderBy(F.asc_nulls_first("_b")).rowsBetween(Window.unboundedPreceding, 0)
@@ -135,18 +144,18 @@ def exact_sample(base: DataFrame, target: int, n: int,
               .filter(F.col("_copies") > 0)
               .select(*cols, "_copies"))
 
-    def expand(df: DataFrame, size: F.Column) -> DataFrame:
-        return df.withColumn("_k", F.explode(F.array_repeat(F.lit(True), size.cast("int"))))
-
-    light = expand(placed.filter(F.col("_copies") <= chunk), F.col("_copies"))
-    heavy = (placed.filter(F.col("_copies") > chunk)
-             .withColumn("_j", F.explode(F.sequence(
-                 F.lit(0).cast("bigint"), F.ceil(F.col("_copies") / chunk) - 1)))
-             .repartition("_j", *cols)
-             .withColumn("_size", F.least(F.lit(chunk).cast("bigint"),
-                                          F.col("_copies") - F.col("_j") * chunk)))
-    heavy = expand(heavy, F.col("_size"))
-    return light.select(*cols).unionByName(heavy.select(*cols))
+    # Cut every row's copies into chunks of at most ``chunk`` and spread the
+    # chunk rows by (chunk index, row) before expanding, so a large group of
+    # copies is generated by many tasks, never by the one that placed it.
+    chunks = (placed
+              .withColumn("_j", F.explode(F.sequence(
+                  F.lit(0).cast("bigint"), F.ceil(F.col("_copies") / chunk) - 1)))
+              .withColumn("_size", F.least(F.lit(chunk).cast("bigint"),
+                                           F.col("_copies") - F.col("_j") * chunk))
+              .repartition("_j", *cols))
+    return (chunks.withColumn("_k", F.explode(F.array_repeat(F.lit(True),
+                                                             F.col("_size").cast("int"))))
+            .select(*cols))
 
 
 def impute_month(trips: DataFrame, cfg: AuditConfig = DEFAULT, mode: str = "exact",
