@@ -89,3 +89,43 @@ def test_orders_counts(spark):
     assert (r.n_base_old, r.n_base_new, r.n_target, r.target, r.action) == (184, 199, 0, 194, "impute")
     out = impute_month(orders_trips(spark, SF001), AuditConfig(impute_year=2001))
     assert out.filter("is_imputed").count() == 194
+
+
+def test_placement_splits_a_crowded_timestamp(spark):
+    from pyspark.sql import Window
+
+    from tripaudit.operators.impute import place_groups
+
+    # a third of the distinct rows share one pick-up instant
+    rows = [dict(pickup_time="2024-12-05 10:00:00", fare=float(i), taxi_type="yellow")
+            for i in range(400)]
+    rows += [dict(pickup_time=f"2024-12-{1 + i % 28:02d} {i % 24:02d}:00:00", fare=float(i),
+                  taxi_type="green") for i in range(800)]
+    base = trips_df(spark, rows)
+    cols = base.columns
+    order = [F.asc_nulls_first(c) for c in cols]
+    groups = base.groupBy(*cols).agg(F.count("*").alias("_m"))
+    placed = place_groups(groups, order, 1200)
+    # brute force: one global running sum
+    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    brute = groups.withColumn("_end", F.sum("_m").over(w))
+    assert sorted(placed.select(*cols, "_end").collect()) == sorted(brute.select(*cols, "_end").collect())
+    sizes = [r["count"] for r in placed.groupBy("_p").count().collect()]
+    assert max(sizes) < 400  # the crowded instant is split across ranges
+
+
+def test_fallback_history_scan(spark, tmp_dir):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    # the older history month exists only as raw files of any fleet
+    t = dt.datetime(2023, 12, 3, 8, 0)
+    pq.write_table(pa.table({"x": pa.array([t] * 30, pa.timestamp("us"))}),
+                   os.path.join(tmp_dir, "green_tripdata_2023-12.parquet"))
+    trips = _month_rows(spark, 10)  # 10 rows in Dec 2024, none in Dec 2023
+    cfg = CFG.with_(present_threshold=1000)
+    p = plan_imputation(trips, cfg, spark, raw_dir=tmp_dir)
+    assert (p.n_base_old, p.n_base_new, p.target) == (30, 10, int(0.3 * 30 + 0.7 * 10))
+    assert plan_imputation(trips, cfg, spark, raw_dir=os.path.join(tmp_dir, "none")).n_base_old == 0

@@ -119,3 +119,11 @@ def test_test_table_fleets(spark):
     trips = load_trips(spark, SF001, fleets=("orders", "lineitem"))
     got = {r.taxi_type: r["count"] for r in source_counts(trips).collect()}
     assert got == {"orders": 15000, "lineitem": 60000}
+
+
+def test_unreadable_fleet_is_left_out(spark, tmp_dir):
+    pq.write_table(_green(2), os.path.join(tmp_dir, "green_tripdata_2024-05.parquet"))
+    with open(os.path.join(tmp_dir, "yellow_tripdata_2024-05.parquet"), "wb") as f:
+        f.write(b"not a parquet file")
+    trips = load_trips(spark, tmp_dir)
+    assert {r.taxi_type for r in trips.collect()} == {"green"}

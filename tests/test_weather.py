@@ -42,3 +42,11 @@ def test_join_drops_one_sided_days(spark):
     doc = '{"daily":{"time":["2025-01-01","2025-01-02"],"precipitation_sum":[0.5,1.0]}}'
     got = [tuple(r) for r in rain_join(daily, weather_rows(_docs(spark, doc))).collect()]
     assert got == [(dt.date(2025, 1, 1), 10, 0.5)]
+
+
+def test_empty_inputs_give_null_statistics(spark):
+    empty = _pairs(spark, [])
+    r = rain_elasticity(empty).first()
+    assert r.n == 0 and r.correlation is None
+    t = rain_trend(empty).first()
+    assert t.n == 0 and t.slope is None

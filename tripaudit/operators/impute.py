@@ -9,14 +9,15 @@ weighted average of the two previous years.  Two sampling modes:
   order, row i is repeated ``floor((i+1)t/n) - floor(it/n)`` times, so the
   output holds exactly t rows for any t/n (also above 1).
 
-The exact mode never orders the month globally.  Identical rows are first
-collapsed into one row with a multiplicity m (a group of copies, however
-large, becomes one row; map-side combine does the work).  A group spanning
-positions [S, E) receives ``floor(E t/n) - floor(S t/n)`` copies, which is
-the sum of the per-row formula.  S and E come from per-minute offsets (a
-month has at most 44,640 minutes, so that table is calendar-bounded and
-broadcast) plus a running sum inside each minute.  Copy counts are cut
-into bounded chunks that are hash-spread over tasks before expansion.
+The exact mode never orders the month in one task.  Identical rows are
+first collapsed into one row with a multiplicity m (a group of copies,
+however large, becomes one row; map-side combine does the work).  A group
+spanning positions [S, E) receives ``floor(E t/n) - floor(S t/n)`` copies,
+which is the sum of the per-row formula.  E comes from range partitioning
+on the full sort key (balanced by sampling, so no minute or timestamp is a
+hot key), a running sum inside each range, and per-range offsets (one row
+per range, broadcast).  Copy counts are cut into bounded chunks that are
+hash-spread over tasks before expansion.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT, AuditConfig
 from tripaudit.functions.time import in_month, shift_days
+from tripaudit.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
-# Upper bound on the rows of the per-minute offsets table (31 days).
-MAX_MINUTES_PER_MONTH = 31 * 24 * 60
+# Target rows per range partition when placing a large base month.
+ROWS_PER_RANGE = 2_000_000
 # Largest number of copies expanded from one row inside one task.
 EXPAND_CHUNK = 4096
 
@@ -109,35 +111,50 @@ def _floor_scaled(pos: str, target: int, n: int) -> F.Column:
     return F.expr(f"(CAST({pos} AS DECIMAL(38,0)) * {int(target)}) div {int(n)}")
 
 
-def minute_index(col: str) -> F.Column:
-    """Minutes since 1970-01-01 of a wall-clock timestamp, from its date,
-    hour and minute: monotone in the timestamp and independent of the
-    session time zone (``date_trunc`` would go through it)."""
-    c = F.col(col)
-    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 1440 + F.hour(c) * 60 + F.minute(c)
-
-
-def exact_sample(base: DataFrame, target: int, n: int,
-                 time_col: str = "pickup_time", chunk: int = EXPAND_CHUNK) -> DataFrame:
+def _range_partitions(spark, n: int) -> int:
+    """Range partitions for placing ``n`` rows: the session's shuffle width,
+    more when the base month is large (about ROWS_PER_RANGE rows each)."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, width, -(-n // ROWS_PER_RANGE))
+
+
+def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> DataFrame:
+    """Add ``_end``, the global running multiplicity in ``order``, to a frame
+    of distinct rows with multiplicity ``_m``, without a global sort.
+
+    Rows are range-partitioned on the full sort key (Spark samples the
+    bounds, so a crowded minute or timestamp is split like any other key
+    range), summed inside each range, and the ranges are stacked with
+    offsets from a table of one row per range.  The checkpoint pins the
+    sampled bounds, so row positions and range totals come from the same
+    assignment even if a later stage is retried, and cuts the lineage."""
+    spark = groups.sparkSession
+    p = _range_partitions(spark, n)
+    within = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = (groups.repartitionByRange(p, *order)
+              .withColumn("_p", F.spark_partition_id())
+              .withColumn("_local", F.sum("_m").over(within)))
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
+    # One row per range (at most p rows): safe to sort in one task and broadcast.
+    stacked = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = (ranged.groupBy("_p").agg(F.max("_local").alias("_t"))
+               .select("_p", (F.sum("_t").over(stacked) - F.col("_t")).alias("_off")))
+    return (ranged.join(F.broadcast(offsets), "_p")
+            .withColumn("_end", F.col("_off") + F.col("_local")))
+
+
+def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Exactly ``target`` rows drawn with replacement from ``base`` (n rows)
     by the deterministic spread described in the module docstring.  Row
     order is all columns ascending, NULLs first; only the multiset of the
-    output is defined."""
+    output is defined.  Runs one job eagerly (the placement checkpoint)."""
     if n <= 0 or target <= 0:
         return base.limit(0)
     cols = base.columns
-    groups = (base.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-              .withColumn("_b", minute_index(time_col)))
-    per_minute = groups.groupBy("_b").agg(F.sum("_m").alias("_c"))
-    # Calendar-bounded (<= 44,640 rows per month): one small sorted window.
-    running = Window.orderBy(F.asc_nulls_first("_b")).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = per_minute.select(F.col("_b").alias("_ob"),
-                                (F.sum("_c").over(running) - F.col("_c")).alias("_off"))
-    placed = groups.join(F.broadcast(offsets), groups["_b"].eqNullSafe(offsets["_ob"]))
-    inside = (Window.partitionBy("_b").orderBy(*[F.asc_nulls_first(c) for c in cols])
-              .rowsBetween(Window.unboundedPreceding, 0))
-    placed = (placed.withColumn("_end", F.col("_off") + F.sum("_m").over(inside))
+    order = [F.asc_nulls_first(c) for c in cols]
+    groups = base.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    placed = (place_groups(groups, order, n)
               .withColumn("_start", F.col("_end") - F.col("_m"))
               .withColumn("_copies", _floor_scaled("_end", target, n)
                           - _floor_scaled("_start", target, n))
