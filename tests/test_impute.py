@@ -129,3 +129,18 @@ def test_fallback_history_scan(spark, tmp_dir):
     p = plan_imputation(trips, cfg, spark, raw_dir=tmp_dir)
     assert (p.n_base_old, p.n_base_new, p.target) == (30, 10, int(0.3 * 30 + 0.7 * 10))
     assert plan_imputation(trips, cfg, spark, raw_dir=os.path.join(tmp_dir, "none")).n_base_old == 0
+
+
+def test_month_range_ignores_time_zones(spark):
+    from tripaudit.functions.time import in_month
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame(
+            [(dt.datetime(2000, 11, 30, 20),), (dt.datetime(2000, 12, 1),),
+             (dt.datetime(2000, 12, 31, 23, 59),), (dt.datetime(2001, 1, 1),)], "t timestamp_ntz")
+        got = [r.t for r in df.filter(in_month("t", 2000, 12)).collect()]
+        assert got == [dt.datetime(2000, 12, 1), dt.datetime(2000, 12, 31, 23, 59)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

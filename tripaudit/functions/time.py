@@ -20,8 +20,14 @@ def in_month(col: str, year: int, month: int) -> Column:
     reach the Parquet reader as ``GreaterThanOrEqual``/``LessThan`` (the
     function form only pushes ``IsNotNull``)."""
     start, end = month_bounds(year, month)
-    # Python naive datetimes become TIMESTAMP_NTZ literals, matching the column.
-    return (F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end))
+    return (F.col(col) >= ntz_literal(start)) & (F.col(col) < ntz_literal(end))
+
+
+def ntz_literal(value: dt.datetime) -> Column:
+    """Wall-clock TIMESTAMP_NTZ literal.  ``F.lit(datetime)`` would build a
+    zoned TIMESTAMP from the Python process's time zone and compare it with
+    NTZ columns through the session time zone."""
+    return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'")
 
 
 def shift_days(col: str, days: int) -> Column:
