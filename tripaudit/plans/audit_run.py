@@ -12,6 +12,7 @@ a re-read of the raw sources per action.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,7 +69,8 @@ def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT) -> str:
 
 def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
               cfg: AuditConfig = DEFAULT, weather_docs: DataFrame | None = None,
-              impute_mode: str = "exact", fleets=None) -> AuditResult:
+              impute_mode: str = "exact", fleets=None,
+              report_threads: int = 4) -> AuditResult:
     """Intake -> imputation -> staged flagged table -> audit sink and
     reports.  Returns the written paths and the report frames."""
     res = AuditResult()
@@ -113,10 +115,19 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
             reports["rain_trend"] = rain_trend(joined)
         except Exception as exc:  # the weather step never stops the audit
             log.warning("weather analysis failed: %s", exc)
-    for name, df in reports.items():
+    # Reports are independent small jobs over the staged table; submitting
+    # them from a few threads lets the scheduler run them side by side.
+    def write(item):
+        name, df = item
         try:
-            res.reports[name] = write_csv(df, f"{out_dir}/aggregated/{name}")
-            res.frames[name] = df
+            return name, df, write_csv(df, f"{out_dir}/aggregated/{name}")
         except Exception as exc:
             log.warning("report %s failed: %s", name, exc)
+            return name, df, None
+
+    with ThreadPoolExecutor(max_workers=report_threads) as pool:
+        for name, df, path in pool.map(write, reports.items()):
+            if path:
+                res.reports[name] = path
+                res.frames[name] = df
     return res

@@ -63,5 +63,8 @@ def overlay_links(base: DataFrame, update: DataFrame) -> DataFrame:
 
 def new_intake(candidates: DataFrame, existing: DataFrame, key: str = "filename") -> DataFrame:
     """Candidates not yet taken in: anti-join on ``key`` (the file-exists
-    skip of a downloader, as a set operation)."""
-    return candidates.join(existing.select(key), key, "left_anti")
+    skip of a downloader, as a set operation).  ``existing`` is reduced to
+    distinct keys first: the partial aggregate collapses a name repeated
+    many times before the shuffle, and the join reuses its partitioning
+    (skew handling cannot split the build side of an anti-join)."""
+    return candidates.join(existing.select(key).distinct(), key, "left_anti")
