@@ -67,6 +67,33 @@ def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT) -> str:
     return path
 
 
+def stage_audit(spark: SparkSession, raw_dir: str, cfg: AuditConfig = DEFAULT,
+                impute_mode: str = "exact", fleets=None, path: str | None = None) -> str | None:
+    """Intake -> imputation -> staged flagged table; returns its path (None
+    when there is no trip data).  The only step that reads raw files."""
+    trips = load_trips(spark, raw_dir, fleets or cfg.fleets)
+    if trips is None:
+        log.warning("no trip data under %s", raw_dir)
+        return None
+    plan = plan_imputation(trips, cfg, spark, raw_dir)
+    log.info("imputation plan: %s", plan)
+    trips = impute_month(trips, cfg, mode=impute_mode, plan=plan)
+    return stage_trips(trips, path or scratch_path(spark, "staged-trips"), cfg)
+
+
+def staged_accounting(staged: DataFrame) -> DataFrame:
+    """Rows per fleet and origin (real / imputed) of a staged table, split
+    into clean / audit / undetermined, with zone trips among the clean."""
+    g = F.col("is_ghost")
+
+    def n(cond):
+        return F.count(F.when(cond, F.lit(1)))
+
+    return staged.groupBy("taxi_type", "is_imputed").agg(
+        F.count(F.lit(1)).alias("total"), n(~g).alias("clean"), n(g).alias("audit"),
+        n(g.isNull()).alias("undetermined"), n(~g & F.col("inside_zone")).alias("clean_in_zone"))
+
+
 def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
               cfg: AuditConfig = DEFAULT, weather_docs: DataFrame | None = None,
               impute_mode: str = "exact", fleets=None,
@@ -74,15 +101,9 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
     """Intake -> imputation -> staged flagged table -> audit sink and
     reports.  Returns the written paths and the report frames."""
     res = AuditResult()
-    trips = load_trips(spark, raw_dir, fleets or cfg.fleets)
-    if trips is None:
-        log.warning("no trip data under %s", raw_dir)
+    res.staged_path = stage_audit(spark, raw_dir, cfg, impute_mode, fleets)
+    if res.staged_path is None:
         return res
-    plan = plan_imputation(trips, cfg, spark, raw_dir)
-    log.info("imputation plan: %s", plan)
-    trips = impute_month(trips, cfg, mode=impute_mode, plan=plan)
-
-    res.staged_path = stage_trips(trips, scratch_path(spark, "staged-trips"), cfg)
     staged = spark.read.parquet(res.staged_path)
     g = F.col("is_ghost")
     clean = staged.filter(~g)

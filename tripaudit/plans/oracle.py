@@ -131,7 +131,7 @@ def _month(col: str, year: int, month: int) -> str:
     return f"({col} >= TIMESTAMP '{a:%Y-%m-%d %H:%M:%S}' AND {col} < TIMESTAMP '{b:%Y-%m-%d %H:%M:%S}')"
 
 
-def _impute_counts_cte() -> str:
+def _impute_counts_cte(src: str = "trips_ord") -> str:
     y, m = OCFG.impute_year, OCFG.impute_month
     w_old, w_new = OCFG.history_weights
     return f"""
@@ -140,7 +140,7 @@ counts AS (
     count(*) FILTER (WHERE {_month('pickup_time', y - 2, m)}) AS n_base_old,
     count(*) FILTER (WHERE {_month('pickup_time', y - 1, m)}) AS n_base_new,
     count(*) FILTER (WHERE {_month('pickup_time', y, m)}) AS n_target
-  FROM trips_ord
+  FROM {src}
 ),
 plan AS (
   SELECT *, CAST(floor(CAST({w_old} AS DOUBLE) * n_base_old + CAST({w_new} AS DOUBLE) * n_base_new) AS BIGINT) AS target
@@ -201,26 +201,58 @@ def _link_map(name: str, years, fleets, extra: str = "") -> str:
 )"""
 
 
-def _impute_month_sql() -> str:
+def _imputed_ctes(src: str) -> str:
+    """CTEs ``decision``, ``expanded`` and ``all_trips`` (src + imputed rows)."""
     y, m = OCFG.impute_year, OCFG.impute_month
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in UNIFIED_COLUMNS)
     shifted = ", ".join(
         f"{c} + INTERVAL {OCFG.shift_days} DAY AS {c}" if c in ("pickup_time", "dropoff_time") else c
         for c in UNIFIED_COLUMNS)
-    return _with(TRIPS_ORD, _impute_counts_cte(), f"""
+    return _impute_counts_cte(src) + f""",
 base AS (
   SELECT {UNI}, row_number() OVER (ORDER BY {order}) - 1 AS i
-  FROM trips_ord WHERE {_month('pickup_time', y - 1, m)}
+  FROM {src} WHERE {_month('pickup_time', y - 1, m)}
 ),
 rep AS (
   SELECT base.*, CAST((CAST(i + 1 AS HUGEINT) * target) // n_base_new
                       - (CAST(i AS HUGEINT) * target) // n_base_new AS BIGINT) AS copies
   FROM base, decision WHERE decision.action = 'impute'
 ),
-expanded AS (SELECT {UNI}, unnest(range(copies)) AS k FROM rep)""") + f"""
-SELECT {UNI}, false AS is_imputed FROM trips_ord
-UNION ALL
-SELECT {shifted}, true AS is_imputed FROM expanded"""
+expanded AS (SELECT {UNI}, unnest(range(copies)) AS k FROM rep),
+all_trips AS (
+  SELECT {UNI}, false AS is_imputed FROM {src}
+  UNION ALL
+  SELECT {shifted}, true AS is_imputed FROM expanded
+)"""
+
+
+def _impute_month_sql() -> str:
+    return _with(TRIPS_ORD, _imputed_ctes("trips_ord")) + "SELECT * FROM all_trips"
+
+
+def _audit_accounting_sql() -> str:
+    return _with(f"fleets AS ({FLEET_ORDERS}\n  UNION ALL\n{FLEET_LINEITEM})",
+                 _imputed_ctes("fleets"), f"""
+a1 AS (SELECT *, date_diff('second', pickup_time, dropoff_time) AS duration_seconds FROM all_trips),
+a2 AS (SELECT *, duration_seconds / CAST(3600.0 AS DOUBLE) AS duration_hours FROM a1),
+a3 AS (
+  SELECT *, CASE WHEN duration_hours > CAST({CFG.min_hours_for_speed} AS DOUBLE)
+                 THEN trip_distance / duration_hours ELSE CAST(0 AS DOUBLE) END AS speed_mph
+  FROM a2
+),
+af AS (
+  SELECT *,
+    (speed_mph > {CFG.speed_limit_mph}
+     OR (duration_seconds < {CFG.min_trip_seconds} AND fare > {CFG.short_trip_fare})
+     OR (trip_distance = 0 AND fare > 0)) AS is_ghost,
+    dropoff_loc IN ({ZONES}) AS inside_zone
+  FROM a3
+)""") + """SELECT taxi_type, is_imputed, count(*) AS total,
+  count(*) FILTER (WHERE NOT is_ghost) AS clean,
+  count(*) FILTER (WHERE is_ghost) AS audit,
+  count(*) FILTER (WHERE is_ghost IS NULL) AS undetermined,
+  count(*) FILTER (WHERE NOT is_ghost AND inside_zone) AS clean_in_zone
+FROM af GROUP BY 1, 2"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -311,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
               SELECT 1 FROM harvest h JOIN pages p ON h.page_id = p.page_id
               WHERE contains(p.url, {_q(suite.EXISTING_SECTION)}) AND h.filename = lm.filename)""",
     }
+    out["audit_accounting"] = _audit_accounting_sql()
     out["parquet_roundtrip"] = out["ghost_audit"]
     out["csv_roundtrip"] = out["q1_comparison"]
     return out

@@ -271,6 +271,18 @@ def q_csv_roundtrip(spark, d):
     return read_csv(spark, path, Q1_CSV_SCHEMA)
 
 
+# --- the whole audit over two table-backed fleets --------------------------
+
+AUDIT_CFG = ORDERS_CFG.with_(fleets=("orders", "lineitem"))
+
+
+def q_audit_accounting(spark, d):
+    from tripaudit.plans.audit_run import stage_audit, staged_accounting
+
+    path = stage_audit(spark, d, AUDIT_CFG)
+    return staged_accounting(spark.read.parquet(path))
+
+
 QUERIES: dict[str, Query] = {
     "source_counts": q_source_counts,
     "unify_schema": q_unify_schema,
@@ -307,4 +319,5 @@ QUERIES: dict[str, Query] = {
     "intake_new": q_intake_new,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
+    "audit_accounting": q_audit_accounting,
 }
