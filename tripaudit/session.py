@@ -42,13 +42,19 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the checkpoint root, setting one only where the session has
-    none (local tests).  On a cluster the configured shared folder is used."""
+    none.  On a cluster the configured shared folder is required (a
+    machine-local folder would not survive executor loss); a temporary
+    folder is made only for local-mode sessions such as tests."""
     root = checkpoint_root(spark)
     if root:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
         return root
-    root = fallback or tempfile.mkdtemp(prefix="tripaudit-ckpt-")
+    if fallback is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        fallback = tempfile.mkdtemp(prefix="tripaudit-ckpt-")
+    root = fallback
     spark.sparkContext.setCheckpointDir(root)
     spark.conf.set("spark.checkpoint.dir", root)
     return root
