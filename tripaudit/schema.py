@@ -145,7 +145,8 @@ def unify_schema(df: DataFrame, taxi_type: str | FleetSpec) -> DataFrame:
     unified names once a frame has been unified).
     """
     spec = fleet(taxi_type)
-    present = {c.lower(): c for c in df.columns}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    present = {c.lower(): c for c in types}
     cols: list[Column] = []
     for name in UNIFIED_COLUMNS:
         if name == "taxi_type":
@@ -158,15 +159,20 @@ def unify_schema(df: DataFrame, taxi_type: str | FleetSpec) -> DataFrame:
         if hit is None:
             cols.append(typed_null(name))
         else:
-            cols.append(F.col(f"`{hit}`").cast(UNIFIED_TYPES[name]).alias(name))
+            cols.append(_typed(hit, types[hit], name))
     return df.select(*cols)
 
 
+def _typed(source: str, current: T.DataType, name: str) -> Column:
+    """``source`` as unified column ``name``, cast only when needed."""
+    c = F.col(f"`{source}`")
+    if current != UNIFIED_TYPES[name]:
+        c = c.cast(UNIFIED_TYPES[name])
+    return c.alias(name) if source != name else c
+
+
 def conform(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Select the unified columns (typed NULL where absent) plus ``extra``."""
-    have = set(df.columns)
-    cols = [
-        F.col(n).cast(t).alias(n) if n in have else typed_null(n)
-        for n, t in UNIFIED_FIELDS
-    ]
-    return df.select(*cols, *[F.col(c) for c in extra])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [_typed(n, types[n], n) if n in types else typed_null(n) for n, _ in UNIFIED_FIELDS]
+    return df.select(*cols, *extra)
