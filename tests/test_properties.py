@@ -71,3 +71,30 @@ def test_split_matches_model(spark, rows):
     assert got == {r["vendor_id"]: model(r) for r in rows}
     acc = row_accounting(df).first()
     assert acc.total == acc.clean + acc.audit + acc.undetermined == len(rows)
+
+
+def test_quarter_volumes_cover_timed_rows(spark):
+    from conftest import SF001
+
+    from pyspark.sql import functions as F
+
+    from tripaudit.operators import volume_by_quarter, volume_by_year
+    from tripaudit.sources.tables import orders_trips
+
+    trips = orders_trips(spark, SF001)
+    q = volume_by_quarter(trips)
+    timed = trips.filter(F.col("pickup_time").isNotNull()).count()
+    assert q.agg(F.sum("count")).first()[0] == timed
+    assert volume_by_year(q).agg(F.sum("count")).first()[0] == timed
+
+
+def test_pivot_cells_equal_heatmap_rows(spark):
+    from conftest import SF001
+
+    from tripaudit.operators import mark_zone, split_ghosts, velocity_heatmap, velocity_pivot
+    from tripaudit.sources.tables import events_trips
+
+    heat = velocity_heatmap(mark_zone(split_ghosts(events_trips(spark, SF001)).clean))
+    cells = sum(v is not None for r in velocity_pivot(heat).collect() for k, v in r.asDict().items()
+                if k != "day_of_week")
+    assert cells == heat.count()

@@ -9,13 +9,14 @@ from conftest import SF0001
 
 from tripaudit.config import AuditConfig
 from tripaudit.plans.audit_run import run_audit
+from tripaudit.sources import weather_rows
 from tripaudit.sources.tables import weather_feed
 from tripaudit.streaming import start_intake
 
 
 def test_run_audit_on_test_tables(spark, tmp_dir):
     cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=("orders", "lineitem"))
-    res = run_audit(spark, SF0001, tmp_dir, cfg, weather_docs=weather_feed(spark, SF0001))
+    res = run_audit(spark, SF0001, tmp_dir, cfg, weather=weather_rows(weather_feed(spark, SF0001)))
     acc = res.frames["row_accounting"].first()
     assert acc.total == acc.clean + acc.audit + acc.undetermined
     staged = spark.read.parquet(res.staged_path)
@@ -53,3 +54,17 @@ def test_streaming_intake_takes_new_files_once(spark, tmp_dir):
     df = spark.read.parquet(out)
     assert df.count() == 5
     assert df.filter("inside_zone and not is_ghost").count() == 5
+
+
+def test_command_line_run(spark, tmp_dir):
+    from tripaudit.__main__ import main
+
+    raw, out, wdir = (os.path.join(tmp_dir, d) for d in ("raw", "out", "weather"))
+    os.makedirs(raw)
+    os.makedirs(wdir)
+    _yellow_file(os.path.join(raw, "yellow_tripdata_2024-03.parquet"), 0, 4)
+    with open(os.path.join(wdir, "2024.json"), "w") as f:
+        f.write('{"daily":{"time":["2024-03-01","2024-03-02"],"precipitation_sum":[1.5,0.0]}}')
+    assert main(["--raw", raw, "--out", out, "--weather", os.path.join(wdir, "*.json")]) == 0
+    joined = spark.read.option("header", True).csv(os.path.join(out, "aggregated", "weather_elasticity"))
+    assert [(r.date, r.total_trips, r.precipitation) for r in joined.collect()] == [("2024-03-01", "4", "1.5")]

@@ -40,7 +40,7 @@ from tripaudit.operators import (
     volume_by_quarter,
 )
 from tripaudit.session import scratch_path
-from tripaudit.sources import load_trips, source_counts, weather_rows, write_csv, write_parquet
+from tripaudit.sources import load_trips, source_counts, write_csv, write_parquet
 
 log = logging.getLogger(__name__)
 
@@ -95,11 +95,13 @@ def staged_accounting(staged: DataFrame) -> DataFrame:
 
 
 def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
-              cfg: AuditConfig = DEFAULT, weather_docs: DataFrame | None = None,
+              cfg: AuditConfig = DEFAULT, weather: DataFrame | None = None,
               impute_mode: str = "exact", fleets=None,
               report_threads: int = 4) -> AuditResult:
     """Intake -> imputation -> staged flagged table -> audit sink and
-    reports.  Returns the written paths and the report frames."""
+    reports.  ``weather`` is a daily series ``date, precipitation`` (see
+    ``weather_rows`` / ``load_weather``).  Returns the written paths and
+    the report frames."""
     res = AuditResult()
     res.staged_path = stage_audit(spark, raw_dir, cfg, impute_mode, fleets)
     if res.staged_path is None:
@@ -128,9 +130,9 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
         "border_effect": border_effect(clean),
         "q1_comparison": q1_comparison(clean),
     }
-    if weather_docs is not None:
+    if weather is not None:
         try:
-            joined = rain_join(daily_trips(clean), weather_rows(weather_docs))
+            joined = rain_join(daily_trips(clean), weather)
             reports["weather_elasticity"] = joined
             reports["rain_correlation"] = rain_elasticity(joined)
             reports["rain_trend"] = rain_trend(joined)

@@ -16,13 +16,14 @@ from tripaudit.sources.trips import (
     source_counts,
     union_fleets,
 )
-from tripaudit.sources.weather import weather_rows
+from tripaudit.sources.weather import load_weather, weather_rows
 
 __all__ = [
     "count_history_files",
     "filter_links",
     "harvest_links",
     "load_trips",
+    "load_weather",
     "narrow_links",
     "new_intake",
     "overlay_links",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,3 +28,10 @@ def weather_rows(docs: DataFrame, json_col: str = "json") -> DataFrame:
         F.col("w.daily.precipitation_sum").alias("p"),
     )))
     return zipped.select(F.to_date("t").alias("date"), F.col("p").alias("precipitation"))
+
+
+def load_weather(spark: SparkSession, path: str) -> DataFrame:
+    """Daily series from landed answer files (one JSON document per file,
+    e.g. one per year), each read whole and reshaped in parallel."""
+    docs = spark.read.option("wholetext", True).text(path)
+    return weather_rows(docs, "value")
