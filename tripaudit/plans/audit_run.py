@@ -110,13 +110,14 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
     g = F.col("is_ghost")
     clean = staged.filter(~g)
     audit = staged.filter(g)
+    real = staged.filter(~F.col("is_imputed"))  # as loaded, before imputation
 
     res.audit_path = write_parquet(audit.drop("is_ghost", "inside_zone", "year", "month"),
                                    f"{out_dir}/audit/ghost_trips_audit")
     n = F.count(F.lit(1))
     reports = {
-        "source_counts": source_counts(staged.filter(~F.col("is_imputed"))),
-        "period_summary": period_summary(staged),
+        "source_counts": source_counts(real),
+        "period_summary": period_summary(real),
         "row_accounting": staged.agg(
             n.alias("total"), F.count(F.when(~g, 1)).alias("clean"),
             F.count(F.when(g, 1)).alias("audit"),
