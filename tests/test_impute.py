@@ -105,7 +105,8 @@ def test_placement_splits_a_crowded_timestamp(spark):
     cols = base.columns
     order = [F.asc_nulls_first(c) for c in cols]
     groups = base.groupBy(*cols).agg(F.count("*").alias("_m"))
-    placed = place_groups(groups, order, 1200)
+    placed, total = place_groups(groups, order, 1200)
+    assert total == 1200
     # brute force: one global running sum
     w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     brute = groups.withColumn("_end", F.sum("_m").over(w))
@@ -144,3 +145,8 @@ def test_month_range_ignores_time_zones(spark):
         assert got == [dt.datetime(2000, 12, 1), dt.datetime(2000, 12, 31, 23, 59)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_exact_size_uses_placed_rows(spark):
+    base = _month_rows(spark, 20)
+    assert exact_sample(base, 13, 999).count() == 13  # stale n still gives exactly t

@@ -118,9 +118,10 @@ def _range_partitions(spark, n: int) -> int:
     return max(1, width, -(-n // ROWS_PER_RANGE))
 
 
-def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> DataFrame:
+def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> tuple[DataFrame, int]:
     """Add ``_end``, the global running multiplicity in ``order``, to a frame
-    of distinct rows with multiplicity ``_m``, without a global sort.
+    of distinct rows with multiplicity ``_m``, without a global sort.  Also
+    returns the placed total (``n`` is only a sizing hint).
 
     Rows are range-partitioned on the full sort key (Spark samples the
     bounds, so a crowded minute or timestamp is split like any other key
@@ -138,10 +139,12 @@ def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> DataFrame:
     ranged = ranged.checkpoint(eager=True)
     # One row per range (at most p rows): safe to sort in one task and broadcast.
     stacked = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = (ranged.groupBy("_p").agg(F.max("_local").alias("_t"))
-               .select("_p", (F.sum("_t").over(stacked) - F.col("_t")).alias("_off")))
-    return (ranged.join(F.broadcast(offsets), "_p")
-            .withColumn("_end", F.col("_off") + F.col("_local")))
+    totals = ranged.groupBy("_p").agg(F.max("_local").alias("_t"))
+    offsets = totals.select("_p", (F.sum("_t").over(stacked) - F.col("_t")).alias("_off"))
+    placed_total = totals.agg(F.sum("_t")).first()[0] or 0
+    placed = (ranged.join(F.broadcast(offsets), "_p")
+              .withColumn("_end", F.col("_off") + F.col("_local")))
+    return placed, int(placed_total)
 
 
 def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK) -> DataFrame:
@@ -154,7 +157,12 @@ def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK
     cols = base.columns
     order = [F.asc_nulls_first(c) for c in cols]
     groups = base.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    placed = (place_groups(groups, order, n)
+    placed, n = place_groups(groups, order, n)
+    if n <= 0:
+        return base.limit(0)
+    # n is taken from the placed (checkpointed) rows, so the output holds
+    # exactly ``target`` rows even if the base changed since it was counted.
+    placed = (placed
               .withColumn("_start", F.col("_end") - F.col("_m"))
               .withColumn("_copies", _floor_scaled("_end", target, n)
                           - _floor_scaled("_start", target, n))
