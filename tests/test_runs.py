@@ -68,3 +68,27 @@ def test_command_line_run(spark, tmp_dir):
     assert main(["--raw", raw, "--out", out, "--weather", os.path.join(wdir, "*.json")]) == 0
     joined = spark.read.option("header", True).csv(os.path.join(out, "aggregated", "weather_elasticity"))
     assert [(r.date, r.total_trips, r.precipitation) for r in joined.collect()] == [("2024-03-01", "4", "1.5")]
+
+
+def test_dashboard_read_path(spark, tmp_dir):
+    from tripaudit.plans.dashboard import load_dashboard
+
+    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=("orders", "lineitem"))
+    res = run_audit(spark, SF0001, tmp_dir, cfg, weather=weather_rows(weather_feed(spark, SF0001)))
+    dash = load_dashboard(spark, tmp_dir)
+    assert {"volume_by_year", "velocity_pivot", "tip_series", "rain_correlation", "rain_trend"} <= set(dash)
+    assert dash["volume_by_year"].agg({"count": "sum"}).first()[0] == \
+        res.frames["yellow_green_volume"].agg({"count": "sum"}).first()[0]
+    r1 = dash["rain_correlation"].first()
+    r2 = res.frames["rain_correlation"].first()
+    assert r1.n == r2.n
+    assert (r1.correlation is None) == (r2.correlation is None)
+    if r1.correlation is not None:
+        assert abs(r1.correlation - r2.correlation) < 1e-9
+    # a missing report does not stop the others
+    from tripaudit.sources import write_csv
+
+    other = os.path.join(tmp_dir, "partial")
+    write_csv(res.frames["tip_vs_surcharge"], os.path.join(other, "aggregated", "tip_vs_surcharge"))
+    dash2 = load_dashboard(spark, other)
+    assert set(dash2) == {"tip_vs_surcharge", "tip_series"}

@@ -31,13 +31,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a header CSV back with an explicit schema (no inference pass)."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Read a header CSV back with an explicit schema (StructType or DDL
+    string; no inference pass)."""
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def read_reports(spark: SparkSession, paths: Mapping[str, str],
-                 schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
+                 schemas: Mapping[str, T.StructType | str]) -> dict[str, DataFrame]:
     """Load several report CSVs; one missing file does not stop the rest."""
     out: dict[str, DataFrame] = {}
     for name, path in paths.items():
