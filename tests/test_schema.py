@@ -127,3 +127,9 @@ def test_unreadable_fleet_is_left_out(spark, tmp_dir):
         f.write(b"not a parquet file")
     trips = load_trips(spark, tmp_dir)
     assert {r.taxi_type for r in trips.collect()} == {"green"}
+
+
+def test_out_of_range_id_becomes_null(spark):
+    df = spark.createDataFrame([(T0, 5), (T0, 3_000_000_000)], "tpep_pickup_datetime timestamp_ntz, PULocationID long")
+    got = [r.pickup_loc for r in unify_schema(df, "yellow").collect()]
+    assert got == [5, None]

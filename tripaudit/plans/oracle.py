@@ -62,7 +62,7 @@ trips_ord AS (
   SELECT
     o_orderdate AS pickup_time,
     CAST(NULL AS TIMESTAMP) AS dropoff_time,
-    CAST(o_custkey AS INTEGER) AS pickup_loc,
+    TRY_CAST(o_custkey AS INTEGER) AS pickup_loc,
     CAST(NULL AS INTEGER) AS dropoff_loc,
     CAST(NULL AS DOUBLE) AS trip_distance,
     o_totalprice AS fare,
@@ -86,7 +86,7 @@ trips_li AS (
 
 FLEET_ORDERS = """
   SELECT o_orderdate AS pickup_time, CAST(NULL AS TIMESTAMP) AS dropoff_time,
-    CAST(o_custkey AS INTEGER) AS pickup_loc, CAST(NULL AS INTEGER) AS dropoff_loc,
+    TRY_CAST(o_custkey AS INTEGER) AS pickup_loc, CAST(NULL AS INTEGER) AS dropoff_loc,
     CAST(NULL AS DOUBLE) AS trip_distance, o_totalprice AS fare,
     CAST(NULL AS DOUBLE) AS total_amount, CAST(NULL AS DOUBLE) AS congestion_surcharge,
     CAST(NULL AS DOUBLE) AS tip_amount, CAST(NULL AS INTEGER) AS vendor_id,
@@ -95,10 +95,10 @@ FLEET_ORDERS = """
 
 FLEET_LINEITEM = """
   SELECT l_shipdate AS pickup_time, CAST(NULL AS TIMESTAMP) AS dropoff_time,
-    CAST(l_suppkey AS INTEGER) AS pickup_loc, CAST(l_partkey AS INTEGER) AS dropoff_loc,
+    TRY_CAST(l_suppkey AS INTEGER) AS pickup_loc, TRY_CAST(l_partkey AS INTEGER) AS dropoff_loc,
     l_quantity AS trip_distance, l_extendedprice AS fare,
     CAST(NULL AS DOUBLE) AS total_amount, l_tax AS congestion_surcharge,
-    l_discount AS tip_amount, CAST(l_linenumber AS INTEGER) AS vendor_id,
+    l_discount AS tip_amount, TRY_CAST(l_linenumber AS INTEGER) AS vendor_id,
     'lineitem' AS taxi_type
   FROM lineitem"""
 

@@ -163,11 +163,22 @@ def unify_schema(df: DataFrame, taxi_type: str | FleetSpec) -> DataFrame:
     return df.select(*cols)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def narrow(c: Column, target: T.DataType) -> Column:
+    """Cast to ``target``; an integral value that does not fit becomes NULL
+    (``try_cast``) instead of failing the whole job under ANSI mode."""
+    if isinstance(target, _INTEGRAL):
+        return c.try_cast(target)
+    return c.cast(target)
+
+
 def _typed(source: str, current: T.DataType, name: str) -> Column:
     """``source`` as unified column ``name``, cast only when needed."""
     c = F.col(f"`{source}`")
     if current != UNIFIED_TYPES[name]:
-        c = c.cast(UNIFIED_TYPES[name])
+        c = narrow(c, UNIFIED_TYPES[name])
     return c.alias(name) if source != name else c
 
 

@@ -74,7 +74,7 @@ def orders_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return conform(o.select(
         F.col("o_orderdate").alias("pickup_time"),
-        F.col("o_custkey").cast("int").alias("pickup_loc"),
+        F.col("o_custkey").try_cast("int").alias("pickup_loc"),
         F.col("o_totalprice").alias("fare"),
         F.col("o_orderstatus").alias("taxi_type"),
     ))
