@@ -18,6 +18,8 @@ def test_reshape(spark):
     assert [(r.date, r.precipitation) for r in rows] == [
         (dt.date(2025, 1, 1), 0.1), (dt.date(2025, 1, 2), None)]
     assert weather_rows(_docs(spark, "{}")).count() == 0
+    bad = '{"daily":{"time":["2025-13-45","2025-01-02"],"precipitation_sum":[1.0,2.0]}}'
+    assert [r.date for r in weather_rows(_docs(spark, bad)).collect()] == [None, dt.date(2025, 1, 2)]
 
 
 def _pairs(spark, pairs):

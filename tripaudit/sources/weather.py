@@ -27,7 +27,8 @@ def weather_rows(docs: DataFrame, json_col: str = "json") -> DataFrame:
         F.col("w.daily.time").alias("t"),
         F.col("w.daily.precipitation_sum").alias("p"),
     )))
-    return zipped.select(F.to_date("t").alias("date"), F.col("p").alias("precipitation"))
+    # A malformed day string gives a NULL date (never a failed job under ANSI).
+    return zipped.select(F.try_to_date("t").alias("date"), F.col("p").alias("precipitation"))
 
 
 def load_weather(spark: SparkSession, path: str) -> DataFrame:
