@@ -23,7 +23,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Local session for tests and the bench (never used by the library)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         .config("spark.ui.showConsoleProgress", "false"))
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
