@@ -98,3 +98,38 @@ def test_pivot_cells_equal_heatmap_rows(spark):
     cells = sum(v is not None for r in velocity_pivot(heat).collect() for k, v in r.asDict().items()
                 if k != "day_of_week")
     assert cells == heat.count()
+
+
+base_row = st.fixed_dictionaries({
+    "pickup_time": st.integers(0, 5).map(lambda d: dt.datetime(2024, 12, 3 + d, 8, 0)),
+    "pickup_loc": st.one_of(st.none(), st.integers(1, 4)),
+    "fare": st.one_of(st.none(), st.sampled_from([1.0, 2.5, 7.0])),
+})
+
+
+def _brute_sample(rows, target):
+    """Per-row formula over the rows sorted by all columns, NULLs first."""
+    from tripaudit.schema import UNIFIED_COLUMNS
+
+    def key(r):
+        return tuple((r.get(c) is not None, r.get(c) if r.get(c) is not None else 0)
+                     for c in UNIFIED_COLUMNS)
+
+    n = len(rows)
+    out = []
+    for i, r in enumerate(sorted(rows, key=key)):
+        out += [key(r)] * ((i + 1) * target // n - i * target // n)
+    return sorted(out)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(base_row, min_size=1, max_size=30), st.integers(0, 70))
+def test_exact_sample_matches_brute_force(spark, rows, target):
+    from tripaudit.operators import exact_sample
+    from tripaudit.schema import UNIFIED_COLUMNS
+
+    rows = [dict(r, taxi_type="yellow") for r in rows]
+    got = exact_sample(trips_df(spark, rows), target, len(rows)).collect()
+    got = sorted(tuple((r[c] is not None, r[c] if r[c] is not None else 0) for c in UNIFIED_COLUMNS)
+                 for r in got)
+    assert got == _brute_sample(rows, target)
