@@ -23,13 +23,13 @@ def duration_hours(seconds: Column | str = "duration_seconds") -> Column:
     return c / F.lit(3600.0)
 
 
-def speed_mph(distance: str = "trip_distance", hours: str = "duration_hours",
+def speed_mph(distance: Column | str = "trip_distance", hours: Column | str = "duration_hours",
               cfg: AuditConfig = DEFAULT) -> Column:
     """distance / hours when hours exceed the cut, else 0 (also for NULL
     hours); NULL distance over a valid duration stays NULL."""
-    return (F.when(F.col(hours) > F.lit(cfg.min_hours_for_speed),
-                   F.col(distance) / F.col(hours))
-            .otherwise(F.lit(0.0)))
+    d = F.col(distance) if isinstance(distance, str) else distance
+    h = F.col(hours) if isinstance(hours, str) else hours
+    return F.when(h > F.lit(cfg.min_hours_for_speed), d / h).otherwise(F.lit(0.0))
 
 
 def rule_fast(cfg: AuditConfig = DEFAULT) -> Column:

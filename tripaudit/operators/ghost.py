@@ -27,11 +27,12 @@ class GhostSplit(NamedTuple):
 
 
 def derive_metrics(trips: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """Add ``duration_seconds``, ``duration_hours`` and ``speed_mph``."""
-    return (trips
-            .withColumn("duration_seconds", duration_seconds())
-            .withColumn("duration_hours", duration_hours())
-            .withColumn("speed_mph", speed_mph(cfg=cfg)))
+    """Add ``duration_seconds``, ``duration_hours`` and ``speed_mph`` in one
+    projection (the shared sub-expressions are evaluated once in codegen)."""
+    secs = duration_seconds()
+    hours = duration_hours(secs)
+    return trips.select("*", secs.alias("duration_seconds"), hours.alias("duration_hours"),
+                        speed_mph("trip_distance", hours, cfg).alias("speed_mph"))
 
 
 def flag_ghosts(trips: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
