@@ -150,3 +150,13 @@ def test_month_range_ignores_time_zones(spark):
 def test_exact_size_uses_placed_rows(spark):
     base = _month_rows(spark, 20)
     assert exact_sample(base, 13, 999).count() == 13  # stale n still gives exactly t
+
+
+def test_heavy_group_expands_in_many_tasks(spark):
+    # one trip repeated 3000 times is a third of the base month
+    base = _month_rows(spark, 1, dup=3000).unionByName(_month_rows(spark, 6000))
+    out = exact_sample(base, 27000, 9000, chunk=100)
+    assert out.count() == 27000
+    heavy = out.filter(F.col("fare") == 0.0).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in heavy) == 3000 * 3 + 3  # its own copies plus fare 0.0 of the other rows
+    assert len(heavy) > 1 and max(r["count"] for r in heavy) < 0.6 * sum(r["count"] for r in heavy)

@@ -36,8 +36,10 @@ log = logging.getLogger(__name__)
 
 # Target rows per range partition when placing a large base month.
 ROWS_PER_RANGE = 2_000_000
-# Largest number of copies expanded from one row inside one task.
+# Largest number of copies expanded from one chunk row.
 EXPAND_CHUNK = 4096
+# Target output rows generated per task by the expansion.
+OUTPUT_ROWS_PER_TASK = 4_000_000
 
 
 class ImputePlan(NamedTuple):
@@ -172,12 +174,18 @@ def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK
     # Cut every row's copies into chunks of at most ``chunk`` and spread the
     # chunk rows by (chunk index, row) before expanding, so a large group of
     # copies is generated by many tasks, never by the one that placed it.
+    # The partition count is explicit and sized by the *output*: a chunk row
+    # is tiny but stands for up to ``chunk`` rows, so AQE must not coalesce
+    # this exchange by its (small) shuffle size.
+    spark = base.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = max(width, -(-target // OUTPUT_ROWS_PER_TASK))
     chunks = (placed
               .withColumn("_j", F.explode(F.sequence(
                   F.lit(0).cast("bigint"), F.ceil(F.col("_copies") / chunk) - 1)))
               .withColumn("_size", F.least(F.lit(chunk).cast("bigint"),
                                            F.col("_copies") - F.col("_j") * chunk))
-              .repartition("_j", *cols))
+              .repartition(parts, "_j", *cols))
     return (chunks.withColumn("_k", F.explode(F.array_repeat(F.lit(True),
                                                              F.col("_size").cast("int"))))
             .select(*cols))
