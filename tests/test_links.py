@@ -48,3 +48,16 @@ def test_overlay_and_intake(spark):
     have = spark.createDataFrame([("yellow_tripdata_2024-01.parquet",)], "filename string")
     assert sorted(r.filename for r in new_intake(both, have).collect()) == [
         "green_tripdata_2023-12.parquet", "yellow_tripdata_2024-02.parquet"]
+
+
+def test_harvest_like_a_parser(spark):
+    html = ('<!-- <a href="/commented.parquet">x</a> -->'
+            '<script>var s = "<a href=\'/scripted.parquet\'>";</script>'
+            '<style>a[href="/styled"]{}</style>'
+            '<a data-href="/wrong" href="/right.parquet">r</a>'
+            '<a href=/bare_2024.parquet>b</a>'
+            '<a href=\'/say "hi".parquet\'>q</a>'
+            '<a href="/q?a=1&amp;b=2">e</a>')
+    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = [r.href for r in harvest_links(df).orderBy("pos").collect()]
+    assert got == ["/right.parquet", "/bare_2024.parquet", '/say "hi".parquet', "/q?a=1&b=2"]

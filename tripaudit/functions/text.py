@@ -7,18 +7,45 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Quoted href of an anchor tag, case-insensitive; group 1 is the raw value.
-# Agrees with an HTML parser on quoted attributes; unquoted values, anchors
-# inside comments/scripts and entity decoding are out of scope.
-HREF_PATTERN = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# Anchor href values, the way an HTML parser reports them:
+# - markup inside comments, <script> and <style> is not parsed;
+# - ``href`` must be an attribute of its own (not the tail of ``data-href``);
+# - the value may be double-quoted, single-quoted or bare;
+# - the five predefined entities are decoded (``&amp;`` last).
+COMMENT_PATTERN = r"(?s)<!--.*?-->"
+SCRIPT_PATTERN = r"(?is)<script\b.*?</script\s*>"
+STYLE_PATTERN = r"(?is)<style\b.*?</style\s*>"
+HREF_PATTERN = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+DQUOTED = r'(?s)^"(.*)"$'
+SQUOTED = r"(?s)^'(.*)'$"
+# Predefined entity -> character, decoded in this order.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+            ("&apos;", "'"), ("&amp;", "&"))
 
 # Characters removed from both ends of a harvested href (ASCII whitespace).
 STRIP_CHARS = " \t\n\r\x0b\x0c"
 
 
+def parsed_markup(html: str = "html") -> Column:
+    """Page text without comments, scripts and styles."""
+    c = F.col(html)
+    for pattern in (COMMENT_PATTERN, SCRIPT_PATTERN, STYLE_PATTERN):
+        c = F.regexp_replace(c, F.lit(pattern), F.lit(""))
+    return c
+
+
 def hrefs(html: str = "html") -> Column:
-    """Array of raw href values in document order."""
-    return F.regexp_extract_all(F.col(html), F.lit(HREF_PATTERN), F.lit(1))
+    """Array of raw (possibly quoted) href values in document order."""
+    return F.regexp_extract_all(parsed_markup(html), F.lit(HREF_PATTERN), F.lit(1))
+
+
+def attribute_value(raw: Column) -> Column:
+    """Unquote a raw attribute value and decode the predefined entities."""
+    v = F.regexp_replace(F.regexp_replace(raw, F.lit(DQUOTED), F.lit("$1")),
+                         F.lit(SQUOTED), F.lit("$1"))
+    for entity, char in ENTITIES:
+        v = F.replace(v, F.lit(entity), F.lit(char))
+    return v
 
 
 def strip_ws(c: Column) -> Column:

@@ -7,7 +7,15 @@ config objects (zone list, thresholds, imputation months, link tokens).
 from __future__ import annotations
 
 from tripaudit.config import DEFAULT, ZONE_IDS
-from tripaudit.functions.text import HREF_PATTERN
+from tripaudit.functions.text import (
+    COMMENT_PATTERN,
+    DQUOTED,
+    ENTITIES,
+    HREF_PATTERN,
+    SCRIPT_PATTERN,
+    SQUOTED,
+    STYLE_PATTERN,
+)
 from tripaudit.functions.time import month_bounds
 from tripaudit.plans import suite
 from tripaudit.schema import UNIFIED_COLUMNS
@@ -102,15 +110,30 @@ FLEET_LINEITEM = """
     'lineitem' AS taxi_type
   FROM lineitem"""
 
+def _decoded(expr: str) -> str:
+    v = f"regexp_replace(regexp_replace({expr}, {_q(DQUOTED)}, '\\1'), {_q(SQUOTED)}, '\\1')"
+    for entity, char in ENTITIES:
+        v = f"replace({v}, {_q(entity)}, {_q(char)})"
+    return v
+
+
+def _markup(col: str) -> str:
+    for pattern in (COMMENT_PATTERN, SCRIPT_PATTERN, STYLE_PATTERN):
+        col = f"regexp_replace({col}, {_q(pattern)}, '', 'g')"
+    return col
+
+
 HARVEST = f"""
 raw_links AS (
   SELECT page_id, unnest(l) AS raw, unnest(range(len(l))) AS pos
-  FROM (SELECT page_id, regexp_extract_all(html, {_q(HREF_PATTERN)}, 1) AS l FROM pages)
+  FROM (SELECT page_id, regexp_extract_all({_markup('html')}, {_q(HREF_PATTERN)}, 1) AS l FROM pages)
 ),
-harvest AS (
-  SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(raw, {STRIP}) AS href,
-         string_split(trim(raw, {STRIP}), '/')[-1] AS filename
+decoded_links AS (
+  SELECT page_id, CAST(pos AS INTEGER) AS pos, trim({_decoded('raw')}, {STRIP}) AS href
   FROM raw_links
+),
+harvest AS (
+  SELECT page_id, pos, href, string_split(href, '/')[-1] AS filename FROM decoded_links
 )"""
 
 WEATHER = """

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripaudit.functions.text import contains_any, hrefs, last_segment, strip_ws
+from tripaudit.functions.text import attribute_value, contains_any, hrefs, last_segment, strip_ws
 
 
 def harvest_links(pages: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def harvest_links(pages: DataFrame) -> DataFrame:
     ``pos`` is the 0-based position of the anchor in its page, ``href`` is
     whitespace-stripped, ``filename`` its last path segment."""
     links = pages.select("page_id", F.posexplode(hrefs("html")).alias("pos", "raw"))
-    href = strip_ws(F.col("raw"))
+    href = strip_ws(attribute_value(F.col("raw")))
     return links.select("page_id", "pos", href.alias("href"),
                         last_segment(href).alias("filename"))
 
