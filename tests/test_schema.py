@@ -133,3 +133,23 @@ def test_out_of_range_id_becomes_null(spark):
     df = spark.createDataFrame([(T0, 5), (T0, 3_000_000_000)], "tpep_pickup_datetime timestamp_ntz, PULocationID long")
     got = [r.pickup_loc for r in unify_schema(df, "yellow").collect()]
     assert got == [5, None]
+
+
+def test_zoned_timestamp_fleet(spark, tmp_dir):
+    from pyspark.sql import types as TT
+
+    from tripaudit.schema import YELLOW, FleetSpec
+
+    zoned = FleetSpec("yellowz", dict(YELLOW.columns), file_glob="yellow_tripdata_*.parquet",
+                      timestamp_type=TT.TimestampType())
+    t = pa.array([dt.datetime(2024, 1, 5, 8, 30)], pa.timestamp("us", tz="UTC"))
+    pq.write_table(pa.table({"tpep_pickup_datetime": t, "tpep_dropoff_datetime": t,
+                             "PULocationID": pa.array([7], pa.int32())}),
+                   os.path.join(tmp_dir, "yellow_tripdata_2024-01.parquet"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        r = unify_schema(read_fleet(spark, tmp_dir, zoned), zoned).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r.pickup_time, r.pickup_loc, r.taxi_type) == (dt.datetime(2024, 1, 5, 8, 30), 7, "yellowz")
