@@ -54,7 +54,7 @@ def test_harvest_like_a_parser(spark):
     html = ('<!-- <a href="/commented.parquet">x</a> -->'
             '<script>var s = "<a href=\'/scripted.parquet\'>";</script>'
             '<style>a[href="/styled"]{}</style>'
-            '<a data-href="/wrong" href="/right.parquet">r</a>'
+            '<a title="x>y" data-href="/wrong" href="/right.parquet">r</a>'
             '<a href=/bare_2024.parquet>b</a>'
             '<a href=\'/say "hi".parquet\'>q</a>'
             '<a href="/q?a=1&amp;b=2">e</a>')

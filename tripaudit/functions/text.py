@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 # Anchor href values, the way an HTML parser reports them:
 # - markup inside comments, <script> and <style> is not parsed;
-# - ``href`` must be an attribute of its own (not the tail of ``data-href``);
+# - ``href`` must be an attribute of its own (not the tail of ``data-href``),
+#   and quoted values before it may contain ``>``;
 # - the value may be double-quoted, single-quoted or bare;
 # - the five predefined entities are decoded (``&amp;`` last).
 COMMENT_PATTERN = r"(?s)<!--.*?-->"
 SCRIPT_PATTERN = r"(?is)<script\b.*?</script\s*>"
 STYLE_PATTERN = r"(?is)<style\b.*?</style\s*>"
-HREF_PATTERN = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+HREF_PATTERN = (r"""(?i)<a\s(?:(?:[^>"']|"[^"]*"|'[^']*')*?\s)?"""
+                r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 DQUOTED = r'(?s)^"(.*)"$'
 SQUOTED = r"(?s)^'(.*)'$"
 # Predefined entity -> character, decoded in this order.
