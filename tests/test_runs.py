@@ -67,6 +67,7 @@ def test_command_line_run(spark, tmp_dir):
     with open(os.path.join(wdir, "2024.json"), "w") as f:
         f.write('{"daily":{"time":["2024-03-01","2024-03-02"],"precipitation_sum":[1.5,0.0]}}')
     assert main(["--raw", raw, "--out", out, "--weather", os.path.join(wdir, "*.json")]) == 0
+    assert main(["audit", "--raw", raw, "--out", out + "2"]) == 0
     joined = spark.read.option("header", True).csv(os.path.join(out, "aggregated", "weather_elasticity"))
     assert [(r.date, r.total_trips, r.precipitation) for r in joined.collect()] == [("2024-03-01", "4", "1.5")]
 
@@ -93,3 +94,27 @@ def test_dashboard_read_path(spark, tmp_dir):
     write_csv(res.frames["tip_vs_surcharge"], os.path.join(other, "aggregated", "tip_vs_surcharge"))
     dash2 = load_dashboard(spark, other)
     assert set(dash2) == {"tip_vs_surcharge", "tip_series"}
+
+
+def test_command_line_links_and_intake(spark, tmp_dir, capsys):
+    from tripaudit.__main__ import main
+
+    pages = os.path.join(tmp_dir, "pages")
+    os.makedirs(pages)
+    with open(os.path.join(pages, "a.html"), "w") as f:
+        f.write('<a href="https://x/old/yellow_tripdata_2024-01.parquet">1</a>'
+                '<a href="https://x/green_tripdata_2023-12.parquet">2</a>'
+                '<a href="https://x/green_tripdata_2023-11.parquet">3</a>')
+    with open(os.path.join(pages, "b.html"), "w") as f:
+        f.write('<a href="https://x/new/yellow_tripdata_2024-01.parquet">1</a>')
+    assert main(["links", "--pages", os.path.join(pages, "*.html"), "--years", "2024",
+                 "--month-token", "_2023-12", "--month-years", "2023"]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert lines == ["green_tripdata_2023-12.parquet\thttps://x/green_tripdata_2023-12.parquet",
+                     "yellow_tripdata_2024-01.parquet\thttps://x/new/yellow_tripdata_2024-01.parquet"]
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "table")
+    os.makedirs(raw)
+    _yellow_file(os.path.join(raw, "yellow_tripdata_2024-03.parquet"), 0, 2)
+    assert main(["intake", "--raw", raw, "--out", out, "--fleets", "yellow",
+                 "--checkpoint", os.path.join(tmp_dir, "ck")]) == 0
+    assert spark.read.parquet(out).count() == 2

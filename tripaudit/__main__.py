@@ -1,10 +1,16 @@
-"""Command line: run the whole audit on a raw directory.
+"""Command line for the three entry points of the audit.
 
-    spark-submit -m tripaudit --raw s3://bucket/raw --out s3://bucket/out \\
-        [--weather s3://bucket/weather/*.json] [--impute-year 2025] [--sampled]
+    python -m tripaudit audit  --raw RAW --out OUT [--weather 'W/*.json'] [--sampled]
+    python -m tripaudit links  --pages 'PAGES/*.html' --years 2024 2025 [--fleets yellow green]
+                               [--month-token _2023-12 --month-years 2023]
+    python -m tripaudit intake --raw RAW --out TABLE [--fleets yellow green]
 
-The session comes from the submitting environment (master, memory and
-``spark.checkpoint.dir`` are the cluster's).
+``audit`` runs the whole audit; ``links`` prints the filename -> url map
+harvested from landed pages; ``intake`` takes in files that landed since
+the last run (Structured Streaming, available-now trigger).  The session
+comes from the submitting environment (master, memory and
+``spark.checkpoint.dir`` are the cluster's).  A bare ``--raw/--out`` call
+means ``audit``.
 """
 
 from __future__ import annotations
@@ -12,29 +18,19 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import sys
 
 from pyspark.sql import SparkSession
 
 from tripaudit.config import AuditConfig
-from tripaudit.plans.audit_run import run_audit
-from tripaudit.sources.weather import load_weather
 
 
-def main(argv=None) -> int:
-    ap = argparse.ArgumentParser(prog="tripaudit", description=__doc__.splitlines()[0])
-    ap.add_argument("--raw", required=True, help="directory of *_tripdata_YYYY-MM.parquet files")
-    ap.add_argument("--out", required=True, help="output directory (audit/ and aggregated/)")
-    ap.add_argument("--weather", help="landed weather JSON files (one document per file)")
-    ap.add_argument("--fleets", default="yellow,green")
-    ap.add_argument("--impute-year", type=int, default=AuditConfig.impute_year)
-    ap.add_argument("--impute-month", type=int, default=AuditConfig.impute_month)
-    ap.add_argument("--sampled", action="store_true", help="Poisson sample instead of exact")
-    args = ap.parse_args(argv)
-    logging.basicConfig(level=logging.INFO)
+def _audit(spark: SparkSession, args) -> int:
+    from tripaudit.plans.audit_run import run_audit
+    from tripaudit.sources.weather import load_weather
 
-    spark = SparkSession.builder.appName("tripaudit").getOrCreate()
     cfg = AuditConfig(impute_year=args.impute_year, impute_month=args.impute_month,
-                      fleets=tuple(f.strip() for f in args.fleets.split(",") if f.strip()))
+                      fleets=tuple(args.fleets))
     weather = load_weather(spark, args.weather) if args.weather else None
     res = run_audit(spark, args.raw, args.out, cfg, weather=weather,
                     impute_mode="sampled" if args.sampled else "exact")
@@ -42,5 +38,76 @@ def main(argv=None) -> int:
     return 0 if res.staged_path else 1
 
 
+def _links(spark: SparkSession, args) -> int:
+    from tripaudit.sources.links import (
+        filter_links,
+        harvest_links,
+        load_pages,
+        narrow_links,
+        overlay_links,
+    )
+
+    links = harvest_links(load_pages(spark, args.pages))
+    found = filter_links(links, args.years, args.fleets, args.suffix)
+    if args.month_token:
+        extra = narrow_links(filter_links(links, args.month_years or args.years, args.fleets,
+                                          args.suffix), args.month_token)
+        found = overlay_links(found, extra)
+    # The link map is one row per file name: small enough to print.
+    for row in found.orderBy("filename").collect():
+        print(f"{row.filename}\t{row.url}")
+    return 0
+
+
+def _intake(spark: SparkSession, args) -> int:
+    from tripaudit.streaming import start_intake
+
+    for q in start_intake(spark, args.raw, args.out, fleets=tuple(args.fleets),
+                          checkpoint=args.checkpoint, available_now=True,
+                          max_files_per_trigger=args.max_files):
+        q.awaitTermination()
+    return 0
+
+
+def parser() -> argparse.ArgumentParser:
+    ap = argparse.ArgumentParser(prog="tripaudit", description=__doc__.splitlines()[0])
+    sub = ap.add_subparsers(dest="command", required=True)
+
+    a = sub.add_parser("audit", help="run the whole audit")
+    a.add_argument("--raw", required=True, help="directory of *_tripdata_YYYY-MM.parquet files")
+    a.add_argument("--out", required=True, help="output directory (audit/ and aggregated/)")
+    a.add_argument("--weather", help="landed weather JSON files (one document per file)")
+    a.add_argument("--fleets", nargs="+", default=["yellow", "green"])
+    a.add_argument("--impute-year", type=int, default=AuditConfig.impute_year)
+    a.add_argument("--impute-month", type=int, default=AuditConfig.impute_month)
+    a.add_argument("--sampled", action="store_true", help="Poisson sample instead of exact")
+
+    lk = sub.add_parser("links", help="list trip-file links found in landed pages")
+    lk.add_argument("--pages", required=True, help="landed HTML files")
+    lk.add_argument("--years", nargs="+", required=True)
+    lk.add_argument("--fleets", nargs="+", default=["yellow", "green"])
+    lk.add_argument("--suffix", default=".parquet")
+    lk.add_argument("--month-token", help="also take names containing this token, e.g. _2023-12")
+    lk.add_argument("--month-years", nargs="+", help="years searched for --month-token")
+
+    i = sub.add_parser("intake", help="take in newly landed trip files")
+    i.add_argument("--raw", required=True)
+    i.add_argument("--out", required=True, help="flagged trip table (Parquet)")
+    i.add_argument("--fleets", nargs="+", default=["yellow", "green"])
+    i.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
+    i.add_argument("--max-files", type=int, help="files per micro-batch")
+    return ap
+
+
+def main(argv=None) -> int:
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0].startswith("--"):
+        argv = ["audit", *argv]  # bare flags: the whole audit
+    args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO)
+    spark = SparkSession.builder.appName("tripaudit").getOrCreate()
+    return {"audit": _audit, "links": _links, "intake": _intake}[args.command](spark, args)
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

@@ -5,6 +5,7 @@ from tripaudit.sources.files import read_csv, read_reports, write_csv, write_par
 from tripaudit.sources.links import (
     filter_links,
     harvest_links,
+    load_pages,
     narrow_links,
     new_intake,
     overlay_links,
@@ -22,6 +23,7 @@ __all__ = [
     "count_history_files",
     "filter_links",
     "harvest_links",
+    "load_pages",
     "load_trips",
     "load_weather",
     "narrow_links",

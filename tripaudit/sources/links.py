@@ -10,12 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripaudit.functions.text import attribute_value, contains_any, hrefs, last_segment, strip_ws
 
 
+def load_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed HTML files as a crawl table ``(page_id, url, html)``, each file
+    read whole.  Pages are numbered in file-name order, so "last link wins"
+    follows that order; the numbering window holds one row per landed file."""
+    raw = (spark.read.option("wholetext", True).text(path)
+           .select(F.input_file_name().alias("url"), F.col("value").alias("html")))
+    numbered = raw.select("url").distinct().select(
+        "url", F.dense_rank().over(Window.orderBy("url")).cast("bigint").alias("page_id"))
+    return raw.join(numbered, "url").select("page_id", "url", "html")
+
+
 def harvest_links(pages: DataFrame) -> DataFrame:
     """Every anchor href: ``page_id, pos, href, filename``.
 
