@@ -3,7 +3,13 @@
 from conftest import SF0001, SF001
 from helpers import trips_df
 
-from tripaudit.operators import derive_metrics, ghost_vendors, row_accounting, split_ghosts
+from tripaudit.operators import (
+    derive_metrics,
+    filter_ghost_trips,
+    ghost_vendors,
+    row_accounting,
+    split_ghosts,
+)
 from tripaudit.sources.tables import events_trips
 
 D = "2025-01-01 "
@@ -68,3 +74,8 @@ def test_ghost_vendors_tie_break(spark):
     rows = [dict(vendor_id=v, taxi_type="yellow") for v in (3, 3, 1, 1, 2, 2, 5, 4, None, None)]
     got = [tuple(r) for r in ghost_vendors(trips_df(spark, rows), 3).collect()]
     assert got == [(None, 2), (1, 2), (2, 2)]
+
+
+def test_two_way_split_leaves_out_undetermined(spark):
+    clean, audit = filter_ghost_trips(_edge(spark))
+    assert (clean.count(), audit.count()) == (5, 3)  # 2 undetermined rows in neither

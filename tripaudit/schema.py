@@ -33,14 +33,6 @@ UNIFIED_COLUMNS: tuple[str, ...] = tuple(n for n, _ in UNIFIED_FIELDS)
 UNIFIED_TYPES: dict[str, T.DataType] = dict(UNIFIED_FIELDS)
 UNIFIED_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in UNIFIED_FIELDS])
 
-# Columns a unified frame gains in the ghost split and zone marking.
-METRIC_FIELDS: tuple[tuple[str, T.DataType], ...] = (
-    ("duration_seconds", T.LongType()),
-    ("duration_hours", T.DoubleType()),
-    ("speed_mph", T.DoubleType()),
-)
-
-
 def _widened(t: T.DataType) -> T.DataType:
     """Type used to *read* a source column: integers widen to LONG so files
     that stored an id as INT32 in one month and INT64 in another read with
