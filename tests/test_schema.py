@@ -153,3 +153,8 @@ def test_zoned_timestamp_fleet(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (r.pickup_time, r.pickup_loc, r.taxi_type) == (dt.datetime(2024, 1, 5, 8, 30), 7, "yellowz")
+
+
+def test_read_explicit_file_list(spark, raw_dir):
+    files = [os.path.join(raw_dir, f"yellow_tripdata_2024-0{m}.parquet") for m in (1, 2)]
+    assert read_fleet(spark, files, "yellow").count() == 7

@@ -15,15 +15,19 @@ from tripaudit.schema import FleetSpec, fleet, unify_schema
 log = logging.getLogger(__name__)
 
 
-def read_fleet(spark: SparkSession, raw_dir: str, spec: str | FleetSpec) -> DataFrame:
+def read_fleet(spark: SparkSession, raw_dir: str | list[str], spec: str | FleetSpec) -> DataFrame:
     """Scan every file of one fleet as one frame, with the fleet's explicit
     widened schema.  Files missing a mapped column read it as NULL, extra
     columns are never read, INT/BIGINT drift between months is absorbed.
-    File listing is Spark's (works on any Hadoop filesystem)."""
+
+    ``raw_dir`` is a directory (the fleet's files are picked by its name
+    pattern; listing is Spark's, on any Hadoop filesystem) or an explicit
+    list of file paths read as one frame."""
     spec = fleet(spec)
-    return (spark.read.schema(spec.read_schema())
-            .option("pathGlobFilter", spec.glob())
-            .parquet(raw_dir))
+    reader = spark.read.schema(spec.read_schema())
+    if isinstance(raw_dir, (list, tuple)):
+        return reader.parquet(*raw_dir)
+    return reader.option("pathGlobFilter", spec.glob()).parquet(raw_dir)
 
 
 def union_fleets(frames: Iterable[DataFrame]) -> DataFrame | None:
