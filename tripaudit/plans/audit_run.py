@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tripaudit.config import DEFAULT, AuditConfig
 from tripaudit.functions.trips import ghost_flag
@@ -149,8 +150,10 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
             log.warning("report %s failed: %s", name, exc)
             return name, df, None
 
+    # Worker threads inherit the caller's local properties (job group,
+    # scheduler pool, description).
     with ThreadPoolExecutor(max_workers=report_threads) as pool:
-        for name, df, path in pool.map(write, reports.items()):
+        for name, df, path in pool.map(inheritable_thread_target(write), reports.items()):
             if path:
                 res.reports[name] = path
                 res.frames[name] = df
