@@ -153,7 +153,7 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
     # Worker threads inherit the caller's local properties (job group,
     # scheduler pool, description).
     with ThreadPoolExecutor(max_workers=report_threads) as pool:
-        for name, df, path in pool.map(inheritable_thread_target(write), reports.items()):
+        for name, df, path in pool.map(inheritable_thread_target(spark)(write), reports.items()):
             if path:
                 res.reports[name] = path
                 res.frames[name] = df
