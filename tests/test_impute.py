@@ -160,3 +160,9 @@ def test_heavy_group_expands_in_many_tasks(spark):
     heavy = out.filter(F.col("fare") == 0.0).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in heavy) == 3000 * 3 + 3  # its own copies plus fare 0.0 of the other rows
     assert len(heavy) > 1 and max(r["count"] for r in heavy) < 0.6 * sum(r["count"] for r in heavy)
+
+
+def test_single_row_large_target(spark):
+    out = exact_sample(_month_rows(spark, 1), 20000, 1)
+    assert out.count() == 20000
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
