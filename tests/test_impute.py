@@ -105,7 +105,7 @@ def test_placement_splits_a_crowded_timestamp(spark):
     cols = base.columns
     order = [F.asc_nulls_first(c) for c in cols]
     groups = base.groupBy(*cols).agg(F.count("*").alias("_m"))
-    placed, total = place_groups(groups, order, 1200)
+    placed, total = place_groups(groups, order, 1200, rows_per_range=100)
     assert total == 1200
     # brute force: one global running sum
     w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -155,7 +155,7 @@ def test_exact_size_uses_placed_rows(spark):
 def test_heavy_group_expands_in_many_tasks(spark):
     # one trip repeated 3000 times is a third of the base month
     base = _month_rows(spark, 1, dup=3000).unionByName(_month_rows(spark, 6000))
-    out = exact_sample(base, 27000, 9000, chunk=100)
+    out = exact_sample(base, 27000, 9000, chunk=100, rows_per_task=1000)
     assert out.count() == 27000
     heavy = out.filter(F.col("fare") == 0.0).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in heavy) == 3000 * 3 + 3  # its own copies plus fare 0.0 of the other rows
@@ -163,6 +163,6 @@ def test_heavy_group_expands_in_many_tasks(spark):
 
 
 def test_single_row_large_target(spark):
-    out = exact_sample(_month_rows(spark, 1), 20000, 1)
+    out = exact_sample(_month_rows(spark, 1), 20000, 1, rows_per_task=1000)
     assert out.count() == 20000
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1

@@ -34,12 +34,12 @@ from tripaudit.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
-# Target rows per range partition when placing a large base month.
-ROWS_PER_RANGE = 2_000_000
+# Distinct rows per range partition when placing the base month.
+ROWS_PER_RANGE = 1_000_000
 # Largest number of copies expanded from one chunk row.
 EXPAND_CHUNK = 4096
-# Target output rows generated per task by the expansion.
-OUTPUT_ROWS_PER_TASK = 4_000_000
+# Output rows generated per task by the expansion.
+OUTPUT_ROWS_PER_TASK = 2_000_000
 
 
 class ImputePlan(NamedTuple):
@@ -113,14 +113,8 @@ def _floor_scaled(pos: str, target: int, n: int) -> F.Column:
     return F.expr(f"(CAST({pos} AS DECIMAL(38,0)) * {int(target)}) div {int(n)}")
 
 
-def _range_partitions(spark, n: int) -> int:
-    """Range partitions for placing ``n`` rows: the session's shuffle width,
-    more when the base month is large (about ROWS_PER_RANGE rows each)."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, width, -(-n // ROWS_PER_RANGE))
-
-
-def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> tuple[DataFrame, int]:
+def place_groups(groups: DataFrame, order: list[F.Column], n: int,
+                 rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int]:
     """Add ``_end``, the global running multiplicity in ``order``, to a frame
     of distinct rows with multiplicity ``_m``, without a global sort.  Also
     returns the placed total (``n`` is only a sizing hint).
@@ -132,7 +126,10 @@ def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> tuple[Data
     sampled bounds, so row positions and range totals come from the same
     assignment even if a later stage is retried, and cuts the lineage."""
     spark = groups.sparkSession
-    p = _range_partitions(spark, n)
+    # Sized by the data (``n`` bounds the distinct rows), not by the
+    # session's shuffle width: a 4-billion-row month gets ~4000 ranges, a
+    # tiny one a single range.
+    p = max(1, -(-n // rows_per_range))
     within = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranged = (groups.repartitionByRange(p, *order)
               .withColumn("_p", F.spark_partition_id())
@@ -149,7 +146,9 @@ def place_groups(groups: DataFrame, order: list[F.Column], n: int) -> tuple[Data
     return placed, int(placed_total)
 
 
-def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK) -> DataFrame:
+def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK,
+                 rows_per_range: int = ROWS_PER_RANGE,
+                 rows_per_task: int = OUTPUT_ROWS_PER_TASK) -> DataFrame:
     """Exactly ``target`` rows drawn with replacement from ``base`` (n rows)
     by the deterministic spread described in the module docstring.  Row
     order is all columns ascending, NULLs first; only the multiset of the
@@ -159,7 +158,7 @@ def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK
     cols = base.columns
     order = [F.asc_nulls_first(c) for c in cols]
     groups = base.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    placed, n = place_groups(groups, order, n)
+    placed, n = place_groups(groups, order, n, rows_per_range)
     if n <= 0:
         return base.limit(0)
     # n is taken from the placed (checkpointed) rows, so the output holds
@@ -177,9 +176,7 @@ def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK
     # The partition count is explicit and sized by the *output*: a chunk row
     # is tiny but stands for up to ``chunk`` rows, so AQE must not coalesce
     # this exchange by its (small) shuffle size.
-    spark = base.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    parts = max(width, -(-target // OUTPUT_ROWS_PER_TASK))
+    parts = max(1, -(-target // rows_per_task))
     chunks = (placed
               .withColumn("_j", F.explode(F.sequence(
                   F.lit(0).cast("bigint"), F.ceil(F.col("_copies") / chunk) - 1)))
