@@ -20,6 +20,10 @@ def test_run_audit_on_test_tables(spark, tmp_dir):
     acc = res.frames["row_accounting"].first()
     assert acc.total == acc.clean + acc.audit + acc.undetermined
     staged = spark.read.parquet(res.staged_path)
+    # accounting observed during the staging write equals a recount of the table
+    assert acc.total == staged.count()
+    assert acc.audit == staged.filter("is_ghost").count()
+    assert acc.undetermined == staged.filter("is_ghost is null").count()
     assert staged.filter("is_imputed").count() > 0
     assert staged.filter("not is_imputed").count() == 1500 + 6000
     assert os.path.isdir(res.audit_path)

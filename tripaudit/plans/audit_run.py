@@ -15,12 +15,17 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tripaudit.config import DEFAULT, AuditConfig
-from tripaudit.functions.trips import ghost_flag
+from tripaudit.functions.trips import (
+    ghost_flag,
+    rule_fast,
+    rule_short_expensive,
+    rule_zero_distance,
+)
 from tripaudit.operators import (
     audit_leakage,
     border_effect,
@@ -45,6 +50,8 @@ from tripaudit.sources import load_trips, source_counts, write_csv, write_parque
 
 log = logging.getLogger(__name__)
 
+ACCOUNTING_COLUMNS = ("total", "clean", "audit", "undetermined", "rule_a", "rule_b", "rule_c")
+
 
 @dataclass
 class AuditResult:
@@ -54,14 +61,32 @@ class AuditResult:
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT) -> str:
-    """Write the flagged trip table once (partitioned by year, month)."""
+def accounting_metrics(cfg: AuditConfig = DEFAULT) -> list[F.Column]:
+    """Row accounting as aggregate expressions over a flagged frame."""
+    g = F.col("is_ghost")
+
+    def n(cond):
+        return F.count(F.when(cond, F.lit(1)))
+
+    return [F.count(F.lit(1)).alias("total"), n(~g).alias("clean"), n(g).alias("audit"),
+            n(g.isNull()).alias("undetermined"), n(rule_fast(cfg)).alias("rule_a"),
+            n(rule_short_expensive(cfg)).alias("rule_b"),
+            n(rule_zero_distance(cfg)).alias("rule_c")]
+
+
+def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT,
+                observation: Observation | None = None) -> str:
+    """Write the flagged trip table once (partitioned by year, month).  With
+    an ``Observation`` the row accounting is collected by the write itself
+    (no second pass); Spark merges it from successful task attempts only."""
     flagged = mark_zone(derive_metrics(trips, cfg).withColumn("is_ghost", ghost_flag(cfg)),
                         cfg.zone_ids)
     if "is_imputed" not in flagged.columns:
         flagged = flagged.withColumn("is_imputed", F.lit(False))
     flagged = (flagged.withColumn("year", F.year("pickup_time"))
                .withColumn("month", F.month("pickup_time")))
+    if observation is not None:
+        flagged = flagged.observe(observation, *accounting_metrics(cfg))
     # No shuffle before the write: a month would land in one task.  Raw
     # files are per month, so each input split writes about one directory.
     flagged.write.mode("overwrite").partitionBy("year", "month").parquet(path)
@@ -69,7 +94,8 @@ def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT) -> str:
 
 
 def stage_audit(spark: SparkSession, raw_dir: str, cfg: AuditConfig = DEFAULT,
-                impute_mode: str = "exact", fleets=None, path: str | None = None) -> str | None:
+                impute_mode: str = "exact", fleets=None, path: str | None = None,
+                observation: Observation | None = None) -> str | None:
     """Intake -> imputation -> staged flagged table; returns its path (None
     when there is no trip data).  The only step that reads raw files."""
     trips = load_trips(spark, raw_dir, fleets or cfg.fleets)
@@ -79,7 +105,7 @@ def stage_audit(spark: SparkSession, raw_dir: str, cfg: AuditConfig = DEFAULT,
     plan = plan_imputation(trips, cfg, spark, raw_dir)
     log.info("imputation plan: %s", plan)
     trips = impute_month(trips, cfg, mode=impute_mode, plan=plan)
-    return stage_trips(trips, path or scratch_path(spark, "staged-trips"), cfg)
+    return stage_trips(trips, path or scratch_path(spark, "staged-trips"), cfg, observation)
 
 
 def staged_accounting(staged: DataFrame) -> DataFrame:
@@ -104,9 +130,11 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
     ``weather_rows`` / ``load_weather``).  Returns the written paths and
     the report frames."""
     res = AuditResult()
-    res.staged_path = stage_audit(spark, raw_dir, cfg, impute_mode, fleets)
+    observed = Observation("row_accounting")
+    res.staged_path = stage_audit(spark, raw_dir, cfg, impute_mode, fleets, observation=observed)
     if res.staged_path is None:
         return res
+    accounting = observed.get  # collected by the staging write, one small row
     staged = spark.read.parquet(res.staged_path)
     g = F.col("is_ghost")
     clean = staged.filter(~g)
@@ -115,14 +143,12 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
 
     res.audit_path = write_parquet(audit.drop("is_ghost", "inside_zone", "year", "month"),
                                    f"{out_dir}/audit/ghost_trips_audit")
-    n = F.count(F.lit(1))
     reports = {
         "source_counts": source_counts(real),
         "period_summary": period_summary(real),
-        "row_accounting": staged.agg(
-            n.alias("total"), F.count(F.when(~g, 1)).alias("clean"),
-            F.count(F.when(g, 1)).alias("audit"),
-            F.count(F.when(g.isNull(), 1)).alias("undetermined")),
+        "row_accounting": spark.createDataFrame(
+            [tuple(accounting[k] for k in ACCOUNTING_COLUMNS)],
+            ", ".join(f"{k} bigint" for k in ACCOUNTING_COLUMNS)),
         "ghost_vendors": ghost_vendors(audit, cfg.top_vendors),
         "surcharge_compliance": surcharge_compliance(clean),
         "audit_leakage": audit_leakage(clean, cfg.top_leakage),
