@@ -51,6 +51,9 @@ def test_streaming_intake_takes_new_files_once(spark, tmp_dir):
     _yellow_file(os.path.join(raw, "yellow_tripdata_2024-03.parquet"), 0, 3)
     for q in start_intake(spark, raw, out, fleets=("yellow",), checkpoint=ck):
         q.awaitTermination(120)
+        batches = [p for p in q.recentProgress if p["numInputRows"]]
+        acc = batches[-1]["observedMetrics"]["accounting"]
+        assert (acc["total"], acc["clean"]) == (3, 3)
     assert spark.read.parquet(out).count() == 3
     # the second month stores ids as INT32: the widened read schema absorbs it
     _yellow_file(os.path.join(raw, "yellow_tripdata_2024-04.parquet"), 10, 2, pa.int32())

@@ -31,6 +31,12 @@ def flagged_stream(spark: SparkSession, raw_dir: str, spec: str | FleetSpec,
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     raw = reader.parquet(raw_dir)
     out = derive_metrics(unify_schema(raw, spec), cfg).withColumn("is_ghost", ghost_flag(cfg))
+    g = F.col("is_ghost")
+    # Per micro-batch row accounting, reported in the query progress
+    # (``lastProgress["observedMetrics"]["accounting"]``) at no extra pass.
+    out = out.observe("accounting", F.count(F.lit(1)).alias("total"),
+                      F.count(F.when(~g, 1)).alias("clean"), F.count(F.when(g, 1)).alias("audit"),
+                      F.count(F.when(g.isNull(), 1)).alias("undetermined"))
     return (mark_zone(out, cfg.zone_ids)
             .withColumn("year", F.year("pickup_time"))
             .withColumn("month", F.month("pickup_time")))
