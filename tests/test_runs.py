@@ -27,6 +27,14 @@ def test_run_audit_on_test_tables(spark, tmp_dir):
     assert staged.filter("is_imputed").count() > 0
     assert staged.filter("not is_imputed").count() == 1500 + 6000
     assert os.path.isdir(res.audit_path)
+    # clean reports prune to the clean partitions
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        res.frames["q1_comparison"].explain("formatted")
+    assert "PartitionFilters: [isnotnull(status" in buf.getvalue() and "(status#" in buf.getvalue()
     for name in ("q1_comparison", "velocity_heatmap", "weather_elasticity", "rain_trend"):
         assert name in res.reports and os.path.isdir(res.reports[name])
 

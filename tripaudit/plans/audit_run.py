@@ -2,7 +2,8 @@
 
 Raw fleet files are scanned once to stage a flagged trip table (metrics,
 three-valued ``is_ghost``, ``inside_zone``, ``is_imputed``), written as
-Parquet partitioned by pick-up year and month into a shared folder.  That
+Parquet partitioned by status (clean / audit / undetermined) and pick-up
+year and month into a shared folder.  That
 write cuts the lineage: a lost executor costs a re-read of staged files,
 not a re-run of intake and imputation.  Every report is then a pruned,
 filter-pushed scan of the staged table plus one small aggregate, instead of
@@ -76,20 +77,26 @@ def accounting_metrics(cfg: AuditConfig = DEFAULT) -> list[F.Column]:
 
 def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT,
                 observation: Observation | None = None) -> str:
-    """Write the flagged trip table once (partitioned by year, month).  With
+    """Write the flagged trip table once (partitioned by status, year, month).  With
     an ``Observation`` the row accounting is collected by the write itself
     (no second pass); Spark merges it from successful task attempts only."""
     flagged = mark_zone(derive_metrics(trips, cfg).withColumn("is_ghost", ghost_flag(cfg)),
                         cfg.zone_ids)
     if "is_imputed" not in flagged.columns:
         flagged = flagged.withColumn("is_imputed", F.lit(False))
-    flagged = (flagged.withColumn("year", F.year("pickup_time"))
+    g = F.col("is_ghost")
+    flagged = (flagged
+               .withColumn("status", F.when(g, F.lit("audit")).when(~g, F.lit("clean"))
+                           .otherwise(F.lit("undetermined")))
+               .withColumn("year", F.year("pickup_time"))
                .withColumn("month", F.month("pickup_time")))
     if observation is not None:
         flagged = flagged.observe(observation, *accounting_metrics(cfg))
-    # No shuffle before the write: a month would land in one task.  Raw
-    # files are per month, so each input split writes about one directory.
-    flagged.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    # Partitioned by status too, so the audit sink and the clean reports
+    # prune whole directories instead of filtering every row.  No shuffle
+    # before the write: a month would land in one task.  Raw files are per
+    # month, so each input split writes about one month's directories.
+    flagged.write.mode("overwrite").partitionBy("status", "year", "month").parquet(path)
     return path
 
 
@@ -136,12 +143,12 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
         return res
     accounting = observed.get  # collected by the staging write, one small row
     staged = spark.read.parquet(res.staged_path)
-    g = F.col("is_ghost")
-    clean = staged.filter(~g)
-    audit = staged.filter(g)
+    # Partition filters: each side reads only its own directories.
+    clean = staged.filter(F.col("status") == "clean")
+    audit = staged.filter(F.col("status") == "audit")
     real = staged.filter(~F.col("is_imputed"))  # as loaded, before imputation
 
-    res.audit_path = write_parquet(audit.drop("is_ghost", "inside_zone", "year", "month"),
+    res.audit_path = write_parquet(audit.drop("is_ghost", "inside_zone", "status", "year", "month"),
                                    f"{out_dir}/audit/ghost_trips_audit")
     reports = {
         "source_counts": source_counts(real),

@@ -38,6 +38,8 @@ def flagged_stream(spark: SparkSession, raw_dir: str, spec: str | FleetSpec,
                       F.count(F.when(~g, 1)).alias("clean"), F.count(F.when(g, 1)).alias("audit"),
                       F.count(F.when(g.isNull(), 1)).alias("undetermined"))
     return (mark_zone(out, cfg.zone_ids)
+            .withColumn("status", F.when(g, F.lit("audit")).when(~g, F.lit("clean"))
+                        .otherwise(F.lit("undetermined")))
             .withColumn("year", F.year("pickup_time"))
             .withColumn("month", F.month("pickup_time")))
 
@@ -47,7 +49,7 @@ def start_intake(spark: SparkSession, raw_dir: str, out_path: str,
                  checkpoint: str | None = None, available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Start one append query per fleet into ``out_path`` (partitioned by
-    year, month).  Checkpoints live under the cluster's shared checkpoint
+    status, year, month, like the staged table of the batch run).  Checkpoints live under the cluster's shared checkpoint
     folder unless given.  ``available_now`` drains what has landed and
     stops, which suits a scheduled job."""
     root = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tripaudit-intake"
@@ -57,7 +59,7 @@ def start_intake(spark: SparkSession, raw_dir: str, out_path: str,
         w = (flagged_stream(spark, raw_dir, spec, cfg, max_files_per_trigger)
              .writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{root}/{spec.name}")
-             .partitionBy("year", "month"))
+             .partitionBy("status", "year", "month"))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
         queries.append(w.start(f"{out_path}/taxi_type={spec.name}"))
     return queries
