@@ -34,7 +34,9 @@ def test_run_audit_on_test_tables(spark, tmp_dir):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         res.frames["q1_comparison"].explain("formatted")
-    assert "PartitionFilters: [isnotnull(status" in buf.getvalue() and "(status#" in buf.getvalue()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(status" in plan and "(status#" in plan
+    assert "(month#" in plan.split("PartitionFilters:")[1].split("\n")[0]
     for name in ("q1_comparison", "velocity_heatmap", "weather_elasticity", "rain_trend"):
         assert name in res.reports and os.path.isdir(res.reports[name])
 
