@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from tripaudit.config import DEFAULT, ZONE_IDS
 from tripaudit.functions.text import (
-    COMMENT_PATTERN,
     DQUOTED,
     ENTITIES,
     HREF_PATTERN,
-    SCRIPT_PATTERN,
+    SKIPPED_MARKUP,
     SQUOTED,
-    STYLE_PATTERN,
 )
 from tripaudit.functions.time import month_bounds
 from tripaudit.plans import suite
@@ -118,9 +116,7 @@ def _decoded(expr: str) -> str:
 
 
 def _markup(col: str) -> str:
-    for pattern in (COMMENT_PATTERN, SCRIPT_PATTERN, STYLE_PATTERN):
-        col = f"regexp_replace({col}, {_q(pattern)}, '', 'g')"
-    return col
+    return f"regexp_replace({col}, {_q(SKIPPED_MARKUP)}, '', 'g')"
 
 
 HARVEST = f"""
