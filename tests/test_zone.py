@@ -8,6 +8,7 @@ from tripaudit.operators import (
     audit_leakage,
     border_effect,
     mark_zone,
+    mark_zone_table,
     split_ghosts,
     surcharge_compliance,
     velocity_heatmap,
@@ -47,3 +48,15 @@ def test_sf0001_zone_numbers(spark):
     assert comp == {"green": (96, 55), "yellow": (60, 35)}
     assert velocity_heatmap(marked).count() == 101
     assert border_effect(clean).count() == 263
+
+
+def test_zone_table_matches_list(spark):
+    from tripaudit.config import ZONE_IDS
+
+    clean = split_ghosts(events_trips(spark, SF0001)).clean
+    zones = spark.createDataFrame([(z, "Manhattan") for z in ZONE_IDS] + [(ZONE_IDS[0], "dup")],
+                                  "LocationID long, borough string")
+    a = sorted((r.event_id, r.inside_zone) for r in mark_zone(clean).select("event_id", "inside_zone").collect())
+    b = sorted((r.event_id, r.inside_zone) for r in
+               mark_zone_table(clean, zones).select("event_id", "inside_zone").collect())
+    assert a == b and any(v is None for _, v in a)

@@ -28,7 +28,13 @@ from tripaudit.operators.impute import (
 )
 from tripaudit.operators.reshape import tip_series, velocity_pivot
 from tripaudit.operators.weather import rain_elasticity, rain_join, rain_trend
-from tripaudit.operators.zone import audit_leakage, mark_zone, surcharge_compliance, zone_ids
+from tripaudit.operators.zone import (
+    audit_leakage,
+    mark_zone,
+    mark_zone_table,
+    surcharge_compliance,
+    zone_ids,
+)
 
 __all__ = [
     "GhostSplit",
@@ -44,6 +50,7 @@ __all__ = [
     "impute_counts",
     "impute_month",
     "mark_zone",
+    "mark_zone_table",
     "period_summary",
     "plan_imputation",
     "q1_comparison",
