@@ -1,6 +1,14 @@
 """Column-level building blocks (built-in Spark expressions only)."""
 
 from tripaudit.functions.stats import null_safe_corr
+from tripaudit.functions.text import (
+    attribute_value,
+    contains_any,
+    hrefs,
+    last_segment,
+    parsed_markup,
+    strip_ws,
+)
 from tripaudit.functions.time import in_month, month_bounds, month_start, shift_days
 from tripaudit.functions.trips import (
     duration_hours,
@@ -13,16 +21,22 @@ from tripaudit.functions.trips import (
 )
 
 __all__ = [
+    "attribute_value",
+    "contains_any",
     "duration_hours",
     "duration_seconds",
     "ghost_flag",
+    "hrefs",
     "in_month",
+    "last_segment",
     "month_bounds",
     "month_start",
     "null_safe_corr",
+    "parsed_markup",
     "rule_fast",
     "rule_short_expensive",
     "rule_zero_distance",
     "shift_days",
     "speed_mph",
+    "strip_ws",
 ]
