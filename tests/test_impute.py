@@ -166,3 +166,10 @@ def test_single_row_large_target(spark):
     out = exact_sample(_month_rows(spark, 1), 20000, 1, rows_per_task=1000)
     assert out.count() == 20000
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_expansion_exchange_is_not_coalescable(spark):
+    out = exact_sample(_month_rows(spark, 20), 50, 20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    line = next(ln for ln in plan.splitlines() if "hashpartitioning(_j" in ln)
+    assert "REPARTITION_BY_NUM" in line
