@@ -169,7 +169,7 @@ def test_single_row_large_target(spark):
 
 
 def test_expansion_exchange_is_not_coalescable(spark):
-    out = exact_sample(_month_rows(spark, 20), 50, 20)
+    out = exact_sample(_month_rows(spark, 20), 50, 20, rows_per_task=10)
     plan = out._jdf.queryExecution().executedPlan().toString()
     line = next(ln for ln in plan.splitlines() if "hashpartitioning(_j" in ln)
     assert "REPARTITION_BY_NUM" in line
