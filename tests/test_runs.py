@@ -7,6 +7,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from conftest import SF0001
 
+from pyspark.sql import functions as F
+
 from tripaudit.config import AuditConfig
 from tripaudit.plans.audit_run import run_audit
 from tripaudit.sources import weather_rows
@@ -35,6 +37,16 @@ def test_run_audit_on_test_tables(spark, tmp_dir):
     with contextlib.redirect_stdout(buf):
         res.frames["q1_comparison"].explain("formatted")
     plan = buf.getvalue()
+    # the period summary is computed from partition values: no timestamp is read
+    direct = res.frames["period_summary"]
+    assert sorted(direct.collect()) == sorted(
+        staged.filter("not is_imputed").groupBy(F.year("pickup_time").alias("year"),
+                                                F.month("pickup_time").alias("month"))
+        .count().collect())
+    buf2 = io.StringIO()
+    with contextlib.redirect_stdout(buf2):
+        direct.explain("formatted")
+    assert "pickup_time" not in buf2.getvalue().split("ReadSchema:")[1].split("\n")[0]
     assert "PartitionFilters: [isnotnull(status" in plan and "(status#" in plan
     assert "(month#" in plan.split("PartitionFilters:")[1].split("\n")[0]
     for name in ("q1_comparison", "velocity_heatmap", "weather_elasticity", "rain_trend"):

@@ -152,7 +152,7 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
                                    f"{out_dir}/audit/ghost_trips_audit")
     reports = {
         "source_counts": source_counts(real),
-        "period_summary": period_summary(real),
+        "period_summary": period_summary(real, use_partition_columns=True),
         "row_accounting": spark.createDataFrame(
             [tuple(accounting[k] for k in ACCOUNTING_COLUMNS)],
             ", ".join(f"{k} bigint" for k in ACCOUNTING_COLUMNS)),
