@@ -52,3 +52,12 @@ def test_empty_inputs_give_null_statistics(spark):
     assert r.n == 0 and r.correlation is None
     t = rain_trend(empty).first()
     assert t.n == 0 and t.slope is None
+
+
+def test_duplicate_days_multiply_like_an_inner_merge(spark):
+    daily = spark.createDataFrame([(dt.date(2025, 1, 1), 10)], "date date, total_trips long")
+    docs = _docs(spark,
+                 '{"daily":{"time":["2025-01-01"],"precipitation_sum":[0.5]}}',
+                 '{"daily":{"time":["2025-01-01"],"precipitation_sum":[0.7]}}')
+    got = sorted(tuple(r) for r in rain_join(daily, weather_rows(docs)).collect())
+    assert got == [(dt.date(2025, 1, 1), 10, 0.5), (dt.date(2025, 1, 1), 10, 0.7)]
