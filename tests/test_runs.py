@@ -84,6 +84,8 @@ def test_streaming_intake_takes_new_files_once(spark, tmp_dir):
     df = spark.read.parquet(out)
     assert df.count() == 5
     assert df.filter("inside_zone and not is_ghost").count() == 5
+    # same layout as the staged table of the batch run
+    assert os.path.isdir(os.path.join(out, "taxi_type=yellow", "status=clean", "year=2024", "month=3"))
 
 
 def test_command_line_run(spark, tmp_dir):
