@@ -127,6 +127,11 @@ def test_unreadable_fleet_is_left_out(spark, tmp_dir):
         f.write(b"not a parquet file")
     trips = load_trips(spark, tmp_dir)
     assert {r.taxi_type for r in trips.collect()} == {"green"}
+    # opt-in: skip only the unreadable file and keep the fleet's good files
+    pq.write_table(_yellow(3, pa.int64()), os.path.join(tmp_dir, "yellow_tripdata_2024-06.parquet"))
+    kept = load_trips(spark, tmp_dir, ignore_corrupt_files=True)
+    got = {r.taxi_type: r["count"] for r in source_counts(kept).collect()}
+    assert got == {"yellow": 3, "green": 2}
 
 
 def test_out_of_range_id_becomes_null(spark):

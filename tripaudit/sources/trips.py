@@ -15,16 +15,21 @@ from tripaudit.schema import FleetSpec, fleet, unify_schema
 log = logging.getLogger(__name__)
 
 
-def read_fleet(spark: SparkSession, raw_dir: str | list[str], spec: str | FleetSpec) -> DataFrame:
+def read_fleet(spark: SparkSession, raw_dir: str | list[str], spec: str | FleetSpec,
+               ignore_corrupt_files: bool = False) -> DataFrame:
     """Scan every file of one fleet as one frame, with the fleet's explicit
     widened schema.  Files missing a mapped column read it as NULL, extra
     columns are never read, INT/BIGINT drift between months is absorbed.
 
     ``raw_dir`` is a directory (the fleet's files are picked by its name
     pattern; listing is Spark's, on any Hadoop filesystem) or an explicit
-    list of file paths read as one frame."""
+    list of file paths read as one frame.  ``ignore_corrupt_files`` skips
+    unreadable files (Spark's file-source option) instead of failing; it is
+    off by default so no data is dropped silently."""
     spec = fleet(spec)
     reader = spark.read.schema(spec.read_schema())
+    if ignore_corrupt_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if isinstance(raw_dir, (list, tuple)):
         return reader.parquet(*raw_dir)
     return reader.option("pathGlobFilter", spec.glob()).parquet(raw_dir)
@@ -40,12 +45,13 @@ def union_fleets(frames: Iterable[DataFrame]) -> DataFrame | None:
 
 def load_trips(spark: SparkSession, raw_dir: str,
                fleets: Iterable[str | FleetSpec] = ("yellow", "green"),
-               skip_empty: bool = True) -> DataFrame | None:
+               skip_empty: bool = True, ignore_corrupt_files: bool = False) -> DataFrame | None:
     """Read, unify and union all fleets found in ``raw_dir`` (FLW-2).
 
     Guards: a missing directory gives None; a fleet with no files or no rows
     is skipped; a fleet whose read fails is logged and left out; when no
-    fleet remains the result is None.  Unknown fleet names raise ValueError
+    fleet remains the result is None (with ``ignore_corrupt_files`` only the
+    unreadable files are skipped).  Unknown fleet names raise ValueError
     before any I/O.  The emptiness probe is ``isEmpty`` (a LIMIT 1 scan),
     never a full count.
     """
@@ -53,7 +59,7 @@ def load_trips(spark: SparkSession, raw_dir: str,
     frames = []
     for spec in specs:
         try:
-            df = read_fleet(spark, raw_dir, spec)
+            df = read_fleet(spark, raw_dir, spec, ignore_corrupt_files)
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" in str(exc):
                 log.warning("raw directory does not exist: %s", raw_dir)
