@@ -49,6 +49,12 @@ def test_run_audit_on_test_tables(spark, tmp_dir):
     assert "pickup_time" not in buf2.getvalue().split("ReadSchema:")[1].split("\n")[0]
     assert "PartitionFilters: [isnotnull(status" in plan and "(status#" in plan
     assert "(month#" in plan.split("PartitionFilters:")[1].split("\n")[0]
+    # the audit side reads only the audit partitions
+    buf3 = io.StringIO()
+    with contextlib.redirect_stdout(buf3):
+        res.frames["ghost_vendors"].explain("formatted")
+    pf = buf3.getvalue().split("PartitionFilters:")[1].split("\n")[0]
+    assert "status" in pf and "audit" in pf
     for name in ("q1_comparison", "velocity_heatmap", "weather_elasticity", "rain_trend"):
         assert name in res.reports and os.path.isdir(res.reports[name])
 
