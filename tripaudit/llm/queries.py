@@ -1,15 +1,24 @@
 """Queries of this subpackage and their DuckDB SQL, by name."""
 
+from tripaudit.llm.decontam import ORACLE_OP6, op6_wu_manber
 from tripaudit.llm.licenses import op4_license_sentences, oracle_op4
+from tripaudit.llm.packing import op8_dominance_packing
+from tripaudit.llm.perplexity import op10_kneser_ney
+from tripaudit.llm.pii import op3_pii_anchors
 from tripaudit.llm.sharding import op5_ring_shards
 from tripaudit.llm.warc import ORACLE_OP7, op7_warc_revisits
 
 QUERIES = {
+    "op3_pii_anchors": op3_pii_anchors,
     "op4_license_sentences": op4_license_sentences,
     "op5_ring_shards": op5_ring_shards,
+    "op6_wu_manber": op6_wu_manber,
     "op7_warc_revisits": op7_warc_revisits,
+    "op8_dominance_packing": op8_dominance_packing,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 ORACLE_SQL = {
     "op4_license_sentences": oracle_op4(),
+    "op6_wu_manber": ORACLE_OP6,
     "op7_warc_revisits": ORACLE_OP7,
 }
