@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm.tables import pieces, table, written
+from tripaudit.llm.tables import aside, pieces, table, written
 
 WINDOW = 10
 TABLE_BYTES = 32 << 20
@@ -169,7 +169,8 @@ def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """Documents that hold no benchmark window, with their own columns."""
-    return find_contamination(docs, bench).where(F.size("hit_spans") == 0).select(*docs.columns)
+    plain, back = aside(docs, "text")
+    return back(find_contamination(plain, bench).where(F.size("hit_spans") == 0))
 
 
 ORACLE_OP6 = r"""

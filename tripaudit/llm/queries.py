@@ -1,6 +1,8 @@
 """Queries of this subpackage and their DuckDB SQL, by name."""
 
 from tripaudit.llm.decontam import ORACLE_OP6, op6_wu_manber
+from tripaudit.llm.htmltext import op1_html_blocks
+from tripaudit.llm.langid import op2_crf_language
 from tripaudit.llm.licenses import op4_license_sentences, oracle_op4
 from tripaudit.llm.packing import op8_dominance_packing
 from tripaudit.llm.perplexity import op10_kneser_ney
@@ -9,6 +11,8 @@ from tripaudit.llm.sharding import op5_ring_shards
 from tripaudit.llm.warc import ORACLE_OP7, op7_warc_revisits
 
 QUERIES = {
+    "op1_html_blocks": op1_html_blocks,
+    "op2_crf_language": op2_crf_language,
     "op3_pii_anchors": op3_pii_anchors,
     "op4_license_sentences": op4_license_sentences,
     "op5_ring_shards": op5_ring_shards,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripaudit.session import scratch_path
 
@@ -31,3 +32,14 @@ def pieces(batch, limit: int = 4 << 20):
     step = max(1, int(n * limit / max(batch.nbytes, 1)))
     for i in range(0, n, step):
         yield batch.slice(i, step)
+
+
+def aside(docs: DataFrame, *named: str):
+    """Rename all columns but ``named`` so that an operator's columns cannot clash with
+    them; returns the renamed table and a function that gives a result its old columns."""
+    plain = [c if c in named else f"_{i}" for i, c in enumerate(docs.columns)]
+
+    def back(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)])
+
+    return docs.toDF(*plain), back
