@@ -265,6 +265,8 @@ LABELLED: list[list[tuple[int, int, int, int, int, int]]] = [
     # Links within the article: a list of them and a paragraph that is one link.
     [(0, 3, 3, 1, 0, 0), (1, 7, 0, 0, 1, 1), (1, 5, 5, 0, 1, 0), (1, 4, 4, 0, 1, 0), (1, 30, 12, 0, 1, 0),
      (0, 4, 4, 1, 0, 0)],
+    [(0, 3, 3, 1, 0, 0), (1, 6, 6, 0, 1, 1), (1, 90, 1, 0, 1, 0), (1, 8, 8, 0, 1, 0), (1, 50, 30, 0, 1, 0),
+     (1, 70, 0, 0, 1, 0), (0, 4, 4, 1, 0, 0)],
     # An article, and unmarked text elsewhere on the page.
     [(0, 4, 0, 0, 0, 0), (0, 3, 3, 0, 0, 0), (1, 8, 0, 0, 1, 1), (1, 70, 0, 0, 1, 0), (0, 25, 2, 0, 0, 0),
      (0, 60, 0, 0, 0, 0), (0, 5, 2, 0, 0, 0)],

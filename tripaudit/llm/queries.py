@@ -2,6 +2,7 @@
 
 from tripaudit.llm.decontam import ORACLE_OP6, op6_wu_manber
 from tripaudit.llm.htmltext import op1_html_blocks
+from tripaudit.llm.jaccard import op9_grouped_prefix_join
 from tripaudit.llm.langid import op2_crf_language
 from tripaudit.llm.licenses import op4_license_sentences, oracle_op4
 from tripaudit.llm.packing import op8_dominance_packing
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_wu_manber": op6_wu_manber,
     "op7_warc_revisits": op7_warc_revisits,
     "op8_dominance_packing": op8_dominance_packing,
+    "op9_grouped_prefix_join": op9_grouped_prefix_join,
     "op10_kneser_ney": op10_kneser_ney,
 }
 ORACLE_SQL = {
