@@ -23,8 +23,8 @@ text is ``und``; extra columns are ignored or replaced when they clash.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,67 +43,109 @@ EPOCHS = 12
 BLOCK = 64
 CACHE = 150_000
 UND = "und"
-#: Longest part of a word that features are drawn from at either end.
-REACH = 24
-
-
-def has_letter(word: str) -> bool:
-    return any(map(str.isalpha, word))
-
-
-def bare(word: str) -> str:
-    """A word in lower case without leading and trailing marks."""
-    w = word.lower()
-    i, n = 0, len(w)
-    while i < n and not w[i].isalpha():
-        i += 1
-    while n > i and not w[n - 1].isalpha():
-        n -= 1
-    return w[i:n]
-
-
-def feature_names(word: str) -> set[str]:
-    """Affixes of 1 to 4 letters, n-grams of 2 and 3 within the word's ends, the word."""
-    w = bare(word)
-    out = {f"w{w}" if len(w) <= REACH else "long"}
-    for k in range(1, min(4, len(w)) + 1):
-        out.add(f"p{w[:k]}")
-        out.add(f"s{w[-k:]}")
-    ends = w if len(w) <= 2 * REACH else w[:REACH] + " " + w[-REACH:]
-    framed = f"^{ends}$"
-    for k in (2, 3):
-        out.update(f"n{framed[i:i + k]}" for i in range(len(framed) - k + 1))
-    return out
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+@cache
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+
 
+def hashed(*parts: np.ndarray, tag: int) -> np.ndarray:
+    """Feature numbers below HASH of tuples of numbers of one kind."""
+    h = np.full(len(parts[0]), tag, np.uint64)
+    for x in parts:
+        h = (h ^ x) * MIX
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(17)).astype(np.int64) % HASH
 
-def feature_ids(word: str, lexicons: list[frozenset[str]]) -> list[int]:
-    """Hashed features, and one more per lexicon that holds the word."""
-    w = bare(word)
-    ids = {zlib.crc32(x.encode()) % HASH for x in feature_names(word)}
-    return sorted(ids) + [HASH + k for k, lex in enumerate(lexicons) if w in lex]
+
+@dataclass
+class Features:
+    """Binary features of distinct words: ``ids[i]`` holds for word ``rows[i]``."""
+
+    rows: np.ndarray
+    ids: np.ndarray
+    lettered: np.ndarray
+    whole: np.ndarray
+
+
+def word_features(distinct: list[str]) -> Features:
+    """Of every word, in lower case and without marks at its ends: affixes of 1 to 4 letters,
+    n-grams of 2 and 3 within the word's ends, and the word itself."""
+    n = len(distinct)
+    points = np.frombuffer("".join(f"{w}\n" for w in distinct).lower().encode("utf-32-le"), np.uint32)
+    ends = np.flatnonzero(points == 10)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    at = np.arange(len(points))
+    is_letter = letters()[points]
+    first = np.minimum.reduceat(np.where(is_letter, at, len(points)), starts)
+    last = np.maximum.reduceat(np.where(is_letter, at, -1), starts)
+    lettered = last >= 0
+    rows = np.flatnonzero(lettered)
+    first, size = first[rows], (last - first + 1)[rows]
+    # The words end to end, each between two zeros.
+    begin = np.cumsum(size + 2) - (size + 2)
+    word = np.repeat(np.arange(len(rows)), size)
+    inner = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
+    framed = np.zeros(int((size + 2).sum()), np.uint64)
+    framed[begin[word] + 1 + inner] = points[first[word] + inner]
+    of = np.repeat(np.arange(len(rows)), size + 2)
+    out_rows, out_ids = [], []
+
+    def add(which, ids):
+        out_rows.append(rows[which])
+        out_ids.append(ids)
+
+    for k in (2, 3):
+        here = np.flatnonzero(of[k - 1:] == of[:len(of) - k + 1])
+        add(of[here], hashed(*(framed[here + j] for j in range(k)), tag=k))
+    for k in range(1, 5):
+        w = np.flatnonzero(size >= k)
+        add(w, hashed(*(framed[begin[w] + 1 + j] for j in range(k)), tag=10 + k))
+        add(w, hashed(*(framed[begin[w] + size[w] - j] for j in range(k)), tag=20 + k))
+    power = np.cumprod(np.full(int(size.max(initial=0)) + 1, MIX, np.uint64))
+    sums = (np.add.reduceat(framed[begin[word] + 1 + inner] * power[inner], np.cumsum(size) - size)
+            if len(rows) else np.empty(0, np.uint64))
+    add(np.arange(len(rows)), hashed(sums, tag=30))
+    whole = np.zeros(n, np.uint64)
+    whole[rows] = sums
+    return Features(np.concatenate(out_rows), np.concatenate(out_ids), lettered, whole)
 
 
 @dataclass
 class Crf:
-    """Weights: (features, languages) emissions and (languages, languages) transitions."""
+    """Weights: (features, languages) emissions and (languages, languages) transitions;
+    lexicons as sorted hashes of words."""
 
     langs: list[str]
-    lexicons: list[frozenset[str]]
+    lexicons: list[np.ndarray]
     weights: np.ndarray
     transitions: np.ndarray
 
-    def emissions(self, distinct: list[str]) -> np.ndarray:
-        """exp(score) of every label, largest 1; all 1 for words without letters."""
-        out = np.ones((len(distinct), len(self.langs)), np.float32)
-        lettered = [i for i, w in enumerate(distinct) if has_letter(w)]
-        if lettered:
-            ids = [feature_ids(distinct[i], self.lexicons) for i in lettered]
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for row in ids for x in row), np.int64, int(n.sum()))
-            score = np.add.reduceat(self.weights[flat], np.cumsum(n) - n, axis=0)
-            score -= score.max(1, keepdims=True)
-            out[lettered] = np.exp(np.maximum(score, -30))
-        return out
+    def with_lexicons(self, f: Features) -> tuple[np.ndarray, np.ndarray]:
+        rows, ids = [f.rows], [f.ids]
+        for k, lex in enumerate(self.lexicons):
+            if len(lex):
+                at = np.minimum(np.searchsorted(lex, f.whole), len(lex) - 1)
+                hit = np.flatnonzero((lex[at] == f.whole) & f.lettered)
+                rows.append(hit)
+                ids.append(np.full(len(hit), HASH + k))
+        return np.concatenate(rows), np.concatenate(ids)
+
+    def scores(self, rows: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+        """exp(score) of every label, largest 1."""
+        score = np.stack([np.bincount(rows, self.weights[ids, c], minlength=n) for c in range(len(self.langs))], 1)
+        score -= score.max(1, keepdims=True)
+        return np.exp(np.maximum(score, -30)).astype(np.float32)
+
+    def emissions(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Emission weights of words, and which of them have a letter."""
+        if not distinct or not self.langs:
+            return np.ones((len(distinct), len(self.langs)), np.float32), np.zeros(len(distinct), bool)
+        f = word_features(distinct)
+        return self.scores(*self.with_lexicons(f), len(distinct)), f.lettered
 
 
 def marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarray:
@@ -161,34 +203,33 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.nd
 def fit(runs: list[tuple[str, list[str]]], lexicon: int = LEXICON, epochs: int = EPOCHS, rate: float = 0.5) -> Crf:
     """Fit the field on runs of words with one language each."""
     langs = sorted({lang for lang, _ in runs})
-    counts: dict[str, dict[str, int]] = {k: {} for k in langs}
-    for lang, run in runs:
-        for w in map(bare, run):
-            if w:
-                counts[lang][w] = counts[lang].get(w, 0) + 1
-    lexicons = [frozenset(sorted(c, key=lambda w: (-c[w], w))[:lexicon]) for c in (counts[x] for x in langs)]
-    rng = np.random.default_rng(0)
-    order = rng.permutation(len(runs))
-    words, labels, lengths = [], [], []
-    for i in range(0, len(runs), CHAIN):
-        n = 0
-        for r in order[i:i + CHAIN]:
-            kept = [w for w in runs[r][1] if has_letter(w)]
-            words += kept
-            labels += [langs.index(runs[r][0])] * len(kept)
-            n += len(kept)
-        if n:
-            lengths.append(n)
+    tokens = [w for _, run in runs for w in run]
+    if not tokens:
+        return Crf(langs, [np.empty(0, np.uint64)] * len(langs), np.zeros((HASH + len(langs), len(langs))),
+                   np.zeros((len(langs), len(langs))))
+    distinct, token_at = np.unique(np.array(tokens, dtype=object), return_inverse=True)
+    found = word_features(distinct.tolist())
+    run_of = np.repeat(np.arange(len(runs)), [len(run) for _, run in runs])
+    lang_of = np.array([langs.index(lang) for lang, _ in runs])[run_of]
+    lexicons = []
+    for c in range(len(langs)):
+        mine = token_at[(lang_of == c) & found.lettered[token_at]]
+        hashes, n = np.unique(found.whole[mine], return_counts=True)
+        lexicons.append(np.sort(hashes[np.lexsort((hashes, -n))[:lexicon]]))
+    # Chains of CHAIN runs each, in a fixed random order, of words with letters.
+    chain_of = np.empty(len(runs), np.int64)
+    place_of = np.random.default_rng(0).permutation(len(runs))
+    chain_of[place_of] = np.arange(len(runs))
+    order = np.lexsort((np.arange(len(tokens)), chain_of[run_of]))
+    order = order[found.lettered[token_at[order]]]
+    word_at, labels = token_at[order], lang_of[order]
+    lengths = np.bincount(chain_of[run_of[order]] // CHAIN)
+    lengths = lengths[lengths > 0]
     k = len(langs)
     model = Crf(langs, lexicons, np.zeros((HASH + k, k), np.float32), np.zeros((k, k)))
-    if not words:
+    if not len(labels):
         return model
-    distinct, word_at = np.unique(np.array(words, dtype=object), return_inverse=True)
-    ids = [feature_ids(w, lexicons) for w in distinct]
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((x for row in ids for x in row), np.int64, int(sizes.sum()))
-    rows = np.repeat(np.arange(len(ids)), sizes)
-    labels, lengths = np.array(labels), np.array(lengths)
+    rows, ids = model.with_lexicons(found)
     gold = np.zeros((len(labels), k))
     gold[np.arange(len(labels)), labels] = 1
     # Transitions inside chains: pairs of neighbours that are not at a chain's end.
@@ -200,12 +241,12 @@ def fit(runs: list[tuple[str, list[str]]], lexicon: int = LEXICON, epochs: int =
     sums_w, sums_t = np.zeros_like(model.weights), np.zeros_like(model.transitions)
     square_w, square_t = np.full_like(model.weights, 1e-8), np.full_like(model.transitions, 1e-8)
     for _ in range(epochs):
-        emit = model.emissions(distinct.tolist())[word_at]
+        emit = model.scores(rows, ids, len(distinct))[word_at]
         trans = np.exp(model.transitions)
         post = marginals(emit, lengths, trans)
         by_word = np.zeros((len(distinct), k))
         np.add.at(by_word, word_at, gold - post)
-        grad = np.stack([np.bincount(flat, by_word[rows, c], minlength=HASH + k) for c in range(k)], 1)
+        grad = np.stack([np.bincount(ids, by_word[rows, c], minlength=HASH + k) for c in range(k)], 1)
         # Expected transitions from neighbouring marginals under the current field.
         pair = post[left][:, :, None] * trans * (post[left + 1] / (post[left] @ trans))[:, None, :]
         expected = (pair / pair.sum((1, 2), keepdims=True)).sum(0)
@@ -261,12 +302,13 @@ def predict(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
                     place, emit, lettered = {}, emit[:0], lettered[:0]
                 if fresh := [w for w in distinct if w not in place]:
                     place.update(zip(fresh, range(len(place), len(place) + len(fresh)), strict=True))
-                    emit = np.concatenate([emit, model.emissions(fresh)])
-                    lettered = np.concatenate([lettered, np.fromiter(map(has_letter, fresh), bool, len(fresh))])
+                    new, new_lettered = model.emissions(fresh)
+                    emit = np.concatenate([emit, new])
+                    lettered = np.concatenate([lettered, new_lettered])
                 rows = np.fromiter(map(place.__getitem__, distinct), np.int64, len(distinct))
                 word = rows[codes.indices.to_numpy()] if len(rows) else rows
                 # Words without letters tell nothing and leave the chain.
-                counts = lettered[word]
+                counts = lettered[word] if len(rows) else np.zeros(0, bool)
                 doc = np.repeat(np.arange(len(n)), n)[counts]
                 word = word[counts]
                 lengths = np.bincount(doc, minlength=len(n))
