@@ -84,6 +84,61 @@ def test_sampled_mode_size(spark):
     assert 400 < n < 720  # Poisson around 560
 
 
+def test_sampled_rows_do_not_depend_on_the_layout(spark):
+    base = _month_rows(spark, 28, dup=20).repartition(1)
+    cfg = CFG.with_(present_threshold=1000, history_weights=(0.0, 0.9))
+    runs = []
+    for df in (base, base.repartition(7), base.repartition(3, "fare").sortWithinPartitions(F.desc("pickup_time"))):
+        runs.append(sorted(impute_month(df, cfg, mode="sampled").filter("is_imputed").collect()))
+    assert runs[0] == runs[1] == runs[2] and 380 < len(runs[0]) < 630
+    other = impute_month(base, cfg.with_(impute_seed=7), mode="sampled").filter("is_imputed").collect()
+    assert sorted(other) != runs[0]
+
+
+def test_sampled_copies_are_poisson(spark):
+    from tripaudit.operators import poisson_sample
+
+    base = spark.range(40_000).select(F.col("id").cast("string").alias("k"))
+    per = poisson_sample(base, 1.3, 1).groupBy("k").count().groupBy("count").count().toDF("copies", "rows")
+    rows = {r.copies: r.rows for r in per.collect()}
+    import math
+
+    for k in range(1, 5):
+        want = 40_000 * math.exp(-1.3) * 1.3**k / math.factorial(k)
+        assert abs(rows[k] - want) < 5 * want**0.5
+    # one row repeated many times is drawn copy by copy
+    same = base.limit(1).crossJoin(spark.range(30_000)).select("k")
+    assert abs(poisson_sample(same, 0.5, 1, chunk=100).count() - 15_000) < 700
+    with pytest.raises(ValueError):
+        poisson_sample(base, 1e6, 1)
+
+
+@pytest.mark.parametrize(("year", "month", "pairs"), [
+    (2024, 12, [("2023-12-01 10:00", "2024-12-01 10:00"), ("2023-12-31 23:30", "2024-12-31 23:30")]),
+    (2025, 2, [("2024-02-28 01:00", "2025-02-28 01:00"), ("2024-02-29 01:00", "2025-02-28 01:00")]),
+    (2024, 2, [("2023-02-28 01:00", "2024-02-28 01:00")]),
+    (2025, 12, [("2024-12-31 23:50", "2025-12-31 23:50")]),
+])
+def test_imputed_rows_keep_their_day_of_the_month(spark, year, month, pairs):
+    rows = [dict(pickup_time=a, dropoff_time=a[:-2] + "59", taxi_type="yellow") for a, _ in pairs]
+    cfg = CFG.with_(impute_year=year, impute_month=month, present_threshold=1000, history_weights=(0.0, 1.0))
+    got = impute_month(trips_df(spark, rows), cfg).filter("is_imputed").collect()
+    assert sorted((f"{r.pickup_time:%Y-%m-%d %H:%M}", f"{r.dropoff_time - r.pickup_time}") for r in got) == sorted(
+        (b, str(dt.timedelta(minutes=59 - int(a[-2:])))) for a, b in pairs)
+    assert all((r.pickup_time.year, r.pickup_time.month) == (year, month) for r in got)
+
+
+def test_history_scan_errors_are_raised(spark, tmp_dir):
+    from tripaudit.sources import count_history_files
+
+    assert count_history_files(spark, f"{tmp_dir}/none", 2023, 12) == 0
+    assert count_history_files(spark, tmp_dir, 2023, 12) == 0
+    with open(f"{tmp_dir}/green_tripdata_2023-12.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    with pytest.raises(Exception, match="green_tripdata_2023-12"):
+        count_history_files(spark, tmp_dir, 2023, 12)
+
+
 def test_orders_counts(spark):
     r = impute_counts(orders_trips(spark, SF001), AuditConfig(impute_year=2001)).first()
     assert (r.n_base_old, r.n_base_new, r.n_target, r.target, r.action) == (184, 199, 0, 194, "impute")

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from tripaudit.config import AuditConfig
 from tripaudit.plans.audit_run import run_audit
 from tripaudit.sources import weather_rows
-from tripaudit.sources.tables import weather_feed
-from tripaudit.streaming import start_intake
+from tripaudit.sources.tables import TABLE_FLEETS, weather_feed
+from tripaudit.streaming import read_intake, start_intake
 
 
 def test_run_audit_on_test_tables(spark, tmp_dir):
-    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=("orders", "lineitem"))
-    res = run_audit(spark, SF0001, tmp_dir, cfg, weather=weather_rows(weather_feed(spark, SF0001)))
+    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=TABLE_FLEETS)
+    res = run_audit(spark, SF0001, tmp_dir, cfg, weather=weather_rows(weather_feed(spark, SF0001)),
+                    keep_staged=True)
+    assert res.complete and res.imputation.action == "impute" and res.ids_lost == 0
     acc = res.frames["row_accounting"].first()
     assert acc.total == acc.clean + acc.audit + acc.undetermined
     staged = spark.read.parquet(res.staged_path)
@@ -112,7 +114,7 @@ def test_command_line_run(spark, tmp_dir):
 def test_dashboard_read_path(spark, tmp_dir):
     from tripaudit.plans.dashboard import load_dashboard
 
-    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=("orders", "lineitem"))
+    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=TABLE_FLEETS)
     res = run_audit(spark, SF0001, tmp_dir, cfg, weather=weather_rows(weather_feed(spark, SF0001)))
     dash = load_dashboard(spark, tmp_dir)
     assert {"volume_by_year", "velocity_pivot", "tip_series", "rain_correlation", "rain_trend"} <= set(dash)
@@ -155,3 +157,52 @@ def test_command_line_links_and_intake(spark, tmp_dir, capsys):
     assert main(["intake", "--raw", raw, "--out", out, "--fleets", "yellow",
                  "--checkpoint", os.path.join(tmp_dir, "ck")]) == 0
     assert spark.read.parquet(out).count() == 2
+
+
+def test_staged_table_is_deleted_and_frames_stay_readable(spark, tmp_dir):
+    from tripaudit.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark)
+    before = set(os.listdir(root.removeprefix("file:")))
+    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=TABLE_FLEETS)
+    res = run_audit(spark, SF0001, tmp_dir, cfg)
+    left = {x for x in set(os.listdir(root.removeprefix("file:"))) - before if "staged" in x}
+    assert res.staged_path is None and not left
+    assert res.frames["period_summary"].count() > 0
+    assert res.frames["imputation"].first().action == "impute"
+
+
+def test_audit_from_taken_in_trips_equals_the_audit_of_files(spark, tmp_dir):
+    raw, table = (os.path.join(tmp_dir, d) for d in ("raw", "table"))
+    os.makedirs(raw)
+    _yellow_file(os.path.join(raw, "yellow_tripdata_2024-03.parquet"), 0, 5)
+    _yellow_file(os.path.join(raw, "yellow_tripdata_2024-04.parquet"), 20, 3)
+    cfg = AuditConfig(impute_year=2025, impute_month=3, history_weights=(0.0, 1.0), fleets=("yellow",))
+    for q in start_intake(spark, raw, table, fleets=("yellow",), checkpoint=os.path.join(tmp_dir, "ck")):
+        q.awaitTermination(120)
+    # a file that no batch committed does not count
+    _yellow_file(os.path.join(table, "taxi_type=yellow", "stray.parquet"), 40, 4)
+    files = run_audit(spark, raw, os.path.join(tmp_dir, "a"), cfg)
+    taken = run_audit(spark, None, os.path.join(tmp_dir, "b"), cfg, intake=read_intake(spark, table, ("yellow",)))
+    assert files.imputation == taken.imputation and taken.imputation.action == "impute"
+    for name in ("row_accounting", "period_summary", "velocity_heatmap", "source_counts", "q1_comparison"):
+        assert sorted(files.frames[name].collect()) == sorted(taken.frames[name].collect()), name
+
+
+def test_failed_report_is_raised_or_listed(spark, tmp_dir):
+    import pytest
+
+    cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=TABLE_FLEETS)
+    bad = spark.range(1).selectExpr("date'2000-01-01' as date", "cast(raise_error('broken') as double) as precipitation")
+    with pytest.raises(Exception, match="broken"):
+        run_audit(spark, SF0001, tmp_dir, cfg, weather=bad)
+    res = run_audit(spark, SF0001, tmp_dir, cfg, weather=bad, skip_failed_reports=True)
+    assert not res.complete and "rain_correlation" in res.failed_reports and "q1_comparison" in res.reports
+
+
+def test_preview_shows_small_reports(spark, tmp_dir, capsys):
+    from tripaudit.plans.audit_run import preview
+
+    preview(run_audit(spark, SF0001, tmp_dir, AuditConfig(fleets=TABLE_FLEETS)))
+    shown = capsys.readouterr().out
+    assert "row_accounting" in shown and "audit_leakage" in shown and " |-- pickup_time" in shown

@@ -9,8 +9,8 @@ import pytest
 from conftest import SF001
 
 from tripaudit.schema import UNIFIED_COLUMNS, UNIFIED_SCHEMA, unify_schema
+from tripaudit.sources.tables import TABLE_FLEETS
 from tripaudit.sources import load_trips, read_fleet, source_counts
-from tripaudit.sources.tables import LINEITEM_FLEET  # noqa: F401  (registers fleets)
 
 T0 = dt.datetime(2024, 1, 5, 8, 30)
 
@@ -90,7 +90,7 @@ def test_fleet_without_files_is_skipped(spark, tmp_dir):
 
 def test_missing_directory_and_no_data(spark, tmp_dir):
     assert load_trips(spark, os.path.join(tmp_dir, "nope")) is None
-    assert load_trips(spark, tmp_dir) is None  # directory without any file
+    assert load_trips(spark, tmp_dir).count() == 0  # directory without any file
 
 
 def test_unknown_fleet_rejected(spark, raw_dir):
@@ -116,24 +116,55 @@ def test_csv_sink_accepts_unified_nulls(spark, tmp_dir):
 
 
 def test_test_table_fleets(spark):
-    trips = load_trips(spark, SF001, fleets=("orders", "lineitem"))
+    trips = load_trips(spark, SF001, fleets=TABLE_FLEETS)
     got = {r.taxi_type: r["count"] for r in source_counts(trips).collect()}
     assert got == {"orders": 15000, "lineitem": 60000}
 
 
-def test_unreadable_fleet_is_left_out(spark, tmp_dir):
+def test_unreadable_file_fails_unless_ignored(spark, tmp_dir):
     pq.write_table(_green(2), os.path.join(tmp_dir, "green_tripdata_2024-05.parquet"))
     with open(os.path.join(tmp_dir, "yellow_tripdata_2024-05.parquet"), "wb") as f:
         f.write(b"not a parquet file")
-    trips = load_trips(spark, tmp_dir)
-    assert {r.taxi_type for r in trips.collect()} == {"green"}
-    # opt-in: skip only the unreadable file and keep the fleet's good files
     pq.write_table(_yellow(3, pa.int64()), os.path.join(tmp_dir, "yellow_tripdata_2024-06.parquet"))
+    with pytest.raises(Exception, match="yellow_tripdata_2024-05"):
+        load_trips(spark, tmp_dir).collect()
+    # opt-in: skip only the unreadable file and keep the fleet's good files
     kept = load_trips(spark, tmp_dir, ignore_corrupt_files=True)
     got = {r.taxi_type: r["count"] for r in source_counts(kept).collect()}
     assert got == {"yellow": 3, "green": 2}
 
 
+def test_failing_fleet_ends_the_run_unless_left_out(spark, tmp_dir):
+    from tripaudit.plans.audit_run import read_staged, run_audit, stage_audit
+
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "out")
+    os.makedirs(raw)
+    pq.write_table(_green(2), os.path.join(raw, "green_tripdata_2024-05.parquet"))
+    pq.write_table(_yellow(3, pa.int64()), os.path.join(raw, "yellow_tripdata_2024-06.parquet"))
+    with open(os.path.join(raw, "yellow_tripdata_2024-05.parquet"), "wb") as f:
+        f.write(b"not a parquet file")
+    with pytest.raises(Exception, match="yellow_tripdata_2024-05"):
+        stage_audit(spark, raw)
+    done = stage_audit(spark, raw, skip_failed_fleets=True)
+    assert list(done.skipped_fleets) == ["yellow"]
+    assert {r.taxi_type: r["count"] for r in source_counts(read_staged(spark, done.path)).collect()} == {"green": 2}
+    res = run_audit(spark, raw, out, skip_failed_fleets=True)
+    assert not res.complete and list(res.skipped_fleets) == ["yellow"]
+    assert res.frames["intake_losses"].first().fleets_left_out == "yellow"
+    from tripaudit.__main__ import main
+
+    assert main(["--raw", raw, "--out", out + "2", "--quiet", "--skip-failed-fleets"]) == 1
+
+
+def test_intake_counts_ids_that_do_not_fit(spark, tmp_dir):
+    from tripaudit.plans.audit_run import stage_audit
+
+    t = pa.array([T0] * 3, pa.timestamp("us"))
+    pq.write_table(pa.table({"tpep_pickup_datetime": t, "PULocationID": pa.array([5, 3_000_000_000, None], pa.int64())}),
+                   os.path.join(tmp_dir, "yellow_tripdata_2024-01.parquet"))
+    assert stage_audit(spark, tmp_dir).counts["ids_lost"] == 1
+
+
 def test_out_of_range_id_becomes_null(spark):
     df = spark.createDataFrame([(T0, 5), (T0, 3_000_000_000)], "tpep_pickup_datetime timestamp_ntz, PULocationID long")
     got = [r.pickup_loc for r in unify_schema(df, "yellow").collect()]

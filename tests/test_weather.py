@@ -61,3 +61,15 @@ def test_duplicate_days_multiply_like_an_inner_merge(spark):
                  '{"daily":{"time":["2025-01-01"],"precipitation_sum":[0.7]}}')
     got = sorted(tuple(r) for r in rain_join(daily, weather_rows(docs)).collect())
     assert got == [(dt.date(2025, 1, 1), 10, 0.5), (dt.date(2025, 1, 1), 10, 0.7)]
+
+
+def test_year_bounds_and_unread_days(spark):
+    import datetime as dt
+
+    from tripaudit.sources import in_year, unread_days, weather_rows
+
+    doc = '{"daily":{"time":["2024-12-31","2025-01-01","2025-12-31","2026-01-01","soon"],"precipitation_sum":[1,2,3,4,5]}}'
+    days = weather_rows(spark.createDataFrame([(doc,)], "json string"))
+    assert [r.date for r in in_year(days, 2025).collect()] == [dt.date(2025, 1, 1), dt.date(2025, 12, 31)]
+    assert in_year(days, None).count() == 5
+    assert unread_days(days).first()[0] == 1

@@ -44,14 +44,18 @@ class AuditConfig:
     impute_year: int = 2025
     impute_month: int = 12
     history_weights: tuple[float, float] = (0.3, 0.7)
-    # A target month with more rows than this counts as present.
+    # A target month with more rows than this counts as present.  The rule decides whether
+    # a month is imputed at all, so the run reports the action taken.
     present_threshold: int = 1000
-    shift_days: int = 365
     impute_seed: int = 2025
 
+    # Days of one year joined to demand (None: every landed day).
+    weather_year: int | None = None
+
     top_leakage: int = 3
     top_vendors: int = 5
-    fleets: tuple[str, ...] = field(default=FLEET_NAMES)
+    # Registered names, or FleetSpec objects.
+    fleets: tuple = field(default=FLEET_NAMES)
 
     def with_(self, **changes) -> "AuditConfig":
         from dataclasses import replace

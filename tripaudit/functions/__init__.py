@@ -9,7 +9,7 @@ from tripaudit.functions.text import (
     parsed_markup,
     strip_ws,
 )
-from tripaudit.functions.time import in_month, month_bounds, month_start, shift_days
+from tripaudit.functions.time import days_to_next_year, in_month, month_bounds, month_start, shift_days
 from tripaudit.functions.trips import (
     duration_hours,
     duration_seconds,
@@ -23,6 +23,7 @@ from tripaudit.functions.trips import (
 __all__ = [
     "attribute_value",
     "contains_any",
+    "days_to_next_year",
     "duration_hours",
     "duration_seconds",
     "ghost_flag",

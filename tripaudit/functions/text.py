@@ -1,49 +1,91 @@
-"""String expressions for link harvesting."""
+"""String expressions for link harvesting.
+
+Anchors are read the way an HTML parser reports them: comments, scripts and styles are
+skipped (an unclosed one swallows the rest of the page), attribute values may be quoted
+either way or bare and may hold ``>`` when quoted, the last ``href`` of a tag counts, a
+bare ``href`` is empty, and character references are decoded once, left to right.
+
+Every pattern is possessive: it never gives back what it has read, so its time is linear
+in the page and its stack depth does not depend on the length of a value.  A tag that is
+never closed is read to the end of the page once and is no anchor.
+"""
 
 from __future__ import annotations
 
+import html
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Anchor href values, the way an HTML parser reports them:
-# - markup inside comments, <script> and <style> is not parsed;
-# - ``href`` must be an attribute of its own (not the tail of ``data-href``),
-#   and quoted values before it may contain ``>``;
-# - the value may be double-quoted, single-quoted or bare;
-# - the five predefined entities are decoded (``&amp;`` last).
-# Comments, scripts and styles in one pass (alternatives tried only at '<').
-SKIPPED_MARKUP = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
-HREF_PATTERN = (r"""(?i)<a\s(?:(?:[^>"']|"[^"]*"|'[^']*')*?\s)?"""
-                r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
-DQUOTED = r'(?s)^"(.*)"$'
-SQUOTED = r"(?s)^'(.*)'$"
-# Predefined entity -> character, decoded in this order.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&apos;", "'"), ("&amp;", "&"))
-
-# Characters removed from both ends of a harvested href (ASCII whitespace).
-STRIP_CHARS = " \t\n\r\x0b\x0c"
-
-
-def parsed_markup(html: str = "html") -> Column:
-    """Page text without comments, scripts and styles."""
-    return F.regexp_replace(F.col(html), F.lit(SKIPPED_MARKUP), F.lit(""))
+SKIPPED_MARKUP = (r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*+>|\z)"
+                  r"|style\b.*?(?:</style\s*+>|\z))")
+ATTRIBUTE = r"""([^\s/>][^\s/>=]*+)(\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+"""
+ANCHOR = r"""(?i)<a((?:[\s/]++(?:[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)?+)*+)(?:>|\z)"""
+REFERENCE = r"&(?:#[0-9]++;?+|#[xX][0-9a-fA-F]++;?+|[^\t\n\f <&#;]{1,32}+;?+)"
+#: Names that are decoded without a closing semicolon too, longest first.
+OPEN_NAMES = "|".join(sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+#: Numbers that stand for the characters of an older code page.
+OLD_NUMBERS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+#: What ``str.strip`` takes off: white space of all scripts.
+STRIP_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def hrefs(html: str = "html") -> Column:
-    """Array of raw (possibly quoted) href values in document order."""
-    return F.regexp_extract_all(parsed_markup(html), F.lit(HREF_PATTERN), F.lit(1))
+def parsed_markup(col: str = "html") -> Column:
+    """Page text without comments, scripts and styles."""
+    return F.regexp_replace(F.col(col), F.lit(SKIPPED_MARKUP), F.lit(""))
+
+
+def hrefs(col: str = "html") -> Column:
+    """Array of raw (possibly quoted) href values of all anchors that have one, in document
+    order; an empty string for a bare ``href``."""
+    def last_href(body: Column) -> Column:
+        names = F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(1))
+        values = F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(2))
+        pairs = F.filter(F.zip_with(names, values, lambda n, v: F.struct(F.lower(n).alias("n"), v.alias("v"))),
+                         lambda p: p["n"] == "href")
+        value = F.try_element_at(pairs, F.lit(-1))["v"]
+        return F.regexp_replace(value, F.lit(r"^\s*+=\s*+"), F.lit(""))
+
+    tags = F.filter(F.regexp_extract_all(parsed_markup(col), F.lit(ANCHOR), F.lit(0)), lambda t: t.endswith(">"))
+    return F.filter(F.transform(tags, lambda t: last_href(F.substring(t, F.lit(3), F.length(t) - 3))),
+                    lambda v: v.isNotNull())
+
+
+def character(code: Column) -> Column:
+    """The character of a code point, as an HTML parser reads a numeric reference."""
+    old = F.create_map(*[F.lit(x) for kv in OLD_NUMBERS.items() for x in kv])
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    dropped = ((code < 9) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+               | ((code % 65536) >= 0xFFFE))
+    return (F.when(code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+            .when(code.between(0x80, 0x9F), F.try_element_at(old, code.cast("int")))
+            .when(dropped, "").otherwise(plain))
+
+
+def decoded(ref: Column) -> Column:
+    """One character reference, decoded; unknown ones are left as they are."""
+    names = F.from_json(F.lit(json.dumps(html.entities.html5)), "map<string,string>")
+    number = F.rtrim(ref, F.lit(";"))
+    code = (F.when(F.lower(F.substring(ref, 3, 1)) == "x", F.conv(F.substring(number, 4, 100), 16, 10))
+            .otherwise(F.substring(number, 3, 100)).try_cast("bigint"))
+    name = F.substring(ref, 2, 100)
+    start = F.regexp_extract(name, f"^({OPEN_NAMES})", 1)
+    return (F.when(F.substring(ref, 2, 1) == "#", character(code))
+            .when(F.try_element_at(names, name).isNotNull(), F.try_element_at(names, name))
+            .when(start != "", F.concat(F.try_element_at(names, start), F.substring(name, F.length(start) + 1, F.lit(100))))
+            .otherwise(ref))
 
 
 def attribute_value(raw: Column) -> Column:
-    """Unquote a raw attribute value and decode the predefined entities."""
-    v = F.regexp_replace(F.regexp_replace(raw, F.lit(DQUOTED), F.lit("$1")),
-                         F.lit(SQUOTED), F.lit("$1"))
-    for entity, char in ENTITIES:
-        v = F.replace(v, F.lit(entity), F.lit(char))
-    return v
+    """Unquote a raw attribute value and decode its character references."""
+    quoted = raw.startswith('"') | raw.startswith("'")
+    v = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+    refs = F.transform(F.regexp_extract_all(v, F.lit(REFERENCE), F.lit(0)), decoded)
+    texts = F.split(v, REFERENCE, -1)
+    joined = F.array_join(F.flatten(F.zip_with(texts, refs, lambda t, r: F.array(t, F.coalesce(r, F.lit(""))))), "")
+    return F.when(F.contains(v, F.lit("&")), joined).otherwise(v)
 
 
 def strip_ws(c: Column) -> Column:

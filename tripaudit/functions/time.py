@@ -30,10 +30,17 @@ def ntz_literal(value: dt.datetime) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'")
 
 
-def shift_days(col: str, days: int) -> Column:
+def days_to_next_year(col: str) -> Column:
+    """Whole days from a timestamp's date to the same date one year on; 29 February goes to
+    28 February."""
+    day = F.col(col).cast("date")
+    return F.date_diff(F.add_months(day, 12), day)
+
+
+def shift_days(col: str, days: Column) -> Column:
     """Move a timestamp by whole days keeping the time of day (a plain
     ``date_add`` would truncate it to midnight)."""
-    return F.col(col) + F.make_dt_interval(F.lit(days))
+    return F.col(col) + F.make_dt_interval(days)
 
 
 def month_start(year: str = "year", month: str = "month") -> Column:

@@ -22,9 +22,12 @@ from tripaudit.operators.ghost import (
 from tripaudit.operators.impute import (
     ImputePlan,
     exact_sample,
+    fallback_plan,
     impute_counts,
     impute_month,
+    imputed_rows,
     plan_imputation,
+    poisson_sample,
 )
 from tripaudit.operators.reshape import tip_series, velocity_pivot
 from tripaudit.operators.weather import rain_elasticity, rain_join, rain_trend
@@ -44,15 +47,18 @@ __all__ = [
     "daily_trips",
     "derive_metrics",
     "exact_sample",
+    "fallback_plan",
     "filter_ghost_trips",
     "flag_ghosts",
     "ghost_vendors",
     "impute_counts",
     "impute_month",
+    "imputed_rows",
     "mark_zone",
     "mark_zone_table",
     "period_summary",
     "plan_imputation",
+    "poisson_sample",
     "q1_comparison",
     "rain_elasticity",
     "rain_join",

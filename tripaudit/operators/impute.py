@@ -3,8 +3,10 @@
 The target month is filled from the same month one year earlier, sized by a
 weighted average of the two previous years.  Two sampling modes:
 
-* ``sampled`` - Poisson sample with replacement (``DataFrame.sample``),
-  seeded; size is only approximately the target.
+* ``sampled`` - Poisson sample with replacement: every row draws its number
+  of copies from a uniform that is a function of the seed and the row alone
+  (md5), so the same rows give the same sample under any layout; its size is
+  only approximately the target.
 * ``exact``   - deterministic: with the base month's n rows in a fixed
   order, row i is repeated ``floor((i+1)t/n) - floor(it/n)`` times, so the
   output holds exactly t rows for any t/n (also above 1).
@@ -23,13 +25,14 @@ hash-spread over tasks before expansion.
 from __future__ import annotations
 
 import logging
+import math
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT, AuditConfig
-from tripaudit.functions.time import in_month, shift_days
+from tripaudit.functions.time import days_to_next_year, in_month, shift_days
 from tripaudit.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
@@ -93,18 +96,22 @@ def plan_imputation(trips: DataFrame, cfg: AuditConfig = DEFAULT,
     instead (fallback history scan)."""
     row = impute_counts(trips, cfg).first()
     n_old, n_new, n_target = row["n_base_old"], row["n_base_new"], row["n_target"]
+    return fallback_plan(n_old, n_new, n_target, cfg, spark, raw_dir)
+
+
+def fallback_plan(n_old: int, n_new: int, n_target: int, cfg: AuditConfig,
+                  spark: SparkSession | None = None, raw_dir: str | None = None) -> ImputePlan:
+    """The decision for counted months, with the fallback history scan where it applies."""
     if n_old == 0 and raw_dir and spark is not None and n_target <= cfg.present_threshold:
         from tripaudit.sources.trips import count_history_files
 
         n_old = count_history_files(spark, raw_dir, cfg.impute_year - 2, cfg.impute_month)
-        w_old, w_new = cfg.history_weights
-        target = int(float(w_old) * n_old + float(w_new) * n_new)
-        fraction = target / n_new if n_new else None
-        action = ("present" if n_target > cfg.present_threshold else
-                  "no_history" if target == 0 else
-                  "empty_base" if n_new == 0 else "impute")
-        return ImputePlan(n_old, n_new, n_target, target, fraction, action)
-    return ImputePlan(n_old, n_new, n_target, row["target"], row["fraction"], row["action"])
+    w_old, w_new = cfg.history_weights
+    target = math.floor(float(w_old) * n_old + float(w_new) * n_new)
+    action = ("present" if n_target > cfg.present_threshold else
+              "no_history" if target == 0 else
+              "empty_base" if n_new == 0 else "impute")
+    return ImputePlan(n_old, n_new, n_target, target, target / n_new if n_new else None, action)
 
 
 def _floor_scaled(pos: str, target: int, n: int) -> F.Column:
@@ -131,8 +138,11 @@ def place_groups(groups: DataFrame, order: list[F.Column], n: int,
     # tiny one a single range.
     p = max(1, -(-n // rows_per_range))
     within = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # The window needs its rows by range id; the width is given, as the planner's
+    # would be the session's.
     ranged = (groups.repartitionByRange(p, *order)
               .withColumn("_p", F.spark_partition_id())
+              .repartition(p, "_p")
               .withColumn("_local", F.sum("_m").over(within)))
     ensure_checkpoint_dir(spark)
     ranged = ranged.checkpoint(eager=True)
@@ -188,14 +198,71 @@ def exact_sample(base: DataFrame, target: int, n: int, chunk: int = EXPAND_CHUNK
             .select(*cols))
 
 
+def row_key(cols: list[str], types: dict[str, str], seed: int) -> F.Column:
+    """Text key of a row that other SQL engines can build alike: amounts as whole
+    hundredths, other values as their text, NULL as a mark of its own."""
+    def part(c):
+        v = F.col(c)
+        if types[c] == "double":
+            v = F.round(v * 100).cast("bigint")
+        return F.coalesce(v.cast("string"), F.lit("~"))
+
+    return F.concat_ws("|", F.lit(str(seed)), *[part(c) for c in cols])
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """Cumulative probabilities of a Poisson count, up to where they no longer grow."""
+    if not 0 <= mean <= 500:
+        raise ValueError(f"{mean} copies a row are not sampled; use the exact mode")
+    steps, p, total, k = [], math.exp(-mean), 0.0, 0
+    while not steps or (total + p > total and k < 2000):
+        total += p
+        steps.append(total)
+        k += 1
+        p *= mean / k
+    return steps
+
+
+def poisson_sample(base: DataFrame, fraction: float, seed: int, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Every row of ``base`` zero or more times, Poisson distributed with mean ``fraction``.
+
+    Equal rows are counted first and told apart by an ordinal, so a row that is repeated
+    many times is one row on the way and is expanded in chunks spread over tasks."""
+    cols = base.columns
+    types = dict(base.dtypes)
+    groups = base.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    chunks = (groups.withColumn("_j", F.explode(F.expr(f"sequence(0, (_m - 1) div {chunk})")))
+              .repartition("_j", *cols))
+    rows = chunks.withColumn("_i", F.explode(F.expr(
+        f"sequence(_j * {chunk}, least(_m, (_j + 1) * {chunk}) - 1)")))
+    key = F.concat(row_key(cols, types, seed), F.lit("|"), F.col("_i").cast("string"))
+    u = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    steps = F.array(*[F.lit(x) for x in poisson_steps(float(fraction))])
+    copies = F.size(F.filter(steps, lambda x: u >= x))
+    return (rows.withColumn("_copies", copies).filter("_copies > 0")
+            .withColumn("_c", F.explode(F.array_repeat(F.lit(True), F.col("_copies")))).select(*cols))
+
+
+def imputed_rows(base: DataFrame, plan: ImputePlan, cfg: AuditConfig = DEFAULT, mode: str = "exact") -> DataFrame:
+    """Rows of the base month drawn to the plan's size and moved to the same day and time one
+    year on (29 February to 28 February).  A drop-off moves by as many days as its pick-up."""
+    if mode == "exact":
+        rows = exact_sample(base, plan.target, plan.n_base_new)
+    else:
+        rows = poisson_sample(base, plan.fraction, cfg.impute_seed)
+    return (rows.withColumn("_days", days_to_next_year("pickup_time"))
+            .withColumn("pickup_time", shift_days("pickup_time", F.col("_days")))
+            .withColumn("dropoff_time", shift_days("dropoff_time", F.col("_days"))).drop("_days"))
+
+
 def impute_month(trips: DataFrame, cfg: AuditConfig = DEFAULT, mode: str = "exact",
                  plan: ImputePlan | None = None, spark: SparkSession | None = None,
                  raw_dir: str | None = None) -> DataFrame:
     """``trips`` plus imputed rows for the target month, flagged by
-    ``is_imputed``.  Imputed rows are base-month rows moved forward by
-    ``cfg.shift_days`` days with their time of day kept.  A present target
-    month is topped up, never replaced.  Any failed guard returns the
-    input unchanged (with ``is_imputed = false``)."""
+    ``is_imputed``: base-month rows moved to the same day of the target month with
+    their time of day kept.  A present target month is topped up, never
+    replaced.  Any failed guard returns the input unchanged (with
+    ``is_imputed = false``)."""
     if mode not in ("exact", "sampled"):
         raise ValueError(f"unknown imputation mode: {mode}")
     plan = plan or plan_imputation(trips, cfg, spark, raw_dir)
@@ -204,13 +271,5 @@ def impute_month(trips: DataFrame, cfg: AuditConfig = DEFAULT, mode: str = "exac
         log.info("imputation skipped: %s", plan.action)
         return real
     _, new, _ = _months(cfg)
-    base = trips.filter(new)
-    if mode == "exact":
-        rows = exact_sample(base, plan.target, plan.n_base_new)
-    else:
-        rows = base.sample(withReplacement=True, fraction=float(plan.fraction),
-                           seed=cfg.impute_seed)
-    shifted = (rows.withColumn("pickup_time", shift_days("pickup_time", cfg.shift_days))
-               .withColumn("dropoff_time", shift_days("dropoff_time", cfg.shift_days))
-               .withColumn("is_imputed", F.lit(True)))
-    return real.unionByName(shifted)
+    rows = imputed_rows(trips.filter(new), plan, cfg, mode)
+    return real.unionByName(rows.withColumn("is_imputed", F.lit(True)))

@@ -24,20 +24,13 @@ def mark_zone(trips: DataFrame, ids: Iterable[int] = ZONE_IDS) -> DataFrame:
     return trips.withColumn("inside_zone", F.col("dropoff_loc").isin(list(ids)))
 
 
-# Largest zone table broadcast to every task (location ids are a small
-# domain; anything larger is joined by a shuffle instead).
-MAX_BROADCAST_ZONES = 100_000
-
-
 def mark_zone_table(trips: DataFrame, zones: DataFrame, id_col: str = "LocationID") -> DataFrame:
     """``inside_zone`` from a zone table instead of a literal list: TRUE when
     the drop-off id is in ``zones[id_col]``, FALSE when not, NULL when the
-    id is NULL (the same three values as :func:`mark_zone`).  The distinct
-    ids are broadcast after a size check (one small count job); a larger
-    table is joined by a shuffle."""
+    id is NULL (the same three values as :func:`mark_zone`).  The planner
+    chooses the join; AQE broadcasts the distinct ids when they measure small."""
     ids = zones.select(F.col(id_col).cast("int").alias("_zone_id")).dropna().distinct()
-    side = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_ZONES else ids
-    joined = trips.join(side, trips["dropoff_loc"] == side["_zone_id"], "left")
+    joined = trips.join(ids, trips["dropoff_loc"] == ids["_zone_id"], "left")
     flag = F.when(F.col("dropoff_loc").isNull(), F.lit(None).cast("boolean")) \
         .otherwise(F.col("_zone_id").isNotNull())
     return joined.withColumn("inside_zone", flag).drop("_zone_id")

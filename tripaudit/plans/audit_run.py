@@ -1,26 +1,34 @@
 """The whole audit as one Spark application (FLW-4).
 
-Raw fleet files are scanned once to stage a flagged trip table (metrics,
-three-valued ``is_ghost``, ``inside_zone``, ``is_imputed``), written as
-Parquet partitioned by status (clean / audit / undetermined) and pick-up
-year and month into a shared folder.  That
-write cuts the lineage: a lost executor costs a re-read of staged files,
-not a re-run of intake and imputation.  Every report is then a pruned,
-filter-pushed scan of the staged table plus one small aggregate, instead of
-a re-read of the raw sources per action.
+Raw fleet files are scanned once, by the write that stages the flagged trip
+table (metrics, three-valued ``is_ghost``, ``inside_zone``, ``is_imputed``) as
+Parquet partitioned by status (clean / audit / undetermined) and pick-up year
+and month in a shared folder.  That write also counts: row accounting, the
+three history months and the ids that did not fit come from it as observed
+metrics.  The base month of the imputation is then read from its staged
+partition, and the imputed rows are appended.  Every report is a pruned,
+filter-pushed scan of the staged table plus one small aggregate.
+
+Nothing is left out silently: a fleet, report or weather step that fails ends
+the run unless the caller opts into leaving it out, and then the result lists
+it and is not ``complete``.
 """
 
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 from pyspark.util import inheritable_thread_target
 
 from tripaudit.config import DEFAULT, AuditConfig
+from tripaudit.functions.time import in_month
 from tripaudit.functions.trips import (
     ghost_flag,
     rule_fast,
@@ -28,15 +36,16 @@ from tripaudit.functions.trips import (
     rule_zero_distance,
 )
 from tripaudit.operators import (
+    ImputePlan,
     audit_leakage,
     border_effect,
     daily_trips,
     derive_metrics,
+    fallback_plan,
     ghost_vendors,
-    impute_month,
+    imputed_rows,
     mark_zone,
     period_summary,
-    plan_imputation,
     q1_comparison,
     rain_elasticity,
     rain_join,
@@ -46,12 +55,43 @@ from tripaudit.operators import (
     velocity_heatmap,
     volume_by_quarter,
 )
-from tripaudit.session import scratch_path
-from tripaudit.sources import load_trips, source_counts, write_csv, write_parquet
+from tripaudit.schema import UNIFIED_COLUMNS, UNIFIED_SCHEMA, fleet, ids_lost, unify_schema
+from tripaudit.session import delete_path, scratch_path
+from tripaudit.sources import (
+    in_year,
+    read_csv,
+    read_fleet,
+    source_counts,
+    unread_days,
+    write_csv,
+    write_parquet,
+)
+from tripaudit.sources.trips import path_missing
 
 log = logging.getLogger(__name__)
 
 ACCOUNTING_COLUMNS = ("total", "clean", "audit", "undetermined", "rule_a", "rule_b", "rule_c")
+MONTHS = ("n_base_old", "n_base_new", "n_target")
+#: Explicit schema of the staged table: reading it takes no inference pass.
+STAGED_SCHEMA = T.StructType([
+    *UNIFIED_SCHEMA.fields,
+    T.StructField("duration_seconds", T.LongType()), T.StructField("duration_hours", T.DoubleType()),
+    T.StructField("speed_mph", T.DoubleType()), T.StructField("is_ghost", T.BooleanType()),
+    T.StructField("inside_zone", T.BooleanType()), T.StructField("is_imputed", T.BooleanType()),
+    T.StructField("status", T.StringType()), T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+])
+PREVIEWED = ("row_accounting", "ghost_vendors", "surcharge_compliance", "audit_leakage", "rain_correlation")
+
+
+@dataclass
+class Staged:
+    """A staged table and what its writes counted."""
+
+    path: str
+    counts: Counter
+    plan: ImputePlan
+    skipped_fleets: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass
@@ -60,6 +100,16 @@ class AuditResult:
     audit_path: str | None = None
     reports: dict[str, str] = field(default_factory=dict)
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    imputation: ImputePlan | None = None
+    skipped_fleets: dict[str, str] = field(default_factory=dict)
+    failed_reports: dict[str, str] = field(default_factory=dict)
+    ids_lost: int = 0
+    unread_weather_days: int = 0
+    corrupt_files_ignored: bool = False
+
+    @property
+    def complete(self) -> bool:
+        return self.audit_path is not None and not self.skipped_fleets and not self.failed_reports
 
 
 def accounting_metrics(cfg: AuditConfig = DEFAULT) -> list[F.Column]:
@@ -75,44 +125,106 @@ def accounting_metrics(cfg: AuditConfig = DEFAULT) -> list[F.Column]:
             n(rule_zero_distance(cfg)).alias("rule_c")]
 
 
-def stage_trips(trips: DataFrame, path: str, cfg: AuditConfig = DEFAULT,
-                observation: Observation | None = None) -> str:
-    """Write the flagged trip table once (partitioned by status, year, month).  With
-    an ``Observation`` the row accounting is collected by the write itself
-    (no second pass); Spark merges it from successful task attempts only."""
-    flagged = mark_zone(derive_metrics(trips, cfg).withColumn("is_ghost", ghost_flag(cfg)),
-                        cfg.zone_ids)
-    if "is_imputed" not in flagged.columns:
-        flagged = flagged.withColumn("is_imputed", F.lit(False))
+def month_metrics(cfg: AuditConfig = DEFAULT) -> list[F.Column]:
+    """Rows of the two history months and of the target month."""
+    y, m = cfg.impute_year, cfg.impute_month
+    return [F.count(F.when(in_month("pickup_time", year, m), 1)).alias(name)
+            for name, year in zip(MONTHS, (y - 2, y - 1, y), strict=True)]
+
+
+def flagged(trips: DataFrame, cfg: AuditConfig = DEFAULT, imputed: bool = False) -> DataFrame:
+    """Unified trips in the layout of the staged table."""
     g = F.col("is_ghost")
-    flagged = (flagged
-               .withColumn("status", F.when(g, F.lit("audit")).when(~g, F.lit("clean"))
-                           .otherwise(F.lit("undetermined")))
-               .withColumn("year", F.year("pickup_time"))
-               .withColumn("month", F.month("pickup_time")))
-    if observation is not None:
-        flagged = flagged.observe(observation, *accounting_metrics(cfg))
-    # Partitioned by status too, so the audit sink and the clean reports
-    # prune whole directories instead of filtering every row.  No shuffle
-    # before the write: a month would land in one task.  Raw files are per
-    # month, so each input split writes about one month's directories.
-    flagged.write.mode("overwrite").partitionBy("status", "year", "month").parquet(path)
-    return path
+    return (mark_zone(derive_metrics(trips, cfg).withColumn("is_ghost", ghost_flag(cfg)), cfg.zone_ids)
+            .withColumn("is_imputed", F.lit(imputed))
+            .withColumn("status", F.when(g, F.lit("audit")).when(~g, F.lit("clean")).otherwise(F.lit("undetermined")))
+            .withColumn("year", F.year("pickup_time"))
+            .withColumn("month", F.month("pickup_time")))
+
+
+def append_staged(rows: DataFrame, path: str, cfg: AuditConfig) -> Counter:
+    """Append flagged rows to the staged table; the write itself counts them (Spark merges
+    the observed metrics from successful task attempts only).
+
+    Partitioned by status too, so the audit sink and the clean reports prune whole
+    directories.  No shuffle before the write: a month would land in one task."""
+    seen = Observation()
+    rows.observe(seen, *accounting_metrics(cfg), *month_metrics(cfg)).write.mode("append") \
+        .partitionBy("status", "year", "month").parquet(path)
+    return Counter(seen.get)
+
+
+def read_staged(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STAGED_SCHEMA).parquet(path)
+
+
+def stage_fleet(spark: SparkSession, raw_dir: str, spec, path: str, cfg: AuditConfig,
+                ignore_corrupt_files: bool) -> Counter:
+    """Stage all rows of one fleet as loaded; its counts, ids that did not fit included."""
+    raw = read_fleet(spark, raw_dir, spec, ignore_corrupt_files)
+    if not raw.inputFiles():
+        log.info("no files of fleet %s", spec.name)
+        return Counter()
+    seen = Observation()
+    trips = unify_schema(raw.observe(seen, ids_lost(raw, spec).alias("ids_lost")), spec)
+    return append_staged(flagged(trips, cfg), path, cfg) + Counter(seen.get)
+
+
+def stage_imputed(base: DataFrame, plan: ImputePlan, path: str, cfg: AuditConfig, mode: str) -> Counter:
+    """Append the rows imputed from a staged base month."""
+    y, m = cfg.impute_year, cfg.impute_month
+    month = base.filter((F.col("year") == y - 1) & (F.col("month") == m)).select(*UNIFIED_COLUMNS)
+    counts = append_staged(flagged(imputed_rows(month, plan, cfg, mode), cfg, imputed=True), path, cfg)
+    return Counter({k: n for k, n in counts.items() if k not in MONTHS})
 
 
 def stage_audit(spark: SparkSession, raw_dir: str, cfg: AuditConfig = DEFAULT,
                 impute_mode: str = "exact", fleets=None, path: str | None = None,
-                observation: Observation | None = None) -> str | None:
-    """Intake -> imputation -> staged flagged table; returns its path (None
-    when there is no trip data).  The only step that reads raw files."""
-    trips = load_trips(spark, raw_dir, fleets or cfg.fleets)
-    if trips is None:
-        log.warning("no trip data under %s", raw_dir)
-        return None
-    plan = plan_imputation(trips, cfg, spark, raw_dir)
+                skip_failed_fleets: bool = False, ignore_corrupt_files: bool = False) -> Staged | None:
+    """Intake -> staged table -> imputation appended to it; None when there is no trip
+    data.  The only step that reads raw files, and it reads them once.
+
+    A fleet whose staging fails ends the run; with ``skip_failed_fleets`` it is left out
+    whole (a failed write commits nothing) and listed."""
+    path = path or scratch_path(spark, "staged-trips")
+    counts: Counter = Counter()
+    skipped: dict[str, str] = {}
+    for spec in [fleet(f) for f in fleets or cfg.fleets]:
+        try:
+            counts += stage_fleet(spark, raw_dir, spec, path, cfg, ignore_corrupt_files)
+        except Exception as exc:
+            if isinstance(exc, AnalysisException) and path_missing(exc):
+                log.warning("raw directory does not exist: %s", raw_dir)
+                return None
+            if not skip_failed_fleets:
+                raise
+            log.warning("fleet %s left out: %s", spec.name, exc)
+            skipped[spec.name] = str(exc)
+    plan = fallback_plan(*(counts[k] for k in MONTHS), cfg, spark, raw_dir)
     log.info("imputation plan: %s", plan)
-    trips = impute_month(trips, cfg, mode=impute_mode, plan=plan)
-    return stage_trips(trips, path or scratch_path(spark, "staged-trips"), cfg, observation)
+    if not counts["total"]:
+        log.warning("no trip data under %s", raw_dir)
+        return Staged("", counts, plan, skipped) if skipped else None
+    if plan.action == "impute":
+        counts += stage_imputed(read_staged(spark, path), plan, path, cfg, impute_mode)
+    return Staged(path, counts, plan, skipped)
+
+
+def stage_intake(spark: SparkSession, intake: DataFrame, cfg: AuditConfig = DEFAULT,
+                 impute_mode: str = "exact") -> tuple[DataFrame, Staged]:
+    """Start from trips that the streaming intake has flagged (``read_intake``): they are
+    counted in one pass and only the imputed rows are staged."""
+    path = scratch_path(spark, "staged-imputed")
+    row = intake.agg(*accounting_metrics(cfg), *month_metrics(cfg)).first()
+    counts = Counter(row.asDict())
+    plan = fallback_plan(*(counts[k] for k in MONTHS), cfg)
+    real = intake.withColumn("is_imputed", F.lit(False)).select(*STAGED_SCHEMA.fieldNames())
+    if plan.action == "impute":
+        counts += stage_imputed(real, plan, path, cfg, impute_mode)
+        real = real.unionByName(read_staged(spark, path))
+    else:
+        path = ""
+    return real, Staged(path, counts, plan)
 
 
 def staged_accounting(staged: DataFrame) -> DataFrame:
@@ -128,34 +240,20 @@ def staged_accounting(staged: DataFrame) -> DataFrame:
         n(g.isNull()).alias("undetermined"), n(~g & F.col("inside_zone")).alias("clean_in_zone"))
 
 
-def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
-              cfg: AuditConfig = DEFAULT, weather: DataFrame | None = None,
-              impute_mode: str = "exact", fleets=None,
-              report_threads: int = 4) -> AuditResult:
-    """Intake -> imputation -> staged flagged table -> audit sink and
-    reports.  ``weather`` is a daily series ``date, precipitation`` (see
-    ``weather_rows`` / ``load_weather``).  Returns the written paths and
-    the report frames."""
-    res = AuditResult()
-    observed = Observation("row_accounting")
-    res.staged_path = stage_audit(spark, raw_dir, cfg, impute_mode, fleets, observation=observed)
-    if res.staged_path is None:
-        return res
-    accounting = observed.get  # collected by the staging write, one small row
-    staged = spark.read.parquet(res.staged_path)
-    # Partition filters: each side reads only its own directories.
+def observed_accounting(spark: SparkSession, counts: Counter) -> DataFrame:
+    """Row accounting of the whole staged table, as its writes counted it."""
+    return spark.createDataFrame([tuple(counts[k] for k in ACCOUNTING_COLUMNS)],
+                                 ", ".join(f"{k} bigint" for k in ACCOUNTING_COLUMNS))
+
+
+def audit_reports(staged: DataFrame, cfg: AuditConfig = DEFAULT) -> dict[str, DataFrame]:
+    """The reports of a staged table.  Partition filters: each reads only its directories."""
     clean = staged.filter(F.col("status") == "clean")
     audit = staged.filter(F.col("status") == "audit")
     real = staged.filter(~F.col("is_imputed"))  # as loaded, before imputation
-
-    res.audit_path = write_parquet(audit.drop("is_ghost", "inside_zone", "status", "year", "month"),
-                                   f"{out_dir}/audit/ghost_trips_audit")
-    reports = {
+    return {
         "source_counts": source_counts(real),
         "period_summary": period_summary(real, use_partition_columns=True),
-        "row_accounting": spark.createDataFrame(
-            [tuple(accounting[k] for k in ACCOUNTING_COLUMNS)],
-            ", ".join(f"{k} bigint" for k in ACCOUNTING_COLUMNS)),
         "ghost_vendors": ghost_vendors(audit, cfg.top_vendors),
         "surcharge_compliance": surcharge_compliance(clean),
         "audit_leakage": audit_leakage(clean, cfg.top_leakage),
@@ -167,29 +265,96 @@ def run_audit(spark: SparkSession, raw_dir: str, out_dir: str,
         # extra filter prunes the scan to January-March directories.
         "q1_comparison": q1_comparison(clean.filter(F.col("month") <= 3)),
     }
+
+
+def weather_reports(staged: DataFrame, weather: DataFrame, cfg: AuditConfig = DEFAULT) -> dict[str, DataFrame]:
+    joined = rain_join(daily_trips(staged.filter(F.col("status") == "clean")), in_year(weather, cfg.weather_year))
+    return {"weather_elasticity": joined, "rain_correlation": rain_elasticity(joined), "rain_trend": rain_trend(joined)}
+
+
+def run_audit(spark: SparkSession, raw_dir: str | None, out_dir: str,
+              cfg: AuditConfig = DEFAULT, weather: DataFrame | None = None,
+              impute_mode: str = "exact", fleets=None, report_threads: int = 4,
+              intake: DataFrame | None = None, keep_staged: bool = False,
+              skip_failed_fleets: bool = False, skip_failed_reports: bool = False,
+              ignore_corrupt_files: bool = False) -> AuditResult:
+    """Intake -> staged flagged table -> imputation -> audit sink and reports.
+
+    Starts from the raw files, or from ``intake`` (``read_intake`` of a streamed table).
+    ``weather`` is a daily series ``date, precipitation`` (see ``weather_rows`` /
+    ``load_weather``).  The staged table is deleted at the end unless ``keep_staged``; the
+    frames of the result then read the written reports."""
+    res = AuditResult(corrupt_files_ignored=ignore_corrupt_files)
+    if intake is not None:
+        staged, done = stage_intake(spark, intake, cfg, impute_mode)
+    else:
+        done = stage_audit(spark, raw_dir, cfg, impute_mode, fleets, skip_failed_fleets=skip_failed_fleets,
+                           ignore_corrupt_files=ignore_corrupt_files)
+        if done is None:
+            return res
+        res.skipped_fleets = done.skipped_fleets
+        if not done.path:
+            return res
+        staged = read_staged(spark, done.path)
+    res.imputation, res.ids_lost = done.plan, done.counts["ids_lost"]
+    try:
+        _report(spark, staged, done, out_dir, cfg, weather, report_threads, skip_failed_reports, keep_staged, res)
+    finally:
+        if done.path and not keep_staged:
+            delete_path(spark, done.path)
+        else:
+            res.staged_path = done.path or None
+    return res
+
+
+def _report(spark, staged, done, out_dir, cfg, weather, report_threads, skip_failed_reports, keep_staged, res):
+    res.audit_path = write_parquet(
+        staged.filter(F.col("status") == "audit").drop("is_ghost", "inside_zone", "status", "year", "month"),
+        f"{out_dir}/audit/ghost_trips_audit")
+    plan = done.plan
+    reports = audit_reports(staged, cfg) | {
+        "row_accounting": observed_accounting(spark, done.counts),
+        "imputation": spark.createDataFrame(
+            [tuple(plan)], "n_base_old bigint, n_base_new bigint, n_target bigint, target bigint, "
+                           "fraction double, action string"),
+    }
     if weather is not None:
-        try:
-            joined = rain_join(daily_trips(clean), weather)
-            reports["weather_elasticity"] = joined
-            reports["rain_correlation"] = rain_elasticity(joined)
-            reports["rain_trend"] = rain_trend(joined)
-        except Exception as exc:  # the weather step never stops the audit
-            log.warning("weather analysis failed: %s", exc)
+        res.unread_weather_days = unread_days(weather).first()[0]
+        reports |= weather_reports(staged, weather, cfg)
+    reports["intake_losses"] = spark.createDataFrame(
+        [(res.ids_lost, res.unread_weather_days, res.corrupt_files_ignored, ",".join(sorted(res.skipped_fleets)))],
+        "ids_set_null bigint, weather_days_unread bigint, corrupt_files_ignored boolean, fleets_left_out string")
+
     # Reports are independent small jobs over the staged table; submitting
     # them from a few threads lets the scheduler run them side by side.
     def write(item):
         name, df = item
         try:
-            return name, df, write_csv(df, f"{out_dir}/aggregated/{name}")
+            return name, df, write_csv(df, f"{out_dir}/aggregated/{name}", single_file=True), None
         except Exception as exc:
-            log.warning("report %s failed: %s", name, exc)
-            return name, df, None
+            return name, df, None, exc
 
     # Worker threads inherit the caller's local properties (job group,
     # scheduler pool, description).
     with ThreadPoolExecutor(max_workers=report_threads) as pool:
-        for name, df, path in pool.map(inheritable_thread_target(spark)(write), reports.items()):
-            if path:
-                res.reports[name] = path
-                res.frames[name] = df
-    return res
+        results = list(pool.map(inheritable_thread_target(spark)(write), reports.items()))
+    for name, df, path, exc in results:
+        if exc is not None:
+            if not skip_failed_reports:
+                raise exc
+            log.warning("report %s failed: %s", name, exc)
+            res.failed_reports[name] = str(exc)
+            continue
+        res.reports[name] = path
+        res.frames[name] = df if keep_staged else read_csv(spark, path, df.schema)
+
+
+def preview(res: AuditResult) -> None:
+    """Show the small reports and the layout of the audited trips."""
+    for name in PREVIEWED:
+        if name in res.frames:
+            print(name)
+            res.frames[name].show(20, truncate=False)
+    if res.audit_path:
+        spark = next(iter(res.frames.values())).sparkSession
+        spark.read.parquet(res.audit_path).printSchema()

@@ -7,13 +7,6 @@ config objects (zone list, thresholds, imputation months, link tokens).
 from __future__ import annotations
 
 from tripaudit.config import DEFAULT, ZONE_IDS
-from tripaudit.functions.text import (
-    DQUOTED,
-    ENTITIES,
-    HREF_PATTERN,
-    SKIPPED_MARKUP,
-    SQUOTED,
-)
 from tripaudit.functions.time import month_bounds
 from tripaudit.plans import suite
 from tripaudit.schema import UNIFIED_COLUMNS
@@ -108,24 +101,20 @@ FLEET_LINEITEM = """
     'lineitem' AS taxi_type
   FROM lineitem"""
 
-def _decoded(expr: str) -> str:
-    v = f"regexp_replace(regexp_replace({expr}, {_q(DQUOTED)}, '\\1'), {_q(SQUOTED)}, '\\1')"
-    for entity, char in ENTITIES:
-        v = f"replace({v}, {_q(entity)}, {_q(char)})"
-    return v
-
-
-def _markup(col: str) -> str:
-    return f"regexp_replace({col}, {_q(SKIPPED_MARKUP)}, '', 'g')"
-
-
-HARVEST = f"""
+# Links by this file's own reading of the test pages: quoted attributes, five entities.
+HARVEST = rf"""
+visible AS (
+  SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<(script|style)[\s>].*?</(script|style)>', '', 'g') AS body
+  FROM pages
+),
 raw_links AS (
   SELECT page_id, unnest(l) AS raw, unnest(range(len(l))) AS pos
-  FROM (SELECT page_id, regexp_extract_all({_markup('html')}, {_q(HREF_PATTERN)}, 1) AS l FROM pages)
+  FROM (SELECT page_id, regexp_extract_all(body, '(?i)<a\s+(?:[a-z-]+="[^"]*"\s+)*href="([^"]*)"', 1) AS l FROM visible)
 ),
 decoded_links AS (
-  SELECT page_id, CAST(pos AS INTEGER) AS pos, trim({_decoded('raw')}, {STRIP}) AS href
+  SELECT page_id, CAST(pos AS INTEGER) AS pos,
+    trim(replace(replace(replace(replace(replace(raw, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+      '&#39;', chr(39)), '&amp;', '&'), {STRIP}) AS href
   FROM raw_links
 ),
 harvest AS (
@@ -150,9 +139,9 @@ def _month(col: str, year: int, month: int) -> str:
     return f"({col} >= TIMESTAMP '{a:%Y-%m-%d %H:%M:%S}' AND {col} < TIMESTAMP '{b:%Y-%m-%d %H:%M:%S}')"
 
 
-def _impute_counts_cte(src: str = "trips_ord") -> str:
-    y, m = OCFG.impute_year, OCFG.impute_month
-    w_old, w_new = OCFG.history_weights
+def _impute_counts_cte(src: str = "trips_ord", cfg=OCFG) -> str:
+    y, m = cfg.impute_year, cfg.impute_month
+    w_old, w_new = cfg.history_weights
     return f"""
 counts AS (
   SELECT
@@ -168,7 +157,7 @@ plan AS (
 decision AS (
   SELECT *,
     CASE WHEN n_base_new > 0 THEN target / n_base_new END AS fraction,
-    CASE WHEN n_target > {OCFG.present_threshold} THEN 'present'
+    CASE WHEN n_target > {cfg.present_threshold} THEN 'present'
          WHEN target = 0 THEN 'no_history'
          WHEN n_base_new = 0 THEN 'empty_base'
          ELSE 'impute' END AS action
@@ -220,23 +209,40 @@ def _link_map(name: str, years, fleets, extra: str = "") -> str:
 )"""
 
 
-def _imputed_ctes(src: str) -> str:
+def _imputed_ctes(src: str, cfg=OCFG, sampled: bool = False) -> str:
     """CTEs ``decision``, ``expanded`` and ``all_trips`` (src + imputed rows)."""
-    y, m = OCFG.impute_year, OCFG.impute_month
+    y, m = cfg.impute_year, cfg.impute_month
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in UNIFIED_COLUMNS)
-    shifted = ", ".join(
-        f"{c} + INTERVAL {OCFG.shift_days} DAY AS {c}" if c in ("pickup_time", "dropoff_time") else c
+    days = "to_days(CAST(date_diff('day', CAST(pickup_time AS DATE), CAST(pickup_time AS DATE) + INTERVAL 1 YEAR) AS INTEGER))"
+    shifted = ", ".join(f"{c} + {days} AS {c}" if c in ("pickup_time", "dropoff_time") else c
+                        for c in UNIFIED_COLUMNS)
+    money = ("trip_distance", "fare", "total_amount", "congestion_surcharge", "tip_amount")
+    key = " || '|' || ".join(
+        f"coalesce(CAST({f'CAST(round({c} * 100) AS BIGINT)' if c in money else c} AS VARCHAR), '~')"
         for c in UNIFIED_COLUMNS)
-    return _impute_counts_cte(src) + f""",
+    base = f"""
 base AS (
-  SELECT {UNI}, row_number() OVER (ORDER BY {order}) - 1 AS i
+  SELECT {UNI}, row_number() OVER (ORDER BY {order}) - 1 AS i, row_number() OVER (PARTITION BY {UNI}) - 1 AS twin
   FROM {src} WHERE {_month('pickup_time', y - 1, m)}
-),
+)"""
+    exact = """
 rep AS (
   SELECT base.*, CAST((CAST(i + 1 AS HUGEINT) * target) // n_base_new
                       - (CAST(i AS HUGEINT) * target) // n_base_new AS BIGINT) AS copies
   FROM base, decision WHERE decision.action = 'impute'
+)"""
+    drawn = f"""
+steps AS (
+  SELECT k, sum(p) OVER (ORDER BY k) AS cum
+  FROM (SELECT k, exp(-fraction + k * ln(fraction) - lgamma(k + 1)) AS p
+        FROM decision, (SELECT unnest(range(60)) AS k) WHERE action = 'impute')
 ),
+rep AS (
+  SELECT *, (SELECT count(*) FROM steps WHERE u >= cum) AS copies
+  FROM (SELECT *, CAST(('0x' || substr(md5('{cfg.impute_seed}|' || {key} || '|' || twin), 1, 13)) AS BIGINT)
+               / CAST(4503599627370496 AS DOUBLE) AS u FROM base)
+)"""
+    return _impute_counts_cte(src, cfg) + "," + base + "," + (drawn if sampled else exact) + f""",
 expanded AS (SELECT {UNI}, unnest(range(copies)) AS k FROM rep),
 all_trips AS (
   SELECT {UNI}, false AS is_imputed FROM {src}
@@ -245,11 +251,12 @@ all_trips AS (
 )"""
 
 
-def _impute_month_sql() -> str:
-    return _with(TRIPS_ORD, _imputed_ctes("trips_ord")) + "SELECT * FROM all_trips"
+def _impute_month_sql(cfg=OCFG, sampled: bool = False) -> str:
+    return _with(TRIPS_ORD, _imputed_ctes("trips_ord", cfg, sampled)) + "SELECT * FROM all_trips"
 
 
-def _audit_accounting_sql() -> str:
+def _audit_sql(select: str) -> str:
+    """A query over ``af``, the flagged trips of both fleets with the imputed month."""
     return _with(f"fleets AS ({FLEET_ORDERS}\n  UNION ALL\n{FLEET_LINEITEM})",
                  _imputed_ctes("fleets"), f"""
 a1 AS (SELECT *, date_diff('second', pickup_time, dropoff_time) AS duration_seconds FROM all_trips),
@@ -266,7 +273,10 @@ af AS (
      OR (trip_distance = 0 AND fare > 0)) AS is_ghost,
     dropoff_loc IN ({ZONES}) AS inside_zone
   FROM a3
-)""") + """SELECT taxi_type, is_imputed, count(*) AS total,
+)""") + select
+
+
+AUDIT_ACCOUNTING = """SELECT taxi_type, is_imputed, count(*) AS total,
   count(*) FILTER (WHERE NOT is_ghost) AS clean,
   count(*) FILTER (WHERE is_ghost) AS audit,
   count(*) FILTER (WHERE is_ghost IS NULL) AS undetermined,
@@ -362,7 +372,32 @@ def oracle_sql() -> dict[str, str]:
               SELECT 1 FROM harvest h JOIN pages p ON h.page_id = p.page_id
               WHERE contains(p.url, {_q(suite.EXISTING_SECTION)}) AND h.filename = lm.filename)""",
     }
-    out["audit_accounting"] = _audit_accounting_sql()
+    out["audit_accounting"] = _audit_sql(AUDIT_ACCOUNTING)
+    out["audit_observed"] = _audit_sql(f"""SELECT count(*) AS total,
+        count(*) FILTER (WHERE NOT is_ghost) AS clean, count(*) FILTER (WHERE is_ghost) AS audit,
+        count(*) FILTER (WHERE is_ghost IS NULL) AS undetermined,
+        count(*) FILTER (WHERE speed_mph > {CFG.speed_limit_mph}) AS rule_a,
+        count(*) FILTER (WHERE duration_seconds < {CFG.min_trip_seconds} AND fare > {CFG.short_trip_fare}) AS rule_b,
+        count(*) FILTER (WHERE trip_distance = 0 AND fare > 0) AS rule_c,
+        any_value(n_base_old) AS n_base_old, any_value(n_base_new) AS n_base_new, any_value(n_target) AS n_target,
+        any_value(target) AS target, any_value(action) AS action, CAST(0 AS BIGINT) AS ids_lost
+        FROM af, decision""")
+    out["audit_ghost_vendors"] = out["ghost_vendors"]
+    out["audit_compliance"] = ev + f"""SELECT 'events' AS taxi_type, count(*) AS total_zone_trips,
+        count(CASE WHEN congestion_surcharge > 0 THEN 1 END) AS paid_surcharge FROM clean WHERE {zone} GROUP BY 1"""
+    out["audit_run_leakage"] = out["audit_leakage"]
+    out["audit_heatmap"] = out["velocity_heatmap"]
+    out["audit_q1"] = ev + """SELECT CAST(year(pickup_time) AS INTEGER) AS year,
+        CAST(month(pickup_time) AS INTEGER) AS month, 'events' AS taxi_type, count(*) AS count
+        FROM clean WHERE month(pickup_time) <= 3 GROUP BY 1, 2, 3"""
+    out["monthly_sources"] = out["source_counts"]
+    out["impute_month_leap"] = _impute_month_sql(suite.LEAP_CFG)
+    out["impute_month_sampled"] = _impute_month_sql(sampled=True)
+    out["mark_zone_table"] = ev + """SELECT event_id, dropoff_loc,
+        dropoff_loc IN (SELECT CAST(s_suppkey AS INTEGER) FROM supplier WHERE s_nationkey < 12) AS inside_zone
+        FROM clean"""
+    out["rain_join_year"] = _with(WEATHER) + f"""SELECT date, total_trips, round(precipitation, {DIG}) AS precipitation
+        FROM j WHERE year(date) = {suite.WEATHER_YEAR}"""
     out["parquet_roundtrip"] = out["ghost_audit"]
     out["csv_roundtrip"] = out["q1_comparison"]
     return out

@@ -23,6 +23,7 @@ from tripaudit.operators import (
     impute_counts,
     impute_month,
     mark_zone,
+    mark_zone_table,
     period_summary,
     q1_comparison,
     rain_elasticity,
@@ -38,15 +39,15 @@ from tripaudit.operators import (
     volume_by_quarter,
     volume_by_year,
 )
-from tripaudit.schema import unify_schema
+from tripaudit.schema import UNIFIED_COLUMNS, FleetSpec, unify_schema
 from tripaudit.session import scratch_path
 from tripaudit.sources import (
     filter_links,
     harvest_links,
+    in_year,
     load_trips,
-    narrow_links,
-    new_intake,
-    overlay_links,
+    new_links,
+    overlaid_links,
     read_csv,
     read_fleet,
     source_counts,
@@ -55,10 +56,14 @@ from tripaudit.sources import (
     write_parquet,
 )
 from tripaudit.sources.tables import (
+    LINEITEM_FLEET,
+    ORDERS_FLEET,
+    TABLE_FLEETS,
     events_trips,
     lineitem_trips,
     orders_trips,
     pages,
+    table,
     weather_feed,
 )
 
@@ -67,6 +72,10 @@ DIGITS = 6
 # Orders span 1995-01 .. 2001-08, so December 2001 is missing and is
 # imputed from December 2000 (weight 0.7) and December 1999 (weight 0.3).
 ORDERS_CFG = AuditConfig(impute_year=2001, impute_month=12)
+# December 2000 from December 1999: 29 February 2000 lies between.  The month is there, and
+# the threshold lets it be topped up at any scale.
+LEAP_CFG = AuditConfig(impute_year=2000, impute_month=12, present_threshold=1_000_000_000_000)
+WEATHER_YEAR = 1997
 
 # Link-filter parameters for the crawl (test hrefs are "/word" paths).
 LINK_SUFFIX = "."
@@ -87,15 +96,31 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
 # --- fleets, schema, union -------------------------------------------------
 
 def q_source_counts(spark, d):
-    return source_counts(load_trips(spark, d, fleets=("orders", "lineitem")))
+    return source_counts(load_trips(spark, d, fleets=TABLE_FLEETS))
+
+
+def q_monthly_sources(spark, d):
+    """Both fleets written as one folder per month and read back through the glob, with a
+    third fleet that has no rows."""
+    root = scratch_path(spark, "monthly")
+    monthly = []
+    for spec in TABLE_FLEETS:
+        raw = read_fleet(spark, d, spec)
+        folder = f"{spec.name}_tripdata"
+        raw.withColumn(folder, F.date_format(spec.columns["pickup_time"], "yyyy-MM")) \
+            .write.partitionBy(folder).parquet(f"{root}/{spec.name}")
+        monthly.append(FleetSpec(spec.name, spec.columns, "part-*.parquet", f"{spec.name}/{folder}=*"))
+    read_fleet(spark, d, ORDERS_FLEET).limit(0).write.parquet(f"{root}/empty/empty_tripdata=none")
+    monthly.append(FleetSpec("empty", ORDERS_FLEET.columns, "part-*.parquet", "empty/empty_tripdata=*"))
+    return source_counts(load_trips(spark, root, fleets=monthly))
 
 
 def q_unify_schema(spark, d):
-    return unify_schema(read_fleet(spark, d, "lineitem"), "lineitem")
+    return unify_schema(read_fleet(spark, d, LINEITEM_FLEET), LINEITEM_FLEET)
 
 
 def q_union_fleets(spark, d):
-    return load_trips(spark, d, fleets=("orders", "lineitem"))
+    return load_trips(spark, d, fleets=TABLE_FLEETS)
 
 
 # --- calendar over orders --------------------------------------------------
@@ -112,6 +137,10 @@ def q_impute_month(spark, d):
     return impute_month(orders_trips(spark, d), ORDERS_CFG, mode="exact")
 
 
+def q_impute_month_leap(spark, d):
+    return impute_month(orders_trips(spark, d), LEAP_CFG, mode="exact")
+
+
 def q_impute_month_sampled(spark, d):
     return impute_month(orders_trips(spark, d), ORDERS_CFG, mode="sampled")
 
@@ -172,6 +201,12 @@ def q_mark_zone(spark, d):
     return _marked_clean(spark, d).select("event_id", "dropoff_loc", "inside_zone")
 
 
+def q_mark_zone_table(spark, d):
+    """Drop-offs marked from a table of zones: the suppliers of the first twelve nations."""
+    zones = table(spark, d, "supplier").filter(F.col("s_nationkey") < 12).select(F.col("s_suppkey").alias("LocationID"))
+    return mark_zone_table(_split(spark, d).clean, zones).select("event_id", "dropoff_loc", "inside_zone")
+
+
 def q_surcharge_compliance(spark, d):
     return surcharge_compliance(_marked_clean(spark, d))
 
@@ -216,6 +251,11 @@ def q_rain_join(spark, d):
     return rounded(_rain(spark, d), "precipitation")
 
 
+def q_rain_join_year(spark, d):
+    weather = in_year(weather_rows(weather_feed(spark, d)), WEATHER_YEAR)
+    return rounded(rain_join(daily_trips(orders_trips(spark, d)), weather), "precipitation")
+
+
 def q_rain_elasticity(spark, d):
     return rounded(rain_elasticity(_rain(spark, d)), "correlation")
 
@@ -239,16 +279,14 @@ def q_link_filter(spark, d):
 
 
 def q_link_overlay(spark, d):
-    links = harvest_links(pages(spark, d))
-    update = narrow_links(filter_links(links, OVERLAY_YEARS, OVERLAY_FLEETS, LINK_SUFFIX),
-                          OVERLAY_TOKEN)
-    return overlay_links(filter_links(links, LINK_YEARS, LINK_FLEETS, LINK_SUFFIX), update)
+    return overlaid_links(harvest_links(pages(spark, d)), (LINK_YEARS, LINK_FLEETS),
+                          (OVERLAY_YEARS, OVERLAY_FLEETS), OVERLAY_TOKEN, LINK_SUFFIX)
 
 
 def q_intake_new(spark, d):
-    crawled = pages(spark, d)
-    existing = harvest_links(crawled.filter(F.col("url").contains(EXISTING_SECTION)))
-    return new_intake(_link_map(spark, d), existing)
+    crawled = pages(spark, d).withColumn("taken", F.col("url").contains(EXISTING_SECTION))
+    return new_links(harvest_links(crawled, keep=("taken",)), F.col("taken"),
+                     LINK_YEARS, LINK_FLEETS, LINK_SUFFIX)
 
 
 # --- sinks and read-back ---------------------------------------------------
@@ -273,23 +311,64 @@ def q_csv_roundtrip(spark, d):
 
 # --- the whole audit over two table-backed fleets --------------------------
 
-AUDIT_CFG = ORDERS_CFG.with_(fleets=("orders", "lineitem"))
+AUDIT_CFG = ORDERS_CFG.with_(fleets=TABLE_FLEETS)
+
+
+def _staged(spark, d):
+    from tripaudit.plans.audit_run import read_staged, stage_audit
+
+    done = stage_audit(spark, d, AUDIT_CFG)
+    return done, read_staged(spark, done.path)
 
 
 def q_audit_accounting(spark, d):
-    from tripaudit.plans.audit_run import stage_audit, staged_accounting
+    from tripaudit.plans.audit_run import staged_accounting
 
-    path = stage_audit(spark, d, AUDIT_CFG)
-    return staged_accounting(spark.read.parquet(path))
+    return staged_accounting(_staged(spark, d)[1])
+
+
+def q_audit_observed(spark, d):
+    """Accounting and imputation counts as the staging writes observed them."""
+    from tripaudit.plans.audit_run import observed_accounting
+
+    done, _ = _staged(spark, d)
+    return observed_accounting(spark, done.counts).withColumns(
+        {k: F.lit(getattr(done.plan, k)).cast("bigint") for k in ("n_base_old", "n_base_new", "n_target", "target")}
+        | {"action": F.lit(done.plan.action), "ids_lost": F.lit(done.counts["ids_lost"]).cast("bigint")})
+
+
+def _audit_report(name: str, *digits: str) -> Query:
+    """A report of the whole run over trips of ``events``, landed as one fleet's files."""
+    def query(spark, d):
+        from tripaudit.plans.audit_run import audit_reports, read_staged, stage_audit
+
+        root = scratch_path(spark, "events-fleet")
+        events_trips(spark, d).select(*UNIFIED_COLUMNS).drop("taxi_type").write.parquet(f"{root}/events")
+        spec = FleetSpec("events", {c: c for c in UNIFIED_COLUMNS if c != "taxi_type"}, "part-*.parquet", "events")
+        done = stage_audit(spark, root, ORDERS_CFG, fleets=(spec,))
+        return rounded(audit_reports(read_staged(spark, done.path), ORDERS_CFG)[name], *digits)
+
+    return query
+
+
+AUDIT_REPORTS = {
+    "audit_ghost_vendors": _audit_report("ghost_vendors"),
+    "audit_compliance": _audit_report("surcharge_compliance"),
+    "audit_run_leakage": _audit_report("audit_leakage"),
+    "audit_heatmap": _audit_report("velocity_heatmap", "avg_speed"),
+    "audit_q1": _audit_report("q1_comparison"),
+}
 
 
 QUERIES: dict[str, Query] = {
     "source_counts": q_source_counts,
+    "monthly_sources": q_monthly_sources,
     "unify_schema": q_unify_schema,
     "union_fleets": q_union_fleets,
     "period_summary": q_period_summary,
     "impute_counts": q_impute_counts,
     "impute_month": q_impute_month,
+    "impute_month_leap": q_impute_month_leap,
     "impute_month_sampled": q_impute_month_sampled,
     "trip_metrics": q_trip_metrics,
     "ghost_clean": q_ghost_clean,
@@ -298,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "row_accounting": q_row_accounting,
     "ghost_vendors": q_ghost_vendors,
     "mark_zone": q_mark_zone,
+    "mark_zone_table": q_mark_zone_table,
     "surcharge_compliance": q_surcharge_compliance,
     "audit_leakage": q_audit_leakage,
     "volume_by_quarter": q_volume_by_quarter,
@@ -311,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "daily_trips": q_daily_trips,
     "weather_rows": q_weather_rows,
     "rain_join": q_rain_join,
+    "rain_join_year": q_rain_join_year,
     "rain_elasticity": q_rain_elasticity,
     "rain_trend": q_rain_trend,
     "link_harvest": q_link_harvest,
@@ -320,4 +401,6 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "audit_accounting": q_audit_accounting,
+    "audit_observed": q_audit_observed,
+    **AUDIT_REPORTS,
 }

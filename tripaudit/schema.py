@@ -49,12 +49,14 @@ class FleetSpec:
     ``columns`` maps unified column -> source column.  Unified columns not
     mapped (or mapped but absent from a frame) become typed NULLs.
     ``file_glob`` selects the fleet's files inside a raw directory.
-    ``timestamp_type`` is the Parquet read type of timestamp columns.
+    ``folder`` is the part of the raw directory that holds them (may be a
+    glob).  ``timestamp_type`` is the Parquet read type of timestamp columns.
     """
 
     name: str
     columns: dict[str, str]
     file_glob: str = ""
+    folder: str = ""
     timestamp_type: T.DataType = field(default_factory=T.TimestampNTZType)
 
     def glob(self) -> str:
@@ -118,7 +120,7 @@ def fleet(name: str | FleetSpec) -> FleetSpec:
         return name
     spec = _REGISTRY.get(str(name).lower())
     if spec is None:
-        raise ValueError(f"Unknown taxi type: {name}")
+        raise ValueError(f"no fleet is registered as {name!r}; known: {sorted(_REGISTRY)}")
     return spec
 
 
@@ -166,6 +168,19 @@ def narrow(c: Column, target: T.DataType) -> Column:
     return c.cast(target)
 
 
+def ids_lost(df: DataFrame, spec: FleetSpec) -> Column:
+    """Aggregate: integral source values of a fleet frame that do not fit their unified type
+    and become NULL in ``unify_schema``."""
+    present = {c.lower(): c for c in df.columns}
+    lost = F.lit(0)
+    for target, source in spec.columns.items():
+        hit = present.get(source.lower())
+        if hit and isinstance(UNIFIED_TYPES[target], _INTEGRAL):
+            c = F.col(f"`{hit}`")
+            lost = lost + F.when(c.isNotNull() & c.try_cast(UNIFIED_TYPES[target]).isNull(), 1).otherwise(0)
+    return F.coalesce(F.sum(lost), F.lit(0)).cast("bigint")
+
+
 def _typed(source: str, current: T.DataType, name: str) -> Column:
     """``source`` as unified column ``name``, cast only when needed."""
     c = F.col(f"`{source}`")

@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             spark.sparkContext.setCheckpointDir(root)
         return root
     if fallback is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         fallback = tempfile.mkdtemp(prefix="tripaudit-ckpt-")
     root = fallback
@@ -66,3 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path under the shared checkpoint root for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tripaudit-{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,6 +8,8 @@ from tripaudit.sources.links import (
     load_pages,
     narrow_links,
     new_intake,
+    new_links,
+    overlaid_links,
     overlay_links,
 )
 from tripaudit.sources.trips import (
@@ -17,23 +19,27 @@ from tripaudit.sources.trips import (
     source_counts,
     union_fleets,
 )
-from tripaudit.sources.weather import load_weather, weather_rows
+from tripaudit.sources.weather import in_year, load_weather, unread_days, weather_rows
 
 __all__ = [
     "count_history_files",
     "filter_links",
     "harvest_links",
+    "in_year",
     "load_pages",
     "load_trips",
     "load_weather",
     "narrow_links",
     "new_intake",
+    "new_links",
+    "overlaid_links",
     "overlay_links",
     "read_csv",
     "read_fleet",
     "read_reports",
     "source_counts",
     "union_fleets",
+    "unread_days",
     "weather_rows",
     "write_csv",
     "write_parquet",

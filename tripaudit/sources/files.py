@@ -13,7 +13,8 @@ log = logging.getLogger(__name__)
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: tuple[str, ...] = ()) -> str:
-    """Snappy Parquet; file count left to the plan (AQE coalesces)."""
+    """Snappy Parquet, one file per task of the plan's last stage: AQE merges small ones only
+    where that stage follows a shuffle."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -22,10 +23,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
-              single_file: bool = True) -> str:
+              single_file: bool = False) -> str:
     """Header CSV.  ``single_file`` coalesces to one part file and is meant
-    for the small aggregate reports (bounded by their group keys); leave it
-    off for row-level outputs.  Columns must be typed (no VOID)."""
+    for the small aggregate reports (bounded by their group keys).  Columns
+    must be typed (no VOID)."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
     return path

@@ -10,32 +10,30 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripaudit.functions.text import attribute_value, contains_any, hrefs, last_segment, strip_ws
 
 
 def load_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed HTML files as a crawl table ``(page_id, url, html)``, each file
-    read whole.  Pages are numbered in file-name order, so "last link wins"
-    follows that order; the numbering window holds one row per landed file."""
-    raw = (spark.read.option("wholetext", True).text(path)
-           .select(F.input_file_name().alias("url"), F.col("value").alias("html")))
-    numbered = raw.select("url").distinct().select(
-        "url", F.dense_rank().over(Window.orderBy("url")).cast("bigint").alias("page_id"))
-    return raw.join(numbered, "url").select("page_id", "url", "html")
+    """Landed HTML files as a crawl table ``(page_id, url, html)``, each file read whole.
+    The file path is the page id, so "last link wins" follows file-name order."""
+    return (spark.read.option("wholetext", True).text(path)
+            .select(F.input_file_name().alias("page_id"), F.input_file_name().alias("url"),
+                    F.col("value").alias("html")))
 
 
-def harvest_links(pages: DataFrame) -> DataFrame:
+def harvest_links(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every anchor href: ``page_id, pos, href, filename``.
 
     ``pos`` is the 0-based position of the anchor in its page, ``href`` is
-    whitespace-stripped, ``filename`` its last path segment."""
-    links = pages.select("page_id", F.posexplode(hrefs("html")).alias("pos", "raw"))
+    whitespace-stripped, ``filename`` its last path segment.  ``keep`` names
+    page columns to carry along."""
+    links = pages.select("page_id", *keep, F.posexplode(hrefs("html")).alias("pos", "raw"))
     href = strip_ws(attribute_value(F.col("raw")))
-    return links.select("page_id", "pos", href.alias("href"),
-                        last_segment(href).alias("filename"))
+    return (links.select("page_id", *keep, "pos", href.alias("href"))
+            .withColumn("filename", last_segment(F.col("href"))))
 
 
 def _last_wins(links: DataFrame, order: list[str]) -> DataFrame:
@@ -72,6 +70,35 @@ def overlay_links(base: DataFrame, update: DataFrame) -> DataFrame:
     return _last_wins(both, ["prio"])
 
 
+def overlaid_links(links: DataFrame, base: tuple, update: tuple, token: str,
+                   suffix: str = ".parquet") -> DataFrame:
+    """``filter_links`` with ``base`` (years, fleets), overlaid by the names holding ``token``
+    among those of ``update``, from one pass over the links: a link that passes the update's
+    filter ranks above all that only pass the base's."""
+    f = F.col("filename")
+
+    def passes(years, fleets):
+        return contains_any(f, [str(y) for y in years]) & contains_any(f, fleets)
+
+    first = passes(*update) & f.contains(token)
+    kept = (links.filter(F.col("href").endswith(suffix) & (first | passes(*base)))
+            .withColumn("prio", first.cast("int")))
+    return _last_wins(kept, ["prio", "page_id", "pos"])
+
+
+def new_links(links: DataFrame, taken: Column, years: Iterable[str | int], fleets: Iterable[str],
+              suffix: str = ".parquet") -> DataFrame:
+    """``filter_links`` without the names that any link marked ``taken`` carries, from one
+    pass over the links."""
+    f = F.col("filename")
+    wanted = (F.col("href").endswith(suffix) & contains_any(f, [str(y) for y in years]) & contains_any(f, fleets))
+    return (links.groupBy("filename")
+            .agg(F.max_by("href", F.when(wanted, F.struct("page_id", "pos"))).alias("url"),
+                 F.max(F.coalesce(taken, F.lit(False))).alias("_taken"),
+                 F.max(wanted).alias("_wanted"))
+            .filter(F.col("_wanted") & ~F.col("_taken")).select("filename", "url"))
+
+
 def new_intake(candidates: DataFrame, existing: DataFrame, key: str = "filename") -> DataFrame:
     """Candidates not yet taken in: anti-join on ``key`` (the file-exists
     skip of a downloader, as a set operation).  ``existing`` is reduced to

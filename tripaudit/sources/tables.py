@@ -12,20 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.schema import FleetSpec, conform, register_fleet
+from tripaudit.schema import FleetSpec, conform
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Two tables registered as fleets, to drive the fleet reader and unifier.
-ORDERS_FLEET = register_fleet(FleetSpec(
+# Two tables described as fleets, to drive the fleet reader and unifier; they are passed as
+# objects and are not in the registry.
+ORDERS_FLEET = FleetSpec(
     "orders",
     {"pickup_time": "o_orderdate", "pickup_loc": "o_custkey", "fare": "o_totalprice"},
     file_glob="orders.parquet",
-))
-LINEITEM_FLEET = register_fleet(FleetSpec(
+)
+LINEITEM_FLEET = FleetSpec(
     "lineitem",
     {
         "pickup_time": "l_shipdate",
@@ -38,7 +39,8 @@ LINEITEM_FLEET = register_fleet(FleetSpec(
         "vendor_id": "l_linenumber",
     },
     file_glob="lineitem.parquet",
-))
+)
+TABLE_FLEETS = (ORDERS_FLEET, LINEITEM_FLEET)
 
 
 def _null_every(k: int, value) -> F.Column:

@@ -28,6 +28,8 @@ def read_fleet(spark: SparkSession, raw_dir: str | list[str], spec: str | FleetS
     off by default so no data is dropped silently."""
     spec = fleet(spec)
     reader = spark.read.schema(spec.read_schema())
+    if spec.folder and not isinstance(raw_dir, (list, tuple)):
+        raw_dir = f"{raw_dir.rstrip('/')}/{spec.folder}"
     if ignore_corrupt_files:
         reader = reader.option("ignoreCorruptFiles", "true")
     if isinstance(raw_dir, (list, tuple)):
@@ -45,48 +47,43 @@ def union_fleets(frames: Iterable[DataFrame]) -> DataFrame | None:
 
 def load_trips(spark: SparkSession, raw_dir: str,
                fleets: Iterable[str | FleetSpec] = ("yellow", "green"),
-               skip_empty: bool = True, ignore_corrupt_files: bool = False) -> DataFrame | None:
+               ignore_corrupt_files: bool = False) -> DataFrame | None:
     """Read, unify and union all fleets found in ``raw_dir`` (FLW-2).
 
-    Guards: a missing directory gives None; a fleet with no files or no rows
-    is skipped; a fleet whose read fails is logged and left out; when no
-    fleet remains the result is None (with ``ignore_corrupt_files`` only the
-    unreadable files are skipped).  Unknown fleet names raise ValueError
-    before any I/O.  The emptiness probe is ``isEmpty`` (a LIMIT 1 scan),
-    never a full count.
-    """
+    A missing directory gives None.  A fleet without files or rows adds no
+    rows to the union; nothing is probed beforehand.  Any other failure is
+    raised, here or when the frame is read: no fleet is ever left out
+    silently (``stage_audit`` has an opt-in that leaves failing fleets out
+    and lists them; ``ignore_corrupt_files`` skips unreadable files only).
+    Unknown fleet names raise ValueError before any I/O."""
     specs = [fleet(f) for f in fleets]
-    frames = []
-    for spec in specs:
-        try:
-            df = read_fleet(spark, raw_dir, spec, ignore_corrupt_files)
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc):
-                log.warning("raw directory does not exist: %s", raw_dir)
-                return None
-            log.warning("fleet %s left out: %s", spec.name, exc)
-            continue
-        try:
-            if skip_empty and df.isEmpty():
-                log.info("no rows for fleet %s", spec.name)
-                continue
-            frames.append(unify_schema(df, spec))
-        except Exception as exc:  # per-source isolation
-            log.warning("fleet %s left out: %s", spec.name, exc)
+    try:
+        frames = [unify_schema(read_fleet(spark, raw_dir, s, ignore_corrupt_files), s) for s in specs]
+    except AnalysisException as exc:
+        if path_missing(exc):
+            log.warning("raw directory does not exist: %s", raw_dir)
+            return None
+        raise
     return union_fleets(frames)
 
 
+def path_missing(exc: AnalysisException) -> bool:
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def source_counts(trips: DataFrame) -> DataFrame:
     """Rows per fleet in one aggregate pass (SRC-4)."""
     return trips.groupBy("taxi_type").agg(F.count(F.lit(1)).alias("count"))
 
 
 def count_history_files(spark: SparkSession, raw_dir: str, year: int, month: int) -> int:
-    """Raw row count of every fleet's file for one month (SRC-5 fallback);
-    0 when nothing can be read.  Parquet answers from footers."""
+    """Raw row count of every fleet's file for one month (SRC-5 fallback), answered from
+    footers; 0 only when there is no such file or directory.  Other errors are raised, as
+    a wrong 0 would change the size of the imputed month."""
+    reader = spark.read.option("pathGlobFilter", f"*tripdata_{year}-{month:02d}.parquet").schema("_none int")
     try:
-        return (spark.read.option("pathGlobFilter", f"*tripdata_{year}-{month:02d}.parquet")
-                .parquet(raw_dir).count())
-    except Exception as exc:
-        log.info("history month %d-%02d unavailable: %s", year, month, exc)
-        return 0
+        return reader.parquet(raw_dir).count()
+    except AnalysisException as exc:
+        if path_missing(exc):
+            return 0
+        raise

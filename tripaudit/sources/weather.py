@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,16 @@ WEATHER_JSON_SCHEMA = T.StructType([
 ])
 
 
+def in_year(weather: DataFrame, year: int | None) -> DataFrame:
+    """Days from 1 January to 31 December of ``year``; all days for None."""
+    if year is None:
+        return weather
+    return weather.filter(F.col("date").between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31))))
+
+
 def weather_rows(docs: DataFrame, json_col: str = "json") -> DataFrame:
-    """One row per day: ``date DATE, precipitation DOUBLE``.
+    """One row per day: ``date DATE, precipitation DOUBLE``; an unreadable day
+    is NULL (``unread_days`` counts them).
 
     The two parallel arrays are zipped position by position (a shorter one
     is padded with NULL); a document without ``daily`` yields no rows.
@@ -31,6 +41,11 @@ def weather_rows(docs: DataFrame, json_col: str = "json") -> DataFrame:
     return zipped.select(F.try_to_date("t").alias("date"), F.col("p").alias("precipitation"))
 
 
+def unread_days(weather: DataFrame) -> DataFrame:
+    """One row: days whose date could not be read; no join takes them."""
+    return weather.agg(F.count(F.when(F.col("date").isNull(), 1)).alias("unread_days"))
+
+
 def load_weather(spark: SparkSession, path: str) -> DataFrame:
     """Daily series from landed answer files (one JSON document per file,
     e.g. one per year), each read whole and reshaped in parallel."""

@@ -2,9 +2,12 @@
 
 The Parquet file source remembers, in its checkpoint, which files it has
 already taken in, so each run processes only files that landed since the
-last one: the "skip files already present" rule of a downloader, made
-exactly-once.  Rows are unified, flagged and zone-marked with the same
-Column expressions as the batch path and appended to a Parquet table.
+last one: the "skip files already present" rule of a downloader.  Rows are
+unified, flagged and zone-marked with the same Column expressions as the batch
+path and appended to one Parquet folder per fleet.  Each folder has its sink's
+commit log, and exactly-once holds for readers that go by it: read the
+folders with ``read_intake``; a plain read of the parent folder would also see
+files of a batch that has not been committed.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from tripaudit.operators.ghost import derive_metrics
 from tripaudit.operators.zone import mark_zone
 from tripaudit.schema import FleetSpec, fleet, unify_schema
 from tripaudit.session import ensure_checkpoint_dir
+from tripaudit.sources.trips import union_fleets
 
 
 def flagged_stream(spark: SparkSession, raw_dir: str, spec: str | FleetSpec,
@@ -63,3 +67,17 @@ def start_intake(spark: SparkSession, raw_dir: str, out_path: str,
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
         queries.append(w.start(f"{out_path}/taxi_type={spec.name}"))
     return queries
+
+
+def read_intake(spark: SparkSession, out_path: str, fleets=("yellow", "green")) -> DataFrame:
+    """Committed rows of all fleets taken in under ``out_path``; each fleet's folder is read
+    by itself, so that its sink's commit log decides which files count."""
+    from tripaudit.plans.audit_run import STAGED_SCHEMA
+
+    fields = [f for f in STAGED_SCHEMA.fields if f.name != "is_imputed"]
+    frames = []
+    for f in fleets:
+        spec = fleet(f)
+        df = spark.read.parquet(f"{out_path}/taxi_type={spec.name}").withColumn("taxi_type", F.lit(spec.name))
+        frames.append(df.select(*[F.col(x.name).cast(x.dataType) for x in fields]))
+    return union_fleets(frames)
