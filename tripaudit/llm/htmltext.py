@@ -283,18 +283,33 @@ LABELLED: list[list[tuple[int, int, int, int, int, int]]] = [
      (1, 90, 20, 0, 0, 0), (1, 45, 10, 0, 0, 0), (0, 8, 6, 0, 0, 0), (0, 3, 3, 0, 0, 0), (0, 5, 0, 0, 0, 0)],
     [(0, 2, 0, 0, 0, 0), (0, 1, 1, 0, 0, 0), (0, 2, 2, 0, 0, 0), (1, 5, 0, 0, 0, 1), (1, 35, 6, 0, 0, 0),
      (1, 2, 0, 0, 0, 0), (1, 25, 0, 0, 0, 0), (0, 9, 4, 0, 0, 0), (0, 2, 2, 0, 0, 0), (0, 3, 0, 0, 0, 0)],
+    [(0, 1, 1, 0, 0, 0), (0, 1, 1, 0, 0, 0), (1, 50, 0, 0, 0, 0), (1, 45, 0, 0, 0, 0), (0, 1, 1, 0, 0, 0)],
+    # Marked articles with every kind of short block.
+    [(0, 1, 1, 1, 0, 0), (1, 1, 0, 0, 1, 1), (1, 1, 0, 0, 1, 0), (1, 1, 1, 0, 1, 0), (1, 1, 0, 0, 1, 0),
+     (1, 1, 1, 0, 1, 0), (1, 1, 1, 0, 1, 0), (0, 1, 0, 1, 0, 0)],
+    [(1, 2, 2, 0, 1, 0), (1, 90, 80, 0, 1, 0), (1, 2, 0, 0, 1, 0), (1, 90, 0, 0, 1, 0), (0, 90, 0, 0, 0, 0)],
     # A text of one or two lines and nothing else.
     [(1, 6, 0, 0, 0, 0)],
     [(1, 2, 0, 0, 0, 1), (1, 25, 0, 0, 0, 0)],
 ]
 
 
+#: Where an article is marked, its blocks are main text at any length: such pages count at
+#: these scales too.
+SCALES = (0.02, 0.2, 1.0, 5.0)
+
+
 def labelled_rows() -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the labelled table."""
     xs, ys = [], []
     for page in LABELLED:
-        xs.append(block_features([Block("", w, k, b, a, h) for _, w, k, b, a, h in page]))
-        ys += [row[0] for row in page]
+        for scale in SCALES if any(row[4] for row in page) else (1.0,):
+            blocks = []
+            for _, words, linked, boiler, article, heading in page:
+                n = max(1, round(words * scale))
+                blocks.append(Block("", n, min(n, round(linked * n / words)), boiler, article, heading))
+            xs.append(block_features(blocks))
+            ys += [row[0] for row in page]
     return np.concatenate(xs), np.array(ys)
 
 

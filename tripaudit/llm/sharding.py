@@ -42,8 +42,9 @@ def position(*cols):
 def ring_points(spark: SparkSession, shards: int, vnodes: int) -> list[tuple[int, int]]:
     """(position, shard) of every virtual node, in ring order."""
     points = (spark.range(shards * vnodes, numPartitions=1)
-              .select((F.col("id") % shards).cast("int").alias("shard"),
-                      position(F.lit("vnode"), F.col("id")).alias("pos")))
+              .select(F.expr(f"int(id div {vnodes})").alias("shard"), (F.col("id") % vnodes).alias("v"))
+              # A shard's points are its own: they stay when shards are added.
+              .select("shard", position(F.lit("vnode"), F.col("shard"), F.col("v")).alias("pos")))
     return sorted((r.pos, r.shard) for r in points.collect())
 
 
