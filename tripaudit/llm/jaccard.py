@@ -9,8 +9,10 @@ Two texts link when ``100 * |A and B| >= percent * |A or B|`` for their sets of
    them last; it decides how much work there is, never the result.
 2. A second scan orders the sets, collapses texts with the same prefix and size into one
    group, and sends the groups' prefix shingles, packed in blocks, to hash buckets.
-   A bucket joins the groups of each shingle, filters the pairs by size and by position,
-   and hands on the rows of frequent shingles, which were dealt out by group, unjoined.
+   A bucket joins the groups of each shingle, filters the pairs by size and counts their
+   matches, and hands on the rows of frequent shingles, which were dealt out by group,
+   unjoined.  A pair stays when its matches, all frequent shingles of its prefixes and all
+   that lies beyond them could make up the overlap that is needed.
 3. Groups are expanded and verified on whole sets.  Only components are asked for, so
    rounds verify one pair per group, towards its best connected neighbour; pairs whose two
    sides already share a component need no further look.  Pivots stand in for all pairs
@@ -47,15 +49,16 @@ CHUNK = 4_000_000
 #: frequent; and how many frequent shingles the order can put last (8 bytes each).
 LOCAL, FREQUENT, MOST_FREQUENT = 4, 64, 200_000
 #: Groups of one shingle that a bucket joins outright.
-JOINED = 64
+JOINED = 32
 ROWS_PER_BUCKET = 1_000_000
 #: Rows of two or three numbers up to which a table is broadcast.
 SMALL = 250_000
 ROUNDS = 3
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+QUARTER = np.uint64(1 << 62)
 BUCKET_SCHEMA = "bucket int, kind int, doc_id bigint, a bigint, na int, b bigint, rows binary"
-JOIN_SCHEMA = "kind int, doc_id bigint, s bigint, a bigint, na int, b bigint, nb int"
+JOIN_SCHEMA = "kind int, doc_id bigint, s bigint, a bigint, na int, b bigint, nb int, h int"
 
 
 class WordHashes(dict):
@@ -133,8 +136,8 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 def bucket_rows(docs: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
     """Kind 0: a document with its set ``a`` of ``na`` shingles and its group ``b``.  Kind 1:
-    prefix rows (shingle, group, size, position) of one bucket; kind 2: those of frequent
-    shingles, dealt by group."""
+    prefix rows (shingle, group, size, frequent shingles in the prefix, place in the set's
+    order) of one bucket; those of frequent shingles are dealt by group."""
     def deal(batches):
         hashes = WordHashes()
         for ids, sets in _text_chunks(batches, hashes):
@@ -158,8 +161,9 @@ def bucket_rows(docs: DataFrame, frequent: np.ndarray, buckets: int, percent: in
                 met.add((group, n))
                 block = np.empty(len(order), ROW)
                 block["s"], block["g"], block["n"] = order, group, n
+                block["often"] = np.arange(len(order)) >= first_common
+                block["h"] = max(len(order) - first_common, 0)
                 block["p"] = np.arange(len(order))
-                block["often"] = block["p"] >= first_common
                 parts.append(block)
             if parts:
                 block = np.concatenate(parts)
@@ -178,7 +182,7 @@ def bucket_rows(docs: DataFrame, frequent: np.ndarray, buckets: int, percent: in
     return docs.select("doc_id", "text").mapInArrow(deal, BUCKET_SCHEMA)
 
 
-ROW = np.dtype([("s", "<u8"), ("g", "<i8"), ("n", "<u4"), ("p", "<u4"), ("often", "?")])
+ROW = np.dtype([("s", "<u8"), ("g", "<i8"), ("n", "<u4"), ("h", "<u4"), ("p", "<u4"), ("often", "?")])
 
 
 def size_fits(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
@@ -186,8 +190,8 @@ def size_fits(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
 
 
 def join_bucket(block: np.ndarray, percent: int):
-    """Pairs of groups that share a shingle of the bucket and pass the filters, and the rows
-    of shingles with too many groups to join here; both in slices."""
+    """Pairs of groups of fitting sizes for every shingle they share in the bucket, and the
+    rows of shingles with too many groups to join here; both in slices."""
     order = np.lexsort((block["g"], block["s"]))
     block = block[order]
     first = np.ones(len(block), bool)
@@ -206,17 +210,14 @@ def join_bucket(block: np.ndarray, percent: int):
         for k in range(0, len(at), step):
             a = block[(at[k:k + step, None] + i).ravel()]
             b = block[(at[k:k + step, None] + j).ravel()]
-            na, nb = a["n"].astype(np.int64), b["n"].astype(np.int64)
-            need = -(-percent * (na + nb) // (100 + percent))
-            room = 1 + np.minimum(na - a["p"] - 1, nb - b["p"] - 1)
-            fits = size_fits(na, nb, percent) & (room >= need)
+            fits = size_fits(a["n"].astype(np.int64), b["n"].astype(np.int64), percent)
             yield 1, a[fits], b[fits]
 
 
 def joined(rows: DataFrame, percent: int) -> DataFrame:
     """Join every bucket; documents pass through."""
     schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("s", pa.int64()), ("a", pa.int64()),
-                        ("na", pa.int32()), ("b", pa.int64()), ("nb", pa.int32())])
+                        ("na", pa.int32()), ("b", pa.int64()), ("nb", pa.int32()), ("h", pa.int32())])
 
     def empty(n, kind):
         return pa.nulls(n, kind)
@@ -228,9 +229,9 @@ def joined(rows: DataFrame, percent: int) -> DataFrame:
             n = docs.num_rows
             if n:
                 yield pa.record_batch([docs.column("kind"), docs.column("doc_id"), empty(n, pa.int64()), docs.column("a"),
-                                       docs.column("na"), docs.column("b"), empty(n, pa.int32())], schema=schema)
+                                       docs.column("na"), docs.column("b"), empty(n, pa.int32()), empty(n, pa.int32())],
+                                      schema=schema)
             blocks += [np.frombuffer(r, ROW) for r in batch.column("rows").to_pylist() if r is not None]
-        met: set[tuple[int, int]] = set()
         if blocks:
             for kind, a, b in join_bucket(np.concatenate(blocks), percent):
                 n = len(a)
@@ -240,25 +241,34 @@ def joined(rows: DataFrame, percent: int) -> DataFrame:
                 if kind == 2:
                     yield pa.record_batch([kinds, empty(n, pa.int64()), pa.array(a["s"].astype(np.int64)),
                                            pa.array(a["g"]), pa.array(a["n"].astype(np.int32)),
-                                           empty(n, pa.int64()), empty(n, pa.int32())], schema=schema)
+                                           empty(n, pa.int64()), empty(n, pa.int32()),
+                                           pa.array(a["p"].astype(np.int32))], schema=schema)
                     continue
                 low = a["g"] < b["g"]
-                pairs = np.empty((n, 4), np.int64)
+                pairs = np.empty((n, 5), np.int64)
                 pairs[:, 0], pairs[:, 1] = np.where(low, a["g"], b["g"]), np.where(low, a["n"], b["n"])
                 pairs[:, 2], pairs[:, 3] = np.where(low, b["g"], a["g"]), np.where(low, b["n"], a["n"])
-                pairs = np.unique(pairs, axis=0)
-                fresh = [(x, y) not in met for x, y in pairs[:, [0, 2]].tolist()]
-                pairs = pairs[fresh]
-                if len(met) < 1_000_000:  # only saves repeats
-                    met.update(map(tuple, pairs[:, [0, 2]].tolist()))
+                pairs[:, 4] = np.minimum(a["h"], b["h"])
+                pairs, shared = np.unique(pairs, axis=0, return_counts=True)
                 n = len(pairs)
-                yield pa.record_batch([pa.array(np.full(n, 1, np.int32)), empty(n, pa.int64()), empty(n, pa.int64()),
+                yield pa.record_batch([pa.array(np.full(n, 1, np.int32)), empty(n, pa.int64()), pa.array(shared),
                                        pa.array(pairs[:, 0]), pa.array(pairs[:, 1].astype(np.int32)),
-                                       pa.array(pairs[:, 2]), pa.array(pairs[:, 3].astype(np.int32))], schema=schema)
+                                       pa.array(pairs[:, 2]), pa.array(pairs[:, 3].astype(np.int32)),
+                                       pa.array(pairs[:, 4].astype(np.int32))], schema=schema)
 
     return rows.groupBy("bucket").applyInArrow(join, JOIN_SCHEMA)
 
 
+def candidate_pairs(found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups whose matches allow the overlap that their sizes ask for."""
+    def beyond(n):
+        return f"({n} - ({n} - (({percent} * {n} + 99) div 100) + 1))"
+
+    need = f"((na + nb) * {percent} + {99 + percent}) div {100 + percent}"
+    return (found.where("kind = 1").groupBy("a", "na", "b", "nb", "h").agg(F.sum("s").alias("shared"))
+            .where(f"shared + h + greatest({beyond('na')}, {beyond('nb')}) >= {need}").select("a", "b"))
+
+
 def hinted(df: DataFrame) -> DataFrame:
     """A written table of few numbers a row: broadcast when it has few rows, else joined as
     the planner sees fit."""
@@ -276,32 +286,57 @@ class SetTable:
                 for part in pieces(batch):
                     found = [shingles(t, hashes) for t in part.column(0).to_pylist()]
                     yield pa.record_batch([pa.array([number(s.tobytes()) for s in found], pa.int64()),
-                                           pa.array([s.tobytes() for s in found], pa.binary())], ["a", "members"])
+                                           pa.array([s.tobytes() for s in found], pa.binary()),
+                                           pa.array([int(np.searchsorted(s, QUARTER)) for s in found], pa.int32())],
+                                          ["a", "members", "head"])
 
         few = hinted(wanted)
         held = (docs.join(few, docs["doc_id"].eqNullSafe(few["rep"]), "left_semi").select("text")
-                .mapInArrow(sets, "a bigint, members binary"))
-        self.sets = written(held.join(hinted(wanted.select("a")), "a", "left_semi").dropDuplicates(["a"]), "sets")
+                .mapInArrow(sets, "a bigint, members binary, head int"))
+        self.sets = written(held.join(hinted(wanted.select("a")), "a", "left_semi"), "sets")
+        if self.sets.groupBy("a").count().where("count > 1").take(1):  # repeated ids
+            self.sets = written(self.sets.dropDuplicates(["a"]), "sets")
+
+    def joined(self, pairs: DataFrame, what) -> DataFrame:
+        """(a, b, left, right) with the parts ``what`` of both sets of written pairs."""
+        left = self.sets.join(hinted(pairs), "a").select("a", "b", what.alias("left"))
+        ends = hinted(written(pairs.select(F.col("b").alias("a")).distinct(), "ends"))
+        right = self.sets.join(ends, "a", "left_semi").select(F.col("a").alias("b"), what.alias("right"))
+        return left.join(right, "b").select("a", "b", "left", "right")
+
+    def plausible(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """Written pairs without those that a quarter of the hash space already rules out:
+        their matches there and all that lies beyond cannot make up the overlap needed."""
+        quarter = F.struct(F.expr("substring(members, 1, 8 * head)").alias("m"),
+                           F.expr("length(members) div 8 - head").alias("rest"))
+
+        def check(batches):
+            for batch in batches:
+                left, right = (batch.column(i).to_pylist() for i in (2, 3))
+                ok = []
+                for x, y in zip(left, right, strict=True):
+                    p, q = np.frombuffer(x["m"], np.uint64), np.frombuffer(y["m"], np.uint64)
+                    most = len(np.intersect1d(p, q, assume_unique=True)) + min(x["rest"], y["rest"])
+                    total = len(p) + x["rest"] + len(q) + y["rest"]
+                    ok.append(100 * most >= percent * (total - most))
+                yield pa.record_batch([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+        return written(self.joined(pairs, quarter).mapInArrow(check, "a bigint, b bigint"), "plausible")
 
     def verify(self, pairs: DataFrame, percent: int) -> DataFrame:
         """(a, b, linked) of written candidate pairs (a, b)."""
         def check(batches):
             for batch in batches:
-                a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
+                left, right = (batch.column(i).to_pylist() for i in (2, 3))
                 ok = []
                 for x, y in zip(left, right, strict=True):
                     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     ok.append(100 * both >= percent * (len(x) + len(y) - both))
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ok, pa.bool_())],
-                                      ["a", "b", "linked"])
+                yield pa.record_batch([*batch.columns[:2], pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
-        few = hinted(pairs)
-        left = self.sets.join(few, "a").select("a", "b", F.col("members").alias("left"))
-        right = self.sets.join(hinted(written(pairs.select("b").distinct(), "ends")).withColumnRenamed("b", "a"), "a",
-                               "left_semi").toDF("b", "right")
-        return written(left.join(right, "b").select("a", "b", "left", "right")
-                       .mapInArrow(check, "a bigint, b bigint, linked boolean"), "verified")
+        return written(self.joined(pairs, F.col("members")).mapInArrow(check, "a bigint, b bigint, linked boolean"),
+                       "verified")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -324,9 +359,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
     # A group's leading set stands in for the group.
     leads = written(sets.groupBy("g").agg(F.min("a").alias("lead"), F.count("*").alias("sets")), "groups")
     lead = leads.select("g", "lead")
-    pairs = found.where("kind = 1").select("a", "b").distinct()
-    hot = written(found.where("kind = 2").select("s", F.col("a").alias("g"), "na").distinct()
-                  .join(lead, "g").select("s", F.col("lead").alias("a"), "na"), "frequent")
+    pairs = candidate_pairs(found, percent)
+    hot = written(found.where("kind = 2").select("s", F.col("a").alias("g"), "na", F.col("h").alias("i")).distinct()
+                  .join(lead, "g").select("s", F.col("lead").alias("a"), "na", "i"), "frequent")
+
+    def reachable(na, i, nb, j):
+        """Sizes fit, and a first match at these places leaves room for the overlap needed."""
+        return (f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb}) and least({na} - {i}, {nb} - {j}) >= "
+                f"(({na} + {nb}) * {percent} + {99 + percent}) div {100 + percent}")
 
     def led(p):
         return (p.join(lead.toDF("a", "_a"), "a").join(lead.toDF("b", "_b"), "b")
@@ -334,10 +374,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
 
     def star(rank):
         """Pairs of every set of a frequent shingle with the first set by ``rank``."""
-        first = hot.groupBy("s").agg(F.max(F.struct(rank.alias("r"), "a", "na")).alias("p"))
-        return (hot.join(first, "s")
-                .where(100 * F.least("na", "p.na") >= percent * F.greatest("na", "p.na"))
-                .select("a", F.col("p.a").alias("b")))
+        first = hot.groupBy("s").agg(F.max(F.struct(rank.alias("r"), "a", "na", "i")).alias("p"))
+        return (hot.join(first, "s").where(reachable("na", "i", "p.na", "p.i")).select("a", F.col("p.a").alias("b")))
 
     width = hot.groupBy("a").agg(F.count("*").alias("_w"))
     hot = written(hot.join(width, "a"), "frequent")
@@ -403,17 +441,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
         placed = hot
         if not parted.isEmpty():
             mine = sets.join(leads, "g").select(F.col("lead").alias("a"), F.col("a").alias("x"))
-            placed = hot.join(mine, "a").select("s", F.col("x").alias("a"), "na")
+            placed = hot.join(mine, "a").select("s", F.col("x").alias("a"), "na", "i")
         placed = written(labelled(placed), "frequent-placed")
         # Of every frequent shingle, the sets outside its largest component against all others.
         largest = (placed.groupBy("s", "_l").count().groupBy("s")
                    .agg(F.max(F.struct("count", "_l")).alias("m")).select("s", F.col("m._l").alias("_top")))
-        stray = placed.join(largest, "s").where("_l <> _top").select("s", "a", "na", "_l")
+        stray = placed.join(largest, "s").where("_l <> _top").select("s", "a", "na", "i", "_l")
         cross = (stray.alias("l").join(placed.alias("r"), F.expr(
-            f"l.s = r.s and l._l <> r._l and 100 * least(l.na, r.na) >= {percent} * greatest(l.na, r.na)"))
+            f"l.s = r.s and l._l <> r._l and {reachable('l.na', 'l.i', 'r.na', 'r.i')}"))
             .select(F.col("l.a").alias("a"), F.col("r.a").alias("b")))
         rest = rest.union(cross)
-    last = written(apart(ordered(rest), label), "last")
+    last = whole.plausible(written(apart(ordered(rest), label), "last"), percent)
     if not last.isEmpty():
         run(last)
         label = labels()
