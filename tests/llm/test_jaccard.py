@@ -104,6 +104,16 @@ def test_bucket_join_is_all_pairs_of_fitting_sizes(monkeypatch):
     assert got == want and rows == wide
 
 
+def test_shingles_of_texts_hashed_together(monkeypatch):
+    texts = [None, "", " \t", "a", "A b", "a\x0bb\tc d\r\ne", "é a b c d e", "x", "w " * 3000 + "z", "y" * 5000 + " a b c d e"]
+    together = [J.distinct(h) for h in J.shingles(texts)]
+    assert [len(h) for h in together] == [len(shingle_set(t)) for t in texts]
+    for t, h in zip(texts, together):
+        assert (J.distinct(J.shingles([t])[0]) == h).all()
+    monkeypatch.setattr(J, "SEGMENT", 64)  # words and texts longer than a segment
+    assert all((J.distinct(h) == w).all() for h, w in zip(J.shingles(texts), together))
+
+
 def test_prefix_sizes():
     assert [J.prefix_size(n, 75) for n in (1, 2, 3, 4, 8, 100)] == [1, 1, 1, 2, 3, 26]
 
