@@ -30,6 +30,7 @@ their number; a component's id is its smallest ``doc_id`` (null only if all are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,32 +44,34 @@ from tripaudit.llm.tables import aside, pieces, table, written
 
 SHINGLE = 5
 PERCENT = 75
-#: Shingles that a task gathers before it looks for frequent ones.
-CHUNK = 4_000_000
+#: Shingles that a task gathers before it looks for frequent ones, and before it deals rows.
+CHUNK, DEALT = 2_000_000, 1_000_000
+#: Bytes of text taken at once, and hashed at once.
+TEXT_BYTES, SEGMENT = 2 << 20, 1 << 19
 #: Times a shingle must occur in distinct texts of a chunk, and over all chunks, to count as
 #: frequent; and how many frequent shingles the order can put last (8 bytes each).
-LOCAL, FREQUENT, MOST_FREQUENT = 4, 64, 200_000
+LOCAL, FREQUENT, MOST_FREQUENT = 3, 24, 200_000
 #: Groups of one shingle that a bucket joins outright.
 JOINED = 32
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 500_000
 #: Rows of two or three numbers up to which a table is broadcast.
 SMALL = 250_000
 ROUNDS = 3
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-QUARTER = np.uint64(1 << 62)
+QUARTER, HALF = np.uint64(1 << 62), np.uint64(1 << 63)
 BUCKET_SCHEMA = "bucket int, kind int, doc_id bigint, a bigint, na int, b bigint, rows binary"
 JOIN_SCHEMA = "kind int, doc_id bigint, s bigint, a bigint, na int, b bigint, nb int, h int"
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept up to a bounded number."""
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+
+@lru_cache(maxsize=2)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse, up to n."""
+    inverse = np.uint64(pow(int(MIX[2]), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, x, np.uint64)])) for x in (MIX[2], inverse))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -77,18 +80,60 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text: A-Z lower-cased, words between blanks."""
-    words = text.encode().lower().split() if text else []
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    size = min(SHINGLE, n)
-    h = np.full(n - size + 1, size, np.uint64)
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every word of bytes that end in a blank.  A hash is a difference of
+    prefix sums, scaled back to the word's start; segments between blanks bound the memory."""
+    starts, hashes, at = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while at < len(data):
+        stop = min(at + SEGMENT, len(data))
+        blanks = np.flatnonzero(BLANK[data[at:stop]])
+        while not len(blanks):  # a word longer than the segment
+            stop = min(2 * stop - at, len(data))
+            blanks = np.flatnonzero(BLANK[data[at:stop]])
+        part = data[at:at + int(blanks[-1]) + 1]
+        up, down = powers(SEGMENT if len(part) <= SEGMENT else len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=sums[1:])
+        edge = np.diff(np.concatenate([[True], BLANK[part]]).astype(np.int8))
+        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        starts.append(start + at)
+        hashes.append(mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)))
+        at += len(part)
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def combined(w: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words."""
+    n = len(w) - size + 1
+    h = np.full(n, size, np.uint64)
     for k in range(size):
-        h = h * MIX[0] + w[k:n - size + 1 + k]
-    return np.unique(mixed(h))
+        h = h * MIX[0] + w[k:n + k]
+    return mixed(h)
+
+
+def shingles(texts: list[str | None]) -> list[np.ndarray]:
+    """Shingle hashes of every text, unsorted and with repeats: A-Z lower-cased, words
+    between blanks."""
+    raw = [(t or "").encode() for t in texts]
+    start, words = word_hashes(np.frombuffer(b"\n".join([*raw, b""]).lower(), np.uint8))
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    bound = np.searchsorted(start, np.concatenate([[0], ends]))
+    whole = combined(words, SHINGLE) if len(words) >= SHINGLE else words[:0]
+    out = []
+    for i, j in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+        if j - i >= SHINGLE:
+            out.append(whole[i:j - SHINGLE + 1])
+        else:
+            out.append(combined(words[i:j], j - i) if j > i else words[:0])
+    return out
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes."""
+    h = np.sort(h)
+    first = np.ones(len(h), bool)
+    first[1:] = h[1:] != h[:-1]
+    return h[first]
 
 
 def number(data: bytes) -> int:
@@ -101,30 +146,30 @@ def prefix_size(n, percent: int):
     return n - (-(-percent * n // 100)) + 1
 
 
-def _text_chunks(batches, hashes):
-    """(doc ids, sets) of chunks of about CHUNK shingles."""
-    ids, sets, total = [], [], 0
+def _text_chunks(batches, size):
+    """(doc ids, shingles) of chunks of about ``size`` shingles."""
+    ids, found, total = [], [], 0
     for batch in batches:
-        for part in pieces(batch):
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                ids.append(doc_id)
-                sets.append(shingles(text, hashes))
-                total += len(sets[-1])
-                if total > CHUNK:
-                    yield ids, sets
-                    ids, sets, total = [], [], 0
+        for part in pieces(batch, TEXT_BYTES):
+            ids += part.column(0).to_pylist()
+            # Copies: a text's shingles are a view of those of its whole slice.
+            found += [h.copy() for h in shingles(part.column(1).to_pylist())]
+            total += sum(map(len, found[-part.num_rows:]))
+            if total > size:
+                yield ids, found
+                ids, found, total = [], [], 0
     if ids:
-        yield ids, sets
+        yield ids, found
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of the most frequent shingles over all texts (equal texts of a chunk
-    count once)."""
+    count once).  Only the lower half of the hash space is looked at: the upper half comes
+    last in the order as it is."""
     def count(batches):
-        hashes = WordHashes()
-        for _, sets in _text_chunks(batches, hashes):
-            distinct = {xxhash.xxh64_intdigest(s): s for s in sets}
-            seen, n = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
+        for _, found in _text_chunks(batches, CHUNK):
+            texts = {xxhash.xxh64_intdigest(h): h[h < HALF] for h in found}
+            seen, n = np.unique(np.concatenate(list(texts.values())), return_counts=True)
             often = n >= LOCAL
             yield pa.record_batch([pa.array(seen[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["s", "n"])
 
@@ -139,10 +184,9 @@ def bucket_rows(docs: DataFrame, frequent: np.ndarray, buckets: int, percent: in
     prefix rows (shingle, group, size, frequent shingles in the prefix, place in the set's
     order) of one bucket; those of frequent shingles are dealt by group."""
     def deal(batches):
-        hashes = WordHashes()
-        for ids, sets in _text_chunks(batches, hashes):
+        for ids, found in _text_chunks(batches, DEALT):
             out, parts, met = [], [], set()
-            for i, (doc_id, s) in enumerate(zip(ids, sets, strict=True)):
+            for i, (doc_id, s) in enumerate(zip(ids, map(distinct, found), strict=True)):
                 n = len(s)
                 if not n:
                     out.append((i % buckets, 0, doc_id, None, 0, None, None))
@@ -206,7 +250,7 @@ def join_bucket(block: np.ndarray, percent: int):
     for m in np.unique(size[(size > 1) & (size <= JOINED) & ~block["often"][start]]):
         at = start[(size == m) & ~block["often"][start]]
         i, j = np.triu_indices(m, 1)
-        step = max(1, 500_000 // len(i))
+        step = max(1, 100_000 // len(i))
         for k in range(0, len(at), step):
             a = block[(at[k:k + step, None] + i).ravel()]
             b = block[(at[k:k + step, None] + j).ravel()]
@@ -281,10 +325,9 @@ class SetTable:
     def __init__(self, docs: DataFrame, wanted: DataFrame):
         """``wanted``: one (doc_id, text hash, a) for every set that is needed."""
         def sets(batches):
-            hashes = WordHashes()
             for batch in batches:
-                for part in pieces(batch):
-                    found = [shingles(t, hashes) for t in part.column(0).to_pylist()]
+                for part in pieces(batch, TEXT_BYTES):
+                    found = [distinct(h) for h in shingles(part.column(0).to_pylist())]
                     yield pa.record_batch([pa.array([number(s.tobytes()) for s in found], pa.int64()),
                                            pa.array([s.tobytes() for s in found], pa.binary()),
                                            pa.array([int(np.searchsorted(s, QUARTER)) for s in found], pa.int32())],
@@ -326,7 +369,7 @@ class SetTable:
     def verify(self, pairs: DataFrame, percent: int) -> DataFrame:
         """(a, b, linked) of written candidate pairs (a, b)."""
         def check(batches):
-            for batch in batches:
+            for batch in (part for whole in batches for part in pieces(whole)):
                 left, right = (batch.column(i).to_pylist() for i in (2, 3))
                 ok = []
                 for x, y in zip(left, right, strict=True):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ def pieces(batch, limit: int = 4 << 20):
     step = max(1, int(n * limit / max(batch.nbytes, 1)))
     for i in range(0, n, step):
         yield batch.slice(i, step)
+    pa.default_memory_pool().release_unused()
 
 
 def aside(docs: DataFrame, *named: str):
