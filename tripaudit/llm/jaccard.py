@@ -285,7 +285,7 @@ def joined(rows: DataFrame, percent: int) -> DataFrame:
                 if kind == 2:
                     yield pa.record_batch([kinds, empty(n, pa.int64()), pa.array(a["s"].astype(np.int64)),
                                            pa.array(a["g"]), pa.array(a["n"].astype(np.int32)),
-                                           empty(n, pa.int64()), empty(n, pa.int32()),
+                                           empty(n, pa.int64()), pa.array((~a["often"]).astype(np.int32)),
                                            pa.array(a["p"].astype(np.int32))], schema=schema)
                     continue
                 low = a["g"] < b["g"]
@@ -304,13 +304,20 @@ def joined(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_pairs(found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups whose matches allow the overlap that their sizes ask for."""
+    """Pairs of groups whose matches allow the overlap that their sizes ask for.  Frequent
+    shingles of both prefixes count as matches, those that only turned out to be so in
+    their bucket too."""
     def beyond(n):
         return f"({n} - ({n} - (({percent} * {n} + 99) div 100) + 1))"
 
     need = f"((na + nb) * {percent} + {99 + percent}) div {100 + percent}"
+    wide = written(found.where("kind = 2 and nb = 1").select("s", "a").distinct()
+                   .groupBy("a").agg(F.count("*").alias("_w")), "wide")
+    wide = hinted(wide)
     return (found.where("kind = 1").groupBy("a", "na", "b", "nb", "h").agg(F.sum("s").alias("shared"))
-            .where(f"shared + h + greatest({beyond('na')}, {beyond('nb')}) >= {need}").select("a", "b"))
+            .join(wide.toDF("a", "_wa"), "a", "left").join(wide.toDF("b", "_wb"), "b", "left")
+            .where(f"shared + h + least(coalesce(_wa, 0), coalesce(_wb, 0)) + "
+                   f"greatest({beyond('na')}, {beyond('nb')}) >= {need}").select("a", "b"))
 
 
 def hinted(df: DataFrame) -> DataFrame:
@@ -415,15 +422,20 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
         return (p.join(lead.toDF("a", "_a"), "a").join(lead.toDF("b", "_b"), "b")
                 .select(F.col("_a").alias("a"), F.col("_b").alias("b")))
 
+    # One pivot for every frequent shingle, the set that holds most of them.  Shingles with the
+    # same pivot are one neighbourhood: its members, each with its first place in it.
+    width = hot.groupBy("a").agg(F.count("*").alias("_w"))
+    pivots = (hot.join(width, "a").groupBy("s").agg(F.max(F.struct("_w", "a")).alias("m"))
+              .select("s", F.col("m.a").alias("p")))
+    hot = written(hot.join(pivots, "s").groupBy("p", "a", "na").agg(F.min("i").alias("i")), "neighbourhoods")
+
     def star(rank):
-        """Pairs of every set of a frequent shingle with the first set by ``rank``."""
-        first = hot.groupBy("s").agg(F.max(F.struct(rank.alias("r"), "a", "na", "i")).alias("p"))
-        return (hot.join(first, "s").where(reachable("na", "i", "p.na", "p.i")).select("a", F.col("p.a").alias("b")))
+        """Pairs of the members of every neighbourhood with its first by ``rank``."""
+        first = hot.groupBy("p").agg(F.max(F.struct(rank.alias("r"), "a", "na", "i")).alias("f"))
+        return (hot.join(first, "p").where(reachable("na", "i", "f.na", "f.i")).select("a", F.col("f.a").alias("b")))
 
-    width = hot.groupBy("a").agg(F.count("*").alias("_w"))
-    hot = written(hot.join(width, "a"), "frequent")
     in_group = (sets.join(leads.where("sets > 1"), "g").where("a <> lead").select("a", F.col("lead").alias("b")))
-    todo = written(ordered(led(pairs).union(star(F.col("_w"))).union(star(F.xxhash64("a", F.lit(1))))
+    todo = written(ordered(led(pairs).union(star(F.col("a") == F.col("p"))).union(star(F.xxhash64("a", F.lit(1))))
                            .union(in_group)), "pairs")
     parted = leads.where("sets > 1").join(sets, "g").select("lead", "a", "na")
     involved = written(todo.select("a").union(todo.select("b")).union(parted.select("a")).union(hot.select("a"))
@@ -484,14 +496,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
         placed = hot
         if not parted.isEmpty():
             mine = sets.join(leads, "g").select(F.col("lead").alias("a"), F.col("a").alias("x"))
-            placed = hot.join(mine, "a").select("s", F.col("x").alias("a"), "na", "i")
+            placed = hot.join(mine, "a").select("p", F.col("x").alias("a"), "na", "i")
         placed = written(labelled(placed), "frequent-placed")
-        # Of every frequent shingle, the sets outside its largest component against all others.
-        largest = (placed.groupBy("s", "_l").count().groupBy("s")
-                   .agg(F.max(F.struct("count", "_l")).alias("m")).select("s", F.col("m._l").alias("_top")))
-        stray = placed.join(largest, "s").where("_l <> _top").select("s", "a", "na", "i", "_l")
+        # Of every neighbourhood, the sets outside its largest component against all others.
+        largest = (placed.groupBy("p", "_l").count().groupBy("p")
+                   .agg(F.max(F.struct("count", "_l")).alias("m")).select("p", F.col("m._l").alias("_top")))
+        stray = placed.join(largest, "p").where("_l <> _top").select("p", "a", "na", "i", "_l")
         cross = (stray.alias("l").join(placed.alias("r"), F.expr(
-            f"l.s = r.s and l._l <> r._l and {reachable('l.na', 'l.i', 'r.na', 'r.i')}"))
+            f"l.p = r.p and l._l <> r._l and {reachable('l.na', 'l.i', 'r.na', 'r.i')}"))
             .select(F.col("l.a").alias("a"), F.col("r.a").alias("b")))
         rest = rest.union(cross)
     last = whole.plausible(written(apart(ordered(rest), label), "last"), percent)
@@ -518,8 +530,9 @@ def op9_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """One document of every component, the one with the smallest id, with its own columns."""
+    """One document of every component, the one with the smallest id, with its own columns.
+    Rows that repeat that id stay with it; rows without an id stay, as nothing tells them apart."""
     parts = written(jaccard_components(docs.select("doc_id", "text")), "components")
     gone = parts.where("component_id <> doc_id").select("doc_id").distinct()
     plain, back = aside(docs, "doc_id")
-    return back(plain.join(gone, "doc_id", "left_anti"))
+    return back(plain.join(hinted(written(gone, "gone")), "doc_id", "left_anti"))
