@@ -56,7 +56,7 @@ JOINED = 32
 ROWS_PER_BUCKET = 500_000
 #: Rows of two or three numbers up to which a table is broadcast.
 SMALL = 250_000
-ROUNDS = 3
+ROUNDS = 2
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 QUARTER, HALF = np.uint64(1 << 62), np.uint64(1 << 63)

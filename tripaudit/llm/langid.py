@@ -41,7 +41,7 @@ LEXICON = 400
 CHAIN = 4
 EPOCHS = 12
 BLOCK = 64
-CACHE = 150_000
+CACHE = 60_000
 UND = "und"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -292,7 +292,7 @@ def predict(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
         emit = np.empty((0, len(model.langs)), np.float32)
         lettered = np.empty(0, bool)
         for batch in batches:
-            for part in pieces(batch, 2 << 20):
+            for part in pieces(batch, 1 << 19):
                 texts = part.column(part.schema.get_field_index(text))
                 split = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
                 n = np.asarray(pc.list_value_length(split)).astype(np.int64)
