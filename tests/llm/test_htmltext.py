@@ -92,3 +92,36 @@ def test_query_gives_the_article_of_every_page(spark):
 def test_blocks_carry_link_words():
     got = read_blocks("<p>a <a href=x>b c</a> d</p><p><a name=x>e</a></p>")
     assert [(b.text, b.words, b.linked) for b in got] == [("a b c d", 4, 2), ("e", 1, 0)]
+
+
+ARTICLE = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("body", [
+    f"<div class='content-sidebar-wrap'><article>{ARTICLE}</article><div class=sidebar>{LONG}</div></div>",
+    f"<div class='has-sidebar'><main>{ARTICLE}<div class='comments'><article>{LONG * 9}</article></div></main></div>",
+    f"<main class='search-results'>{ARTICLE}</main><div class=footer>{LONG}</div>",
+    f"<main><p class=widget>x</p><article class='post comments-open'>{ARTICLE}<ol class=commentlist><li>{LONG}</ol></article></main>",
+    f"<div class=menu><a href=x>a</a></div><div id='privacy'>{ARTICLE}</div><div class=footer>f</div>",
+    f"<div class='has-sidebar'><div class='with-ads'>{ARTICLE}</div><div class='widget'>{LONG}</div></div>",
+    f"<article><a class=share href=x>Share</a>{ARTICLE}</article>",
+    f"<span class='page-overlay'><div><article>{ARTICLE}</article></div></span>",
+])
+def test_wrappers_named_like_boilerplate_keep_the_article(tree, body):
+    assert main_text(page(body), tree) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("body", [
+    f"<article>{ARTICLE}</article><div class='comments'><article class=comment>{LONG * 9}</article></div>",
+    f"<article>{ARTICLE}<p>a <span class='ad'>Buy</span></p></article><div class='related-posts'><article>{LONG}</article></div>",
+])
+def test_marked_articles_beside_the_article_stay_out(tree, body):
+    assert main_text(page(body), tree).startswith(f"T\n{LONG.strip()}\n{LONG.strip()}")
+    assert main_text(page(body), tree).count("word") == 80
+
+
+def test_deep_named_elements_take_linear_time(tree):
+    began = time.time()
+    main_text("<div class='has-sidebar'>" * 50_000 + "x", tree)
+    main_text("<div class='has-sidebar'><p>w</p>" * 30_000 + "</div><i class=ad>" * 30_000, tree)
+    assert time.time() - began < 8

@@ -6,6 +6,10 @@ marked boilerplate, within a marked article, as a heading).  A decision tree, gr
 on the small labelled table below, tells main text from boilerplate; the kept blocks in
 page order, one per line, are the page's text.
 
+A mark by a word in a class or id can be outvoted: it does not count for an element that
+holds the page's article (or most of its unlinked words) and leaves little outside, such as
+``content-sidebar-wrap`` or ``post comments-open`` (see ``outvoted``).
+
 Reading takes time linear in the page: no construct looks ahead further than its own end,
 and an attribute value that is never closed is met once.
 
@@ -46,6 +50,7 @@ BOILER_WORDS = frozenset("""ad ads adv advert adverts advertisement advertisemen
     pagination popup privacy promo promotion recommended related replies reply respond search share sharing sidebar
     signup skip social sponsor sponsored subscribe subscription toolbar widget""".split())
 HEADER_WORDS = frozenset("header masthead".split())
+COMMENT_WORDS = frozenset("comment commentlist comments discussion disqus replies reply respond".split())
 MAIN_WORDS = frozenset("article content entry main post story".split())
 FEATURES = ("words", "links", "before_words", "before_links", "after_words", "after_links",
             "boiler", "article", "elsewhere", "heading")
@@ -68,12 +73,26 @@ class Block:
     heading: int
 
 
+@dataclass
+class Named:
+    """An element marked as boilerplate by its class or id alone: its blocks are
+    ``start`` to ``end``, ``mains`` the article and main elements it is or holds."""
+    above: int | None
+    firm: bool
+    start: int
+    mains: int
+    end: int = 0
+
+
 @dataclass
 class _Open:
     tag: str
     boiler: bool
     article: bool
     inline: bool
+    named: bool = False
+    firm: bool = False
+    number: int | None = None
 
 
 @dataclass
@@ -90,6 +109,10 @@ class _Page:
     article: int = 0
     muted: int = 0
     heading: int = 0
+    mains: int = 0
+    named: list[Named] = field(default_factory=list)
+    within: list[int] = field(default_factory=list)
+    silent: list[_Open] = field(default_factory=list)
 
     def add(self, s: str) -> None:
         if self.muted or not s:
@@ -108,48 +131,142 @@ class _Page:
             self.text = []
         self.link_text = []
 
-    def push(self, tag: str, boiler: bool, article: bool, inline: bool) -> None:
-        self.stack.append(_Open(tag, boiler, article, inline))
+    def push(self, tag: str, boiler: bool, article: bool, inline: bool, named: bool = False, firm: bool = False,
+             mains: int = 0) -> None:
+        top = _Open(tag, boiler, article, inline, named, firm)
+        self.stack.append(top)
         self.open[tag] += 1
-        self.boiler += boiler and not inline
-        self.muted += boiler and inline
         self.article += article
+        if not named:
+            self.boiler += boiler and not inline
+            self.muted += boiler and inline
+        elif inline:
+            self.muted += 1
+            self.silent.append(top)
+        else:
+            self.name(top)
+        self.mains += mains
+
+    def name(self, top: _Open) -> None:
+        top.number = len(self.named)
+        self.named.append(Named(self.within[-1] if self.within else None, top.firm, len(self.blocks), self.mains))
+        self.within.append(top.number)
+
+    def unmute(self) -> None:
+        """Inline elements marked by name that turn out to hold blocks are no inline text."""
+        for top in self.silent:
+            top.inline = False
+            self.muted -= 1
+            self.name(top)
+        self.silent.clear()
 
     def pop(self) -> _Open:
+        if self.stack[-1].number is not None:
+            self.flush()
         top = self.stack.pop()
         self.open[top.tag] -= 1
-        self.boiler -= top.boiler and not top.inline
-        self.muted -= top.boiler and top.inline
         self.article -= top.article
+        if not top.named:
+            self.boiler -= top.boiler and not top.inline
+            self.muted -= top.boiler and top.inline
+        elif top.inline:
+            self.muted -= 1
+            self.silent.pop()
+        else:
+            self.end(self.within.pop())
         return top
 
+    def end(self, number: int) -> None:
+        e = self.named[number]
+        e.end, e.mains = len(self.blocks), self.mains - e.mains
+
     def close(self, tag: str) -> None:
         if self.open[tag]:
             while self.pop().tag != tag:
                 pass
 
 
-def marked(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is marked as boilerplate, and as main text."""
+#: Times the unmarked words elsewhere that an element must hold to outvote its mark: one that
+#: holds an article, one that does not, one whose name is a boilerplate word and nothing else.
+HOLDER, OTHER, FIRM = 1, 2, 10
+#: Least words of an element without an article element.
+FEW = 10
+
+
+def outvoted(blocks: list[Block], named: list[Named]) -> None:
+    """Count in every block the marks by name that stand.
+
+    Words are unlinked ones outside elements marked by tag, role or style, and only those of
+    articles where the page has any.  Marks are decided from the outside in, compound names
+    (``has-sidebar``) before plain ones (``sidebar``), against the words free so far.
+    """
+    usable = [b.words - min(b.linked, b.words) if not b.boiler else 0 for b in blocks]
+    if any(w and b.article for w, b in zip(usable, blocks, strict=True)):
+        usable = [w * b.article for w, b in zip(usable, blocks, strict=True)]
+    upto = np.concatenate([[0], np.cumsum(usable, dtype=np.int64)])
+    inside = [int(upto[e.end] - upto[e.start]) for e in named]
+    below: list[list[int]] = [[] for _ in named]
+    level = []
+    for i, e in enumerate(named):
+        (level if e.above is None else below[e.above]).append(i)
+    total = int(upto[-1])
+    free = total - sum(inside[i] for i in level)
+    stands = [True] * len(named)
+    while level:
+        deeper = []
+        for firm in (False, True):
+            freed = 0
+            for i in level:
+                e, n = named[i], inside[i]
+                if e.firm != firm or not n:
+                    continue
+                times = FIRM if firm else HOLDER if e.mains else OTHER
+                if n > times * free and (e.mains or n >= FEW and 2 * n > total):
+                    stands[i] = False
+                    freed += n - sum(inside[j] for j in below[i])
+                    deeper += below[i]
+            free += freed
+        level = deeper
+    marks = [0] * (len(blocks) + 1)
+    for e, stand in zip(named, stands, strict=True):
+        marks[e.start] += stand
+        marks[e.end] -= stand
+    count = 0
+    for b, step in zip(blocks, marks):
+        count += step
+        b.boiler += count
+
+
+def marked(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool, bool, bool]:
+    """Whether an element is marked as boilerplate, as main text, as boilerplate by its class or
+    id alone, firmly so, and whether it is an article or main element."""
     boiler = tag in BOILER_TAGS or tag == "header" and not in_article
-    main = tag in MAIN_TAGS
+    main = holder = tag in MAIN_TAGS
+    named = firm = False
     if attrs and any(m in attrs.lower() for m in _MARKS):
+        words, tokens = set(), set()
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id"):
                 parts = {x.lower() for x in _PART.findall(_HUMP.sub(r"\1 \2", value))}
-                boiler = boiler or not parts.isdisjoint(BOILER_WORDS)
-                boiler = boiler or not in_article and not parts.isdisjoint(HEADER_WORDS) and tag not in HEADINGS
+                named = named or not parts.isdisjoint(BOILER_WORDS)
+                named = named or not in_article and not parts.isdisjoint(HEADER_WORDS) and tag not in HEADINGS
                 main = main or tag in ("div", "section") and not parts.isdisjoint(MAIN_WORDS)
+                words |= parts
+                tokens.update(value.lower().split())
             elif name == "role":
                 boiler = boiler or value.lower() in BOILER_ROLES
-                main = main or value.lower() in ("main", "article")
+                holder = holder or value.lower() in ("main", "article")
+                main = main or holder
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 boiler = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 boiler = True
+        firm = not tokens.isdisjoint(BOILER_WORDS) or not words.isdisjoint(COMMENT_WORDS) and words.isdisjoint(MAIN_WORDS)
     # Page-wide elements carry theme classes; they hold everything.
-    return (False, False) if tag in ("html", "body") else (boiler, main)
+    if tag in ("html", "body"):
+        return False, False, False, False, False
+    return boiler, main, named and not boiler, firm, holder
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -191,6 +308,7 @@ def read_blocks(page: str) -> list[Block]:
         if closing:
             if tag == "a":
                 p.in_link = False
+                p.close(tag)
             elif tag in BLOCK_TAGS:
                 p.flush()
                 p.close(tag)
@@ -216,6 +334,7 @@ def read_blocks(page: str) -> list[Block]:
             p.in_link = "href" in attrs.lower()
         block = tag in BLOCK_TAGS
         if block:
+            p.unmute()
             p.flush()
             # A paragraph ends where another block begins, a list item where the next one does.
             if p.stack and p.stack[-1].tag == "p" or tag in ("li", "dt", "dd", "td", "th", "tr", "option") \
@@ -224,10 +343,13 @@ def read_blocks(page: str) -> list[Block]:
             p.heading = int(tag in HEADINGS)
         if tag in VOID_TAGS or attrs.endswith("/") and not block:
             continue
-        boiler, main = marked(tag, attrs, p.article > 0)
-        if block or boiler:
-            p.push(tag, boiler, main, not block)
+        boiler, main, named, firm, holder = marked(tag, attrs, p.article > 0)
+        if block or boiler or named:
+            p.push(tag, boiler, main, not block, named, firm, holder)
     p.flush()
+    for number in p.within:
+        p.end(number)
+    outvoted(p.blocks, p.named)
     return p.blocks
 
 
