@@ -63,3 +63,25 @@ def test_query_matches_sql(spark):
     want = con.sql(oracle_op4())
     assert df.columns == want.columns
     assert sorted(map(tuple, df.collect())) == sorted(want.fetchall())
+
+
+def test_common_licences_and_tags(spark):
+    tags = sorted({name for name, _ in RULES} | {"LGPL-2.1-only", "AGPL-3.0-only", "MPL-2.0", "ISC", "Unlicense", "CC0-1.0",
+                                                 "CC-BY-3.0", "CC-BY-NC-ND-2.5"})
+    assert found_licences(spark, *[f"x = 1\n# SPDX-License-Identifier: {t}\ny" for t in tags]) == [[t] for t in tags]
+    header = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+              "compliance with the License. You may obtain a copy of the License at "
+              "http://www.apache.org/licenses/LICENSE-2.0.")
+    mpl = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+           "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+    lgpl = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+            "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+            "(at your option) any later version.")
+    cc = "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."
+    free = "This is free and unencumbered software released into the public domain."
+    assert found_licences(spark, header, mpl, wrapped(lgpl), cc, free) == [
+        ["Apache-2.0"], ["MPL-2.0"], ["LGPL-2.1-or-later"], ["CC-BY-SA-3.0"], ["Unlicense"]]
+
+
+def found_licences(spark, *texts):
+    return [licences for _, licences in found(spark, *texts)]

@@ -34,7 +34,12 @@ SENTENCES: dict[str, list[str]] = {
     "apache-notice": ["Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0",
                       "Licensed under the Apache License, Version 2.0 (the \"License\")"],
     "apache-comply": ["you may not use this file except in compliance with the License"],
-    "apache-copy": ["You may obtain a copy of the License at"],
+    "apache-copy": ["You may obtain a copy of the License at",
+                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+                    "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0"],
+    # The header with its line breaks collapsed: no sentence ends at a semicolon, as the GPL's hold some.
+    "apache-header": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+                      "except in compliance with the License"],
     "gpl3-notice": ["This work is licensed under the GNU General Public License, version 3",
                     "Licensed under the GNU General Public License, version 3", "SPDX-License-Identifier: GPL-3.0-only"],
     "gpl-grant": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -61,6 +66,57 @@ SENTENCES: dict[str, list[str]] = {
     "cc-by-notice": ["Licensed under CC BY 4.0", "This work is licensed under CC BY 4.0",
                      "SPDX-License-Identifier: CC-BY-4.0"],
 }
+_GPL_FORM = ("This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} Public "
+             "License as published by the Free Software Foundation{} either version {} of the License, or (at your "
+             "option) any later version")
+
+
+def _gnu(what: tuple[str, ...], family: str, version: str) -> list[str]:
+    """The grant with colon and comma or with semicolons, which are blanks once normalised."""
+    return [_GPL_FORM.format(w, a, family, b, version) for w in what for a, b in ((":", ","), (";", ";"))]
+
+
+SENTENCES |= {
+    "lgpl21-grant": _gnu(("library", "program", "software"), "Lesser General", "2.1"),
+    "lgpl3-grant": _gnu(("library", "program", "software"), "Lesser General", "3"),
+    "agpl3-grant": _gnu(("program", "software"), "Affero General", "3"),
+    # The abbreviated "v." ends a sentence; the address tells the version.
+    "mpl-subject": ["This Source Code Form is subject to the terms of the Mozilla Public License, v"],
+    "mpl2-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at "
+                  "https://mozilla.org/MPL/2.0/",
+                  "If a copy of the MPL was not distributed with this file, You can obtain one at "
+                  "http://mozilla.org/MPL/2.0/"],
+    "isc-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+                  "is hereby granted, provided that the above copyright notice and this permission notice appear in "
+                  "all copies",
+                  "Permission to use, copy, modify, and distribute this software for any purpose with or without fee "
+                  "is hereby granted, provided that the above copyright notice and this permission notice appear in "
+                  "all copies"],
+    "unlicense-grant": ["This is free and unencumbered software released into the public domain"],
+    "cc0-grant": ["To the extent possible under law, the author(s) have dedicated all copyright and related and "
+                  "neighboring rights to this software to the public domain worldwide"],
+}
+#: Licences by the names that notices of one sentence give them; each also has its SPDX tag.
+NAMES: dict[str, list[str]] = {
+    "MIT": [], "Apache-2.0": [],
+    "BSD-2-Clause": ["BSD 2-Clause License"], "BSD-3-Clause": ["BSD 3-Clause License"],
+    "GPL-2.0-only": ["GNU General Public License, version 2"], "GPL-2.0-or-later": [],
+    "GPL-3.0-only": [], "GPL-3.0-or-later": [],
+    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1"], "LGPL-2.1-or-later": [],
+    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3"], "LGPL-3.0-or-later": [],
+    "AGPL-3.0-only": ["GNU Affero General Public License, version 3"], "AGPL-3.0-or-later": [],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0"],
+    "ISC": ["ISC License"], "Unlicense": ["Unlicense"], "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+}
+_PARTS = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+_PORTS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic", "1.0": "Generic"}
+for _kind in ("BY-NC-ND", "BY-NC-SA", "BY-NC", "BY-ND", "BY-SA", "BY"):
+    for _version, _port in _PORTS.items():
+        _long = "-".join(_PARTS[x] for x in _kind.split("-"))
+        NAMES[f"CC-{_kind}-{_version}"] = [
+            f"CC {_kind} {_version}", f"a Creative Commons {_long} {_version} {_port} License",
+            f"the Creative Commons {_long} {_version} {_port} License"]
+
 #: Ordered: a licence and the sentence identifiers that show it, in text order.
 RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit-grant", "mit-keep", "as-is"]),
@@ -77,6 +133,16 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC-BY-NC-4.0", ["cc-by-nc-notice"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-notice"]),
     ("CC-BY-4.0", ["cc-by-notice"]),
+    ("Apache-2.0", ["apache-header", "apache-copy"]),
+    ("Apache-2.0", ["apache-header"]),
+    ("LGPL-2.1-or-later", ["lgpl21-grant"]),
+    ("LGPL-3.0-or-later", ["lgpl3-grant"]),
+    ("AGPL-3.0-or-later", ["agpl3-grant"]),
+    ("MPL-2.0", ["mpl-subject", "mpl2-copy"]),
+    ("MPL-2.0", ["mpl2-copy"]),
+    ("ISC", ["isc-grant"]),
+    ("Unlicense", ["unlicense-grant"]),
+    ("CC0-1.0", ["cc0-grant"]),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Sentences end at closing punctuation before white space or at an empty line; a notice
@@ -95,8 +161,18 @@ def known_sentences() -> dict[str, str]:
     return {normalised(s): k for k, group in SENTENCES.items() for s in group}
 
 
+# Notices and tags of NAMES that are not listed above already.
+_listed = set(known_sentences())
+for _licence, _names in NAMES.items():
+    _new = [x for n in _names for v in ("Licensed", "Released", "This work is licensed", "This project is licensed")
+            for x in ([f"{v} under {n}"] if n.startswith(("CC", "a ", "the ")) else [f"{v} under the {n}"])]
+    _new = [x for x in [*_new, f"SPDX-License-Identifier: {_licence}"] if normalised(x) not in _listed]
+    if _new:
+        SENTENCES[f"{_licence.lower()}-named"] = _new
+        RULES.append((_licence, [f"{_licence.lower()}-named"]))
+
 #: Words of which every known sentence holds one; texts without any are not cut up.
-CUES = ["licen", "permi", "warranty", "copyright", "general public"]
+CUES = ["licen", "permi", "warranty", "copyright", "general public", "public domain", "of the mpl", "released under"]
 
 
 def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -105,7 +181,8 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     if loose := [s for s in known if not any(c in s for c in CUES)]:
         raise ValueError(f"no cue for {loose}")
     low = F.translate(F.col(text), UPPER, LOWER)
-    lookup = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+    # One literal, folded to a map: normalised sentences hold neither "=" nor line ends.
+    lookup = F.str_to_map(F.lit("\n".join(f"{k}={v}" for k, v in known.items())), F.lit("\n"), F.lit("="))
 
     def ids_at(ends: str):
         norm = F.transform(F.split(low, ends), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
