@@ -1,6 +1,8 @@
 """Whole audit run and streaming intake, end to end on small inputs."""
 
+import contextlib
 import datetime as dt
+import io
 import os
 
 import pyarrow as pa
@@ -10,7 +12,7 @@ from conftest import SF0001
 from pyspark.sql import functions as F
 
 from tripaudit.config import AuditConfig
-from tripaudit.plans.audit_run import run_audit
+from tripaudit.plans.audit_run import audit_reports, run_audit
 from tripaudit.sources import weather_rows
 from tripaudit.sources.tables import TABLE_FLEETS, weather_feed
 from tripaudit.streaming import read_intake, start_intake
@@ -26,36 +28,33 @@ def test_run_audit_on_test_tables(spark, tmp_dir):
     staged = spark.read.parquet(res.staged_path)
     # accounting observed during the staging write equals a recount of the table
     assert acc.total == staged.count()
+    assert not res.reused_batches and not res.quarantined
     assert acc.audit == staged.filter("is_ghost").count()
     assert acc.undetermined == staged.filter("is_ghost is null").count()
     assert staged.filter("is_imputed").count() > 0
     assert staged.filter("not is_imputed").count() == 1500 + 6000
     assert os.path.isdir(res.audit_path)
-    # clean reports prune to the clean partitions
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        res.frames["q1_comparison"].explain("formatted")
-    plan = buf.getvalue()
-    # the period summary is computed from partition values: no timestamp is read
-    direct = res.frames["period_summary"]
-    assert sorted(direct.collect()) == sorted(
+    def explained(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        return buf.getvalue()
+
+    # the run's reports are merged from partials: no trip is read again
+    for name in ("q1_comparison", "period_summary", "ghost_vendors", "weather_elasticity"):
+        assert "/partials/batch=" in explained(res.frames[name]) and "/trips/" not in explained(res.frames[name]), name
+    assert sorted(res.frames["period_summary"].collect()) == sorted(
         staged.filter("not is_imputed").groupBy(F.year("pickup_time").alias("year"),
                                                 F.month("pickup_time").alias("month"))
         .count().collect())
-    buf2 = io.StringIO()
-    with contextlib.redirect_stdout(buf2):
-        direct.explain("formatted")
-    assert "pickup_time" not in buf2.getvalue().split("ReadSchema:")[1].split("\n")[0]
+    # straight from the trips, each report prunes: to the clean or audit partitions, to months,
+    # and the period summary reads partition values only
+    direct = audit_reports(staged, cfg)
+    plan = explained(direct["q1_comparison"])
     assert "PartitionFilters: [isnotnull(status" in plan and "(status#" in plan
     assert "(month#" in plan.split("PartitionFilters:")[1].split("\n")[0]
-    # the audit side reads only the audit partitions
-    buf3 = io.StringIO()
-    with contextlib.redirect_stdout(buf3):
-        res.frames["ghost_vendors"].explain("formatted")
-    pf = buf3.getvalue().split("PartitionFilters:")[1].split("\n")[0]
+    assert "pickup_time" not in explained(direct["period_summary"]).split("ReadSchema:")[1].split("\n")[0]
+    pf = explained(direct["ghost_vendors"]).split("PartitionFilters:")[1].split("\n")[0]
     assert "status" in pf and "audit" in pf
     for name in ("q1_comparison", "velocity_heatmap", "weather_elasticity", "rain_trend"):
         assert name in res.reports and os.path.isdir(res.reports[name])
@@ -116,7 +115,8 @@ def test_dashboard_read_path(spark, tmp_dir):
 
     cfg = AuditConfig(impute_year=2001, impute_month=12, fleets=TABLE_FLEETS)
     res = run_audit(spark, SF0001, tmp_dir, cfg, weather=weather_rows(weather_feed(spark, SF0001)))
-    dash = load_dashboard(spark, tmp_dir)
+    dash, failed = load_dashboard(spark, tmp_dir)
+    assert not failed
     assert {"volume_by_year", "velocity_pivot", "tip_series", "rain_correlation", "rain_trend"} <= set(dash)
     assert dash["volume_by_year"].agg({"count": "sum"}).first()[0] == \
         res.frames["yellow_green_volume"].agg({"count": "sum"}).first()[0]
@@ -126,13 +126,24 @@ def test_dashboard_read_path(spark, tmp_dir):
     assert (r1.correlation is None) == (r2.correlation is None)
     if r1.correlation is not None:
         assert abs(r1.correlation - r2.correlation) < 1e-9
-    # a missing report does not stop the others
+
+
+def test_missing_or_different_reports_raise_or_are_listed(spark, tmp_dir):
+    import pytest
+
+    from tripaudit.plans.dashboard import REPORT_SCHEMAS, load_dashboard
     from tripaudit.sources import write_csv
 
-    other = os.path.join(tmp_dir, "partial")
-    write_csv(res.frames["tip_vs_surcharge"], os.path.join(other, "aggregated", "tip_vs_surcharge"))
-    dash2 = load_dashboard(spark, other)
-    assert set(dash2) == {"tip_vs_surcharge", "tip_series"}
+    tips = spark.createDataFrame([(2024, 1, 2.5, 4.0)], REPORT_SCHEMAS["tip_vs_surcharge"])
+    write_csv(tips, os.path.join(tmp_dir, "aggregated", "tip_vs_surcharge"))
+    write_csv(tips, os.path.join(tmp_dir, "aggregated", "q1_comparison"))  # another report's columns
+    with pytest.raises(Exception, match="yellow_green_volume|PATH_NOT_FOUND"):
+        load_dashboard(spark, tmp_dir)
+    frames, failed = load_dashboard(spark, tmp_dir, skip_failed=True)
+    assert set(frames) == {"tip_vs_surcharge", "tip_series"}
+    assert set(failed) == set(REPORT_SCHEMAS) - {"tip_vs_surcharge"}
+    assert "avg_surcharge" in failed["q1_comparison"]
+    assert [tuple(r) for r in frames["tip_vs_surcharge"].collect()] == [(2024, 1, 2.5, 4.0)]
 
 
 def test_command_line_links_and_intake(spark, tmp_dir, capsys):

@@ -1,0 +1,339 @@
+"""Batches, manifest, partials, quarantine and compaction of the staged table."""
+
+import datetime as dt
+import os
+import shutil
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tripaudit.config import AuditConfig
+from tripaudit.operators import merge_states, merged_accounting, merged_reports, partial_states
+from tripaudit.plans import audit_run
+from tripaudit.plans.audit_run import (
+    UnreadableFiles,
+    audit_reports,
+    run_audit,
+    stage_audit,
+    staged_accounting,
+)
+from tripaudit.plans.store import Batch, TripStore
+from tripaudit.sources import (
+    check_files,
+    damaged_files,
+    plan_files,
+    read_group,
+    write_parquet,
+)
+
+CFG = AuditConfig(impute_year=2025, impute_month=3, history_weights=(0.0, 1.0))
+#: The source columns of a fleet's times.
+TIMES = {"yellow": "tpep", "green": "lpep"}
+
+
+def land(folder, fleet, month, n, ids=pa.int64(), first_id=1, **more):
+    """One month's file: n trips that differ in hour, place and fare, every fifth a ghost."""
+    os.makedirs(folder, exist_ok=True)
+    start = dt.datetime(2024, month, 1)
+    at = [start + dt.timedelta(hours=7 * i) for i in range(n)]
+    columns = {
+        f"{TIMES[fleet]}_pickup_datetime": pa.array(at, pa.timestamp("us")),
+        f"{TIMES[fleet]}_dropoff_datetime": pa.array([t + dt.timedelta(minutes=10) for t in at], pa.timestamp("us")),
+        "PULocationID": pa.array([first_id + i % 7 for i in range(n)]).cast(ids),
+        "DOLocationID": pa.array([(4, 12, 300)[i % 3] for i in range(n)]).cast(ids),
+        "trip_distance": pa.array([0.0 if i % 5 == 0 else 2.0 + i % 3 for i in range(n)], pa.float64()),
+        "fare_amount": pa.array([10.0 + i for i in range(n)], pa.float64()),
+        "total_amount": pa.array([14.0 + 2 * i for i in range(n)], pa.float64()),
+        "congestion_surcharge": pa.array([None if i % 4 == 3 else 2.5 * (i % 2) for i in range(n)], pa.float64()),
+        "VendorID": pa.array([i % 4 for i in range(n)], pa.int32()),
+    } | more
+    path = os.path.join(folder, f"{fleet}_tripdata_2024-{month:02d}.parquet")
+    pq.write_table(pa.table(columns), path)
+    return path
+
+
+@pytest.fixture
+def raw(tmp_dir):
+    folder = os.path.join(tmp_dir, "raw")
+    for month in (1, 2, 3):
+        land(folder, "yellow", month, 40 + month)
+    land(folder, "green", 2, 25)
+    return folder
+
+
+def sorted_rows(df):
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+
+def reports(states, cfg=CFG):
+    return {k: sorted_rows(v) for k, v in merged_reports(states, cfg).items()}
+
+
+def test_merged_reports_equal_direct_ones(spark, raw):
+    done = stage_audit(spark, raw, CFG)
+    assert done.plan.action == "impute" and len(done.batches) == 3
+    direct = audit_reports(done.trips(), CFG)
+    for name, frame in merged_reports(done.partials(), CFG).items():
+        assert frame.dtypes == direct[name].dtypes, name
+        assert sorted_rows(frame) == sorted_rows(direct[name]) and frame.count(), name
+    assert sorted_rows(merged_accounting(done.partials())) == sorted_rows(staged_accounting(done.trips()))
+    # merging merged partials changes nothing
+    assert reports(merge_states(done.partials())) == reports(done.partials())
+
+
+def test_partials_are_one_pass_and_keep_unknowns(spark, raw):
+    done = stage_audit(spark, raw, CFG)
+    states = partial_states(done.trips())
+    plan = states._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    rows = [("yellow", None, None, 3, None, None, None, None, None, "undetermined", False, None)]
+    odd = spark.createDataFrame(rows, "taxi_type string, pickup_time timestamp_ntz, dropoff_loc int, pickup_loc int, "
+                                      "vendor_id int, congestion_surcharge double, total_amount double, fare double, "
+                                      "speed_mph double, status string, is_imputed boolean, inside_zone boolean")
+    assert reports(partial_states(odd))["period_summary"] == [(None, None, 1)]
+    assert all(not r for r in reports(partial_states(odd.limit(0))).values())
+
+
+def test_a_new_month_adds_only_its_own_batch(spark, raw, tmp_dir, monkeypatch):
+    store = os.path.join(tmp_dir, "store")
+    first = stage_audit(spark, raw, CFG, path=store)
+    land(raw, "yellow", 5, 30)
+    staged = []
+    write = audit_run.write_batch
+    monkeypatch.setattr(audit_run, "write_batch", lambda rows, s, batch, *a: staged.append(batch) or write(rows, s, batch, *a))
+    second = stage_audit(spark, raw, CFG, path=store)
+    assert [len(b.files) for b in staged if b.fleet] == [1] and "2024-05" in staged[0].files[0][0]
+    assert set(first.batches[:2]) <= set(second.batches)
+    clean = stage_audit(spark, raw, CFG)
+    assert second.counts == clean.counts and second.plan == clean.plan
+    assert reports(second.partials()) == reports(clean.partials())
+    # nothing changed: nothing is staged, imputation included
+    staged.clear()
+    third = stage_audit(spark, raw, CFG, path=store)
+    assert not staged and set(third.reused) == set(third.batches) == set(second.batches)
+
+
+def test_a_changed_file_replaces_its_rows_once(spark, raw, tmp_dir):
+    store = os.path.join(tmp_dir, "store")
+    stage_audit(spark, raw, CFG, path=store, batch_bytes=1)
+    land(raw, "yellow", 3, 60)
+    os.remove(os.path.join(raw, "yellow_tripdata_2024-02.parquet"))
+    again = stage_audit(spark, raw, CFG, path=store, batch_bytes=1)
+    clean = stage_audit(spark, raw, CFG)
+    assert again.counts == clean.counts and reports(again.partials()) == reports(clean.partials())
+    # the batches of the old files are gone
+    assert set(TripStore(spark, store).committed()) == set(again.batches)
+
+
+def test_overlapping_batches_never_count_a_file_twice(spark, raw, tmp_dir):
+    store, aside = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "aside")
+    whole = stage_audit(spark, raw, CFG, path=store)
+    os.makedirs(aside)
+    keep = shutil.copy2(os.path.join(raw, "yellow_tripdata_2024-01.parquet"), aside)
+    live = TripStore(spark, store).committed()
+    yellow = next(b for b in live.values() if b.fleet == "yellow")
+    one = next(f for f in yellow.files if "2024-01" in f[0])
+    # a second record that holds one of the files too
+    extra = Batch("extra", "yellow", yellow.settings, [one], {"total": 41})
+    shutil.copytree(TripStore(spark, store).trips(yellow.name), TripStore(spark, store).trips("extra"))
+    shutil.copytree(TripStore(spark, store).partials(yellow.name), TripStore(spark, store).partials("extra"))
+    TripStore(spark, store).commit(extra)
+    again = stage_audit(spark, raw, CFG, path=store)
+    assert os.path.exists(keep) and "extra" not in again.batches and again.counts == whole.counts
+
+
+def test_a_stopped_run_goes_on_where_it_was(spark, raw, tmp_dir, monkeypatch):
+    store = os.path.join(tmp_dir, "store")
+    write, scanned = audit_run.write_batch, []
+
+    def stops(rows, s, batch, *a):
+        if batch.fleet == "yellow":
+            # trips and partials are there, the record is not: as if the driver had died
+            rows.write.partitionBy("status").parquet(s.trips(batch.name))
+            raise RuntimeError("driver lost")
+        return write(rows, s, batch, *a)
+
+    monkeypatch.setattr(audit_run, "write_batch", stops)
+    monkeypatch.setattr(TripStore, "drop", lambda self, name: None)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        stage_audit(spark, raw, CFG, path=store)
+    monkeypatch.undo()
+    left = TripStore(spark, store)
+    assert [b.fleet for b in left.committed().values()] == ["green"]
+    assert len(os.listdir(os.path.join(store, "trips"))) == 2  # the unfinished one too
+    read = audit_run.read_group
+    monkeypatch.setattr(audit_run, "read_group", lambda sp, schema, files, *a: scanned.extend(files) or read(sp, schema, files, *a))
+    done = stage_audit(spark, raw, CFG, path=store)
+    assert scanned and not any("green" in f.path for f in scanned)
+    clean = stage_audit(spark, raw, CFG)
+    assert done.counts == clean.counts and sorted_rows(done.trips()) == sorted_rows(clean.trips())
+    assert {f"batch={n}" for n in done.batches} == set(os.listdir(os.path.join(store, "trips")))
+
+
+def test_a_failing_batch_leaves_nothing_behind(spark, raw, tmp_dir, monkeypatch):
+    store = os.path.join(tmp_dir, "store")
+    monkeypatch.setattr(audit_run, "partial_states", lambda df: df.select(F.raise_error(F.lit("broken")).alias("x")))
+    with pytest.raises(Exception, match="broken"):
+        stage_audit(spark, raw, CFG, path=store)
+    assert not TripStore(spark, store).committed()
+    assert not os.listdir(os.path.join(store, "trips"))
+
+
+def test_run_with_a_store_reuses_it(spark, raw, tmp_dir):
+    store = os.path.join(tmp_dir, "store")
+    a = run_audit(spark, raw, os.path.join(tmp_dir, "a"), CFG, store=store)
+    b = run_audit(spark, raw, os.path.join(tmp_dir, "b"), CFG, store=store)
+    assert a.complete and b.complete and not a.reused_batches and len(b.reused_batches) == 3
+    for name in a.frames:
+        assert sorted_rows(a.frames[name]) == sorted_rows(b.frames[name]), name
+
+
+def test_settings_that_change_rows_are_part_of_a_batch(spark, raw, tmp_dir):
+    store = os.path.join(tmp_dir, "store")
+    stage_audit(spark, raw, CFG, path=store)
+    strict = CFG.with_(speed_limit_mph=5.0)
+    done = stage_audit(spark, raw, strict, path=store)
+    assert not done.reused and done.counts == stage_audit(spark, raw, strict).counts
+    assert set(stage_audit(spark, raw, CFG, path=store).reused)  # those of the other settings stay
+
+
+# --- footers and quarantine ------------------------------------------------
+
+def spoil(path, how):
+    data = open(path, "rb").read()
+    with open(path, "wb") as f:
+        f.write({"text": b"not a parquet file", "cut": data[:len(data) // 2], "empty": b"",
+                 "pages": data[:4] + bytes(b ^ 0xFF for b in data[4:400]) + data[400:]}[how])
+
+
+@pytest.mark.parametrize("how", ["text", "cut", "empty", "pages"])
+def test_one_bad_file_leaves_the_others_in(spark, raw, tmp_dir, how):
+    bad = os.path.join(raw, "yellow_tripdata_2024-02.parquet")
+    spoil(bad, how)
+    with pytest.raises(Exception):
+        stage_audit(spark, raw, CFG)
+    done = stage_audit(spark, raw, CFG, quarantine_files=True)
+    assert [p.removeprefix("file:") for p in done.quarantined] == [bad] and all(done.quarantined.values())
+    os.remove(bad)
+    clean = stage_audit(spark, raw, CFG)
+    assert done.counts == clean.counts and reports(done.partials()) == reports(clean.partials())
+
+
+def test_quarantine_is_listed_and_the_run_incomplete(spark, raw, tmp_dir):
+    land(raw, "green", 4, 5, PULocationID=pa.array([True] * 5))
+    with pytest.raises(UnreadableFiles, match="2024-04.*PULocationID is boolean"):
+        stage_audit(spark, raw, CFG)
+    res = run_audit(spark, raw, os.path.join(tmp_dir, "out"), CFG, quarantine_files=True)
+    assert not res.complete and res.skipped_fleets == {}
+    assert [r.reason for r in res.frames["quarantine"].collect()] == list(res.quarantined.values())
+    assert res.frames["intake_losses"].first().files_left_out == 1
+    assert {r.taxi_type: r["count"] for r in res.frames["source_counts"].collect()} == {"yellow": 126, "green": 25}
+    from tripaudit.__main__ import main
+
+    assert main(["--raw", raw, "--out", os.path.join(tmp_dir, "o2"), "--quiet", "--quarantine-files"]) == 1
+    with pytest.raises(UnreadableFiles):
+        main(["--raw", raw, "--out", os.path.join(tmp_dir, "o3"), "--quiet"])
+
+
+def test_drifting_types_share_a_fleet(spark, tmp_dir):
+    for month, ids in enumerate((pa.int32(), pa.int64(), pa.float64(), pa.string(), pa.int16()), 1):
+        land(tmp_dir, "yellow", month, 6, ids)
+    land(tmp_dir, "yellow", 6, 3, PULocationID=pa.array([1.5, float("nan"), 9.0]), fare_amount=pa.array([1, 2, 3], pa.int64()))
+    land(tmp_dir, "yellow", 7, 2, congestion_surcharge=pa.array([2.5, None], pa.float32()),
+         total_amount=pa.array(["7.5", "?"]))
+    files = check_files(spark, tmp_dir, "yellow")
+    assert [f.rows for f in files] == [6] * 5 + [3, 2] and files[2].types["pulocationid"] == "double"
+    plan = plan_files(files, "yellow")
+    assert not plan.quarantined and sum(len(fs) for _, fs in plan.groups) == 7
+    wide = next(fs for schema, fs in plan.groups if len(fs) > 1)
+    assert len(wide) == 3  # INT, BIGINT and SMALLINT ids are one read
+    done = stage_audit(spark, tmp_dir, CFG, fleets=("yellow",))
+    assert done.trips().filter("not is_imputed").count() == 35 and done.counts["ids_lost"] == 3  # 1.5, NaN and "?"
+    got = {(r.month, r.pickup_loc) for r in done.trips().collect()}
+    assert {(6, None), (6, 9)} <= got and all((m, 1) in got for m in range(1, 6))
+    fares = sorted(r.fare for r in done.trips().filter("month = 6").collect())
+    assert fares == [1.0, 2.0, 3.0]
+
+
+def test_zoned_times_need_a_fleet_that_says_so(spark, tmp_dir):
+    t = pa.array([dt.datetime(2024, 1, 5, 8, 30)], pa.timestamp("us", tz="UTC"))
+    land(tmp_dir, "yellow", 1, 1, tpep_pickup_datetime=t)
+    plan = plan_files(check_files(spark, tmp_dir, "yellow"), "yellow")
+    assert "tpep_pickup_datetime" in next(iter(plan.quarantined.values()))
+
+
+def test_damaged_files_are_told_from_good_ones(spark, raw):
+    spoil(os.path.join(raw, "yellow_tripdata_2024-03.parquet"), "pages")
+    (schema, files), = plan_files(check_files(spark, raw, "yellow"), "yellow").groups
+    assert len(files) == 3  # the footers are all right
+    bad = damaged_files(spark, schema, files)
+    assert [os.path.basename(p) for p in bad] == ["yellow_tripdata_2024-03.parquet"] and "of 43 rows" in next(iter(bad.values()))
+    assert read_group(spark, schema, [f for f in files if f.path not in bad]).count() == 83
+
+
+def test_footers_of_an_empty_folder_and_odd_names(spark, tmp_dir):
+    assert check_files(spark, tmp_dir, "yellow") == []
+    odd = os.path.join(tmp_dir, "a b%20+ü")
+    land(odd, "yellow", 1, 3)
+    (schema, files), = plan_files(check_files(spark, odd, "yellow"), "yellow").groups
+    assert damaged_files(spark, schema, files) == {} and read_group(spark, schema, files).count() == 3
+
+
+# --- compaction --------------------------------------------------------------
+
+def parts(folder):
+    return [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")]
+
+
+def test_sized_sink_bounds_the_files(spark, tmp_dir):
+    trips = spark.range(200_000).select((F.col("id") % 12).alias("month"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    split = trips.repartition(300)
+    many, few = os.path.join(tmp_dir, "many"), os.path.join(tmp_dir, "few")
+    write_parquet(split, many)
+    write_parquet(split, few, sized=True)
+    assert len(parts(many)) == 300 and len(parts(few)) <= 8
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        by_month = os.path.join(tmp_dir, "month")
+        write_parquet(split, by_month, partition_by=("month",), sized=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    size = sum(map(os.path.getsize, parts(by_month)))
+    assert 12 <= len(parts(by_month)) <= 12 + 8 + 3 * size // (1 << 20)
+    # a month larger than the aim is not one task's work
+    hot = spark.range(200_000).select(F.lit(1).alias("month"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_parquet(hot.repartition(300), os.path.join(tmp_dir, "hot"), partition_by=("month",), sized=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert 3 < len(parts(os.path.join(tmp_dir, "hot"))) < 60
+    assert spark.read.parquet(few).count() == spark.read.parquet(by_month).count() == 200_000
+
+
+def test_compaction_keeps_rows_and_partials(spark, raw, tmp_dir):
+    store = os.path.join(tmp_dir, "store")
+    before = stage_audit(spark, raw, CFG, path=store, batch_bytes=1)
+    assert len(before.batches) == 5
+    rows, told = sorted_rows(before.trips()), reports(before.partials())
+    made = before.store.compact()
+    assert [(b.fleet, len(b.files)) for b in made] == [("yellow", 3)]
+    after = stage_audit(spark, raw, CFG, path=store, batch_bytes=1)
+    assert len(after.batches) == 3 and set(after.reused) == set(after.batches)
+    assert sorted_rows(after.trips()) == rows and reports(after.partials()) == told and after.counts == before.counts
+    assert {f"batch={n}" for n in after.batches} == set(os.listdir(os.path.join(store, "trips")))
+    assert before.store.compact() == []
+
+
+def test_compaction_that_stops_changes_nothing(spark, raw, tmp_dir, monkeypatch):
+    store = os.path.join(tmp_dir, "store")
+    before = stage_audit(spark, raw, CFG, path=store, batch_bytes=1)
+    monkeypatch.setattr(TripStore, "commit", lambda self, b: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        before.store.compact()
+    monkeypatch.undo()
+    again = stage_audit(spark, raw, CFG, path=store, batch_bytes=1)
+    assert set(again.reused) == set(before.batches) and sorted_rows(again.trips()) == sorted_rows(before.trips())

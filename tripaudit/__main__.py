@@ -28,6 +28,8 @@ from tripaudit.config import AuditConfig
 
 
 def _audit(spark: SparkSession, args) -> int:
+    if not (args.raw or args.intake):
+        raise SystemExit("audit needs --raw or --intake")
     from tripaudit.plans.audit_run import preview, run_audit
     from tripaudit.sources.weather import load_weather
     from tripaudit.streaming import read_intake
@@ -41,10 +43,12 @@ def _audit(spark: SparkSession, args) -> int:
     res = run_audit(spark, args.raw, args.out, cfg, weather=weather, intake=intake,
                     impute_mode="sampled" if args.sampled else "exact", keep_staged=args.keep_staged,
                     skip_failed_fleets=args.skip_failed_fleets, skip_failed_reports=args.skip_failed_reports,
-                    ignore_corrupt_files=args.ignore_corrupt_files)
+                    ignore_corrupt_files=args.ignore_corrupt_files, quarantine_files=args.quarantine_files,
+                    store=args.store)
     print(json.dumps({
         "complete": res.complete, "staged": res.staged_path, "audit": res.audit_path, "reports": res.reports,
         "imputation": res.imputation and res.imputation._asdict(), "skipped_fleets": res.skipped_fleets,
+        "quarantined": res.quarantined, "reused_batches": res.reused_batches,
         "failed_reports": res.failed_reports, "ids_set_null": res.ids_lost,
         "weather_days_unread": res.unread_weather_days, "corrupt_files_ignored": res.corrupt_files_ignored}))
     if not args.quiet:
@@ -90,9 +94,9 @@ def parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="command", required=True)
 
     a = sub.add_parser("audit", help="run the whole audit")
-    src = a.add_mutually_exclusive_group(required=True)
-    src.add_argument("--raw", help="directory of *_tripdata_YYYY-MM.parquet files")
-    src.add_argument("--intake", help="flagged trip table of the intake command, instead of raw files")
+    a.add_argument("--raw", help="directory of *_tripdata_YYYY-MM.parquet files")
+    a.add_argument("--intake", help="flagged trip table of the intake command, instead of raw files (with --raw, "
+                                    "those only answer for a history month that was never taken in)")
     a.add_argument("--out", required=True, help="output directory (audit/ and aggregated/)")
     a.add_argument("--weather", help="landed weather JSON files (one document per file)")
     a.add_argument("--fleets", nargs="+", default=["yellow", "green"])
@@ -109,6 +113,8 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--skip-failed-fleets", action="store_true", help="leave out and list fleets that fail")
     a.add_argument("--skip-failed-reports", action="store_true", help="leave out and list reports that fail")
     a.add_argument("--ignore-corrupt-files", action="store_true", help="skip unreadable files")
+    a.add_argument("--quarantine-files", action="store_true", help="leave out and list files that cannot be read")
+    a.add_argument("--store", help="folder that keeps staged batches; a rerun stages new and changed files only")
     a.add_argument("--quiet", action="store_true", help="no preview of the small reports")
 
     lk = sub.add_parser("links", help="list trip-file links found in landed pages")

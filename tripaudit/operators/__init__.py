@@ -29,6 +29,13 @@ from tripaudit.operators.impute import (
     plan_imputation,
     poisson_sample,
 )
+from tripaudit.operators.partials import (
+    merge_states,
+    merged_accounting,
+    merged_daily,
+    merged_reports,
+    partial_states,
+)
 from tripaudit.operators.reshape import tip_series, velocity_pivot
 from tripaudit.operators.weather import rain_elasticity, rain_join, rain_trend
 from tripaudit.operators.zone import (
@@ -56,6 +63,11 @@ __all__ = [
     "imputed_rows",
     "mark_zone",
     "mark_zone_table",
+    "merge_states",
+    "merged_accounting",
+    "merged_daily",
+    "merged_reports",
+    "partial_states",
     "period_summary",
     "plan_imputation",
     "poisson_sample",

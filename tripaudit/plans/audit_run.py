@@ -1,23 +1,28 @@
 """The whole audit as one Spark application (FLW-4).
 
-Raw fleet files are scanned once, by the write that stages the flagged trip
-table (metrics, three-valued ``is_ghost``, ``inside_zone``, ``is_imputed``) as
-Parquet partitioned by status (clean / audit / undetermined) and pick-up year
-and month in a shared folder.  That write also counts: row accounting, the
-three history months and the ids that did not fit come from it as observed
-metrics.  The base month of the imputation is then read from its staged
-partition, and the imputed rows are appended.  Every report is a pruned,
-filter-pushed scan of the staged table plus one small aggregate.
-
-Nothing is left out silently: a fleet, report or weather step that fails ends
-the run unless the caller opts into leaving it out, and then the result lists
-it and is not ``complete``.
+The footers of all raw files are checked first; then the good files are scanned once, by the
+writes that stage the flagged trip table (metrics, three-valued ``is_ghost``,
+``inside_zone``, ``is_imputed``) as Parquet partitioned by status (clean / audit /
+undetermined) and pick-up year and month in a shared folder.  Fleets, and files of one fleet
+that need different read schemas, are batches of a :class:`TripStore` and are staged side by
+side.  A batch's write also counts: row accounting, the three history months and the values
+that did not fit come from it as observed metrics.  One scan of the staged batch then leaves
+its partial aggregates, and every report is merged from those.  The base month of the
+imputation is read from its staged partition; the imputed rows are one more batch.
+
+Given a store that outlives the run, a rerun skips every batch whose files have not changed,
+and a month that landed since adds its own batch and partials only.
+
+Nothing is left out silently: a file, fleet, report or weather step that fails ends the run
+unless the caller opts into leaving it out, and then the result lists it and is not
+``complete``.
 """
 
 from __future__ import annotations
 
 import logging
 from collections import Counter
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -45,6 +50,9 @@ from tripaudit.operators import (
     ghost_vendors,
     imputed_rows,
     mark_zone,
+    merged_daily,
+    merged_reports,
+    partial_states,
     period_summary,
     q1_comparison,
     rain_elasticity,
@@ -55,12 +63,16 @@ from tripaudit.operators import (
     velocity_heatmap,
     volume_by_quarter,
 )
-from tripaudit.schema import UNIFIED_COLUMNS, UNIFIED_SCHEMA, fleet, ids_lost, unify_schema
+from tripaudit.plans.store import LAYOUT, STAGED_SCHEMA, Batch, TripStore, digest
+from tripaudit.schema import UNIFIED_COLUMNS, FleetSpec, fleet, ids_lost, unify_schema
 from tripaudit.session import delete_path, scratch_path
 from tripaudit.sources import (
+    check_files,
+    damaged_files,
     in_year,
+    plan_files,
     read_csv,
-    read_fleet,
+    read_group,
     source_counts,
     unread_days,
     write_csv,
@@ -72,26 +84,33 @@ log = logging.getLogger(__name__)
 
 ACCOUNTING_COLUMNS = ("total", "clean", "audit", "undetermined", "rule_a", "rule_b", "rule_c")
 MONTHS = ("n_base_old", "n_base_new", "n_target")
-#: Explicit schema of the staged table: reading it takes no inference pass.
-STAGED_SCHEMA = T.StructType([
-    *UNIFIED_SCHEMA.fields,
-    T.StructField("duration_seconds", T.LongType()), T.StructField("duration_hours", T.DoubleType()),
-    T.StructField("speed_mph", T.DoubleType()), T.StructField("is_ghost", T.BooleanType()),
-    T.StructField("inside_zone", T.BooleanType()), T.StructField("is_imputed", T.BooleanType()),
-    T.StructField("status", T.StringType()), T.StructField("year", T.IntegerType()),
-    T.StructField("month", T.IntegerType()),
-])
 PREVIEWED = ("row_accounting", "ghost_vendors", "surcharge_compliance", "audit_leakage", "rain_correlation")
 
 
+#: Input bytes of one batch: what a stopped run loses at most, and a new month's smallest unit.
+BATCH_BYTES = 1 << 40
+STAGING_THREADS = 4
+
+
 @dataclass
 class Staged:
-    """A staged table and what its writes counted."""
+    """A staged table and what its writes counted.  ``path`` is the folder of its batches;
+    ``quarantined`` lists the files that were left out."""
 
     path: str
     counts: Counter
     plan: ImputePlan
     skipped_fleets: dict[str, str] = field(default_factory=dict)
+    store: TripStore | None = None
+    batches: list[str] = field(default_factory=list)
+    reused: list[str] = field(default_factory=list)
+    quarantined: dict[str, str] = field(default_factory=dict)
+
+    def trips(self) -> DataFrame:
+        return self.store.read_trips(self.batches)
+
+    def partials(self) -> DataFrame:
+        return self.store.read_partials(self.batches)
 
 
 @dataclass
@@ -102,14 +121,16 @@ class AuditResult:
     frames: dict[str, DataFrame] = field(default_factory=dict)
     imputation: ImputePlan | None = None
     skipped_fleets: dict[str, str] = field(default_factory=dict)
+    quarantined: dict[str, str] = field(default_factory=dict)
     failed_reports: dict[str, str] = field(default_factory=dict)
+    reused_batches: list[str] = field(default_factory=list)
     ids_lost: int = 0
     unread_weather_days: int = 0
     corrupt_files_ignored: bool = False
 
     @property
     def complete(self) -> bool:
-        return self.audit_path is not None and not self.skipped_fleets and not self.failed_reports
+        return self.audit_path is not None and not (self.skipped_fleets or self.quarantined or self.failed_reports)
 
 
 def accounting_metrics(cfg: AuditConfig = DEFAULT) -> list[F.Column]:
@@ -142,89 +163,220 @@ def flagged(trips: DataFrame, cfg: AuditConfig = DEFAULT, imputed: bool = False)
             .withColumn("month", F.month("pickup_time")))
 
 
-def append_staged(rows: DataFrame, path: str, cfg: AuditConfig) -> Counter:
-    """Append flagged rows to the staged table; the write itself counts them (Spark merges
-    the observed metrics from successful task attempts only).
+def write_batch(rows: DataFrame, store: TripStore, batch: Batch, cfg: AuditConfig, *more: Observation) -> Batch:
+    """Stage flagged rows as one batch: trips, then partials from one scan of them, then the
+    record.  The write of the trips counts them (Spark merges the observed metrics from
+    successful task attempts only).
 
-    Partitioned by status too, so the audit sink and the clean reports prune whole
-    directories.  No shuffle before the write: a month would land in one task."""
+    Partitioned by status too, so the audit sink prunes whole directories.  No shuffle before
+    the write: a month would land in one task."""
     seen = Observation()
-    rows.observe(seen, *accounting_metrics(cfg), *month_metrics(cfg)).write.mode("append") \
-        .partitionBy("status", "year", "month").parquet(path)
-    return Counter(seen.get)
+    rows.observe(seen, *accounting_metrics(cfg), *month_metrics(cfg)).write.mode("overwrite") \
+        .partitionBy(*LAYOUT).parquet(store.trips(batch.name))
+    for found in (seen, *more):
+        batch.counts |= found.get
+    partial_states(store.read_trips([batch.name])).write.mode("overwrite").parquet(store.partials(batch.name))
+    return store.commit(batch)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STAGED_SCHEMA).parquet(path)
-
-
-def stage_fleet(spark: SparkSession, raw_dir: str, spec, path: str, cfg: AuditConfig,
-                ignore_corrupt_files: bool) -> Counter:
-    """Stage all rows of one fleet as loaded; its counts, ids that did not fit included."""
-    raw = read_fleet(spark, raw_dir, spec, ignore_corrupt_files)
-    if not raw.inputFiles():
-        log.info("no files of fleet %s", spec.name)
-        return Counter()
-    seen = Observation()
-    trips = unify_schema(raw.observe(seen, ids_lost(raw, spec).alias("ids_lost")), spec)
-    return append_staged(flagged(trips, cfg), path, cfg) + Counter(seen.get)
+    """All batches under a staged table's folder (a finished run's; ``Staged.trips`` goes by
+    the manifest)."""
+    return spark.read.schema(STAGED_SCHEMA).parquet(path).select(*STAGED_SCHEMA.fieldNames())
+
+
+class UnreadableFiles(ValueError):
+    """Files of a fleet that cannot be read, with the reasons."""
+
+    def __init__(self, name: str, files: dict[str, str]):
+        super().__init__(f"files of fleet {name} cannot be read: " + "; ".join(f"{p}: {r}" for p, r in files.items()))
+        self.files = files
+
+
+def rules_key(cfg: AuditConfig) -> str:
+    """The settings that decide what a flagged row and a batch's counts are."""
+    used = ("speed_limit_mph", "min_trip_seconds", "short_trip_fare", "min_hours_for_speed", "zone_ids",
+            "impute_year", "impute_month")
+    return digest({k: getattr(cfg, k) for k in used}, STAGED_SCHEMA.simpleString())
+
+
+def settings_key(spec: FleetSpec, cfg: AuditConfig) -> str:
+    """What, besides the files, decides what a batch holds."""
+    return digest(rules_key(cfg), spec.name, spec.columns, spec.timestamp_type.simpleString())
+
+
+def _pack(files: list, limit: int) -> Iterable[list]:
+    """Files in order, as many to a batch as ``limit`` bytes allow."""
+    pack, size = [], 0
+    for f in files:
+        if pack and size + f.size > limit:
+            yield pack
+            pack, size = [], 0
+        pack.append(f)
+        size += f.size
+    if pack:
+        yield pack
+
+
+class Stager:
+    """Stages the files of one fleet that no committed batch of the store holds."""
+
+    def __init__(self, spark, raw_dir, spec, store, live, cfg, quarantine_files, ignore_corrupt_files, batch_bytes):
+        self.spark, self.spec, self.store, self.cfg = spark, spec, store, cfg
+        self.settings, self.batch_bytes = settings_key(spec, cfg), batch_bytes
+        self.quarantine, self.ignore = quarantine_files, ignore_corrupt_files
+        self.plan = plan_files(check_files(spark, raw_dir, spec), spec)
+        self.left_out: dict[str, str] = {}
+        self.leave_out(self.plan.quarantined)
+        here = {f.key for _, files in self.plan.groups for f in files}
+        own = [b for b in live.values() if b.fleet == spec.name and b.settings == self.settings]
+        held: set[tuple] = set()
+        self.kept: list[Batch] = []
+        for b in sorted(own, key=lambda b: (-len(b.files), b.name)):
+            files = {tuple(f) for f in b.files}
+            if files <= here and not files & held:  # as it was staged, and no file twice
+                held |= files
+                self.kept.append(b)
+        self.stale = [b for b in own if b not in self.kept]
+        self.todo = [(schema, pack) for schema, files in self.plan.groups
+                     for pack in _pack([f for f in files if f.key not in held], batch_bytes)]
+
+    def leave_out(self, files: dict[str, str]) -> None:
+        if files and not (self.quarantine or self.ignore):
+            raise UnreadableFiles(self.spec.name, files)
+        for path, reason in files.items():
+            log.warning("file %s left out: %s", path, reason)
+        self.left_out |= files
+
+    def stage(self, schema: T.StructType, files: list) -> Batch:
+        """One batch; files with damaged pages are told from good ones only when it fails."""
+        raw = read_group(self.spark, schema, files, self.ignore)
+        lost = Observation()
+        trips = unify_schema(raw.observe(lost, ids_lost(raw, self.spec).alias("ids_lost")), self.spec)
+        keys = sorted(f.key for f in files)
+        batch = Batch(digest(keys, self.settings, schema.simpleString()), self.spec.name, self.settings,
+                      [list(k) for k in keys])
+        try:
+            return write_batch(flagged(trips, self.cfg), self.store, batch, self.cfg, lost)
+        except Exception:
+            self.store.drop(batch.name)
+            bad = damaged_files(self.spark, schema, files) if self.quarantine else {}
+            if not bad:
+                raise
+            self.leave_out(bad)
+        good = [f for f in files if f.path not in bad]
+        return self.stage(schema, good) if good else None
 
 
-def stage_imputed(base: DataFrame, plan: ImputePlan, path: str, cfg: AuditConfig, mode: str) -> Counter:
-    """Append the rows imputed from a staged base month."""
+def stage_imputed(base: DataFrame, plan: ImputePlan, store: TripStore, files: list, cfg: AuditConfig,
+                  mode: str, live: dict[str, Batch]) -> Batch:
+    """Stage the rows imputed from the base month of staged trips, which came from ``files``,
+    unless a batch holds them."""
     y, m = cfg.impute_year, cfg.impute_month
+    settings = digest("imputed", rules_key(cfg), cfg.impute_seed, cfg.history_weights, cfg.present_threshold, mode)
+    name = digest(sorted(files), list(plan), settings)
+    if name in live:
+        return live[name]
     month = base.filter((F.col("year") == y - 1) & (F.col("month") == m)).select(*UNIFIED_COLUMNS)
-    counts = append_staged(flagged(imputed_rows(month, plan, cfg, mode), cfg, imputed=True), path, cfg)
+    rows = flagged(imputed_rows(month, plan, cfg, mode), cfg, imputed=True)
+    return write_batch(rows, store, Batch(name, "", settings), cfg)
+
+
+def _without_months(counts: dict[str, int]) -> Counter:
+    """Counts of an imputed batch: its rows are no history."""
     return Counter({k: n for k, n in counts.items() if k not in MONTHS})
 
 
 def stage_audit(spark: SparkSession, raw_dir: str, cfg: AuditConfig = DEFAULT,
                 impute_mode: str = "exact", fleets=None, path: str | None = None,
-                skip_failed_fleets: bool = False, ignore_corrupt_files: bool = False) -> Staged | None:
-    """Intake -> staged table -> imputation appended to it; None when there is no trip
-    data.  The only step that reads raw files, and it reads them once.
-
-    A fleet whose staging fails ends the run; with ``skip_failed_fleets`` it is left out
-    whole (a failed write commits nothing) and listed."""
-    path = path or scratch_path(spark, "staged-trips")
-    counts: Counter = Counter()
+                skip_failed_fleets: bool = False, ignore_corrupt_files: bool = False,
+                quarantine_files: bool = False, batch_bytes: int = BATCH_BYTES) -> Staged | None:
+    """Intake -> staged batches -> imputation as one more; None when there is no trip data.
+    The only step that reads raw files, and it reads their rows once.
+
+    ``path`` is the root of a store that a rerun finds again (a fresh scratch folder unless
+    given).  A file that cannot be read ends the run; ``quarantine_files`` leaves such files
+    out and lists them, ``skip_failed_fleets`` leaves their fleet out whole, and
+    ``ignore_corrupt_files`` also makes scans skip pages that fail."""
+    store = TripStore(spark, path or scratch_path(spark, "staged-trips"))
+    live = store.committed()
+    store.clear_leftovers()
     skipped: dict[str, str] = {}
+    stagers: list[Stager] = []
+
+    def failed(name: str, exc: Exception) -> None:
+        if not skip_failed_fleets:
+            raise exc
+        log.warning("fleet %s left out: %s", name, exc)
+        skipped[name] = str(exc)
+
     for spec in [fleet(f) for f in fleets or cfg.fleets]:
         try:
-            counts += stage_fleet(spark, raw_dir, spec, path, cfg, ignore_corrupt_files)
+            stagers.append(Stager(spark, raw_dir, spec, store, live, cfg, quarantine_files, ignore_corrupt_files,
+                                  batch_bytes))
         except Exception as exc:
             if isinstance(exc, AnalysisException) and path_missing(exc):
                 log.warning("raw directory does not exist: %s", raw_dir)
                 return None
-            if not skip_failed_fleets:
-                raise
-            log.warning("fleet %s left out: %s", spec.name, exc)
-            skipped[spec.name] = str(exc)
+            failed(spec.name, exc)
+
+    def attempt(job):
+        stager, schema, files = job
+        try:
+            return stager, stager.stage(schema, files), None
+        except Exception as exc:
+            return stager, None, exc
+
+    # Fleets and read schemas are independent scans: submitting them from a few threads keeps
+    # the executors busy while the last tasks of one of them end.
+    jobs = [(s, schema, files) for s in stagers for schema, files in s.todo]
+    with ThreadPoolExecutor(max_workers=STAGING_THREADS) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(attempt), jobs))
+    for stager, _, exc in done:
+        if exc is not None and stager.spec.name not in skipped:
+            failed(stager.spec.name, exc)
+    quarantined = {path: why for s in stagers for path, why in s.left_out.items()}
+    kept = [b for s in stagers if s.spec.name not in skipped for b in s.kept]
+    used = kept + [b for s, b, _ in done if b is not None and s.spec.name not in skipped]
+    counts = sum((Counter(b.counts) for b in used), Counter())
     plan = fallback_plan(*(counts[k] for k in MONTHS), cfg, spark, raw_dir)
     log.info("imputation plan: %s", plan)
     if not counts["total"]:
         log.warning("no trip data under %s", raw_dir)
-        return Staged("", counts, plan, skipped) if skipped else None
+        return Staged("", counts, plan, skipped, store, quarantined=quarantined) if skipped or quarantined else None
+    stale = [b for s in stagers for b in s.stale]
     if plan.action == "impute":
-        counts += stage_imputed(read_staged(spark, path), plan, path, cfg, impute_mode)
-    return Staged(path, counts, plan, skipped)
+        extra = stage_imputed(store.read_trips([b.name for b in used]), plan, store, [f for b in used for f in b.files],
+                              cfg, impute_mode, live)
+        counts += _without_months(extra.counts)
+        used.append(extra)
+        kept += [extra] if extra.name in live else []
+        stale += [b for b in live.values() if b.settings == extra.settings and b.name != extra.name]
+    for b in stale:  # of files that changed or went, and imputed from those
+        store.drop(b.name)
+    return Staged(store.trips_path, counts, plan, skipped, store, [b.name for b in used], [b.name for b in kept],
+                  quarantined)
 
 
 def stage_intake(spark: SparkSession, intake: DataFrame, cfg: AuditConfig = DEFAULT,
-                 impute_mode: str = "exact") -> tuple[DataFrame, Staged]:
-    """Start from trips that the streaming intake has flagged (``read_intake``): they are
-    counted in one pass and only the imputed rows are staged."""
-    path = scratch_path(spark, "staged-imputed")
-    row = intake.agg(*accounting_metrics(cfg), *month_metrics(cfg)).first()
-    counts = Counter(row.asDict())
-    plan = fallback_plan(*(counts[k] for k in MONTHS), cfg)
+                 impute_mode: str = "exact", raw_dir: str | None = None) -> tuple[DataFrame, Staged]:
+    """Start from trips that the streaming intake has flagged (``read_intake``): one pass
+    leaves their partials and counts them, and only the imputed rows are staged.  The history
+    month that was never taken in is counted in ``raw_dir`` when that is given."""
+    store = TripStore(spark, scratch_path(spark, "staged-imputed"))
     real = intake.withColumn("is_imputed", F.lit(False)).select(*STAGED_SCHEMA.fieldNames())
+    seen, name = Observation(), "intake"
+    partial_states(real.observe(seen, *accounting_metrics(cfg), *month_metrics(cfg))).write.parquet(store.partials(name))
+    counts = Counter(seen.get)
+    plan = fallback_plan(*(counts[k] for k in MONTHS), cfg, spark, raw_dir)
+    batches, path = [name], ""
     if plan.action == "impute":
-        counts += stage_imputed(real, plan, path, cfg, impute_mode)
-        real = real.unionByName(read_staged(spark, path))
-    else:
-        path = ""
-    return real, Staged(path, counts, plan)
+        extra = stage_imputed(real, plan, store, [], cfg, impute_mode, {})
+        counts += _without_months(extra.counts)
+        real = real.unionByName(store.read_trips([extra.name]))
+        batches.append(extra.name)
+        path = store.trips_path
+    return real, Staged(path, counts, plan, store=store, batches=batches)
 
 
 def staged_accounting(staged: DataFrame) -> DataFrame:
@@ -247,7 +399,8 @@ def observed_accounting(spark: SparkSession, counts: Counter) -> DataFrame:
 
 
 def audit_reports(staged: DataFrame, cfg: AuditConfig = DEFAULT) -> dict[str, DataFrame]:
-    """The reports of a staged table.  Partition filters: each reads only its directories."""
+    """The reports straight from staged trips, one scan each (``merged_reports`` has the same
+    from partials).  Partition filters: each reads only its directories."""
     clean = staged.filter(F.col("status") == "clean")
     audit = staged.filter(F.col("status") == "audit")
     real = staged.filter(~F.col("is_imputed"))  # as loaded, before imputation
@@ -267,8 +420,9 @@ def audit_reports(staged: DataFrame, cfg: AuditConfig = DEFAULT) -> dict[str, Da
     }
 
 
-def weather_reports(staged: DataFrame, weather: DataFrame, cfg: AuditConfig = DEFAULT) -> dict[str, DataFrame]:
-    joined = rain_join(daily_trips(staged.filter(F.col("status") == "clean")), in_year(weather, cfg.weather_year))
+def weather_reports(daily: DataFrame, weather: DataFrame, cfg: AuditConfig = DEFAULT) -> dict[str, DataFrame]:
+    """The rain reports of daily trips (``daily_trips`` of the clean ones, or ``merged_daily``)."""
+    joined = rain_join(daily, in_year(weather, cfg.weather_year))
     return {"weather_elasticity": joined, "rain_correlation": rain_elasticity(joined), "rain_trend": rain_trend(joined)}
 
 
@@ -277,53 +431,62 @@ def run_audit(spark: SparkSession, raw_dir: str | None, out_dir: str,
               impute_mode: str = "exact", fleets=None, report_threads: int = 4,
               intake: DataFrame | None = None, keep_staged: bool = False,
               skip_failed_fleets: bool = False, skip_failed_reports: bool = False,
-              ignore_corrupt_files: bool = False) -> AuditResult:
-    """Intake -> staged flagged table -> imputation -> audit sink and reports.
+              ignore_corrupt_files: bool = False, quarantine_files: bool = False,
+              store: str | None = None, batch_bytes: int = BATCH_BYTES) -> AuditResult:
+    """Intake -> staged batches and partials -> imputation -> audit sink and reports.
 
-    Starts from the raw files, or from ``intake`` (``read_intake`` of a streamed table).
+    Starts from the raw files, or from ``intake`` (``read_intake`` of a streamed table; then
+    ``raw_dir``, if given, only answers for a history month that was never taken in).
     ``weather`` is a daily series ``date, precipitation`` (see ``weather_rows`` /
     ``load_weather``).  The staged table is deleted at the end unless ``keep_staged``; the
-    frames of the result then read the written reports."""
+    frames of the result then read the written reports.  Given ``store``, a folder of a shared
+    file system, batches stay there: the next run with it stages new and changed files only."""
     res = AuditResult(corrupt_files_ignored=ignore_corrupt_files)
     if intake is not None:
-        staged, done = stage_intake(spark, intake, cfg, impute_mode)
+        trips, done = stage_intake(spark, intake, cfg, impute_mode, raw_dir)
     else:
-        done = stage_audit(spark, raw_dir, cfg, impute_mode, fleets, skip_failed_fleets=skip_failed_fleets,
-                           ignore_corrupt_files=ignore_corrupt_files)
+        done = stage_audit(spark, raw_dir, cfg, impute_mode, fleets, store, skip_failed_fleets,
+                           ignore_corrupt_files, quarantine_files, batch_bytes)
         if done is None:
             return res
-        res.skipped_fleets = done.skipped_fleets
+        res.skipped_fleets, res.quarantined, res.reused_batches = done.skipped_fleets, done.quarantined, done.reused
         if not done.path:
             return res
-        staged = read_staged(spark, done.path)
+        trips = done.trips()
     res.imputation, res.ids_lost = done.plan, done.counts["ids_lost"]
+    keep = keep_staged or store is not None
     try:
-        _report(spark, staged, done, out_dir, cfg, weather, report_threads, skip_failed_reports, keep_staged, res)
+        _report(spark, trips, done, out_dir, cfg, weather, report_threads, skip_failed_reports, keep, res)
     finally:
-        if done.path and not keep_staged:
-            delete_path(spark, done.path)
-        else:
+        if keep:
             res.staged_path = done.path or None
+        else:
+            delete_path(spark, done.store.root)
     return res
 
 
-def _report(spark, staged, done, out_dir, cfg, weather, report_threads, skip_failed_reports, keep_staged, res):
+def _report(spark, trips, done, out_dir, cfg, weather, report_threads, skip_failed_reports, keep_staged, res):
+    # A selective read: rebalanced, so that the sink's files follow its bytes and not the
+    # number of input splits and months behind it.
     res.audit_path = write_parquet(
-        staged.filter(F.col("status") == "audit").drop("is_ghost", "inside_zone", "status", "year", "month"),
-        f"{out_dir}/audit/ghost_trips_audit")
-    plan = done.plan
-    reports = audit_reports(staged, cfg) | {
+        trips.filter(F.col("status") == "audit").drop("is_ghost", "inside_zone", "status", "year", "month"),
+        f"{out_dir}/audit/ghost_trips_audit", sized=True)
+    plan, states = done.plan, done.partials()
+    reports = merged_reports(states, cfg) | {
         "row_accounting": observed_accounting(spark, done.counts),
         "imputation": spark.createDataFrame(
             [tuple(plan)], "n_base_old bigint, n_base_new bigint, n_target bigint, target bigint, "
                            "fraction double, action string"),
+        "quarantine": spark.createDataFrame(sorted(done.quarantined.items()), "path string, reason string"),
     }
     if weather is not None:
         res.unread_weather_days = unread_days(weather).first()[0]
-        reports |= weather_reports(staged, weather, cfg)
+        reports |= weather_reports(merged_daily(states), weather, cfg)
     reports["intake_losses"] = spark.createDataFrame(
-        [(res.ids_lost, res.unread_weather_days, res.corrupt_files_ignored, ",".join(sorted(res.skipped_fleets)))],
-        "ids_set_null bigint, weather_days_unread bigint, corrupt_files_ignored boolean, fleets_left_out string")
+        [(res.ids_lost, res.unread_weather_days, res.corrupt_files_ignored, ",".join(sorted(res.skipped_fleets)),
+          len(res.quarantined))],
+        "ids_set_null bigint, weather_days_unread bigint, corrupt_files_ignored boolean, fleets_left_out string, "
+        "files_left_out bigint")
 
     # Reports are independent small jobs over the staged table; submitting
     # them from a few threads lets the scheduler run them side by side.

@@ -2,8 +2,8 @@
 Spark and turned into the frames the dashboard plots (yearly volume,
 speed grid, monthly money series, rain correlation and trend).
 
-Each report is read with its declared schema; a missing report is left out
-without stopping the others.
+Each report is read with its declared schema; a missing or different one raises, or is left
+out and listed where the caller asks for that.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from tripaudit.operators import (
     velocity_pivot,
     volume_by_year,
 )
-from tripaudit.sources.files import read_reports
+from tripaudit.sources.files import Reports, read_reports
 
 
 # Report layouts written by ``run_audit`` (file name -> DDL columns).
@@ -31,10 +31,10 @@ REPORT_SCHEMAS: dict[str, str] = {
 }
 
 
-def load_dashboard(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """Report frames plus the dashboard's derived frames."""
+def load_dashboard(spark: SparkSession, out_dir: str, skip_failed: bool = False) -> Reports:
+    """Report frames plus the dashboard's derived frames, and the reports left out."""
     base = out_dir.rstrip("/") + "/aggregated"
-    frames = read_reports(spark, {k: f"{base}/{k}" for k in REPORT_SCHEMAS}, REPORT_SCHEMAS)
+    frames, failed = read_reports(spark, {k: f"{base}/{k}" for k in REPORT_SCHEMAS}, REPORT_SCHEMAS, skip_failed)
     derived: dict[str, DataFrame] = {}
     if "yellow_green_volume" in frames:
         derived["volume_by_year"] = volume_by_year(frames["yellow_green_volume"])
@@ -45,4 +45,4 @@ def load_dashboard(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     if "weather_elasticity" in frames:
         derived["rain_correlation"] = rain_elasticity(frames["weather_elasticity"])
         derived["rain_trend"] = rain_trend(frames["weather_elasticity"])
-    return {**frames, **derived}
+    return Reports({**frames, **derived}, failed)

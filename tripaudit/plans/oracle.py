@@ -101,6 +101,18 @@ FLEET_LINEITEM = """
     'lineitem' AS taxi_type
   FROM lineitem"""
 
+RIDES = """
+  SELECT pickup_time, pickup_time + to_seconds((l_orderkey * 7919 + l_linenumber * 104729) % 3600 - 30) AS dropoff_time,
+    CAST(l_suppkey % 50 AS INTEGER) AS pickup_loc,
+    CASE WHEN l_orderkey % 17 <> 0 THEN CAST(l_partkey % 265 AS INTEGER) END AS dropoff_loc,
+    CASE WHEN l_orderkey % 13 <> 0 THEN CAST((l_orderkey % 97) / 4 AS DOUBLE) END AS trip_distance,
+    CASE WHEN l_orderkey % 11 <> 0 THEN l_extendedprice / CAST(997 AS DOUBLE) END AS fare,
+    l_extendedprice / CAST(997 AS DOUBLE) * CAST(1.25 AS DOUBLE) + l_tax AS total_amount,
+    CASE WHEN l_orderkey % 7 <> 0 THEN (l_linenumber % 3) * CAST(1.25 AS DOUBLE) END AS congestion_surcharge,
+    l_discount AS tip_amount, CAST(l_linenumber AS INTEGER) AS vendor_id,
+    CASE WHEN l_returnflag = 'N' THEN 'rides_n' ELSE 'rides_r' END AS taxi_type
+  FROM (SELECT *, l_shipdate + to_seconds((l_orderkey * 613 + l_linenumber * 7) % 86400) AS pickup_time FROM lineitem)"""
+
 # Links by this file's own reading of the test pages: quoted attributes, five entities.
 HARVEST = rf"""
 visible AS (
@@ -255,9 +267,9 @@ def _impute_month_sql(cfg=OCFG, sampled: bool = False) -> str:
     return _with(TRIPS_ORD, _imputed_ctes("trips_ord", cfg, sampled)) + "SELECT * FROM all_trips"
 
 
-def _audit_sql(select: str) -> str:
-    """A query over ``af``, the flagged trips of both fleets with the imputed month."""
-    return _with(f"fleets AS ({FLEET_ORDERS}\n  UNION ALL\n{FLEET_LINEITEM})",
+def _audit_sql(select: str, fleets: str = f"{FLEET_ORDERS}\n  UNION ALL\n{FLEET_LINEITEM}") -> str:
+    """A query over ``af``, the flagged trips of the fleets with the imputed month."""
+    return _with(f"fleets AS ({fleets})",
                  _imputed_ctes("fleets"), f"""
 a1 AS (SELECT *, date_diff('second', pickup_time, dropoff_time) AS duration_seconds FROM all_trips),
 a2 AS (SELECT *, duration_seconds / CAST(3600.0 AS DOUBLE) AS duration_hours FROM a1),
@@ -284,6 +296,69 @@ AUDIT_ACCOUNTING = """SELECT taxi_type, is_imputed, count(*) AS total,
 FROM af GROUP BY 1, 2"""
 
 
+def _run_sql() -> dict[str, str]:
+    """Reports of the run over the rides, each straight from the flagged trips."""
+    def rides(select: str) -> str:
+        return _audit_sql(select, RIDES)
+
+    year, month = "CAST(year(pickup_time) AS INTEGER) AS year", "CAST(month(pickup_time) AS INTEGER) AS month"
+    rain = """, wet AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_tax) AS precipitation FROM lineitem GROUP BY 1),
+days AS (SELECT CAST(pickup_time AS DATE) AS date, count(*) AS total_trips FROM af WHERE NOT is_ghost GROUP BY 1),
+j AS (SELECT date, total_trips, precipitation FROM days JOIN wet USING (date))"""
+
+    def rainy(select: str) -> str:
+        # One more CTE in front of the final SELECT.
+        head, mark, tail = rides("--\nSELECT 1").rpartition("--\nSELECT 1")
+        return head.rstrip() + rain + "\n" + select + tail
+
+    return {
+        "run_source_counts": rides("SELECT taxi_type, count(*) AS count FROM af WHERE NOT is_imputed GROUP BY 1"),
+        "run_period_summary": rides(f"""SELECT {year}, {month}, count(*) AS count FROM af WHERE NOT is_imputed
+            GROUP BY 1, 2 ORDER BY 1, 2"""),
+        "run_volume": rides(f"""SELECT {year}, CAST(quarter(pickup_time) AS INTEGER) AS quarter, taxi_type,
+            count(*) AS count FROM af WHERE NOT is_ghost GROUP BY 1, 2, 3"""),
+        "run_tips": rides(f"""SELECT {year}, {month}, round(avg(congestion_surcharge), {DIG}) AS avg_surcharge,
+            round(avg(total_amount - fare), {DIG}) AS avg_tip_amount FROM af WHERE NOT is_ghost GROUP BY 1, 2"""),
+        "run_border": rides(f"SELECT dropoff_loc, {year}, count(*) AS count FROM af WHERE NOT is_ghost GROUP BY 1, 2"),
+        "run_heatmap": rides(f"""SELECT CAST(hour(pickup_time) AS INTEGER) AS hour,
+            CAST(dayofweek(pickup_time) + 1 AS INTEGER) AS day_of_week, round(avg(speed_mph), {DIG}) AS avg_speed
+            FROM af WHERE NOT is_ghost AND inside_zone GROUP BY 1, 2"""),
+        "run_rain_days": rainy(f"SELECT date, total_trips, round(precipitation, {DIG}) AS precipitation FROM j"),
+        "run_rain_correlation": rainy(f"""SELECT count(*) AS n,
+            round(corr(CAST(total_trips AS DOUBLE), precipitation), {DIG}) AS correlation FROM j"""),
+        "run_rain_trend": rainy(f"""SELECT round(regr_slope(y, x), {DIG}) AS slope,
+            round(regr_intercept(y, x), {DIG}) AS intercept, round(regr_r2(y, x), {DIG}) AS r2,
+            CAST(regr_count(y, x) AS BIGINT) AS n
+            FROM (SELECT CAST(total_trips AS DOUBLE) AS y, precipitation AS x FROM j)"""),
+        "run_incremental": rides(AUDIT_ACCOUNTING.replace(
+            "FROM af GROUP BY 1, 2", f", CAST({len(suite.RIDE_FLEETS)} AS INTEGER) AS batches_reused FROM af GROUP BY 1, 2")),
+        "run_compacted": rides(f"""SELECT {UNI}, is_imputed, CAST({len(suite.RIDE_FLEETS)} AS INTEGER) AS batches_reused
+            FROM af WHERE is_ghost"""),
+    }
+
+
+def _file_sql() -> dict[str, str]:
+    """Trips of files whose types drifted, and of good files beside bad ones."""
+    def held(c: str) -> str:
+        return (f"CASE WHEN l_orderkey % 4 = 2 AND l_orderkey % 10 = 0 THEN NULL "
+                f"WHEN l_orderkey % 4 = 3 AND l_linenumber = 7 THEN NULL ELSE CAST({c} AS INTEGER) END")
+
+    ids = ("l_suppkey", "l_partkey", "l_linenumber")
+    drift = FLEET_LINEITEM
+    for c in ids:
+        drift = drift.replace(f"TRY_CAST({c} AS INTEGER)", held(c))
+    return {
+        "drift_trips": drift,
+        "drift_losses": f"""SELECT count(*) AS trips,
+            CAST({len(ids)} * count(*) FILTER (WHERE {held("l_suppkey")} IS NULL) AS BIGINT) AS ids_lost,
+            CAST(3 AS INTEGER) AS read_schemas FROM lineitem""",
+        "quarantine_kept": FLEET_ORDERS + f"\n  WHERE o_orderkey % {suite.PIECES} < {suite.PIECES - 1}",
+        "quarantine_files": f"""SELECT CAST(o_orderkey % {suite.PIECES} AS INTEGER) AS piece, count(*) AS trips,
+            o_orderkey % {suite.PIECES} = {suite.PIECES - 1} AS left_out FROM orders GROUP BY 1, 3
+            UNION ALL SELECT {suite.PIECES}, NULL, true""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     zone = f"dropoff_loc IN ({ZONES})"
     ev = _with(TRIPS_EV)
@@ -398,6 +473,7 @@ def oracle_sql() -> dict[str, str]:
         FROM clean"""
     out["rain_join_year"] = _with(WEATHER) + f"""SELECT date, total_trips, round(precipitation, {DIG}) AS precipitation
         FROM j WHERE year(date) = {suite.WEATHER_YEAR}"""
-    out["parquet_roundtrip"] = out["ghost_audit"]
+    out["parquet_roundtrip"] = out["parquet_sized"] = out["ghost_audit"]
+    out |= _run_sql() | _file_sql()
     out["csv_roundtrip"] = out["q1_comparison"]
     return out

@@ -24,6 +24,9 @@ from tripaudit.operators import (
     impute_month,
     mark_zone,
     mark_zone_table,
+    merged_accounting,
+    merged_daily,
+    merged_reports,
     period_summary,
     q1_comparison,
     rain_elasticity,
@@ -39,18 +42,23 @@ from tripaudit.operators import (
     volume_by_quarter,
     volume_by_year,
 )
-from tripaudit.schema import UNIFIED_COLUMNS, FleetSpec, unify_schema
+from tripaudit.schema import UNIFIED_COLUMNS, FleetSpec, ids_lost, unify_schema
 from tripaudit.session import scratch_path
 from tripaudit.sources import (
+    check_files,
+    file_report,
     filter_links,
     harvest_links,
     in_year,
     load_trips,
     new_links,
     overlaid_links,
+    plan_files,
     read_csv,
     read_fleet,
+    read_group,
     source_counts,
+    union_fleets,
     weather_rows,
     write_csv,
     write_parquet,
@@ -63,6 +71,7 @@ from tripaudit.sources.tables import (
     lineitem_trips,
     orders_trips,
     pages,
+    ride_rows,
     table,
     weather_feed,
 )
@@ -314,24 +323,17 @@ def q_csv_roundtrip(spark, d):
 AUDIT_CFG = ORDERS_CFG.with_(fleets=TABLE_FLEETS)
 
 
-def _staged(spark, d):
-    from tripaudit.plans.audit_run import read_staged, stage_audit
-
-    done = stage_audit(spark, d, AUDIT_CFG)
-    return done, read_staged(spark, done.path)
-
-
 def q_audit_accounting(spark, d):
-    from tripaudit.plans.audit_run import staged_accounting
+    from tripaudit.plans.audit_run import stage_audit, staged_accounting
 
-    return staged_accounting(_staged(spark, d)[1])
+    return staged_accounting(stage_audit(spark, d, AUDIT_CFG).trips())
 
 
 def q_audit_observed(spark, d):
     """Accounting and imputation counts as the staging writes observed them."""
-    from tripaudit.plans.audit_run import observed_accounting
+    from tripaudit.plans.audit_run import observed_accounting, stage_audit
 
-    done, _ = _staged(spark, d)
+    done = stage_audit(spark, d, AUDIT_CFG)
     return observed_accounting(spark, done.counts).withColumns(
         {k: F.lit(getattr(done.plan, k)).cast("bigint") for k in ("n_base_old", "n_base_new", "n_target", "target")}
         | {"action": F.lit(done.plan.action), "ids_lost": F.lit(done.counts["ids_lost"]).cast("bigint")})
@@ -340,17 +342,21 @@ def q_audit_observed(spark, d):
 def _audit_report(name: str, *digits: str) -> Query:
     """A report of the whole run over trips of ``events``, landed as one fleet's files."""
     def query(spark, d):
-        from tripaudit.plans.audit_run import audit_reports, read_staged, stage_audit
+        from tripaudit.plans.audit_run import stage_audit
 
         root = scratch_path(spark, "events-fleet")
         events_trips(spark, d).select(*UNIFIED_COLUMNS).drop("taxi_type").write.parquet(f"{root}/events")
-        spec = FleetSpec("events", {c: c for c in UNIFIED_COLUMNS if c != "taxi_type"}, "part-*.parquet", "events")
-        done = stage_audit(spark, root, ORDERS_CFG, fleets=(spec,))
-        return rounded(audit_reports(read_staged(spark, done.path), ORDERS_CFG)[name], *digits)
+        done = stage_audit(spark, root, ORDERS_CFG, fleets=(_own_fleet("events", "events"),))
+        return rounded(merged_reports(done.partials(), ORDERS_CFG)[name], *digits)
 
     return query
 
 
+def _own_fleet(name: str, folder: str) -> FleetSpec:
+    """A fleet whose files hold the unified columns."""
+    return FleetSpec(name, {c: c for c in UNIFIED_COLUMNS if c != "taxi_type"}, "part-*", folder)
+
+
 AUDIT_REPORTS = {
     "audit_ghost_vendors": _audit_report("ghost_vendors"),
     "audit_compliance": _audit_report("surcharge_compliance"),
@@ -359,6 +365,176 @@ AUDIT_REPORTS = {
     "audit_q1": _audit_report("q1_comparison"),
 }
 
+# --- the run over two fleets of several years: partials, batches, files -----
+
+RIDE_FLEETS = ("rides_n", "rides_r")
+#: Landings of the rides: years up to 1997, then the others.
+FIRST_YEARS = 1997
+
+
+def _land_rides(spark, d, root: str, when=None) -> None:
+    """Write the rides as raw files, one folder per fleet and year of pick-up."""
+    rides = ride_rows(spark, d)
+    (rides.filter(when) if when is not None else rides) \
+        .withColumn("landed", F.year("pickup_time")) \
+        .write.mode("append").partitionBy("taxi_type", "landed").parquet(root)
+
+
+def _ride_fleets() -> tuple[FleetSpec, ...]:
+    return tuple(_own_fleet(name, f"taxi_type={name}/landed=*") for name in RIDE_FLEETS)
+
+
+def _staged_rides(spark, d):
+    from tripaudit.plans.audit_run import stage_audit
+
+    root = scratch_path(spark, "rides")
+    _land_rides(spark, d, root)
+    return stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets())
+
+
+def _run_report(name: str, *digits: str) -> Query:
+    """A report merged from the partials of the staged rides, imputed month included."""
+    def query(spark, d):
+        return rounded(merged_reports(_staged_rides(spark, d).partials(), ORDERS_CFG)[name], *digits)
+
+    return query
+
+
+def _run_weather(name: str, *digits: str) -> Query:
+    """A rain report merged from the partials of the staged rides."""
+    def query(spark, d):
+        from tripaudit.plans.audit_run import weather_reports
+
+        daily = merged_daily(_staged_rides(spark, d).partials())
+        return rounded(weather_reports(daily, weather_rows(weather_feed(spark, d)), ORDERS_CFG)[name], *digits)
+
+    return query
+
+
+def q_run_incremental(spark, d):
+    """Accounting of a store that was filled by two landings: the second run finds the first
+    run's batches and adds partials of the new files only."""
+    from tripaudit.plans.audit_run import stage_audit
+
+    root, store = scratch_path(spark, "rides"), scratch_path(spark, "store")
+    early = F.year("pickup_time") <= FIRST_YEARS
+    _land_rides(spark, d, root, early)
+    first = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store)
+    _land_rides(spark, d, root, ~early)
+    second = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store)
+    return merged_accounting(second.partials()).withColumn(
+        "batches_reused", F.lit(len(set(first.batches) & set(second.reused))))
+
+
+def q_run_compacted(spark, d):
+    """Audited trips of a store of many small batches, after these became one per fleet."""
+    from tripaudit.plans.audit_run import stage_audit
+
+    root, store = scratch_path(spark, "rides"), scratch_path(spark, "store")
+    _land_rides(spark, d, root)
+    stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store, batch_bytes=1)
+    done = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store, batch_bytes=1)
+    made = done.store.compact()
+    again = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store, batch_bytes=1)
+    return (again.trips().filter(F.col("status") == "audit").select(*UNIFIED_COLUMNS, "is_imputed")
+            .withColumn("batches_reused", F.lit(len({b.name for b in made} & set(again.reused)))))
+
+
+DRIFT_FLEET = FleetSpec("lineitem", LINEITEM_FLEET.columns, "part-*", "ids=*")
+
+
+def _land_drift(spark, d) -> str:
+    """Line items as files that hold their ids as INT, BIGINT, DOUBLE (some with a fraction)
+    and text (some no number)."""
+    root = scratch_path(spark, "drift")
+    li = table(spark, d, "lineitem")
+    ids = ("l_suppkey", "l_partkey", "l_linenumber")
+    rest = [c for c in LINEITEM_FLEET.columns.values() if c not in ids]
+    key = F.col("l_orderkey")
+    forms = (
+        [F.col(c).cast("int").alias(c) for c in ids],
+        [F.col(c).cast("bigint").alias(c) for c in ids],
+        [(F.col(c).cast("double") + F.when(key % 10 == 0, 0.5).otherwise(0.0)).alias(c) for c in ids],
+        [F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col(c).cast("string")).alias(c) for c in ids])
+    for i, form in enumerate(forms):
+        li.filter(key % 4 == i).select(*form, *rest).write.parquet(f"{root}/ids={i}")
+    return root
+
+
+def _drifted(spark, d):
+    root = _land_drift(spark, d)
+    return plan_files(check_files(spark, root, DRIFT_FLEET), DRIFT_FLEET).groups
+
+
+def q_drift_trips(spark, d):
+    """Trips of files whose ids changed their physical type three times."""
+    return union_fleets(unify_schema(read_group(spark, schema, files), DRIFT_FLEET)
+                        for schema, files in _drifted(spark, d))
+
+
+def q_drift_losses(spark, d):
+    """Rows, read schemas and ids that did not fit, over the same files."""
+    groups = _drifted(spark, d)
+    raw = [read_group(spark, schema, files) for schema, files in groups]
+    counted = union_fleets(r.agg(F.count(F.lit(1)).alias("n"), ids_lost(r, DRIFT_FLEET).alias("lost")) for r in raw)
+    return counted.agg(F.sum("n").alias("trips"), F.sum("lost").alias("ids_lost")).withColumn(
+        "read_schemas", F.lit(len(groups)))
+
+
+PIECES = 4
+
+
+def _land_pieces(spark, d) -> str:
+    """Orders in four folders; the customer ids of the last are booleans.  A fifth holds text."""
+    root = scratch_path(spark, "pieces")
+    orders = table(spark, d, "orders").withColumn("piece", F.col("o_orderkey") % PIECES)
+    last = F.col("piece") == PIECES - 1
+    orders.filter(~last).write.partitionBy("piece").parquet(f"{root}/orders")
+    orders.filter(last).withColumn("o_custkey", F.col("o_custkey") > 0).drop("piece") \
+        .write.parquet(f"{root}/orders/piece={PIECES - 1}")
+    orders.select("o_orderpriority").write.text(f"{root}/orders/piece={PIECES}")
+    return root
+
+
+PIECES_FLEET = FleetSpec("orders", ORDERS_FLEET.columns, "part-*", "orders/piece=*")
+
+
+def q_quarantine_kept(spark, d):
+    """Staged trips of the files that can be read, with two folders of bad files beside them."""
+    from tripaudit.plans.audit_run import stage_audit
+
+    done = stage_audit(spark, _land_pieces(spark, d), ORDERS_CFG, fleets=(PIECES_FLEET,), quarantine_files=True)
+    return done.trips().filter(~F.col("is_imputed")).select(*UNIFIED_COLUMNS)
+
+
+def q_quarantine_files(spark, d):
+    """What the footers say of every folder: rows, and whether its files are left out."""
+    files = check_files(spark, _land_pieces(spark, d), PIECES_FLEET)
+    report = file_report(spark, [plan_files(files, PIECES_FLEET)], {"orders": files})
+    return report.groupBy(F.regexp_extract("path", r"piece=(\d+)", 1).cast("int").alias("piece")).agg(
+        F.sum("rows").alias("trips"), F.bool_and(F.col("error").isNotNull()).alias("left_out"))
+
+
+def q_parquet_sized(spark, d):
+    """Audited trips of several hundred input splits through the size-targeted sink."""
+    path = write_parquet(_split(spark, d).audit.repartition(300), scratch_path(spark, "audit"), sized=True)
+    return spark.read.parquet(path)
+
+
+RUN_REPORTS = {
+    "run_source_counts": _run_report("source_counts"),
+    "run_period_summary": _run_report("period_summary"),
+    "run_volume": _run_report("yellow_green_volume"),
+    "run_tips": _run_report("tip_vs_surcharge", "avg_surcharge", "avg_tip_amount"),
+    "run_border": _run_report("border_effect"),
+    "run_heatmap": _run_report("velocity_heatmap", "avg_speed"),
+    "run_rain_days": _run_weather("weather_elasticity", "precipitation"),
+    "run_rain_correlation": _run_weather("rain_correlation", "correlation"),
+    "run_rain_trend": _run_weather("rain_trend", "slope", "intercept", "r2"),
+    "run_incremental": q_run_incremental,
+    "run_compacted": q_run_compacted,
+}
+
 
 QUERIES: dict[str, Query] = {
     "source_counts": q_source_counts,
@@ -403,4 +579,10 @@ QUERIES: dict[str, Query] = {
     "audit_accounting": q_audit_accounting,
     "audit_observed": q_audit_observed,
     **AUDIT_REPORTS,
+    **RUN_REPORTS,
+    "drift_trips": q_drift_trips,
+    "drift_losses": q_drift_losses,
+    "quarantine_kept": q_quarantine_kept,
+    "quarantine_files": q_quarantine_files,
+    "parquet_sized": q_parquet_sized,
 }

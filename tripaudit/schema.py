@@ -158,26 +158,32 @@ def unify_schema(df: DataFrame, taxi_type: str | FleetSpec) -> DataFrame:
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def narrow(c: Column, target: T.DataType) -> Column:
-    """Cast to ``target``; an integral value that does not fit becomes NULL
-    (``try_cast``) instead of failing the whole job under ANSI mode."""
-    if isinstance(target, _INTEGRAL):
+def narrow(c: Column, target: T.DataType, current: T.DataType | None = None) -> Column:
+    """Cast to ``target``; a value that does not fit becomes NULL instead of failing the whole
+    job under ANSI mode.  A fraction has no place among ids: 7.0 is 7, 7.5 is NULL."""
+    if isinstance(target, _INTEGRAL) and isinstance(current, _FRACTIONAL):
+        return F.when(F.rint(c.cast("double")) == c, c.try_cast(target))
+    if isinstance(target, _INTEGRAL) or isinstance(current, T.StringType):
         return c.try_cast(target)
     return c.cast(target)
 
 
 def ids_lost(df: DataFrame, spec: FleetSpec) -> Column:
-    """Aggregate: integral source values of a fleet frame that do not fit their unified type
-    and become NULL in ``unify_schema``."""
-    present = {c.lower(): c for c in df.columns}
+    """Aggregate: source values of a fleet frame that do not fit their unified type and become
+    NULL in ``unify_schema`` (ids too large or with a fraction, texts that are no number)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    present = {c.lower(): c for c in types}
     lost = F.lit(0)
     for target, source in spec.columns.items():
         hit = present.get(source.lower())
-        if hit and isinstance(UNIFIED_TYPES[target], _INTEGRAL):
+        if hit is None:
+            continue
+        if isinstance(UNIFIED_TYPES[target], _INTEGRAL) or isinstance(types[hit], T.StringType):
             c = F.col(f"`{hit}`")
-            lost = lost + F.when(c.isNotNull() & c.try_cast(UNIFIED_TYPES[target]).isNull(), 1).otherwise(0)
+            lost = lost + F.when(c.isNotNull() & narrow(c, UNIFIED_TYPES[target], types[hit]).isNull(), 1).otherwise(0)
     return F.coalesce(F.sum(lost), F.lit(0)).cast("bigint")
 
 
@@ -185,7 +191,7 @@ def _typed(source: str, current: T.DataType, name: str) -> Column:
     """``source`` as unified column ``name``, cast only when needed."""
     c = F.col(f"`{source}`")
     if current != UNIFIED_TYPES[name]:
-        c = narrow(c, UNIFIED_TYPES[name])
+        c = narrow(c, UNIFIED_TYPES[name], current)
     return c.alias(name) if source != name else c
 
 

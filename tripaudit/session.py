@@ -73,3 +73,39 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _located(spark: SparkSession, path: str):
+    """(file system, path) of a path on whatever file system holds it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    fs, at = _located(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    fs, at = _located(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file at once: it appears under its name only when it is whole."""
+    fs, at = _located(spark, path)
+    part = at.suffix("._part")
+    stream = fs.create(part, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    fs.delete(at, False)
+    if not fs.rename(part, at):
+        raise OSError(f"cannot write {path}")

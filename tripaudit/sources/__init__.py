@@ -2,6 +2,14 @@
 report files, and adapters over the shared test tables."""
 
 from tripaudit.sources.files import read_csv, read_reports, write_csv, write_parquet
+from tripaudit.sources.footers import (
+    check_files,
+    damaged_files,
+    file_report,
+    list_files,
+    plan_files,
+    read_group,
+)
 from tripaudit.sources.links import (
     filter_links,
     harvest_links,
@@ -22,10 +30,14 @@ from tripaudit.sources.trips import (
 from tripaudit.sources.weather import in_year, load_weather, unread_days, weather_rows
 
 __all__ = [
+    "check_files",
     "count_history_files",
+    "damaged_files",
+    "file_report",
     "filter_links",
     "harvest_links",
     "in_year",
+    "list_files",
     "load_pages",
     "load_trips",
     "load_weather",
@@ -34,8 +46,10 @@ __all__ = [
     "new_links",
     "overlaid_links",
     "overlay_links",
+    "plan_files",
     "read_csv",
     "read_fleet",
+    "read_group",
     "read_reports",
     "source_counts",
     "union_fleets",

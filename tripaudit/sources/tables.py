@@ -95,6 +95,34 @@ def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def ride_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unified trips of several years from ``lineitem``, in two fleets ``rides_n`` and
+    ``rides_r`` by return flag: a time of day, drop-offs in and out of the zone, surcharges
+    paid, unpaid and unknown, and trips that every ghost rule fires on."""
+    li = table(spark, sf_dir, "lineitem")
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+
+    def null_every(k: int, value) -> F.Column:
+        return F.when(key % k == 0, F.lit(None)).otherwise(value)
+
+    pickup = F.timestamp_add("SECOND", (key * 613 + line * 7) % 86400, F.col("l_shipdate"))
+    fare = F.col("l_extendedprice") / F.lit(997.0)  # no average of these ends at a rounding boundary
+    rides = li.select(
+        pickup.alias("pickup_time"),
+        F.timestamp_add("SECOND", (key * 7919 + line * 104729) % 3600 - 30, pickup).alias("dropoff_time"),
+        (F.col("l_suppkey") % 50).cast("int").alias("pickup_loc"),
+        null_every(17, (F.col("l_partkey") % 265).cast("int")).alias("dropoff_loc"),
+        null_every(13, (key % 97) / 4).cast("double").alias("trip_distance"),
+        null_every(11, fare).alias("fare"),
+        (fare * F.lit(1.25) + F.col("l_tax")).alias("total_amount"),
+        null_every(7, (line % 3) * F.lit(1.25)).cast("double").alias("congestion_surcharge"),
+        F.col("l_discount").alias("tip_amount"),
+        line.cast("int").alias("vendor_id"),
+        F.when(F.col("l_returnflag") == "N", F.lit("rides_n")).otherwise(F.lit("rides_r")).alias("taxi_type"),
+    )
+    return conform(rides)
+
+
 def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed weather documents derived from ``lineitem``: average tax per
     ship day, one JSON text per year shaped like the archive API answer
