@@ -2,12 +2,9 @@
 
 from tripaudit.functions.stats import null_safe_corr
 from tripaudit.functions.text import (
-    attribute_value,
     contains_any,
     hrefs,
     last_segment,
-    parsed_markup,
-    strip_ws,
 )
 from tripaudit.functions.time import days_to_next_year, in_month, month_bounds, month_start, shift_days
 from tripaudit.functions.trips import (
@@ -21,7 +18,6 @@ from tripaudit.functions.trips import (
 )
 
 __all__ = [
-    "attribute_value",
     "contains_any",
     "days_to_next_year",
     "duration_hours",
@@ -33,11 +29,9 @@ __all__ = [
     "month_bounds",
     "month_start",
     "null_safe_corr",
-    "parsed_markup",
     "rule_fast",
     "rule_short_expensive",
     "rule_zero_distance",
     "shift_days",
     "speed_mph",
-    "strip_ws",
 ]

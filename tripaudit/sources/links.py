@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.functions.text import attribute_value, contains_any, hrefs, last_segment, strip_ws
+from tripaudit.functions.text import contains_any, hrefs, last_segment
 
 
 def load_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -30,10 +30,8 @@ def harvest_links(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``pos`` is the 0-based position of the anchor in its page, ``href`` is
     whitespace-stripped, ``filename`` its last path segment.  ``keep`` names
     page columns to carry along."""
-    links = pages.select("page_id", *keep, F.posexplode(hrefs("html")).alias("pos", "raw"))
-    href = strip_ws(attribute_value(F.col("raw")))
-    return (links.select("page_id", *keep, "pos", href.alias("href"))
-            .withColumn("filename", last_segment(F.col("href"))))
+    links = pages.select("page_id", *keep, F.posexplode(hrefs("html")).alias("pos", "href"))
+    return links.withColumn("filename", last_segment(F.col("href")))
 
 
 def _last_wins(links: DataFrame, order: list[str]) -> DataFrame:
