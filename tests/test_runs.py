@@ -15,7 +15,7 @@ from tripaudit.config import AuditConfig
 from tripaudit.plans.audit_run import audit_reports, run_audit
 from tripaudit.sources import weather_rows
 from tripaudit.sources.tables import TABLE_FLEETS, weather_feed
-from tripaudit.streaming import read_intake, start_intake
+from tripaudit.streaming import read_history, read_intake, record_history, start_intake
 
 
 def test_run_audit_on_test_tables(spark, tmp_dir):
@@ -200,6 +200,31 @@ def test_audit_from_taken_in_trips_equals_the_audit_of_files(spark, tmp_dir):
         assert sorted(files.frames[name].collect()) == sorted(taken.frames[name].collect()), name
 
 
+def test_history_without_trips_counts_in_the_streamed_run_too(spark, tmp_dir):
+    """The file of the older history month holds trips of other days: both runs fall back to
+    its rows, the streamed one from the intake's own counts, after the file is gone."""
+    raw, table = (os.path.join(tmp_dir, d) for d in ("raw", "table"))
+    os.makedirs(raw)
+    _yellow_file(os.path.join(raw, "yellow_tripdata_2023-03.parquet"), 24 * 200, 40)  # in September 2024
+    _yellow_file(os.path.join(raw, "yellow_tripdata_2024-03.parquet"), 0, 10)
+    cfg = AuditConfig(impute_year=2025, impute_month=3, fleets=("yellow",))
+    for q in start_intake(spark, raw, table, fleets=("yellow",), checkpoint=os.path.join(tmp_dir, "ck")):
+        q.awaitTermination(120)
+    files = run_audit(spark, raw, os.path.join(tmp_dir, "a"), cfg)
+    os.remove(os.path.join(raw, "yellow_tripdata_2023-03.parquet"))
+    record_history(spark, raw, table, ("yellow",))  # a later run of the intake keeps what it knew
+    taken = run_audit(spark, None, os.path.join(tmp_dir, "b"), cfg, intake=read_intake(spark, table, ("yellow",)),
+                      history=read_history(spark, table))
+    assert files.imputation == taken.imputation and taken.imputation.target == 19  # 0.3 * 40 + 0.7 * 10
+    assert sorted(files.frames["row_accounting"].collect()) == sorted(taken.frames["row_accounting"].collect())
+    from tripaudit.__main__ import main
+
+    assert main(["audit", "--intake", table, "--out", os.path.join(tmp_dir, "c"), "--fleets", "yellow", "--quiet",
+                 "--impute-year", "2025", "--impute-month", "3"]) == 0
+    plan = spark.read.option("header", True).csv(os.path.join(tmp_dir, "c", "aggregated", "imputation")).first()
+    assert (plan.n_base_old, plan.target) == ("40", "19")
+
+
 def test_failed_report_is_raised_or_listed(spark, tmp_dir):
     import pytest
 

@@ -32,7 +32,7 @@ def _audit(spark: SparkSession, args) -> int:
         raise SystemExit("audit needs --raw or --intake")
     from tripaudit.plans.audit_run import preview, run_audit
     from tripaudit.sources.weather import load_weather
-    from tripaudit.streaming import read_intake
+    from tripaudit.streaming import read_history, read_intake
 
     cfg = AuditConfig(
         impute_year=args.impute_year, impute_month=args.impute_month, fleets=tuple(args.fleets),
@@ -44,7 +44,7 @@ def _audit(spark: SparkSession, args) -> int:
                     impute_mode="sampled" if args.sampled else "exact", keep_staged=args.keep_staged,
                     skip_failed_fleets=args.skip_failed_fleets, skip_failed_reports=args.skip_failed_reports,
                     ignore_corrupt_files=args.ignore_corrupt_files, quarantine_files=args.quarantine_files,
-                    store=args.store)
+                    store=args.store, history=read_history(spark, args.intake) if args.intake else None)
     print(json.dumps({
         "complete": res.complete, "staged": res.staged_path, "audit": res.audit_path, "reports": res.reports,
         "imputation": res.imputation and res.imputation._asdict(), "skipped_fleets": res.skipped_fleets,
@@ -96,7 +96,7 @@ def parser() -> argparse.ArgumentParser:
     a = sub.add_parser("audit", help="run the whole audit")
     a.add_argument("--raw", help="directory of *_tripdata_YYYY-MM.parquet files")
     a.add_argument("--intake", help="flagged trip table of the intake command, instead of raw files (with --raw, "
-                                    "those only answer for a history month that was never taken in)")
+                                    "those only answer for a history month without trips)")
     a.add_argument("--out", required=True, help="output directory (audit/ and aggregated/)")
     a.add_argument("--weather", help="landed weather JSON files (one document per file)")
     a.add_argument("--fleets", nargs="+", default=["yellow", "green"])

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -100,12 +101,19 @@ def plan_imputation(trips: DataFrame, cfg: AuditConfig = DEFAULT,
 
 
 def fallback_plan(n_old: int, n_new: int, n_target: int, cfg: AuditConfig,
-                  spark: SparkSession | None = None, raw_dir: str | None = None) -> ImputePlan:
-    """The decision for counted months, with the fallback history scan where it applies."""
-    if n_old == 0 and raw_dir and spark is not None and n_target <= cfg.present_threshold:
-        from tripaudit.sources.trips import count_history_files
-
-        n_old = count_history_files(spark, raw_dir, cfg.impute_year - 2, cfg.impute_month)
+                  spark: SparkSession | None = None, raw_dir: str | None = None,
+                  history: Mapping[str, int] | None = None) -> ImputePlan:
+    """The decision for counted months, with the fallback where it applies: the older month's
+    raw files are counted in ``raw_dir``, or looked up by name in ``history``, the row counts
+    that an intake has kept."""
+    if n_old == 0 and n_target <= cfg.present_threshold:
+        y, m = cfg.impute_year - 2, cfg.impute_month
+        if raw_dir and spark is not None:
+            from tripaudit.sources.trips import count_history_files
+
+            n_old = count_history_files(spark, raw_dir, y, m)
+        elif history:
+            n_old = sum(n for name, n in history.items() if name.endswith(f"tripdata_{y}-{m:02d}.parquet"))
     w_old, w_new = cfg.history_weights
     target = math.floor(float(w_old) * n_old + float(w_new) * n_new)
     action = ("present" if n_target > cfg.present_threshold else

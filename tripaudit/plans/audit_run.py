@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import logging
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -359,16 +359,18 @@ def stage_audit(spark: SparkSession, raw_dir: str, cfg: AuditConfig = DEFAULT,
 
 
 def stage_intake(spark: SparkSession, intake: DataFrame, cfg: AuditConfig = DEFAULT,
-                 impute_mode: str = "exact", raw_dir: str | None = None) -> tuple[DataFrame, Staged]:
+                 impute_mode: str = "exact", raw_dir: str | None = None,
+                 history: Mapping[str, int] | None = None) -> tuple[DataFrame, Staged]:
     """Start from trips that the streaming intake has flagged (``read_intake``): one pass
-    leaves their partials and counts them, and only the imputed rows are staged.  The history
-    month that was never taken in is counted in ``raw_dir`` when that is given."""
+    leaves their partials and counts them, and only the imputed rows are staged.  A history
+    month without trips is counted in ``raw_dir``, or taken from ``history``, the intake's own
+    counts (``read_history``)."""
     store = TripStore(spark, scratch_path(spark, "staged-imputed"))
     real = intake.withColumn("is_imputed", F.lit(False)).select(*STAGED_SCHEMA.fieldNames())
     seen, name = Observation(), "intake"
     partial_states(real.observe(seen, *accounting_metrics(cfg), *month_metrics(cfg))).write.parquet(store.partials(name))
     counts = Counter(seen.get)
-    plan = fallback_plan(*(counts[k] for k in MONTHS), cfg, spark, raw_dir)
+    plan = fallback_plan(*(counts[k] for k in MONTHS), cfg, spark, raw_dir, history)
     batches, path = [name], ""
     if plan.action == "impute":
         extra = stage_imputed(real, plan, store, [], cfg, impute_mode, {})
@@ -432,18 +434,19 @@ def run_audit(spark: SparkSession, raw_dir: str | None, out_dir: str,
               intake: DataFrame | None = None, keep_staged: bool = False,
               skip_failed_fleets: bool = False, skip_failed_reports: bool = False,
               ignore_corrupt_files: bool = False, quarantine_files: bool = False,
-              store: str | None = None, batch_bytes: int = BATCH_BYTES) -> AuditResult:
+              store: str | None = None, batch_bytes: int = BATCH_BYTES,
+              history: Mapping[str, int] | None = None) -> AuditResult:
     """Intake -> staged batches and partials -> imputation -> audit sink and reports.
 
     Starts from the raw files, or from ``intake`` (``read_intake`` of a streamed table; then
-    ``raw_dir``, if given, only answers for a history month that was never taken in).
+    ``raw_dir`` or ``history`` only answer for a history month without trips).
     ``weather`` is a daily series ``date, precipitation`` (see ``weather_rows`` /
     ``load_weather``).  The staged table is deleted at the end unless ``keep_staged``; the
     frames of the result then read the written reports.  Given ``store``, a folder of a shared
     file system, batches stay there: the next run with it stages new and changed files only."""
     res = AuditResult(corrupt_files_ignored=ignore_corrupt_files)
     if intake is not None:
-        trips, done = stage_intake(spark, intake, cfg, impute_mode, raw_dir)
+        trips, done = stage_intake(spark, intake, cfg, impute_mode, raw_dir, history)
     else:
         done = stage_audit(spark, raw_dir, cfg, impute_mode, fleets, store, skip_failed_fleets,
                            ignore_corrupt_files, quarantine_files, batch_bytes)

@@ -352,6 +352,10 @@ def _file_sql() -> dict[str, str]:
         "drift_losses": f"""SELECT count(*) AS trips,
             CAST({len(ids)} * count(*) FILTER (WHERE {held("l_suppkey")} IS NULL) AS BIGINT) AS ids_lost,
             CAST(3 AS INTEGER) AS read_schemas FROM lineitem""",
+        "intake_upsert": f"""SELECT landed, n AS batch_trips, fares AS batch_fares, n AS stream_trips, fares AS stream_fares
+            FROM (SELECT 'rides_tripdata_' || year(pickup_time) || '.parquet' AS landed, count(*) AS n,
+                    round(sum(CASE WHEN year(pickup_time) = {suite.CHANGED_YEAR} THEN fare * 2 ELSE fare END), 3) AS fares
+                  FROM ({RIDES}) GROUP BY 1)""",
         "quarantine_kept": FLEET_ORDERS + f"\n  WHERE o_orderkey % {suite.PIECES} < {suite.PIECES - 1}",
         "quarantine_files": f"""SELECT CAST(o_orderkey % {suite.PIECES} AS INTEGER) AS piece, count(*) AS trips,
             o_orderkey % {suite.PIECES} = {suite.PIECES - 1} AS left_out FROM orders GROUP BY 1, 3

@@ -43,7 +43,7 @@ from tripaudit.operators import (
     volume_by_year,
 )
 from tripaudit.schema import UNIFIED_COLUMNS, FleetSpec, ids_lost, unify_schema
-from tripaudit.session import scratch_path
+from tripaudit.session import list_names, rename_path, scratch_path
 from tripaudit.sources import (
     check_files,
     file_report,
@@ -57,8 +57,11 @@ from tripaudit.sources import (
     read_csv,
     read_fleet,
     read_group,
+    read_taken,
     source_counts,
+    take_in,
     union_fleets,
+    upsert_stream,
     weather_rows,
     write_csv,
     write_parquet,
@@ -515,6 +518,44 @@ def q_quarantine_files(spark, d):
         F.sum("rows").alias("trips"), F.bool_and(F.col("error").isNotNull()).alias("left_out"))
 
 
+def _land_years(spark, rides: DataFrame, root: str) -> None:
+    """Write rides as one raw file per year of pick-up, named as monthly files are."""
+    made = scratch_path(spark, "years")
+    rides.withColumn("landed", F.year("pickup_time")).repartition("landed").write.partitionBy("landed").parquet(made)
+    for folder in list_names(spark, made):
+        for part in list_names(spark, f"{made}/{folder}"):
+            if part.startswith("part-"):
+                rename_path(spark, f"{made}/{folder}/{part}", f"{root}/rides_tripdata_{folder.removeprefix('landed=')}.parquet")
+
+
+UPSERT_FLEET = FleetSpec("rides", {c: c for c in UNIFIED_COLUMNS if c != "taxi_type"}, "rides_tripdata_*.parquet")
+#: The year that lands again with other fares, and the one that lands again as it was.
+CHANGED_YEAR, MOVED_YEAR = 1996, 1997
+
+
+def q_intake_upsert(spark, d):
+    """Trips by landed file after two landings, taken in as a batch and as a stream: one year
+    landed again with other fares, one as it was, some are new."""
+    raw, batch, streamed, ck = (scratch_path(spark, n) for n in ("raw", "batch", "stream", "stream-ck"))
+    rides = ride_rows(spark, d)
+    year = F.year("pickup_time")
+    early = year <= FIRST_YEARS
+    landings = (
+        rides.filter(early),
+        rides.filter(~early | year.isin(CHANGED_YEAR, MOVED_YEAR))
+             .withColumn("fare", F.when(year == CHANGED_YEAR, F.col("fare") * 2).otherwise(F.col("fare"))))
+    for i, landing in enumerate(landings):
+        _land_years(spark, landing, f"{raw}/landing-{i}")
+        take_in(spark, raw, batch, UPSERT_FLEET)
+        upsert_stream(spark, raw, streamed, UPSERT_FLEET, checkpoint=ck).awaitTermination()
+
+    def told(out: str, way: str) -> DataFrame:
+        return read_taken(spark, out).groupBy("landed").agg(
+            F.count(F.lit(1)).alias(f"{way}_trips"), F.round(F.sum("fare"), 3).alias(f"{way}_fares"))
+
+    return told(batch, "batch").join(told(streamed, "stream"), "landed", "full")
+
+
 def q_parquet_sized(spark, d):
     """Audited trips of several hundred input splits through the size-targeted sink."""
     path = write_parquet(_split(spark, d).audit.repartition(300), scratch_path(spark, "audit"), sized=True)
@@ -584,5 +625,6 @@ QUERIES: dict[str, Query] = {
     "drift_losses": q_drift_losses,
     "quarantine_kept": q_quarantine_kept,
     "quarantine_files": q_quarantine_files,
+    "intake_upsert": q_intake_upsert,
     "parquet_sized": q_parquet_sized,
 }

@@ -128,8 +128,9 @@ def typed_null(name: str) -> Column:
     return F.lit(None).cast(UNIFIED_TYPES[name]).alias(name)
 
 
-def unify_schema(df: DataFrame, taxi_type: str | FleetSpec) -> DataFrame:
-    """Project a fleet frame onto the unified layout (PRJ-1..5).
+def unify_schema(df: DataFrame, taxi_type: str | FleetSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Project a fleet frame onto the unified layout (PRJ-1..5); ``keep`` names columns to
+    carry along.
 
     Source names are matched case-insensitively, like Spark's resolver.
     Absent sources become typed NULLs, extra source columns are dropped,
@@ -154,7 +155,7 @@ def unify_schema(df: DataFrame, taxi_type: str | FleetSpec) -> DataFrame:
             cols.append(typed_null(name))
         else:
             cols.append(_typed(hit, types[hit], name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

@@ -109,3 +109,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.delete(at, False)
     if not fs.rename(part, at):
         raise OSError(f"cannot write {path}")
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file or folder within one file system."""
+    fs, at = _located(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(at, target):
+        raise OSError(f"cannot move {path} to {to}")

@@ -10,6 +10,7 @@ from tripaudit.sources.footers import (
     plan_files,
     read_group,
 )
+from tripaudit.sources.ledger import compare_ledgers, read_ledger, read_taken, take_in, upsert_stream
 from tripaudit.sources.links import (
     filter_links,
     harvest_links,
@@ -31,6 +32,7 @@ from tripaudit.sources.weather import in_year, load_weather, unread_days, weathe
 
 __all__ = [
     "check_files",
+    "compare_ledgers",
     "count_history_files",
     "damaged_files",
     "file_report",
@@ -50,10 +52,14 @@ __all__ = [
     "read_csv",
     "read_fleet",
     "read_group",
+    "read_ledger",
     "read_reports",
+    "read_taken",
     "source_counts",
+    "take_in",
     "union_fleets",
     "unread_days",
+    "upsert_stream",
     "weather_rows",
     "write_csv",
     "write_parquet",

@@ -8,10 +8,17 @@ path and appended to one Parquet folder per fleet.  Each folder has its sink's
 commit log, and exactly-once holds for readers that go by it: read the
 folders with ``read_intake``; a plain read of the parent folder would also see
 files of a batch that has not been committed.
+
+The intake also keeps the row counts of the files it saw, by name (``record_history``).  They
+answer for a history month whose trips are not found by pick-up time, also when its raw file
+is long gone, so an audit that starts from the intake sizes an imputed month like one that
+starts from the files.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,9 +28,13 @@ from tripaudit.functions.trips import ghost_flag
 from tripaudit.operators.ghost import derive_metrics
 from tripaudit.operators.zone import mark_zone
 from tripaudit.schema import FleetSpec, fleet, unify_schema
-from tripaudit.session import ensure_checkpoint_dir
+from tripaudit.session import ensure_checkpoint_dir, list_names, read_text, write_text
+from tripaudit.sources.footers import check_files
 from tripaudit.sources.trips import union_fleets
 
+#: The intake's row counts by file name; the underscore hides it from scans.
+HISTORY = "_history.json"
+
 
 def flagged_stream(spark: SparkSession, raw_dir: str, spec: str | FleetSpec,
                    cfg: AuditConfig = DEFAULT, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -48,6 +59,21 @@ def flagged_stream(spark: SparkSession, raw_dir: str, spec: str | FleetSpec,
             .withColumn("month", F.month("pickup_time")))
 
 
+def record_history(spark: SparkSession, raw_dir: str, out_path: str, fleets=("yellow", "green")) -> dict[str, int]:
+    """Add the row counts of all landed files, from their footers, to those the intake has; a
+    file that landed again counts as it is now."""
+    counts = read_history(spark, out_path)
+    for f in fleets:
+        counts |= {x.path.rsplit("/", 1)[-1]: x.rows for x in check_files(spark, raw_dir, f) if x.error is None}
+    write_text(spark, f"{out_path}/{HISTORY}", json.dumps(counts, sort_keys=True))
+    return counts
+
+
+def read_history(spark: SparkSession, out_path: str) -> dict[str, int]:
+    """Row counts by file name that an intake has kept; empty before its first run."""
+    return json.loads(read_text(spark, f"{out_path}/{HISTORY}")) if HISTORY in list_names(spark, out_path) else {}
+
+
 def start_intake(spark: SparkSession, raw_dir: str, out_path: str,
                  fleets=("yellow", "green"), cfg: AuditConfig = DEFAULT,
                  checkpoint: str | None = None, available_now: bool = True,
@@ -57,6 +83,7 @@ def start_intake(spark: SparkSession, raw_dir: str, out_path: str,
     folder unless given.  ``available_now`` drains what has landed and
     stops, which suits a scheduled job."""
     root = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tripaudit-intake"
+    record_history(spark, raw_dir, out_path, fleets)
     queries = []
     for f in fleets:
         spec = fleet(f)
