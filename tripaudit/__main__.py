@@ -32,12 +32,17 @@ def _audit(spark: SparkSession, args) -> int:
         raise SystemExit("audit needs --raw or --intake")
     from tripaudit.plans.audit_run import preview, run_audit
     from tripaudit.sources.weather import load_weather
+    from tripaudit.sources.zones import load_zones, zones_of
     from tripaudit.streaming import read_history, read_intake
 
     cfg = AuditConfig(
         impute_year=args.impute_year, impute_month=args.impute_month, fleets=tuple(args.fleets),
         speed_limit_mph=args.speed_limit, min_trip_seconds=args.min_seconds, short_trip_fare=args.short_fare,
         present_threshold=args.present_threshold, weather_year=args.weather_year)
+    if args.zones:
+        zones = load_zones(spark, args.zones)
+        ids = (zones_of(zones, *args.boroughs) if args.boroughs else zones).select("LocationID").distinct()
+        cfg = cfg.with_(zone_ids=tuple(sorted(r[0] for r in ids.collect())))  # a few hundred zones
     weather = load_weather(spark, args.weather) if args.weather else None
     intake = read_intake(spark, args.intake, cfg.fleets) if args.intake else None
     res = run_audit(spark, args.raw, args.out, cfg, weather=weather, intake=intake,
@@ -109,6 +114,8 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--present-threshold", type=int, default=AuditConfig.present_threshold,
                    help="a target month with more rows is not imputed")
     a.add_argument("--weather-year", type=int, help="join the days of this year only")
+    a.add_argument("--zones", help="landed zone archives (zipped shapefiles) that define the priced zone")
+    a.add_argument("--boroughs", nargs="+", help="only the zones of these boroughs")
     a.add_argument("--keep-staged", action="store_true", help="leave the staged table for further reading")
     a.add_argument("--skip-failed-fleets", action="store_true", help="leave out and list fleets that fail")
     a.add_argument("--skip-failed-reports", action="store_true", help="leave out and list reports that fail")

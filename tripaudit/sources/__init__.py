@@ -29,6 +29,7 @@ from tripaudit.sources.trips import (
     union_fleets,
 )
 from tripaudit.sources.weather import in_year, load_weather, unread_days, weather_rows
+from tripaudit.sources.zones import load_zones, zones_of
 
 __all__ = [
     "check_files",
@@ -43,6 +44,7 @@ __all__ = [
     "load_pages",
     "load_trips",
     "load_weather",
+    "load_zones",
     "narrow_links",
     "new_intake",
     "new_links",
@@ -63,4 +65,5 @@ __all__ = [
     "weather_rows",
     "write_csv",
     "write_parquet",
+    "zones_of",
 ]
