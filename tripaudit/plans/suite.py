@@ -430,15 +430,17 @@ def q_run_incremental(spark, d):
 
 
 def q_run_compacted(spark, d):
-    """Audited trips of a store of many small batches, after these became one per fleet."""
+    """Audited trips of a store that two landings filled, after its batches became one per
+    fleet; the last run finds the compacted batches and stages nothing."""
     from tripaudit.plans.audit_run import stage_audit
 
     root, store = scratch_path(spark, "rides"), scratch_path(spark, "store")
-    _land_rides(spark, d, root)
-    stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store, batch_bytes=1)
-    done = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store, batch_bytes=1)
+    early = F.year("pickup_time") <= FIRST_YEARS
+    for landing in (early, ~early):
+        _land_rides(spark, d, root, landing)
+        done = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store)
     made = done.store.compact()
-    again = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store, batch_bytes=1)
+    again = stage_audit(spark, root, ORDERS_CFG, fleets=_ride_fleets(), path=store)
     return (again.trips().filter(F.col("status") == "audit").select(*UNIFIED_COLUMNS, "is_imputed")
             .withColumn("batches_reused", F.lit(len({b.name for b in made} & set(again.reused)))))
 
