@@ -135,3 +135,22 @@ def test_one_document_of_each_component_stays(spark):
 def test_query_matches_all_pairs(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
     assert result(op9_grouped_prefix_join(spark, SF0001)) == brute(rows)
+
+
+def test_no_text_is_lost_under_repeated_or_null_ids(spark):
+    a, b, c = ("one two three four five six seven " + x for x in ("alpha", "beta gamma delta eps zeta eta", "omega psi chi"))
+    rows = [(1, a, "x"), (2, a, "y"), (2, b, "z"), (3, b, "w"), (None, c, "n1"), (None, c, "n2"), (None, a, "n3"),
+            (9, c + " c d e f g h i", "p"), (9, c + " c d e f g h i", "q"), (5, "", "e1"), (5, "", "e2"), (6, None, "e3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    out = one_per_component(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (None, c), (9, c + " c d e f g h i"), (5, ""), (5, ""), (6, None)], key=str)
+    assert one_per_component(docs.limit(0)).count() == 0
+
+
+def test_a_large_group_of_equal_rows_leaves_one(spark):
+    same = "the same words again and again in every row of it"
+    rows = [(7, same)] * 500 + [(i, same) for i in range(100, 200)] + [(8, "another text of six words here")]
+    out = one_per_component(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect())) == [(7, same), (8, "another text of six words here")]

@@ -127,3 +127,28 @@ def test_rejection_keeps_columns_and_clean_rows(spark):
     out = keep_identified(odd)
     assert out.columns == odd.columns
     assert sorted(r.doc_id for r in out.collect()) == list(range(1000))
+
+
+def test_null_and_repeated_keys_leave_no_language_out(spark):
+    texts = [("en", f"the quick fox {i} jumps over the lazy dog") for i in range(300)]
+    texts += [("de", f"der schnelle fuchs {i} springt") for i in range(40)]
+    # a third of all rows is one row
+    texts += [("en", "one row again")] * 170
+    rows = spark.createDataFrame([(None, t, lang) for lang, t in texts], "key long, text string, lang string")
+    runs = training_runs(rows, per_lang=20, run_words=10)
+    assert {lang for lang, _ in runs} == {"en", "de"}
+    assert len([1 for lang, _ in runs if lang == "en"]) == 20 == len([1 for lang, _ in runs if lang == "de"])
+    assert len({tuple(run) for lang, run in runs if lang == "en"}) == 20
+    unspaced = spark.createDataFrame([(i, "日本語" * 50_000 + str(i), "ja") for i in range(3)], "key long, text string, lang string")
+    assert max(sum(map(len, run)) for _, run in training_runs(unspaced)) <= 48 * 64
+
+
+def test_blanks_of_all_scripts_part_training_words(spark):
+    rows = spark.createDataFrame([(1, "un\u00a0deux\u3000trois\u2003quatre", "fr")], "key long, text string, lang string")
+    assert training_runs(rows) == [("fr", ["un", "deux", "trois", "quatre"])]
+
+
+def test_unlabelled_corpora_keep_lettered_texts(spark):
+    rows = [(1, "some words", None), (2, "12 34 !", None), (3, None, None), (4, "слово", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in keep_identified(docs).collect()) == [1, 4]

@@ -531,8 +531,27 @@ def op9_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def one_per_component(docs: DataFrame) -> DataFrame:
     """One document of every component, the one with the smallest id, with its own columns.
-    Rows that repeat that id stay with it; rows without an id stay, as nothing tells them apart."""
-    parts = written(jaccard_components(docs.select("doc_id", "text")), "components")
-    gone = parts.where("component_id <> doc_id").select("doc_id").distinct()
-    plain, back = aside(docs, "doc_id")
-    return back(plain.join(hinted(written(gone, "gone")), "doc_id", "left_anti"))
+
+    A document is a row's id and text together: another text under an id that goes stays or
+    goes with its own component, of equal rows with words one stays, and a null id comes last.
+    Rows without words are linked with nothing and stay as they are."""
+    plain, back = aside(docs, "doc_id", "text")
+    keyed = plain.withColumn("_k", F.xxhash64("doc_id", "text"))
+    parts = written(jaccard_components(keyed.select(F.col("_k").alias("doc_id"), "text")), "components")
+    each = (parts.where("n_shingles > 0").groupBy(F.col("doc_id").alias("_k"), F.col("component_id").alias("_c"))
+            .agg(F.count("*").alias("_n")))
+    ids = keyed.select("_k", "doc_id").distinct()
+    told = written(each.join(ids, "_k").withColumn("_order", F.struct(F.isnull("doc_id").alias("null"), "doc_id", "_k")),
+                   "told")
+    # Components of one document, by far the most, have no part in what follows.
+    first = told.groupBy("_c").agg(F.min("_order").alias("_first"))
+    gone = written(told.join(first, "_c").where("_k <> _first._k").select("_k").distinct(), "gone")
+    copied = written(told.where("_n > 1").select("_k").distinct().join(gone, "_k", "left_anti"), "copied")
+    left = keyed.join(hinted(gone), "_k", "left_anti")
+    if copied.isEmpty():
+        return back(left)
+    # Equal ids and texts may still differ in other columns: any one of the rows stands for all.
+    whole = F.struct(*[F.col(c) for c in plain.columns])
+    one = (left.join(hinted(copied), "_k", "left_semi").groupBy("_k").agg(F.min_by(whole, F.xxhash64(whole)).alias("_r"))
+           .select("_r.*"))
+    return back(left.join(hinted(copied), "_k", "left_anti").select(*plain.columns).unionByName(one))

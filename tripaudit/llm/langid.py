@@ -37,6 +37,7 @@ from tripaudit.llm.tables import aside, pieces, table
 HASH = 1 << 15
 PER_LANG = 400
 RUN_WORDS = 48
+RUN_LETTERS = 64
 LEXICON = 400
 CHAIN = 4
 EPOCHS = 12
@@ -265,21 +266,26 @@ def fit(runs: list[tuple[str, list[str]]], lexicon: int = LEXICON, epochs: int =
 
 def training_runs(labelled: DataFrame, per_lang: int = PER_LANG, run_words: int = RUN_WORDS) -> list[tuple[str, list[str]]]:
     """At most ``per_lang`` runs of ``run_words`` words per language, drawn by hash from all
-    rows of (key, text, lang).  The driver receives these runs only."""
-    spread = F.pmod(F.xxhash64("key", F.lit("draw")), F.lit(1 << 30))
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    rows of (key, text, lang).  The driver receives these runs only, of at most ``RUN_LETTERS``
+    characters a word.
+
+    A row is drawn by its key and text together and repeated rows count once, so null or
+    repeated keys neither leave a language out nor take it in whole."""
+    rows = labelled.withColumn("_h", F.xxhash64("key", "text", F.lit("draw")))
+    spread = F.pmod("_h", F.lit(1 << 30))
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", "_h").distinct().groupBy("lang").count().collect()}
     wanted = F.lit(False)
     for lang, n in sorted(sizes.items()):
         limit = (1 << 30) if n <= 2 * per_lang else (1 << 30) * 2 * per_lang // n
         wanted = wanted | ((F.col("lang") == lang) & (spread < limit))
-    parts = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    place = F.pmod(F.xxhash64("key", F.lit("place")), F.greatest(F.size("_w") - run_words + 1, F.lit(1)))
-    runs = (labelled.where(wanted).withColumn("_w", parts)
-            .select("lang", spread.alias("_at"), "key", F.slice("_w", place.cast("int") + 1, run_words).alias("run"))
-            .collect())
+    parts = F.split(F.trim(F.regexp_replace("text", r"(?U)\s+", " ")), " ")
+    place = F.pmod(F.xxhash64("key", "text", F.lit("place")), F.greatest(F.size("_w") - run_words + 1, F.lit(1)))
+    run = F.transform(F.slice("_w", place.cast("int") + 1, run_words), lambda w: F.left(w, F.lit(RUN_LETTERS)))
+    runs = (rows.where(wanted).withColumn("_w", parts)
+            .select("lang", spread.alias("_at"), run.alias("run")).distinct().collect())
     out = []
     for lang in sorted(sizes):
-        mine = sorted((r for r in runs if r["lang"] == lang), key=lambda r: (r["_at"], str(r["key"]), r["run"]))
+        mine = sorted((r for r in runs if r["lang"] == lang), key=lambda r: (r["_at"], r["run"]))
         out += [(lang, list(r["run"])) for r in mine[:per_lang]]
     return out
 
@@ -352,8 +358,11 @@ def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.35) -> DataFrame:
     """Documents of which one language has ``least`` or more of the words' marginals; the
-    others, and those without letters, are rejected."""
+    others, and those without letters, are rejected.  Where no row has a language to learn
+    from, nothing tells against a text, and all that have letters stay."""
     model = train_on(docs)
     plain, back = aside(docs, "text")
+    if not model.langs:
+        return back(plain.where(F.col("text").rlike(r"\p{L}")))
     found = predict(plain, model)
     return back(found.where((F.col("lang_pred") != UND) & (F.col("score") >= least)))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.session import scratch_path
+from tripaudit.session import delete_path, scratch_path
+
+#: Lists that get the paths of tables written while they are open, innermost last.
+_NOTED: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -20,10 +26,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     back: cuts the lineage, so a lost executor only means re-reading files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _NOTED:
+        _NOTED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables written inside, for whoever knows when they are spent."""
+    _NOTED.append([])
+    try:
+        yield _NOTED[-1]
+    finally:
+        _NOTED.pop()
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete spent tables and forget them."""
+    while paths:
+        delete_path(spark, paths.pop())
+
+
 def pieces(batch, limit: int = 4 << 20):
     """Cut an Arrow record batch into slices of about ``limit`` bytes, so that the
     working memory of a task does not depend on how many rows a batch holds."""
