@@ -62,6 +62,30 @@ def test_files_are_warc_and_bounded(spark, tmp_dir):
         list(parse_records(bytes(files[0].content)[:-3]))
 
 
+def test_headers_that_other_readers_need(spark, tmp_dir):
+    rows = [(1, "http://a/b c", "same"), (2, "http://x\r\ny", "same"), (3, None, "other")]
+    write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_dir}/warc")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{tmp_dir}/warc").collect()
+    heads = {h["WARC-Record-ID"]: h for f in files for h, _ in parse_records(bytes(f.content))}
+    one, two, three = (heads[f"<urn:record:{i}>"] for i in (1, 2, 3))
+    assert one["WARC-Target-URI"] == "http://a/b c" and two["WARC-Target-URI"] == "http://x%0D%0Ay"
+    assert "WARC-Target-URI" not in three and three["Content-Type"] == "text/html; charset=utf-8"
+    assert (one["WARC-Type"], one["X-Payload-Length"], one["WARC-Refers-To"]) == ("revisit", "4", "<urn:record:2>")
+
+
+def test_a_hot_digest_is_spread_and_payloads_move_once(spark, tmp_dir, monkeypatch):
+    from tripaudit.llm import warc
+
+    monkeypatch.setattr(warc, "HOT", 10)
+    rows = [(i, f"u{i}", "hot page") for i in range(400)] + [(1000 + i, "v", f"page {i // 2}") for i in range(400)]
+    got = {int(r.record_id): r for r in archived(spark, rows, tmp_dir, file_bytes=20_000)}
+    assert len(got) == 800 and {k for k, r in got.items() if r.record_type == "response"} == {399, *range(1001, 1400, 2)}
+    assert all(r.refers_to == "399" for k, r in got.items() if k < 399)
+    sizes = [len(list(parse_records(bytes(f.content)))) for f in
+             spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{tmp_dir}/warc").collect()]
+    assert len(sizes) > 10 and max(sizes) < 100
+
+
 def test_query_matches_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF0001}/pages.parquet')")

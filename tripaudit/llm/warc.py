@@ -2,7 +2,10 @@
 
 Record headers (no payloads) meet by payload digest; of records with equal payloads the
 one with the largest id is written as ``response`` and the others as ``revisit`` records
-that refer to it, with headers of their own and no payload.  Archives are written by
+that refer to it, with headers of their own and no payload.  Payloads move once, by digest,
+to the task that writes their file.  The few digests that hold more than a ``HOT``-th of all
+records are told beforehand: their revisits travel without payload and by row, so a digest
+of any size is spread over all files.  Archives are written by
 Spark's text sink: a record is one value and the ``CRLF CRLF`` that ends a WARC record is
 the line separator, so every part file is a plain WARC/1.1 file and commits, retries and
 lost executors are Spark's business.  They are read back record by record, by their
@@ -24,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripaudit.llm.tables import table
+from tripaudit.llm.tables import table, written
 from tripaudit.session import scratch_path
 
 CRLF = "\r\n"
 END = CRLF + CRLF
 #: Bytes of an archive file aimed at; a file holds whole records and is read by one task.
 FILE_BYTES = 32 << 20
+#: A digest with more than one in so many records is hot; there are fewer than this of them.
+HOT = 10_000
 READ_SCHEMA = ("record_id string, record_type string, url string, payload_bytes bigint, "
                "payload_digest string, refers_to string")
 
@@ -49,14 +54,14 @@ def with_digests(pages: DataFrame, payload: str = "html") -> DataFrame:
 
 
 def resolve_revisits(headers: DataFrame, id_col: str, min_bytes: int = 0) -> DataFrame:
-    """Digests held by several records, and the id that is kept as response.
+    """Digests held by several records (``_n``), and the id that is kept as response.
 
     Only groups of at least ``min_bytes`` payload bytes; partial aggregation folds a hot
     digest before the shuffle."""
     return (headers.where(F.col("payload_bytes") >= min_bytes)
             .groupBy("payload_digest", "payload_bytes")
             .agg(F.max(id_col).alias("response_id"), F.count("*").alias("_n"))
-            .where("_n > 1").drop("_n"))
+            .where("_n > 1"))
 
 
 def record_text(id_col: str, url: str, date: str):
@@ -67,17 +72,20 @@ def record_text(id_col: str, url: str, date: str):
     # Header values are JSON strings, so line breaks in a url cannot end a header.
     ident = F.concat(F.lit("<urn:record:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(">"))
     target = F.to_json(F.struct(F.col(url).alias("u")))
+    plain = F.replace(F.replace(F.col(url), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     head = F.concat(
         F.lit("WARC/1.1" + CRLF),
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", ident),
         line("WARC-Date", F.lit(date)),
+        F.coalesce(line("WARC-Target-URI", plain), F.lit("")),
         line("X-Target", target),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(F.col("record_type") == "revisit", F.concat(
             line("WARC-Refers-To", F.concat(F.lit("<urn:record:"), F.col("response_id").cast("string"), F.lit(">"))),
-            line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))))
-        .otherwise(F.lit("")),
+            line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+            line("X-Payload-Length", F.col("payload_bytes").cast("string"))))
+        .otherwise(line("Content-Type", F.lit("text/html; charset=utf-8"))),
         line("Content-Length", F.when(F.col("record_type") == "revisit", F.lit("0"))
              .otherwise(F.col("payload_bytes").cast("string"))),
         F.lit(CRLF))
@@ -90,13 +98,26 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
     recs = with_digests(pages, payload)
     total = recs.agg(F.sum("payload_bytes"), F.count("*")).first()
     files = 1 + ((total[0] or 0) + 400 * total[1]) // file_bytes
-    kept = resolve_revisits(recs.select(id_col, "payload_digest", "payload_bytes"), id_col, min_bytes)
-    typed = (recs.join(kept, ["payload_digest", "payload_bytes"], "left")
-             .withColumn("record_type", F.when(F.col(id_col).eqNullSafe(F.col("response_id"))
-                                               | F.col("response_id").isNull(), "response").otherwise("revisit")))
-    (typed.select(record_text(id_col, url, date).alias("value"))
-     .repartition(files)  # round robin: files of near equal numbers of records
-     .write.option("lineSep", END).text(path))
+    headers = recs.select(id_col, "payload_digest", "payload_bytes")
+    kept = written(resolve_revisits(headers, id_col, min_bytes)
+                   .withColumn("_key", F.concat_ws(":", "payload_digest", "payload_bytes")), "revisits")
+    hot = kept.where(F.col("_n") > total[1] / HOT).select("_key", F.col("response_id").alias("_hot"))
+
+    def revisit(response):
+        return ~F.col(id_col).eqNullSafe(response) & response.isNotNull()
+
+    # Fewer than HOT rows, whatever the input.
+    told = (recs.withColumn("_key", F.concat_ws(":", "payload_digest", "payload_bytes"))
+            .join(F.broadcast(hot), "_key", "left")
+            .withColumn("payload", F.when(~revisit(F.col("_hot")), F.col("payload")))
+            .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(F.monotonically_increasing_id().cast("string")))
+            .repartition(files, "_key"))
+    # The only exchange of payloads; the other side of the join follows its partitioning.
+    typed = (told.join(kept.where(F.col("_n") <= total[1] / HOT).select("_key", "response_id").hint("shuffle_hash"),
+                       "_key", "left")
+             .withColumn("response_id", F.coalesce("_hot", "response_id"))
+             .withColumn("record_type", F.when(revisit(F.col("response_id")), "revisit").otherwise("response")))
+    (typed.select(record_text(id_col, url, date).alias("value")).write.option("lineSep", END).text(path))
 
 
 def parse_records(data: bytes):
@@ -116,6 +137,12 @@ def parse_records(data: bytes):
         at = begin + size + len(end)
 
 
+def _length(head: dict[str, str]) -> int | None:
+    """Payload length that a revisit record states of the response it refers to."""
+    stated = head.get("X-Payload-Length")
+    return None if stated is None else int(stated)
+
+
 def _read(batches):
     schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string())])
@@ -133,21 +160,21 @@ def _read(batches):
                 if kind == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                     raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
                 rows.append((ident(head["WARC-Record-ID"]), kind, json.loads(head["X-Target"]).get("u"),
-                             len(payload) if kind == "response" else None, digest, ident(head.get("WARC-Refers-To"))))
+                             len(payload) if kind == "response" else _length(head), digest, ident(head.get("WARC-Refers-To"))))
             cols = list(zip(*rows, strict=True)) or [()] * len(schema)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all archives under ``path``; payload lengths and digests of responses
-    are taken from the payloads, those of revisits from the response they refer to."""
-    recs = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    """Records of all archives under ``path`` in one scan; payload lengths and digests of
+    responses are taken from the payloads, those of revisits from their headers (``resolved``
+    looks lengths up that a header does not state)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
             .select("content").mapInArrow(_read, READ_SCHEMA))
-    return recs
 
 
 def resolved(recs: DataFrame) -> DataFrame:
-    """Give every revisit the payload length of its response."""
+    """Give every revisit that states none the payload length of its response."""
     sizes = (recs.where("record_type = 'response'")
              .groupBy(F.col("record_id").alias("refers_to"), "payload_digest")
              .agg(F.max("payload_bytes").alias("_bytes")))
@@ -159,7 +186,7 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, read the archives back and resolve the revisits."""
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
-    recs = resolved(read_archives(spark, path))
+    recs = read_archives(spark, path)
     return recs.select(F.col("record_id").cast("bigint").alias("page_id"), "url", "payload_bytes", "payload_digest",
                        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
