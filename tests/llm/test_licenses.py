@@ -47,6 +47,22 @@ def test_longer_rules_come_first_and_order_counts(spark):
     assert all(rule in known_sentences().values() for _, ids in RULES for rule in ids)
 
 
+def test_sentences_come_in_text_order(spark):
+    """A list that starts right after its introduction, numbered or marked in several ways, and
+    sentences that are only seen as lines between wrapped ones."""
+    names = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]
+    intro, *items = (SENTENCES[i][0] for i in names)
+    for marks in (("1. ", "2. ", "3. "), ("   1. ", "   2. ", "   3. "), ("* ", "* ", "* "), ("(1) ", "(2) ", "(3) "),
+                  ("a) ", "b) ", "c) "), (" * 1. ", " * 2. ", " * 3. ")):
+        text = wrapped(intro) + ":\n" + "\n".join(m + wrapped(x) + "." for m, x in zip(marks, items, strict=True))
+        assert found(spark, text) == [(names, ["BSD-3-Clause"])], marks
+    header = ('Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in '
+              "compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n")
+    assert found(spark, header) == [(["apache-header", "apache-copy"], ["Apache-2.0"])]
+    mixed = "a line\nReleased under the MIT License\n" + wrapped(SENTENCES["mit-grant"][0]) + ".\nx\nLicensed under CC BY-NC 4.0"
+    assert found(spark, mixed)[0][0][0] == "mit-notice" and found(spark, mixed)[0][0][-1] == "cc-by-nc-notice"
+
+
 def test_edge_rows(spark):
     rows = [(None, None, "x"), (1, "", "x"), (2, "licen " * 50_000 + "\nReleased under the MIT License.", "x"),
             (2, "licen " * 50_000 + "\nReleased under the MIT License.", "x")]

@@ -145,10 +145,14 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC0-1.0", ["cc0-grant"]),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Sentences end at closing punctuation before white space or at an empty line; a notice
-#: may also stand on a line of its own after a line without punctuation.
-SENTENCE = r"[.!?]+[ \t\r\n]+|\n[ \t\r]*\n"
-LINE = r"[.!?]+[ \t\r\n]+|\n+"
+#: Sentences end at closing punctuation before white space, at a colon that ends a line or at an
+#: empty line; one that is not known may hold notices on lines of their own.
+SENTENCE = r"[.!?]+[ \t\r\n]+|:[ \t\r]*\n|\n[ \t\r]*\n"
+LINE = r"\n+"
+#: The number of a list's next item, whose point has ended the sentence before it, and the mark
+#: in front of an item.
+NEXT_ITEM = r"\n[ \t*/#;-]*\(?([0-9]{1,2}|[a-z])\z"
+ITEM = r"^[^a-z0-9]*([0-9]{1,2}|[a-z])\)[ \t]+"
 
 
 def normalised(s: str) -> str:
@@ -184,13 +188,17 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     # One literal, folded to a map: normalised sentences hold neither "=" nor line ends.
     lookup = F.str_to_map(F.lit("\n".join(f"{k}={v}" for k, v in known.items())), F.lit("\n"), F.lit("="))
 
-    def ids_at(ends: str):
-        norm = F.transform(F.split(low, ends), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-        return F.filter(F.transform(norm, lambda s: F.try_element_at(lookup, s)), lambda x: x.isNotNull())
+    def known_id(piece):
+        bare = F.regexp_replace(F.regexp_replace(piece, NEXT_ITEM, ""), ITEM, "")
+        return F.try_element_at(lookup, F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " ")))
 
-    # Wrapped sentences first, then those only seen as lines.
-    wrapped = ids_at(SENTENCE)
-    ids = F.concat(wrapped, F.filter(ids_at(LINE), lambda x: ~F.array_contains(wrapped, x)))
+    def in_order(sentence):
+        """The identifier of a sentence, or those of its lines: either way in its place."""
+        whole = known_id(sentence)
+        lines = F.filter(F.transform(F.split(sentence, LINE), known_id), lambda x: x.isNotNull())
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
+
+    ids = F.flatten(F.transform(F.split(low, SENTENCE), in_order))
     none = F.array().cast("array<string>")
     cue = F.lit(False)
     for c in CUES:
@@ -224,9 +232,9 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _ids(ends: str) -> str:
-    named = f"[m[trim(regexp_replace(p, '[^a-z0-9]+', ' ', 'g'))] FOR p IN string_split_regex(low, '{ends}')]"
-    return f"[x FOR x IN {named} IF x IS NOT NULL]"
+def _norm(piece: str) -> str:
+    bare = f"regexp_replace(regexp_replace({piece}, '{NEXT_ITEM}', ''), '{ITEM}', '')"
+    return f"trim(regexp_replace({bare}, '[^a-z0-9]+', ' ', 'g'))"
 
 
 def oracle_op4() -> str:
@@ -242,12 +250,16 @@ def oracle_op4() -> str:
         at = f"s{i}"
     return f"""
 WITH known(sentence, id) AS (VALUES {rows}),
-m AS (SELECT map_from_entries(list((sentence, id))) AS m FROM known),
-low AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
-cut AS (
-  SELECT doc_id, {_ids(SENTENCE)} AS wrapped, {_ids(LINE)} AS lines FROM low, m),
-named AS (
-  SELECT doc_id, list_concat(wrapped, [x FOR x IN lines IF NOT list_contains(wrapped, x)]) AS ids FROM cut),
+low AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
+cut AS (SELECT r, i, piece FROM (
+  SELECT r, unnest(p) AS piece, unnest(range(len(p))) AS i FROM (SELECT r, string_split_regex(low, '{SENTENCE}') AS p FROM low))),
+whole AS (SELECT r, i, 0 AS j, id FROM cut JOIN known ON sentence = {_norm("piece")}),
+lines AS (SELECT r, i, j, id FROM (
+  SELECT r, i, unnest(q) AS line, unnest(range(len(q))) AS j
+  FROM (SELECT r, i, string_split_regex(piece, '{LINE}') AS q FROM cut ANTI JOIN whole USING (r, i)))
+  JOIN known ON sentence = {_norm("line")}),
+told AS (SELECT r, list(id ORDER BY i, j) AS ids FROM (SELECT * FROM whole UNION ALL SELECT * FROM lines) GROUP BY r),
+named AS (SELECT doc_id, coalesce(ids, []::VARCHAR[]) AS ids FROM low LEFT JOIN told USING (r)),
 s0 AS (SELECT doc_id, ids, '|' || array_to_string(ids, '||') || '|' AS seq, []::VARCHAR[] AS found FROM named),
 {", ".join(steps)}
 SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
