@@ -3,7 +3,9 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from tripaudit.operators import tip_series, velocity_pivot
 from tripaudit.sources import read_csv, read_reports, write_csv, write_parquet
@@ -33,6 +35,8 @@ def test_round_trips(spark, tmp_dir):
     assert sorted(read_csv(spark, csv, schema).collect()) == sorted(df.collect())
     pq = write_parquet(df, os.path.join(tmp_dir, "pq"))
     assert sorted(spark.read.parquet(pq).collect()) == sorted(df.collect())
-    got = read_reports(spark, {"q1": csv, "gone": os.path.join(tmp_dir, "missing")},
-                       {"q1": schema, "gone": schema})
-    assert list(got) == ["q1"]
+    paths, schemas = {"q1": csv, "gone": os.path.join(tmp_dir, "missing")}, {"q1": schema, "gone": schema}
+    with pytest.raises(AnalysisException, match="missing"):
+        read_reports(spark, paths, schemas)
+    got = read_reports(spark, paths, schemas, skip_failed=True)
+    assert list(got.frames) == ["q1"] and list(got.failed) == ["gone"]
