@@ -7,8 +7,8 @@ to the task that writes their file.  The few digests that hold more than a ``HOT
 records are told beforehand: their revisits travel without payload and by row, so a digest
 of any size is spread over all files.  Archives are written by
 Spark's text sink: a record is one value and the ``CRLF CRLF`` that ends a WARC record is
-the line separator, so every part file is a plain WARC/1.1 file and commits, retries and
-lost executors are Spark's business.  They are read back record by record, by their
+the line separator, so every part file is a WARC/1.1 file (gzipped as a whole unless asked
+otherwise) and commits, retries and lost executors are Spark's business.  They are read back record by record, by their
 Content-Length, so a payload may hold any text, WARC headers included.
 
 Defined results: null payload counts as empty and is archived as such; payloads are equal
@@ -20,6 +20,7 @@ empty table gives no archive and no rows.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 
@@ -32,6 +33,8 @@ from tripaudit.session import scratch_path
 
 CRLF = "\r\n"
 END = CRLF + CRLF
+# Fixed value: the first bytes of a gzipped file.
+GZIP = b"\x1f\x8b"
 #: Bytes of an archive file aimed at; a file holds whole records and is read by one task.
 FILE_BYTES = 32 << 20
 #: A digest with more than one in so many records is hot; there are fewer than this of them.
@@ -93,7 +96,8 @@ def record_text(id_col: str, url: str, date: str):
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", payload: str = "html",
-                   min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> None:
+                   min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES,
+                   compression: str = "gzip") -> None:
     """Write ``pages`` as deduplicated WARC archives under ``path``."""
     recs = with_digests(pages, payload)
     total = recs.agg(F.sum("payload_bytes"), F.count("*")).first()
@@ -117,7 +121,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url: st
                        "_key", "left")
              .withColumn("response_id", F.coalesce("_hot", "response_id"))
              .withColumn("record_type", F.when(revisit(F.col("response_id")), "revisit").otherwise("response")))
-    (typed.select(record_text(id_col, url, date).alias("value")).write.option("lineSep", END).text(path))
+    (typed.select(record_text(id_col, url, date).alias("value"))
+     .write.option("lineSep", END).option("compression", compression).text(path))
 
 
 def parse_records(data: bytes):
@@ -154,7 +159,8 @@ def _read(batches):
     for batch in batches:
         for content in batch.column(0):
             rows = []
-            for head, payload in parse_records(content.as_py()):
+            data = content.as_py()
+            for head, payload in parse_records(gzip.decompress(data) if data[:2] == GZIP else data):
                 kind = head["WARC-Type"]
                 digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                 if kind == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
