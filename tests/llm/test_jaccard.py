@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF0001
 
@@ -154,3 +155,38 @@ def test_a_large_group_of_equal_rows_leaves_one(spark):
     rows = [(7, same)] * 500 + [(i, same) for i in range(100, 200)] + [(8, "another text of six words here")]
     out = one_per_component(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, out.collect())) == [(7, same), (8, "another text of six words here")]
+
+
+def test_rows_cross_to_python_in_small_batches(spark, monkeypatch):
+    from tripaudit.llm.tables import ARROW_CONF, ARROW_ROWS
+
+    seen, own, scan = [], spark.conf.get(ARROW_CONF), J.frequent_shingles
+
+    def noting(docs):
+        sizes = spark.range(0, 5 * ARROW_ROWS, 1, 1).mapInArrow(
+            lambda batches: (pa.record_batch([pa.array([b.num_rows])], ["n"]) for b in batches), "n bigint")
+        seen.extend(r.n for r in sizes.collect())
+        return scan(docs)
+
+    monkeypatch.setattr(J, "frequent_shingles", noting)
+    rows = corpus(4, 20)
+    assert result(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert sum(seen) == 5 * ARROW_ROWS and max(seen) == ARROW_ROWS
+    assert spark.conf.get(ARROW_CONF) == own
+
+
+def test_pairs_of_one_set_are_verified_in_parts(spark, monkeypatch):
+    """A set that is the neighbour of many is copied, so that its pairs spread over tasks."""
+    monkeypatch.setattr(J, "MET", 10)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base, f"x{i}"] if i % 2 else [f"y{i}_{k}" for k in range(40)])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = [J.number(J.distinct(h).tobytes()) for h in J.shingles([t for _, t in rows])]
+    whole = J.SetTable(docs, spark.createDataFrame(list(zip(range(120), hashes)), "rep long, a long"))
+    pairs = spark.createDataFrame([(hashes[i], hashes[1]) for i in range(120) if i != 1], "a long, b long")
+    pairs = J.written(pairs, "test-pairs")
+    checked = {(r.a, r.b): r.linked for r in whole.verify(pairs, 75).collect()}
+    assert checked == {(hashes[i], hashes[1]): bool(i % 2) for i in range(120) if i != 1}
+    met = (whole.joined(pairs, J.F.length("members")).select("right").withColumn("at", J.F.spark_partition_id())
+           .groupBy("at").count().collect())
+    assert len(met) > 2 and max(r["count"] for r in met) < 100

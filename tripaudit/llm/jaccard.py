@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripaudit.llm.components import connected_components
-from tripaudit.llm.tables import aside, pieces, table, written
+from tripaudit.llm.tables import aside, in_small_batches, pieces, table, written
 
 SHINGLE = 5
 PERCENT = 75
@@ -54,6 +54,8 @@ LOCAL, FREQUENT, MOST_FREQUENT = 3, 24, 200_000
 #: Groups of one shingle that a bucket joins outright.
 JOINED = 32
 ROWS_PER_BUCKET = 250_000
+#: Pairs that meet one copy of a set when they are verified.
+MET = 500
 #: Rows of two or three numbers up to which a table is broadcast.
 SMALL = 250_000
 ROUNDS = 2
@@ -348,11 +350,16 @@ class SetTable:
             self.sets = written(self.sets.dropDuplicates(["a"]), "sets")
 
     def joined(self, pairs: DataFrame, what) -> DataFrame:
-        """(a, b, left, right) with the parts ``what`` of both sets of written pairs."""
-        left = self.sets.join(hinted(pairs), "a").select("a", "b", what.alias("left"))
-        ends = hinted(written(pairs.select(F.col("b").alias("a")).distinct(), "ends"))
-        right = self.sets.join(ends, "a", "left_semi").select(F.col("a").alias("b"), what.alias("right"))
-        return left.join(right, "b").select("a", "b", "left", "right")
+        """(a, b, left, right) with the parts ``what`` of both sets of written pairs.  A set
+        that is the ``b`` of many pairs is met in parts of about ``MET`` pairs, none of them
+        larger than a task can sort in little memory."""
+        ends = hinted(written(pairs.groupBy("b").agg(F.ceil(F.count("*") / MET).cast("int").alias("parts")), "ends"))
+        dealt = written(pairs.join(ends, "b").select("a", "b", F.expr("cast(pmod(xxhash64(a, b), parts) as int)").alias("part")),
+                        "dealt")
+        left = self.sets.join(hinted(dealt), "a").select("a", "b", "part", what.alias("left"))
+        right = (self.sets.join(ends.withColumnRenamed("b", "a"), "a")
+                 .select(F.col("a").alias("b"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), what.alias("right")))
+        return left.join(right, ["b", "part"]).select("a", "b", "left", "right")
 
     def plausible(self, pairs: DataFrame, percent: int) -> DataFrame:
         """Written pairs without those that a quarter of the hash space already rules out:
@@ -395,6 +402,7 @@ def ordered(pairs: DataFrame) -> DataFrame:
             .where("a < b").distinct())
 
 
+@in_small_batches
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
