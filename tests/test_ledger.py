@@ -110,3 +110,28 @@ def test_digest_does_not_depend_on_layout(spark, dirs):
     assert take_in(spark, raw, out, "yellow") == 1
     second = read_ledger(spark, out).first()
     assert (first.rows, first.content) == (second.rows, second.content) and first.path != second.path
+
+
+def test_taking_in_sorts_and_shuffles_no_rows(spark, dirs, monkeypatch):
+    """A landed file is written where it is read: no task gathers or sorts a whole file."""
+    raw, batch, streamed, ck = dirs
+    for month in (1, 2, 3):
+        land(raw, "yellow", month, 400)
+    asked = []
+    upsert = ledger_module._upsert
+
+    def noting(rows, path, key):
+        if key == "landed":
+            asked.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        upsert(rows, path, key)
+
+    monkeypatch.setattr(ledger_module, "_upsert", noting)
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    own, held = spark.conf.get(conf), []
+    opened = ledger_module.open_files
+    monkeypatch.setattr(ledger_module, "open_files", lambda s: held.append(opened(s)) or held[-1])
+    take_in(spark, raw, batch, "yellow")
+    stream(spark, raw, streamed, ck)
+    assert counts(spark, batch) == counts(spark, streamed) == {"01": 400, "02": 400, "03": 400}
+    assert len(asked) == 2 and "rightHint=(strategy=broadcast)" in asked[1]
+    assert len(held) == 4 and spark.conf.get(conf) == own

@@ -43,7 +43,7 @@ from tripaudit.operators import (
     volume_by_year,
 )
 from tripaudit.schema import UNIFIED_COLUMNS, FleetSpec, ids_lost, unify_schema
-from tripaudit.session import list_names, rename_path, scratch_path
+from tripaudit.session import list_names, open_files, rename_path, scratch_path
 from tripaudit.sources import (
     check_files,
     file_report,
@@ -523,7 +523,8 @@ def q_quarantine_files(spark, d):
 def _land_years(spark, rides: DataFrame, root: str) -> None:
     """Write rides as one raw file per year of pick-up, named as monthly files are."""
     made = scratch_path(spark, "years")
-    rides.withColumn("landed", F.year("pickup_time")).repartition("landed").write.partitionBy("landed").parquet(made)
+    with open_files(spark):
+        rides.withColumn("landed", F.year("pickup_time")).repartition("landed").write.partitionBy("landed").parquet(made)
     for folder in list_names(spark, made):
         for part in list_names(spark, f"{made}/{folder}"):
             if part.startswith("part-"):

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,27 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return root
 
 
+@contextmanager
+def conf_held(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs that are run inside."""
+    own = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
+#: Files of a partitioned write that one task keeps open before it sorts the rest of its rows.
+OPEN_FILES = 16
+
+
+def open_files(spark: SparkSession):
+    """Partitioned writes inside do not sort a task's rows by partition first, so a task that
+    has few partitions holds the files it writes and not its rows."""
+    return conf_held(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path under the shared checkpoint root for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripaudit.schema import FleetSpec, fleet, unify_schema
-from tripaudit.session import ensure_checkpoint_dir, list_names
+from tripaudit.session import ensure_checkpoint_dir, list_names, open_files
 
 LEDGER = "path string, size bigint, modified timestamp, rows bigint, content decimal(38,0), name string"
 #: Where the taken-in trips and the ledger lie under an intake folder.
@@ -81,8 +81,9 @@ def read_taken(spark: SparkSession, out: str) -> DataFrame:
 
 
 def _upsert(rows: DataFrame, path: str, key: str) -> None:
-    """Replace the partitions that ``rows`` has, and no others."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    """Replace the partitions that ``rows`` has, and no others.  A scan's tasks have few names."""
+    with open_files(rows.sparkSession):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def _take(raw: DataFrame, spec: FleetSpec, out: str) -> None:
@@ -127,7 +128,8 @@ def upsert_stream(spark: SparkSession, raw_dir: str, out: str, spec: str | Fleet
 
     def upsert(batch: DataFrame, _: int) -> None:
         files = batch.select("_file.*").distinct()
-        last = latest_files(files, read_ledger(spark, out)).select(F.col("path").alias("_path"))
+        # One small row per landed file: rows stay where they are read, not one task per file.
+        last = F.broadcast(latest_files(files, read_ledger(spark, out)).select(F.col("path").alias("_path")))
         _take(batch.join(last, batch["_file"]["path"] == last["_path"], "left_semi"), spec, out)
 
     root = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tripaudit-upsert/{spec.name}"
