@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripaudit.llm.perplexity import (
+    EXACT,
     SYMBOLS,
     Model,
     build_models,
@@ -144,3 +145,64 @@ def test_noise_of_every_kind_falls_outside_and_foreign_passages_stay(spark):
     assert {k: got[k].kept for k in mixed} == dict.fromkeys(mixed, True)
     kept = [r.kept for i, r in got.items() if i >= 0 and not r.base_failed]
     assert sum(kept) > 0.95 * len(kept)
+
+
+def test_no_two_characters_are_one_symbol():
+    """Code points of several scripts, controls and pairs of units included; only A-Z are a-z."""
+    given_chars = [chr(c) for c in [*range(1, 9), *range(33, 0x3000, 7), *range(0x4E00, 0x9FFF, 97), 0xFFFF, 0x1F600, 0x20000, 0x10FFFF]
+                   if not 65 <= c <= 90]
+    seen = {}
+    for c in given_chars:
+        grams, n = word_grams([c.encode()], EXACT)
+        assert n.tolist() == [len(c.encode("utf-16-le")) // 2 + 1] and len(grams) == n[0]
+        seen.setdefault(tuple(grams.tolist()), []).append(c)
+    assert all(len(v) == 1 for v in seen.values()) and len(seen) == len(given_chars)
+    # Kinds that the rules of 64 classes merge: 19 code points apart, # and +, É and what lies 19 from it.
+    told = [tuple(word_grams([w.encode()], EXACT)[0].tolist()) for w in ("的", chr(ord("的") + 19), "É", "Ü", "#", "+", "A", "a")]
+    assert len(set(told)) == 7 and told[-1] == told[-2]
+
+
+def literal_probability(counted, history, symbol):
+    """Interpolated modified Kneser-Ney by its definition, over strings of four letters."""
+    tables = [counted]
+    for _ in range(3):
+        tables.append(Counter(g[1:] for g in tables[-1]))
+
+    def p(k, h, x):
+        if k == 0:
+            return 1 / (1 << EXACT)
+        table = tables[4 - k]
+        d = discounts(np.array(list(table.values())))
+        if k >= 3:
+            d[1] = 1.0
+        after = {g[-1]: n for g, n in table.items() if g[:-1] == h}
+        if not after:
+            return p(k - 1, h[1:], x)
+        total, off = sum(after.values()), sum(d[min(n, 3)] for n in after.values())
+        n = after.get(x, 0)
+        return (n - d[min(n, 3)]) / total + off / total * p(k - 1, h[1:], x)
+
+    return p(4, history, symbol)
+
+
+def test_costs_of_exact_letters_are_those_of_the_definition():
+    rng = np.random.default_rng(4)
+    given_words = ["".join(rng.choice(list("abcé的目#"), rng.integers(1, 6))) for _ in range(1500)]
+    counted = Counter(f"   {w} "[i:i + 4] for w in given_words for i in range(len(w) + 1))
+    number = {g: int(sum(ord(c) << 16 * (3 - k) for k, c in enumerate(g))) for g in counted}
+    model = Model(np.array([number[g] for g in counted], np.uint64), np.array(list(counted.values())), EXACT)
+    asked = [*list(counted)[:60], "zzzz", "   的", "的#ca", "b的目é", "aZba", "éé z"]
+    got = model.costs(np.array([sum(ord(c) << 16 * (3 - k) for k, c in enumerate(g)) for g in asked], np.uint64))
+    assert np.exp(-got) == pytest.approx([literal_probability(counted, g[:3], g[3]) for g in asked], rel=1e-4)
+
+
+def test_another_script_of_the_same_classes_is_not_kept(spark):
+    """Letters moved by a multiple of 19 had the same classes, so the same perplexity."""
+    rng = np.random.default_rng(6)
+    stock = ["".join(chr(0x0430 + x) for x in rng.integers(0, 32, rng.integers(3, 9))) for _ in range(150)]
+    rows = [(i, "ru", " ".join(rng.choice(stock, 90))) for i in range(120)]
+    moved = "".join(c if c == " " else chr(ord(c) + 19 * 60) for c in rows[0][2])
+    docs = spark.createDataFrame([*rows, (-1, "ru", moved)], "doc_id long, lang string, text string")
+    got = {r.doc_id: r for r in perplexity_rules(docs).collect()}
+    assert not got[-1].base_failed and not got[-1].kept and got[-1].perplexity > got[-1].high
+    assert sum(r.kept for r in got.values()) >= 110

@@ -4,15 +4,17 @@ A modified Kneser-Ney model over the letters of words, one per language, is coun
 Spark over all texts and scores every text; texts whose perplexity lies outside the band of
 their language are rejected, as are those that fail the plain rules.
 
-* Symbols: 64 by rule (word end, a-z, 10 digits, 8 classes of other ASCII, 19 of the rest),
-  so an n-gram of order 4 is a 24-bit number and a language's model has a proven bound
-  (16.8 million n-grams of 8 bytes; real texts use a small part of them).
+* Symbols: the letters themselves, as 16-bit units of UTF-16, with the blank, which no word
+  holds, as word end; A-Z count as a-z, as the start of a sentence says nothing.  No other
+  characters are taken for one another, in whatever script, and an n-gram of order 4 is a
+  64-bit number.  A model has all n-grams that occur, without a limit.  (The helpers can also
+  fold letters into 64 classes, for models of a fixed size; no query does.)
 * Counting: tasks fold their words, then their n-grams, before the shuffle.
 * Model: three discounts per order from the counts of counts, continuation counts below
   the highest order.  What occurs once at orders 3 and 4 gives its whole count to the order
-  below, so that an odd text does not vouch for itself.  Order 4 is a sorted array of n-gram
-  numbers with their log probabilities, found by binary search; orders 1 to 3 are folded into
-  one dense table.
+  below, so that an odd text does not vouch for itself and need not be held: it costs what an
+  unseen one does.  Every order is a sorted array of n-gram numbers with their log
+  probabilities and one of their histories with its backoff, found by binary search.
 * Scoring: a word's cost depends on the word alone, so distinct words are scored once and
   kept in a cache of bounded size.
 * Segments: a text is scored in segments of ``SEGMENT`` words.  In one that does not fit the
@@ -33,14 +35,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripaudit.llm.tables import pieces, table, written
 
 ORDER = 4
+#: Classes of letters, and bits of one; bits of a letter as it is.
 SYMBOLS = 64
 BITS = 6
+EXACT = 16
 #: Distinct words held by a task before they are folded into n-grams, or whose costs it keeps.
 CACHE = 200_000
 MIN_WORDS = 50
@@ -65,38 +70,50 @@ def words(text: str | None) -> list[bytes]:
 
 
 def symbols(points: np.ndarray) -> np.ndarray:
-    """Symbol numbers of code points."""
+    """Classes of code points: word end, a-z, 10 digits, 8 of other ASCII, 19 of the rest."""
     return np.where(points < 128, _ASCII[np.minimum(points, 127)], 45 + points % 19).astype(np.uint32)
 
 
-def word_grams(distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def letters(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Symbols of all words, one after the other, each word's number of them, and the symbol
+    of a word's end: UTF-16 units, or classes of code points."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    whole = "".join(texts)
+    if bits != EXACT:
+        return symbols(np.frombuffer(whole.encode("utf-32-le"), np.uint32)), lengths, 0
+    units = np.frombuffer(whole.encode("utf-16-le"), np.uint16)
+    if len(units) > len(whole):  # characters of two units
+        lengths = np.fromiter((len(t.encode("utf-16-le")) // 2 for t in texts), np.int64, len(texts))
+    return units, lengths, ord(" ")
+
+
+def word_grams(distinct: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """n-gram numbers of all words, one after the other, and each word's number of them.
     A word is framed by ORDER - 1 word ends before and one after."""
-    texts = [w.decode() for w in distinct]
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    points = symbols(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32))
+    texts = [(w.lower() if bits == EXACT else w).decode() for w in distinct]  # bytes: A-Z only
+    units, lengths, end = letters(texts, bits)
     pad = ORDER - 1
-    framed = np.zeros(int(lengths.sum()) + (pad + 1) * len(texts), np.uint32)
+    framed = np.full(int(lengths.sum()) + (pad + 1) * len(texts), end, np.uint64)
     starts = np.cumsum(lengths + pad + 1) - (lengths + pad + 1)
-    at = np.arange(len(points)) + np.repeat((np.arange(len(texts)) + 1) * pad + np.arange(len(texts)), lengths)
-    framed[at] = points
-    grams = np.zeros(max(len(framed) - pad, 0), np.uint32)
+    at = np.arange(len(units)) + np.repeat((np.arange(len(texts)) + 1) * pad + np.arange(len(texts)), lengths)
+    framed[at] = units
+    grams = np.zeros(max(len(framed) - pad, 0), np.uint64)
     for k in range(ORDER):
-        grams |= framed[k:len(framed) - pad + k] << np.uint32(BITS * (pad - k))
+        grams |= framed[k:len(framed) - pad + k] << np.uint64(bits * (pad - k))
     n = lengths + 1
     keep = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     return grams[keep], n
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all words of all texts."""
-    schema = pa.schema([("lang", pa.string()), ("gram", pa.int32()), ("n", pa.int64())])
+def gram_counts(docs: DataFrame, bits: int = BITS) -> DataFrame:
+    """(lang, gram, n) over all words of all texts; numbers beyond 63 bits are negative."""
+    schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def fold(lang, counted):
-        grams, n = word_grams(list(counted))
+        grams, n = word_grams(list(counted), bits)
         weight = np.repeat(np.fromiter(counted.values(), np.int64, len(counted)), n)
         distinct, at = np.unique(grams, return_inverse=True)
-        return pa.record_batch([pa.array([lang] * len(distinct), pa.string()), pa.array(distinct.astype(np.int32)),
+        return pa.record_batch([pa.array([lang] * len(distinct), pa.string()), pa.array(distinct.view(np.int64)),
                                 pa.array(np.bincount(at, weight).astype(np.int64))], schema=schema)
 
     def count(batches):
@@ -110,7 +127,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     seen = {}
         yield from (fold(k, c) for k, c in seen.items() if c)
 
-    return (docs.select("lang", "text").mapInArrow(count, "lang string, gram int, n bigint")
+    return (docs.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
@@ -124,69 +141,85 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(max(d, 0.05), k) for k, d in enumerate(raw, 1))])
 
 
+def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``keys`` and whether they hold what is wanted."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 class Model:
     """Interpolated modified Kneser-Ney model of one language."""
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
-        order = np.argsort(grams)
-        self.grams, counts = grams[order].astype(np.uint32), counts[order]
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, bits: int = BITS):
+        self.bits = bits
+        order = np.argsort(grams := grams.astype(np.uint64))
+        seen, n = grams[order], counts[order]
         # Continuation counts: distinct symbols seen before an n-gram of the order below.
-        below = []
-        seen = self.grams
-        for k in (3, 2, 1):
-            a = np.bincount(seen & np.uint32((1 << BITS * k) - 1), minlength=1 << BITS * k)
-            below.append(a)
-            seen = np.flatnonzero(a).astype(np.uint32)
-        p = np.full(SYMBOLS, 1 / SYMBOLS)
-        for k, a in zip((1, 2, 3), reversed(below), strict=True):  # p over (history, symbol)
-            d = discounts(a)
-            if k == 3:
+        counted = [(seen, n)]
+        for k in range(ORDER - 1, 0, -1):
+            counted.append(np.unique(seen & self.mask(k), return_counts=True))
+            seen = counted[-1][0]
+        self.levels, below, p = [], None, None
+        for k, (seen, n) in enumerate(reversed(counted), 1):  # p over (history, symbol)
+            d = discounts(n)
+            if k >= 3:
                 d[1] = 1.0
-            by = a.reshape(-1, SYMBOLS).astype(float)
-            total = by.sum(1, keepdims=True)
-            off = d[np.minimum(a, 3)].reshape(by.shape)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                own = np.where(total > 0, (by - off) / total, 0.0)
-                rest = np.where(total > 0, off.sum(1, keepdims=True) / total, 1.0)
-            lower = np.tile(p.reshape(-1, SYMBOLS), (by.shape[0] // p.reshape(-1, SYMBOLS).shape[0], 1))
-            p = own + rest * lower
-        p = p.reshape(-1)
-        d = discounts(counts)
-        d[1] = 1.0
-        history = self.grams >> np.uint32(BITS)
-        off = d[np.minimum(counts, 3)]
-        total = np.bincount(history, counts, minlength=1 << BITS * 3)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rest = np.where(total > 0, np.bincount(history, off, minlength=1 << BITS * 3) / total, 1.0)
-        full = (counts - off) / total[history] + rest[history] * p[self.grams & np.uint32((1 << BITS * 3) - 1)]
-        self.cost = (-np.log(full)).astype(np.float32)
-        self.lower = (-np.log(p)).astype(np.float32)
-        self.backoff = (-np.log(np.maximum(rest, 1e-9))).astype(np.float32)
+            history = seen >> np.uint64(bits)
+            start = np.flatnonzero(np.concatenate([[True], history[1:] != history[:-1]]))
+            size = np.diff(np.append(start, len(seen)))
+            off, total = d[np.minimum(n, 3)], np.add.reduceat(n, start)
+            rest = np.add.reduceat(off, start) / total
+            lower = 1 / (1 << bits) if k == 1 else p[np.searchsorted(below, seen & self.mask(k - 1))]
+            below, p = seen, (n - off) / np.repeat(total, size) + np.repeat(rest, size) * lower
+            held = n > 1 if k >= 3 else np.ones(len(n), bool)
+            self.levels.append((seen[held], -np.log(p[held]).astype(np.float32), history[start],
+                                -np.log(np.maximum(rest, 1e-9)).astype(np.float32)))
         # Cost of a symbol over the counted texts: mean and standard deviation.
-        own = self.costs(self.grams)
-        self.mean = float(np.average(own, weights=counts))
-        self.spread = float(np.sqrt(np.average((own - self.mean) ** 2, weights=counts)))
+        own = -np.log(p)
+        self.mean = float(np.average(own, weights=counts[order]))
+        self.spread = float(np.sqrt(np.average((own - self.mean) ** 2, weights=counts[order])))
+
+    @property
+    def grams(self) -> np.ndarray:
+        return self.levels[-1][0]
+
+    def mask(self, k: int) -> np.uint64:
+        return np.uint64((1 << self.bits * k) - 1)
 
     def fits(self, cost: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Whether segments of ``n`` symbols and total ``cost`` may be of this language."""
         return cost / n <= self.mean + FIT * self.spread / np.sqrt(n)
 
     def costs(self, grams: np.ndarray) -> np.ndarray:
-        """Negative log probability of the last symbol of every n-gram."""
-        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        unseen = self.backoff[grams >> np.uint32(BITS)] + self.lower[grams & np.uint32((1 << BITS * 3) - 1)]
-        return np.where(self.grams[at] == grams, self.cost[at], unseen)
-
-
-def build_models(counts: DataFrame) -> dict[str | None, Model]:
-    """Models of all languages from counted n-grams, at most 64^4 numbers a language."""
+        """Negative log probability of the last symbol of every n-gram: that of the highest
+        order that holds it, and what backing off to it costs."""
+        grams = grams.astype(np.uint64)
+        out, left = np.zeros(len(grams)), np.arange(len(grams))
+        for k in range(ORDER, 0, -1):
+            keys, cost, histories, backoff = self.levels[k - 1]
+            wanted = grams[left] & self.mask(k)
+            at, hit = found(keys, wanted)
+            out[left[hit]] += cost[at[hit]]
+            left = left[~hit]
+            if not len(left):
+                return out
+            at, known = found(histories, wanted[~hit] >> np.uint64(self.bits))
+            out[left] += np.where(known, backoff[at], 0.0)
+        out[left] += np.log(1 << self.bits)
+        return out
+
+
+def build_models(counts: DataFrame, bits: int = BITS) -> dict[str | None, Model]:
+    """Models of all languages from counted n-grams."""
     arrow = counts.toArrow()
-    langs = arrow.column("lang").to_numpy(zero_copy_only=False)
-    grams, n = arrow.column("gram").to_numpy().astype(np.uint32), arrow.column("n").to_numpy()
+    lang = arrow.column("lang")
+    grams, n = arrow.column("gram").to_numpy().view(np.uint64), arrow.column("n").to_numpy()
     out = {}
-    for lang in {*langs.tolist()}:
-        mine = np.array([x == lang for x in langs], dtype=bool)
-        out[lang] = Model(grams[mine], n[mine])
+    for x in pc.unique(lang).to_pylist():
+        mine = (pc.is_null(lang) if x is None else pc.fill_null(pc.equal(lang, x), False)).to_numpy()
+        out[x] = Model(grams[mine], n[mine], bits)
     return out
 
 
@@ -210,8 +243,8 @@ def text_features(text: str | None, doc: list[bytes]) -> tuple[int, int, int, in
 
 def word_costs(model: Model, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Cost and number of symbols of every word, its end included."""
-    grams, n = word_grams(distinct)
-    return np.add.reduceat(model.costs(grams).astype(np.float64), np.cumsum(n) - n), n
+    grams, n = word_grams(distinct, model.bits)
+    return np.add.reduceat(model.costs(grams), np.cumsum(n) - n), n
 
 
 def log_perplexity(doc: list[bytes], cost: np.ndarray, n: np.ndarray, lang: str | None,
@@ -273,7 +306,7 @@ def scored(docs: DataFrame, models: dict[str | None, Model]) -> DataFrame:
 
 def perplexity_rules(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """Rule features, perplexity, band and verdict of every document."""
-    models = build_models(gram_counts(docs))
+    models = build_models(gram_counts(docs, EXACT), EXACT)
     rows = written(scored(docs, models), "perplexity")
     long = F.col("n_words") >= MIN_WORDS
     symbols_of = F.col("word_chars") + F.col("n_words")
