@@ -190,3 +190,16 @@ def test_pairs_of_one_set_are_verified_in_parts(spark, monkeypatch):
     met = (whole.joined(pairs, J.F.length("members")).select("right").withColumn("at", J.F.spark_partition_id())
            .groupBy("at").count().collect())
     assert len(met) > 2 and max(r["count"] for r in met) < 100
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    def shuffled():
+        return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+    before = shuffled()
+    out = J.written(spark.range(1000).groupBy((J.F.col("id") % 7).alias("k")).count(), "test-shuffled")
+    assert out.count() == 7
+    kept = spark.range(1000).groupBy((J.F.col("id") % 7).alias("k")).count()
+    J.written(kept, "test-shuffled")
+    assert J.written(kept, "test-shuffled").count() == 7  # the same query once more
+    assert shuffled() <= before + 2  # those of the two counts

@@ -67,12 +67,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 @contextmanager
 def conf_held(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for the jobs that are run inside."""
-    own = spark.conf.get(key)
+    own = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, own)
+        if own is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, own)
 
 
 #: Files of a partitioned write that one task keeps open before it sorts the rest of its rows.
