@@ -19,6 +19,10 @@ Two texts link when ``100 * |A and B| >= percent * |A or B|`` for their sets of
    of a frequent shingle.
 4. All pairs that are left between different components are verified one by one,
    those of frequent shingles and of the members of groups included.  No link is lost.
+   Where many sets of a frequent shingle are still apart, only those are paired that may
+   link by what sets them apart from their pivot: two sets differ in what their differences
+   from a third do not share.  Those near the pivot link through it, and any other two that
+   link share some of their differences, which a prefix filter on these finds.
 
 Shingles, groups and sets are told apart by 64-bit hashes, sets also by their size.
 
@@ -59,6 +63,8 @@ MET = 500
 #: Rows of two or three numbers up to which a table is broadcast.
 SMALL = 250_000
 ROUNDS = 2
+#: Sets outside the largest component of a neighbourhood up to which all pairs are looked at.
+STRAY = 8
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 QUARTER, HALF = np.uint64(1 << 62), np.uint64(1 << 63)
@@ -349,17 +355,17 @@ class SetTable:
         if self.sets.groupBy("a").count().where("count > 1").take(1):  # repeated ids
             self.sets = written(self.sets.dropDuplicates(["a"]), "sets")
 
-    def joined(self, pairs: DataFrame, what) -> DataFrame:
-        """(a, b, left, right) with the parts ``what`` of both sets of written pairs.  A set
+    def joined(self, pairs: DataFrame, what, *kept: str) -> DataFrame:
+        """(a, b, left, right, kept) with the parts ``what`` of both sets of written pairs.  A set
         that is the ``b`` of many pairs is met in parts of about ``MET`` pairs, none of them
         larger than a task can sort in little memory."""
         ends = hinted(written(pairs.groupBy("b").agg(F.ceil(F.count("*") / MET).cast("int").alias("parts")), "ends"))
-        dealt = written(pairs.join(ends, "b").select("a", "b", F.expr("cast(pmod(xxhash64(a, b), parts) as int)").alias("part")),
+        dealt = written(pairs.join(ends, "b").select("a", "b", *kept, F.expr("cast(pmod(xxhash64(a, b), parts) as int)").alias("part")),
                         "dealt")
-        left = self.sets.join(hinted(dealt), "a").select("a", "b", "part", what.alias("left"))
+        left = self.sets.join(hinted(dealt), "a").select("a", "b", *kept, "part", what.alias("left"))
         right = (self.sets.join(ends.withColumnRenamed("b", "a"), "a")
                  .select(F.col("a").alias("b"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), what.alias("right")))
-        return left.join(right, ["b", "part"]).select("a", "b", "left", "right")
+        return left.join(right, ["b", "part"]).select("a", "b", "left", "right", *kept)
 
     def plausible(self, pairs: DataFrame, percent: int) -> DataFrame:
         """Written pairs without those that a quarter of the hash space already rules out:
@@ -395,6 +401,56 @@ class SetTable:
         return written(self.joined(pairs, F.col("members")).mapInArrow(check, "a bigint, b bigint, linked boolean"),
                        "verified")
 
+    def differences(self, members: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+        """(a, b, d, n, far, short, from, prefix) of written members ``a`` of the neighbourhoods
+        of pivots ``b``, in which they have their first place ``i``: a set of ``n`` shingles that
+        differs in ``d`` from its pivot, whether it is too far from it to link, and its first
+        differences, those of its own in its order before those that it lacks.  None is before
+        place ``i``, as two sets of a neighbourhood share nothing before it that is not
+        paired elsewhere; ``from`` counts those left out.
+
+        Sets of sizes n and m link if they differ in ``H = (n + m) * less / more`` at most, and so
+        share ``(d + e - H) / 2`` of their d and e differences.  Of two that link but not both
+        with the pivot, one is far.  Next to a far set, whose e is above its H with the pivot, a
+        set has the first that they share among ``short``; next to a near one, a far set has it
+        in its whole prefix.  As e is at least d - H, both share d - H or more.  Where a set has
+        more of its own than it may hold beside the other, the first is one of these."""
+        more, less = 100 + percent, 100 - percent
+
+        def compare(batches):
+            for batch in (part for whole in batches for part in pieces(whole)):
+                rows, firsts = [], []
+                for x, y, i in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    n, m = len(x), len(y)
+                    if len(frequent):
+                        common = frequent[np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)] == x
+                        order = np.concatenate([x[~common], x[common]])
+                    else:
+                        order = x
+                    new = y[np.minimum(np.searchsorted(y, order), m - 1)] != order
+                    own, lost = order[i:][new[i:]], np.setdiff1d(y, x, assume_unique=True)
+                    d = int(new.sum()) + len(lost)
+                    left_out = d - len(own) - len(lost)
+                    weight, room = more * d - less * n, less * m
+                    far = weight > room
+                    least = d - n * less // percent
+                    short = d - max((weight + room) // (2 * more) + 1, least) + 1 - left_out
+                    whole = d - max(-(-(weight - room) // (2 * more)), least) + 1 - left_out if far else short
+                    beside = prefix_size(n, percent) - i
+                    if len(own) >= beside:
+                        short, whole = min(short, beside), min(whole, beside)
+                    firsts.append(np.concatenate([own, lost])[:max(whole, 0)].view(np.int64))
+                    rows.append((d, n, far, short, left_out))
+                ends = np.cumsum([0, *map(len, firsts)])
+                kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
+                yield pa.record_batch([*batch.columns[:2], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)),
+                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts)))],
+                                      ["a", "b", "d", "n", "far", "short", "from", "prefix"])
+
+        return written(self.joined(members, F.col("members"), "i").mapInArrow(
+            compare, "a bigint, b bigint, d int, n int, far boolean, short int, from int, prefix array<bigint>"), "differences")
+
 
 def ordered(pairs: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) with a < b."""
@@ -490,6 +546,30 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
     def labelled(df):
         return (df.join(at.toDF("a", "_l"), "a", "left").withColumn("_l", F.coalesce("_l", "a")))
 
+    def told_apart(placed):
+        """Pairs of the sets of neighbourhoods that the differences from their pivots leave.
+        Those near a pivot link with it."""
+        nonlocal links, done
+        apart = whole.differences(placed.select("a", F.col("p").alias("b"), "i"), frequent, percent)
+        near = (apart.where("a <> b")
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (~F.col("far")).alias("linked")))
+        done = near if done is None else done.union(near)
+        links = done.where("linked").select("a", "b")
+        firsts = (apart.join(hinted(placed.select("a", F.col("p").alias("b"), "_l")), ["a", "b"])
+                  .select("a", "b", "_l", "d", "n", "far", "short", "from", F.posexplode("prefix").alias("i", "s"))
+                  .select(F.xxhash64("b", "s").alias("s"), "a", "_l", "d", "n", "far", F.expr("i < short").alias("short"),
+                          F.expr("i + from").alias("i")))
+        # All that are far meet those in whose short prefix a difference is.
+        met = (firsts.groupBy("s").agg(F.count("*").alias("_n"), F.count_if("far").alias("_far"), F.count_if("short").alias("_short"))
+               .where("_n > 1 and _far > 0 and _short > 0").select("s"))
+        firsts = written(firsts.join(met, "s"), "firsts")
+        weight = " + ".join(f"{100 + percent} * {x}.d - {100 - percent} * {x}.n" for x in "lr")
+        return (firsts.where("far").alias("l").join(firsts.where("short").alias("r"), F.expr(
+            f"l.s = r.s and l.a <> r.a and (l.short or not r.far) and l._l <> r._l "
+            f"and 100 * least(l.n, r.n) >= {percent} * greatest(l.n, r.n) "
+            f"and {2 * (100 + percent)} * least(l.d - l.i, r.d - r.i) >= {weight}"))
+            .select(F.col("l.a").alias("a"), F.col("r.a").alias("b")))
+
     rest = todo
     if not parted.isEmpty():
         # Sets of groups with several, and the pairs of their leads, widened to members.
@@ -509,15 +589,18 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
         # Of every neighbourhood, the sets outside its largest component against all others.
         largest = (placed.groupBy("p", "_l").count().groupBy("p")
                    .agg(F.max(F.struct("count", "_l")).alias("m")).select("p", F.col("m._l").alias("_top")))
-        stray = placed.join(largest, "p").where("_l <> _top").select("p", "a", "na", "i", "_l")
-        cross = (stray.alias("l").join(placed.alias("r"), F.expr(
+        stray = written(placed.join(largest, "p").where("_l <> _top").select("p", "a", "na", "i", "_l"), "stray")
+        many = hinted(written(stray.groupBy("p").count().where(F.col("count") > STRAY).select("p"), "many"))
+        cross = (stray.join(many, "p", "left_anti").alias("l").join(placed.alias("r"), F.expr(
             f"l.p = r.p and l._l <> r._l and {reachable('l.na', 'l.i', 'r.na', 'r.i')}"))
             .select(F.col("l.a").alias("a"), F.col("r.a").alias("b")))
         rest = rest.union(cross)
+        if not many.isEmpty():
+            rest = rest.union(told_apart(written(placed.join(many, "p", "left_semi"), "many-placed")))
     last = whole.plausible(written(apart(ordered(rest), label), "last"), percent)
     if not last.isEmpty():
         run(last)
-        label = labels()
+    label = labels()
 
     # Components to documents: only sets with links or copies differ from their own document.
     named = sets.select("a", "rep", "copies")
