@@ -203,3 +203,30 @@ def test_shuffle_files_go_when_a_table_is_written(spark):
     J.written(kept, "test-shuffled")
     assert J.written(kept, "test-shuffled").count() == 7  # the same query once more
     assert shuffled() <= before + 2  # those of the two counts
+
+
+def near_copies(seed, n, most):
+    """Copies of one text with up to ``most`` of its words replaced, dropped or doubled."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(70)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(most)):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice([[f"x{rng.randrange(60)}"], [], [words[at]] * 2, [f"y{i}"]])
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sets_told_apart_by_their_pivots_match_all_pairs(spark, monkeypatch, seed):
+    monkeypatch.setattr(J, "LOCAL", 2)
+    monkeypatch.setattr(J, "FREQUENT", 6)
+    monkeypatch.setattr(J, "STRAY", 0)
+    tables, write = [], J.written
+    monkeypatch.setattr(J, "written", lambda df, name: tables.append(name) or write(df, name))
+    rows = near_copies(seed, 90, 14) + [(i + 1000, t) for i, t in corpus(seed, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(jaccard_components(docs, rows_per_bucket=200)) == brute(rows)
+    assert "differences" in tables
