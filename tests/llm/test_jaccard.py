@@ -230,3 +230,36 @@ def test_sets_told_apart_by_their_pivots_match_all_pairs(spark, monkeypatch, see
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(jaccard_components(docs, rows_per_bucket=200)) == brute(rows)
     assert "differences" in tables
+
+
+def test_thinly_spread_shingles_count_as_frequent(spark):
+    """A shingle met twice in every chunk is as frequent as one met often in one of them."""
+    passage = [f"p{i}" for i in range(30)]
+    texts = [" ".join([*passage, *(f"w{i}_{k}" for k in range(10))]) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(20)
+    inside = J.distinct(J.shingles([" ".join(passage)])[0])
+    got = J.frequent_shingles(docs)
+    assert set(got.tolist()) == set(inside[inside < J.COUNTED].tolist())
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_sets_around_a_middle_that_none_of_them_is(spark, monkeypatch, seed):
+    """Copies with two to six words replaced each: near ones link without looking at their pairs."""
+    monkeypatch.setattr(J, "LOCAL", 2)
+    monkeypatch.setattr(J, "FREQUENT", 6)
+    tables, write = {}, J.written
+
+    def noting(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(J, "written", noting)
+    rng, rows = random.Random(seed), []
+    for i in range(150):
+        words = [f"b{k}" for k in range(90)]
+        for at in rng.sample(range(90), rng.choice([2, 3, 4, 5, 6])):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(jaccard_components(docs, rows_per_bucket=200)) == brute(rows)
+    assert "middles" in tables and tables["last"].count() < 600  # of 11,175 pairs

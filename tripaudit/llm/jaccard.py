@@ -4,9 +4,9 @@ Two texts link when ``100 * |A and B| >= percent * |A or B|`` for their sets of
 5-word shingles.  If they do, they share a shingle among the first
 ``n - ceil(percent / 100 * n) + 1`` of both sets under any common order (the prefix filter).
 
-1. A first scan finds frequent shingles: every task reports those met ``LOCAL`` times in a
-   chunk of its texts, so none that is frequent over the corpus is missed.  The order puts
-   them last; it decides how much work there is, never the result.
+1. A first scan counts the shingles that prefixes consist of, in hash buckets, and finds the
+   frequent ones, however thinly they are spread.  The order puts them last; it decides how
+   much work there is, never the result.
 2. A second scan orders the sets, collapses texts with the same prefix and size into one
    group, and sends the groups' prefix shingles, packed in blocks, to hash buckets.
    A bucket joins the groups of each shingle, filters the pairs by size and counts their
@@ -20,9 +20,10 @@ Two texts link when ``100 * |A and B| >= percent * |A or B|`` for their sets of
 4. All pairs that are left between different components are verified one by one,
    those of frequent shingles and of the members of groups included.  No link is lost.
    Where many sets of a frequent shingle are still apart, only those are paired that may
-   link by what sets them apart from their pivot: two sets differ in what their differences
-   from a third do not share.  Those near the pivot link through it, and any other two that
-   link share some of their differences, which a prefix filter on these finds.
+   link by what sets them apart from their middle, the shingles that most of them hold: two
+   sets differ in what their differences from a third do not share.  Those near the middle
+   link with each other, and any other two that link share some of their differences, which
+   a prefix filter on these finds.
 
 Shingles, groups and sets are told apart by 64-bit hashes, sets also by their size.
 
@@ -52,12 +53,12 @@ PERCENT = 75
 CHUNK, DEALT = 2_000_000, 1_000_000
 #: Bytes of text taken at once, and hashed at once.
 TEXT_BYTES, SEGMENT = 2 << 20, 1 << 19
-#: Times a shingle must occur in distinct texts of a chunk, and over all chunks, to count as
-#: frequent; and how many frequent shingles the order can put last (8 bytes each).
+#: Times a shingle must occur in distinct texts of a chunk if its hash is high, and over all
+#: chunks, to count as frequent; and how many the order can put last (8 bytes each).
 LOCAL, FREQUENT, MOST_FREQUENT = 3, 24, 200_000
 #: Groups of one shingle that a bucket joins outright.
 JOINED = 32
-ROWS_PER_BUCKET = 250_000
+ROWS_PER_BUCKET, SHINGLES_PER_BUCKET = 250_000, 1_000_000
 #: Pairs that meet one copy of a set when they are verified.
 MET = 500
 #: Rows of two or three numbers up to which a table is broadcast.
@@ -65,9 +66,12 @@ SMALL = 250_000
 ROUNDS = 2
 #: Sets outside the largest component of a neighbourhood up to which all pairs are looked at.
 STRAY = 8
+#: Members of a neighbourhood whose majority is its middle.
+ASKED = 64
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-QUARTER, HALF = np.uint64(1 << 62), np.uint64(1 << 63)
+QUARTER, COUNTED, HALF = np.uint64(1 << 62), np.uint64(3 << 61), np.uint64(1 << 63)
+COUNT = np.dtype([("s", "<u8"), ("n", "<u4")])
 BUCKET_SCHEMA = "bucket int, kind int, doc_id bigint, a bigint, na int, b bigint, rows binary"
 JOIN_SCHEMA = "kind int, doc_id bigint, s bigint, a bigint, na int, b bigint, nb int, h int"
 
@@ -170,19 +174,55 @@ def _text_chunks(batches, size):
         yield ids, found
 
 
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of the most frequent shingles over all texts (equal texts of a chunk
-    count once).  Only the lower half of the hash space is looked at: the upper half comes
+    count once), counted in hash buckets.  All hashes below ``COUNTED`` are counted, which
+    prefixes consist of; up to ``HALF`` those met ``LOCAL`` times in a chunk; the others come
     last in the order as it is."""
-    def count(batches):
+    # A shingle per word of six bytes, of which a part is counted.
+    buckets = int(16 + text_bytes(docs) // 16 // SHINGLES_PER_BUCKET)
+
+    def deal(batches):
         for _, found in _text_chunks(batches, CHUNK):
             texts = {xxhash.xxh64_intdigest(h): h[h < HALF] for h in found}
             seen, n = np.unique(np.concatenate(list(texts.values())), return_counts=True)
-            often = n >= LOCAL
-            yield pa.record_batch([pa.array(seen[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["s", "n"])
-
-    top = (docs.select("doc_id", "text").mapInArrow(count, "s bigint, n bigint")
-           .groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+            sent = (seen < COUNTED) | (n >= LOCAL)
+            seen, n = seen[sent], n[sent]
+            for once in (True, False):
+                kept = (n == 1) == once
+                block = seen[kept] if once else np.rec.fromarrays([seen[kept], n[kept]], COUNT)
+                to = seen[kept] % np.uint64(buckets)
+                order = np.argsort(to, kind="stable")
+                cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+                block = block[order]
+                full = np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()
+                for i in range(0, len(full), 2000):
+                    at = full[i:i + 2000]
+                    yield pa.record_batch([pa.array(at, pa.int32()), pa.array([once] * len(at), pa.bool_()),
+                                           pa.array([block[cuts[k]:cuts[k + 1]].tobytes() for k in at], pa.binary())],
+                                          ["bucket", "once", "rows"])
+
+    def count(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n = [], []
+        for batch in group:
+            for once, rows in zip(batch.column("once").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+                block = np.frombuffer(rows, np.uint64 if once else COUNT)
+                seen.append(block if once else block["s"])
+                n.append(np.ones(len(block), np.uint32) if once else block["n"])
+        seen, n = np.concatenate(seen), np.concatenate(n)
+        order = np.argsort(seen)
+        seen, n = seen[order], n[order]
+        start = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
+        total = np.add.reduceat(n, start, dtype=np.int64)
+        often = total >= FREQUENT
+        yield pa.record_batch([pa.array(seen[start[often]].view(np.int64)), pa.array(total[often])], ["s", "n"])
+
+    top = (docs.select("doc_id", "text").mapInArrow(deal, "bucket int, once boolean, rows binary")
+           .groupBy("bucket").applyInArrow(count, "s bigint, n bigint")
            .orderBy(F.desc("n"), "s").limit(MOST_FREQUENT))
     return np.sort(np.array([r["s"] for r in top.select("s").collect()], np.int64).view(np.uint64))
 
@@ -355,15 +395,15 @@ class SetTable:
         if self.sets.groupBy("a").count().where("count > 1").take(1):  # repeated ids
             self.sets = written(self.sets.dropDuplicates(["a"]), "sets")
 
-    def joined(self, pairs: DataFrame, what, *kept: str) -> DataFrame:
-        """(a, b, left, right, kept) with the parts ``what`` of both sets of written pairs.  A set
-        that is the ``b`` of many pairs is met in parts of about ``MET`` pairs, none of them
+    def joined(self, pairs: DataFrame, what, *kept: str, others: DataFrame | None = None) -> DataFrame:
+        """(a, b, left, right, kept) with the parts ``what`` of both sets of written pairs, the second
+        one of ``others`` if given.  A set that is the ``b`` of many pairs is met in parts of about ``MET`` pairs, none of them
         larger than a task can sort in little memory."""
         ends = hinted(written(pairs.groupBy("b").agg(F.ceil(F.count("*") / MET).cast("int").alias("parts")), "ends"))
         dealt = written(pairs.join(ends, "b").select("a", "b", *kept, F.expr("cast(pmod(xxhash64(a, b), parts) as int)").alias("part")),
                         "dealt")
         left = self.sets.join(hinted(dealt), "a").select("a", "b", *kept, "part", what.alias("left"))
-        right = (self.sets.join(ends.withColumnRenamed("b", "a"), "a")
+        right = ((self.sets if others is None else others).join(ends.withColumnRenamed("b", "a"), "a")
                  .select(F.col("a").alias("b"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), what.alias("right")))
         return left.join(right, ["b", "part"]).select("a", "b", "left", "right", *kept)
 
@@ -401,55 +441,49 @@ class SetTable:
         return written(self.joined(pairs, F.col("members")).mapInArrow(check, "a bigint, b bigint, linked boolean"),
                        "verified")
 
-    def differences(self, members: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-        """(a, b, d, n, far, short, from, prefix) of written members ``a`` of the neighbourhoods
-        of pivots ``b``, in which they have their first place ``i``: a set of ``n`` shingles that
-        differs in ``d`` from its pivot, whether it is too far from it to link, and its first
-        differences, those of its own in its order before those that it lacks.  None is before
-        place ``i``, as two sets of a neighbourhood share nothing before it that is not
-        paired elsewhere; ``from`` counts those left out.
-
-        Sets of sizes n and m link if they differ in ``H = (n + m) * less / more`` at most, and so
-        share ``(d + e - H) / 2`` of their d and e differences.  Of two that link but not both
-        with the pivot, one is far.  Next to a far set, whose e is above its H with the pivot, a
-        set has the first that they share among ``short``; next to a near one, a far set has it
-        in its whole prefix.  As e is at least d - H, both share d - H or more.  Where a set has
-        more of its own than it may hold beside the other, the first is one of these."""
-        more, less = 100 + percent, 100 - percent
-
+    def middles(self, members: DataFrame) -> DataFrame:
+        """(a, members): for every neighbourhood ``p`` of written members ``a``, under the name of
+        ``p``, the shingles that most of about ``ASKED`` of its members hold.  Which members are
+        asked decides how much work there is, never the result."""
+        def majority(rows: pa.Table) -> pa.Table:
+            held = [np.frombuffer(x, np.uint64) for x in rows.column("members").to_pylist()]
+            seen, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.table([rows.column("p").slice(0, 1), pa.array([seen[2 * n > len(held)].tobytes()], pa.binary())], ["a", "members"])
+
+        one_in = members.groupBy("p").agg(F.expr(f"ceil(count(*) / {ASKED})").alias("_n"), F.max("a").alias("_top"))
+        asked = (members.join(hinted(written(one_in, "asked")), "p")
+                 .where("a = _top or pmod(xxhash64(a, 2), _n) = 0").select("p", "a").distinct())
+        return written(self.sets.join(hinted(written(asked, "asked")), "a").select("p", "members")
+                       .groupBy("p").applyInArrow(majority, "a bigint, members binary"), "middles")
+
+    def differences(self, members: DataFrame, middles: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+        """(a, b, n, d, own, beside, from, apart) of written members ``a`` of neighbourhoods ``b``, in
+        which they have their first place ``i``: a set of ``n`` shingles that differs in ``d`` from
+        the middle, and these differences, the ``own`` ones in its order before those that it
+        lacks.  None is before place ``i``, as two sets of a neighbourhood share nothing before it
+        that is not paired elsewhere; ``from`` counts those left out.  ``beside`` bounds how many
+        more a set may hold from there that another does not, if they link."""
         def compare(batches):
             for batch in (part for whole in batches for part in pieces(whole)):
-                rows, firsts = [], []
+                rows, found = [], []
                 for x, y, i in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
                     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    n, m = len(x), len(y)
+                    n, order = len(x), x
                     if len(frequent):
                         common = frequent[np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)] == x
                         order = np.concatenate([x[~common], x[common]])
-                    else:
-                        order = x
-                    new = y[np.minimum(np.searchsorted(y, order), m - 1)] != order
+                    new = ~np.isin(order, y, assume_unique=True)
                     own, lost = order[i:][new[i:]], np.setdiff1d(y, x, assume_unique=True)
                     d = int(new.sum()) + len(lost)
-                    left_out = d - len(own) - len(lost)
-                    weight, room = more * d - less * n, less * m
-                    far = weight > room
-                    least = d - n * less // percent
-                    short = d - max((weight + room) // (2 * more) + 1, least) + 1 - left_out
-                    whole = d - max(-(-(weight - room) // (2 * more)), least) + 1 - left_out if far else short
-                    beside = prefix_size(n, percent) - i
-                    if len(own) >= beside:
-                        short, whole = min(short, beside), min(whole, beside)
-                    firsts.append(np.concatenate([own, lost])[:max(whole, 0)].view(np.int64))
-                    rows.append((d, n, far, short, left_out))
-                ends = np.cumsum([0, *map(len, firsts)])
-                kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
-                yield pa.record_batch([*batch.columns[:2], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)),
-                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts)))],
-                                      ["a", "b", "d", "n", "far", "short", "from", "prefix"])
-
-        return written(self.joined(members, F.col("members"), "i").mapInArrow(
-            compare, "a bigint, b bigint, d int, n int, far boolean, short int, from int, prefix array<bigint>"), "differences")
+                    found.append(np.concatenate([own, lost]).view(np.int64))
+                    rows.append((n, d, len(own), prefix_size(n, percent) - i, d - len(own) - len(lost)))
+                ends = np.cumsum([0, *map(len, found)])
+                yield pa.record_batch([*batch.columns[:2], *(pa.array(c, pa.int32()) for c in zip(*rows, strict=True)),
+                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))],
+                                      ["a", "b", "n", "d", "own", "beside", "from", "apart"])
+
+        return written(self.joined(members, F.col("members"), "i", others=middles).mapInArrow(
+            compare, "a bigint, b bigint, n int, d int, own int, beside int, from int, apart array<bigint>"), "differences")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -464,8 +498,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     frequent = frequent_shingles(docs)
     # About one prefix row per 24 bytes of text (a shingle per word, a quarter of them).
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(16 + total // 24 // rows_per_bucket)
+    buckets = int(16 + text_bytes(docs) // 24 // rows_per_bucket)
     found = written(joined(bucket_rows(docs, frequent, buckets, percent), percent), "jaccard")
     members = found.where("kind = 0").select("doc_id", "a", "na", F.col("b").alias("g"))
     sets = written(members.where("a is not null").groupBy("a", "na", "g")
@@ -547,27 +580,45 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
         return (df.join(at.toDF("a", "_l"), "a", "left").withColumn("_l", F.coalesce("_l", "a")))
 
     def told_apart(placed):
-        """Pairs of the sets of neighbourhoods that the differences from their pivots leave.
-        Those near a pivot link with it."""
+        """Pairs of the sets of neighbourhoods that their differences from the middle leave.
+
+        Sets of sizes n and m, d and e differences from the middle, link if they differ in
+        ``(n + m) * less / more`` at most.  With ``w = more * d - less * n``, so do those whose w
+        sum to 0 or less, and others if they share ``(w + w') / (2 * more)`` differences.  Of all
+        pairs of the former kind, both sides link with the set of the smallest w.  Sets that do
+        not are far.  Of two others that link without both linking with it, one is far: next to
+        a far set, a set has the first difference that they share among ``short``; next to a near
+        one, a far set has it in ``whole``.  By their sizes two that link share
+        ``d - n * less / percent``.  Where a set has more of its own than it may hold beside the
+        other, the first is one of these."""
         nonlocal links, done
-        apart = whole.differences(placed.select("a", F.col("p").alias("b"), "i"), frequent, percent)
-        near = (apart.where("a <> b")
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (~F.col("far")).alias("linked")))
+        more, less = 100 + percent, 100 - percent
+        apart = whole.differences(placed.select("a", F.col("p").alias("b"), "i"), whole.middles(placed), frequent, percent)
+        weight = F.expr(f"{more} * d - {less} * n")
+        nearest = hinted(written(apart.groupBy("b").agg(F.min(F.struct(weight.alias("w"), "a")).alias("m"))
+                                 .select("b", F.expr("-m.w").alias("room"), F.col("m.a").alias("to")), "nearest"))
+        apart = apart.join(nearest, "b").withColumn("w", weight).withColumn("far", F.expr("w > room"))
+        near = apart.where("not far and a <> to").select(
+            F.least("a", "to").alias("a"), F.greatest("a", "to").alias("b"), F.lit(True).alias("linked"))
+        near = written(near.distinct(), "near")
         done = near if done is None else done.union(near)
         links = done.where("linked").select("a", "b")
+        least = f"d - n * {less} div {percent}"
+        apart = (apart.withColumn("short", F.expr(f"d - greatest((w + room) div {2 * more} + 1, {least}) + 1 - from"))
+                 .withColumn("whole", F.expr(f"if(far, d - greatest((w - room + {2 * more - 1}) div {2 * more}, {least}) + 1 - from, short)"))
+                 .withColumns({c: F.expr(f"if(own >= beside, least({c}, beside), {c})") for c in ("short", "whole")}))
         firsts = (apart.join(hinted(placed.select("a", F.col("p").alias("b"), "_l")), ["a", "b"])
-                  .select("a", "b", "_l", "d", "n", "far", "short", "from", F.posexplode("prefix").alias("i", "s"))
-                  .select(F.xxhash64("b", "s").alias("s"), "a", "_l", "d", "n", "far", F.expr("i < short").alias("short"),
+                  .select("a", "b", "_l", "n", "d", "w", "far", "short", "from", F.posexplode(F.expr("slice(apart, 1, greatest(whole, 0))")).alias("i", "s"))
+                  .select(F.xxhash64("b", "s").alias("s"), "a", "_l", "n", "d", "w", "far", F.expr("i < short").alias("short"),
                           F.expr("i + from").alias("i")))
         # All that are far meet those in whose short prefix a difference is.
         met = (firsts.groupBy("s").agg(F.count("*").alias("_n"), F.count_if("far").alias("_far"), F.count_if("short").alias("_short"))
                .where("_n > 1 and _far > 0 and _short > 0").select("s"))
         firsts = written(firsts.join(met, "s"), "firsts")
-        weight = " + ".join(f"{100 + percent} * {x}.d - {100 - percent} * {x}.n" for x in "lr")
         return (firsts.where("far").alias("l").join(firsts.where("short").alias("r"), F.expr(
             f"l.s = r.s and l.a <> r.a and (l.short or not r.far) and l._l <> r._l "
             f"and 100 * least(l.n, r.n) >= {percent} * greatest(l.n, r.n) "
-            f"and {2 * (100 + percent)} * least(l.d - l.i, r.d - r.i) >= {weight}"))
+            f"and {2 * more} * least(l.d - l.i, r.d - r.i) >= l.w + r.w"))
             .select(F.col("l.a").alias("a"), F.col("r.a").alias("b")))
 
     rest = todo
