@@ -263,3 +263,44 @@ def test_sets_around_a_middle_that_none_of_them_is(spark, monkeypatch, seed):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(jaccard_components(docs, rows_per_bucket=200)) == brute(rows)
     assert "middles" in tables and tables["last"].count() < 600  # of 11,175 pairs
+
+
+def test_all_frequent_shingles_are_found_however_many(spark, monkeypatch):
+    """More of them than the order once could put last."""
+    monkeypatch.setattr(J, "FREQUENT", 2)
+    text = " ".join(f"w{i}" for i in range(600_000))
+    docs = spark.createDataFrame([(1, text + " x"), (2, text + " y")], "doc_id long, text string").repartition(2)
+    inside = J.distinct(J.shingles([text])[0])
+    inside = inside[inside < J.COUNTED]
+    got = J.frequent_shingles(docs)
+    assert len(inside) > 200_000 and set(got.tolist()) == set(inside.tolist())
+
+
+def test_the_least_frequent_shingles_give_way(spark, monkeypatch):
+    often, seldom = ([f"{c}{i}" for i in range(200)] for c in "ps")
+    texts = [" ".join([*often, f"x{i}", *(seldom if i < 30 else [])]) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    inside = J.distinct(J.shingles([" ".join(often)])[0])
+    inside = set(inside[inside < J.HALF].tolist())
+    everything = set(J.frequent_shingles(docs).tolist())
+    monkeypatch.setattr(J, "MOST_FREQUENT", len(inside) + 20)
+    got = set(J.frequent_shingles(docs).tolist())
+    assert inside < got < everything
+    monkeypatch.setattr(J, "MOST_FREQUENT", len(everything))
+    assert set(J.frequent_shingles(docs).tolist()) == everything
+
+
+def test_many_pairs_are_verified_portion_by_portion(spark, monkeypatch):
+    """What is sent at once does not grow with the pairs."""
+    tables, write = [], J.written
+    monkeypatch.setattr(J, "written", lambda df, name: tables.append((name, write(df, name))) or tables[-1][1])
+    monkeypatch.setattr(J, "SENT", 1 << 13)
+    monkeypatch.setattr(J, "SENT_PART", 1 << 20)
+    monkeypatch.setattr(J, "LOCAL", 2)
+    monkeypatch.setattr(J, "FREQUENT", 6)
+    rows = corpus(7, 120) + [(i + 2000, t) for i, t in near_copies(7, 60, 14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(jaccard_components(docs, rows_per_bucket=200)) == brute(rows)
+    size = {r.a: 8 * r.n for name, t in tables if name == "sets" and "members" in t.columns for r in t.collect()}
+    sent = [sum(size[r.a] for r in t.collect()) for name, t in tables if name == "verified"]
+    assert len(sent) > 4 and max(sent) < 3 * J.SENT and sum(sent) > 4 * J.SENT

@@ -35,7 +35,7 @@ their number; a component's id is its smallest ``doc_id`` (null only if all are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,13 +54,16 @@ CHUNK, DEALT = 2_000_000, 1_000_000
 #: Bytes of text taken at once, and hashed at once.
 TEXT_BYTES, SEGMENT = 2 << 20, 1 << 19
 #: Times a shingle must occur in distinct texts of a chunk if its hash is high, and over all
-#: chunks, to count as frequent; and how many the order can put last (8 bytes each).
-LOCAL, FREQUENT, MOST_FREQUENT = 3, 24, 200_000
+#: chunks, to count as frequent; and about how many the order can put last (8 bytes each): they
+#: grow with the input.
+LOCAL, FREQUENT, MOST_FREQUENT = 3, 24, 4_000_000
 #: Groups of one shingle that a bucket joins outright.
 JOINED = 32
 ROWS_PER_BUCKET, SHINGLES_PER_BUCKET = 250_000, 1_000_000
 #: Pairs that meet one copy of a set when they are verified.
 MET = 500
+#: Bytes of sets that are sent to their pairs at once, if this part of the text is not more.
+SENT, SENT_PART = 64 << 20, 3
 #: Rows of two or three numbers up to which a table is broadcast.
 SMALL = 250_000
 ROUNDS = 2
@@ -221,10 +224,16 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
         often = total >= FREQUENT
         yield pa.record_batch([pa.array(seen[start[often]].view(np.int64)), pa.array(total[often])], ["s", "n"])
 
-    top = (docs.select("doc_id", "text").mapInArrow(deal, "bucket int, once boolean, rows binary")
-           .groupBy("bucket").applyInArrow(count, "s bigint, n bigint")
-           .orderBy(F.desc("n"), "s").limit(MOST_FREQUENT))
-    return np.sort(np.array([r["s"] for r in top.select("s").collect()], np.int64).view(np.uint64))
+    counted = written(docs.select("doc_id", "text").mapInArrow(deal, "bucket int, once boolean, rows binary")
+                      .groupBy("bucket").applyInArrow(count, "s bigint, n bigint"), "counted")
+    # Where they are too many, the least frequent that have room are drawn by their hash.
+    top, room = counted, MOST_FREQUENT
+    for n, shingles in counted.groupBy("n").agg(F.count("*")).orderBy(F.desc("n")).collect():
+        if shingles > room:
+            top = counted.where(f"n > {n} or n = {n} and pmod(xxhash64(s), {shingles}) < {room}")
+            break
+        room -= shingles
+    return np.sort(top.select("s").toArrow().column("s").to_numpy().view(np.uint64))
 
 
 def bucket_rows(docs: DataFrame, frequent: np.ndarray, buckets: int, percent: int) -> DataFrame:
@@ -377,23 +386,26 @@ def hinted(df: DataFrame) -> DataFrame:
 class SetTable:
     """Whole shingle sets of the texts that take part in any candidate pair."""
 
-    def __init__(self, docs: DataFrame, wanted: DataFrame):
-        """``wanted``: one (doc_id, text hash, a) for every set that is needed."""
+    def __init__(self, docs: DataFrame, wanted: DataFrame, sent: int = SENT):
+        """``wanted``: one (doc_id, text hash, a) for every set that is needed; ``sent``: bytes of
+        sets that may be on their way to pairs at once."""
         def sets(batches):
             for batch in batches:
                 for part in pieces(batch, TEXT_BYTES):
                     found = [distinct(h) for h in shingles(part.column(0).to_pylist())]
                     yield pa.record_batch([pa.array([number(s.tobytes()) for s in found], pa.int64()),
                                            pa.array([s.tobytes() for s in found], pa.binary()),
-                                           pa.array([int(np.searchsorted(s, QUARTER)) for s in found], pa.int32())],
-                                          ["a", "members", "head"])
+                                           pa.array([int(np.searchsorted(s, QUARTER)) for s in found], pa.int32()),
+                                           pa.array([len(s) for s in found], pa.int32())],
+                                          ["a", "members", "head", "n"])
 
         few = hinted(wanted)
         held = (docs.join(few, docs["doc_id"].eqNullSafe(few["rep"]), "left_semi").select("text")
-                .mapInArrow(sets, "a bigint, members binary, head int"))
+                .mapInArrow(sets, "a bigint, members binary, head int, n int"))
         self.sets = written(held.join(hinted(wanted.select("a")), "a", "left_semi"), "sets")
         if self.sets.groupBy("a").count().where("count > 1").take(1):  # repeated ids
             self.sets = written(self.sets.dropDuplicates(["a"]), "sets")
+        self.sizes, self.sent = hinted(self.sets.select("a", "head", "n")), sent
 
     def joined(self, pairs: DataFrame, what, *kept: str, others: DataFrame | None = None) -> DataFrame:
         """(a, b, left, right, kept) with the parts ``what`` of both sets of written pairs, the second
@@ -407,6 +419,21 @@ class SetTable:
                  .select(F.col("a").alias("b"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), what.alias("right")))
         return left.join(right, ["b", "part"]).select("a", "b", "left", "right", *kept)
 
+    def portions(self, pairs: DataFrame, size: str) -> list[DataFrame]:
+        """Written pairs in portions, for each of which sets of about ``sent`` bytes go out, so that
+        disk does not grow with the pairs; ``size``: what counts of a set's numbers."""
+        total = pairs.join(self.sizes, "a").agg(F.sum(size)).first()[0] or 0
+        n = -(-8 * total // self.sent)
+        return [pairs.where(f"pmod(xxhash64(a, b, 3), {n}) = {i}") for i in range(n)] if n > 1 else [pairs]
+
+    def compared(self, pairs: DataFrame, what, size: str, compare, schema: str, name: str, *kept: str,
+                 others: DataFrame | None = None) -> DataFrame:
+        """Written pairs joined and compared, portion by portion; what was shuffled for one is deleted
+        before the next."""
+        return reduce(DataFrame.union, [
+            written(self.joined(part, what, *kept, others=others).mapInArrow(compare, schema), name)
+            for part in self.portions(pairs, size)])
+
     def plausible(self, pairs: DataFrame, percent: int) -> DataFrame:
         """Written pairs without those that a quarter of the hash space already rules out:
         their matches there and all that lies beyond cannot make up the overlap needed."""
@@ -424,7 +451,7 @@ class SetTable:
                     ok.append(100 * most >= percent * (total - most))
                 yield pa.record_batch([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
-        return written(self.joined(pairs, quarter).mapInArrow(check, "a bigint, b bigint"), "plausible")
+        return self.compared(pairs, quarter, "head", check, "a bigint, b bigint", "plausible")
 
     def verify(self, pairs: DataFrame, percent: int) -> DataFrame:
         """(a, b, linked) of written candidate pairs (a, b)."""
@@ -438,8 +465,7 @@ class SetTable:
                     ok.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield pa.record_batch([*batch.columns[:2], pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
-        return written(self.joined(pairs, F.col("members")).mapInArrow(check, "a bigint, b bigint, linked boolean"),
-                       "verified")
+        return self.compared(pairs, F.col("members"), "n", check, "a bigint, b bigint, linked boolean", "verified")
 
     def middles(self, members: DataFrame) -> DataFrame:
         """(a, members): for every neighbourhood ``p`` of written members ``a``, under the name of
@@ -482,8 +508,8 @@ class SetTable:
                                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))],
                                       ["a", "b", "n", "d", "own", "beside", "from", "apart"])
 
-        return written(self.joined(members, F.col("members"), "i", others=middles).mapInArrow(
-            compare, "a bigint, b bigint, n int, d int, own int, beside int, from int, apart array<bigint>"), "differences")
+        return self.compared(members, F.col("members"), "n", compare, "a bigint, b bigint, n int, d int, own int, beside int, "
+                             "from int, apart array<bigint>", "differences", "i", others=middles)
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -498,7 +524,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     frequent = frequent_shingles(docs)
     # About one prefix row per 24 bytes of text (a shingle per word, a quarter of them).
-    buckets = int(16 + text_bytes(docs) // 24 // rows_per_bucket)
+    text = text_bytes(docs)
+    buckets = int(16 + text // 24 // rows_per_bucket)
     found = written(joined(bucket_rows(docs, frequent, buckets, percent), percent), "jaccard")
     members = found.where("kind = 0").select("doc_id", "a", "na", F.col("b").alias("g"))
     sets = written(members.where("a is not null").groupBy("a", "na", "g")
@@ -537,7 +564,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, rows_per_bucket:
     parted = leads.where("sets > 1").join(sets, "g").select("lead", "a", "na")
     involved = written(todo.select("a").union(todo.select("b")).union(parted.select("a")).union(hot.select("a"))
                        .distinct().join(sets.select("a", "rep"), "a"), "involved")
-    whole = SetTable(docs, involved)
+    whole = SetTable(docs, involved, max(SENT, text // SENT_PART))
     links = done = None
 
     def labels():
